@@ -1,0 +1 @@
+"""Incremental intake of review extracts."""
