@@ -9,8 +9,12 @@ ALPHA = 0.05
 
 
 def half_even(number: Column, digits: int) -> Column:
-    """Rounded the way the report tables round: an exact half goes to the even digit."""
-    return F.bround(number, digits)
+    """Rounded the way the result tables round: scaled, to the even whole number at a half, scaled back.
+
+    Rounding the printed decimals instead would differ where scaling is inexact (1.015 gives 1.01 here).
+    """
+    scale = F.lit(10.0**digits)
+    return F.rint(number * scale) / scale
 
 
 def decision(p: Column, alpha: float = ALPHA) -> Column:

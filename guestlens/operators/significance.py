@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from guestlens.functions import normal, royston, tails
-from guestlens.functions.display import ALPHA, yes_no
+from guestlens.functions.display import ALPHA, half_even, yes_no
 from guestlens.plans.ranking import clean_values, frequency, quantiles, rank_table
 
 # The published approximation of W covers groups up to this size.
@@ -187,7 +187,7 @@ def symmetric_matrix(
 ) -> DataFrame:
     """Square matrix of a pair table with a unit diagonal: position, label, one column per level."""
     kind = pairs.schema["group1"].dataType.simpleString()
-    shown = F.col(cell) if digits is None else F.bround(F.col(cell), digits)
+    shown = F.col(cell) if digits is None else half_even(F.col(cell), digits)
     both = F.array(
         F.struct(F.col("group1"), F.col("group2"), shown.alias("cell")),
         F.struct(F.col("group2").alias("group1"), F.col("group1").alias("group2"), shown.alias("cell")),

@@ -6,10 +6,10 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from guestlens.functions.display import ALPHA, decision
+from guestlens.functions.display import ALPHA, decision, half_even
 from guestlens.functions.labels import TRAVELER_ORDER
 from guestlens.operators import significance as sig
 
@@ -35,9 +35,9 @@ def _main_row(test: DataFrame, problem: str, name: str, label: str, alpha: float
     return test.select(
         F.lit(problem).alias("research_problem"),
         F.lit(name).alias("test"),
-        F.bround("statistic", digits).alias("statistic"),
+        half_even(F.col("statistic"), digits).alias("statistic"),
         F.lit(label).alias("statistic_label"),
-        F.bround("p_value", digits).alias("p_value"),
+        half_even(F.col("p_value"), digits).alias("p_value"),
         decision(F.col("p_value"), alpha).alias("decision"),
     )
 
