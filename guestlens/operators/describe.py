@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from guestlens.functions.display import half_even
 from guestlens.functions.labels import GROUP_NAMES, translate
-from guestlens.plans.ranking import clean_values, frequency, quantiles, rank_table
+from guestlens.plans.ranking import clean_values, frequency, moments, quantiles, rank_table
 from guestlens.plans.skew import lookup_join
 
 # The rows of the overall table, in order.
@@ -19,23 +19,13 @@ OVERALL_ROWS = ("N", "Mean", "Median", "Std Dev", "Min", "Max")
 def summary(df: DataFrame, value: str, keys: Sequence[str] = ()) -> DataFrame:
     """n, mean, median, std (n - 1), min and max per key, or of the whole table.
 
-    The moments are reduced before the shuffle; the exact median comes from the
-    rank table, never from all values of a group in one task.
+    All numbers come from one rank table: the data are scanned once, reduced to
+    distinct values before the shuffle, and no task ever holds all values of a group.
     """
     keys = list(keys)
-    values = clean_values(df, value, keys)
-    moments = values.groupBy(*keys).agg(
-        F.count("value").alias("n"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-    )
-    median = quantiles(rank_table(frequency(df, value, keys), keys), [0.5], ["median"], keys).drop("total")
-    if not keys:  # one row each
-        moments, median, keys = moments.withColumn("__one", F.lit(1)), median.withColumn("__one", F.lit(1)), ["__one"]
-    out = moments.join(median, keys).select(*keys, "n", "mean", "median", "std", "min", "max")
-    return out.drop("__one")
+    ranked = rank_table(frequency(df, value, keys), keys)
+    out = quantiles(ranked, [0.5], ["median"], keys, extra=moments())
+    return out.select(*keys, "n", "mean", "median", "std", "min", "max")
 
 
 def _rounded(columns: Sequence[str], digits: int) -> list[Column]:
@@ -140,33 +130,38 @@ def histogram(df: DataFrame, value: str, bins: int = 20) -> DataFrame:
     values = clean_values(df, value)
     low, high = F.col("low"), F.col("high")
     flat = low == high  # a range of width zero is widened by a half on both sides
-    frame = values.agg(F.min("value").alias("low"), F.max("value").alias("high"), F.avg("value").alias("mean")).select(
-        F.when(flat, low - 0.5).otherwise(low).alias("start"),
-        (F.when(flat, F.lit(1.0)).otherwise(high - low) / bins).alias("width"),
-        "mean",
+    edges = (
+        values.agg(F.min("value").alias("low"), F.max("value").alias("high"), F.avg("value").alias("mean"))
+        .select(
+            F.struct(
+                F.when(flat, low - 0.5).otherwise(low).alias("start"),
+                (F.when(flat, F.lit(1.0)).otherwise(high - low) / bins).alias("width"),
+                "mean",
+            )
+        )
+        .scalar()
     )
-    start, width, number = F.col("start"), F.col("width"), F.col("value")
-    guess = F.greatest(F.lit(0), F.least(F.floor((number - start) / width), F.lit(bins - 1))).cast("int")
+    start, width, number, guess = F.col("edges.start"), F.col("edges.width"), F.col("value"), F.col("guess")
+    first = F.greatest(F.lit(0), F.least(F.floor((number - start) / width), F.lit(bins - 1))).cast("int")
     # the division may miss an edge by one unit in the last place; the edges decide
     place = (
-        F.when(number < start + F.col("guess") * width, F.col("guess") - 1)
-        .when((number >= start + (F.col("guess") + 1) * width) & (F.col("guess") < bins - 1), F.col("guess") + 1)
-        .otherwise(F.col("guess"))
+        F.when(number < start + guess * width, guess - 1)
+        .when((number >= start + (guess + 1) * width) & (guess < bins - 1), guess + 1)
+        .otherwise(guess)
     )
     counts = (
-        values.withColumn("start", frame.select("start").scalar())
-        .withColumn("width", frame.select("width").scalar())
-        .withColumn("guess", guess)
+        values.withColumn("edges", edges)
+        .withColumn("guess", first)
         .groupBy(place.alias("bin"))
         .agg(F.count(F.lit(1)).alias("rows"))
     )
-    frame = frame.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
+    frame = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin")).withColumn("edges", edges)
     return frame.join(counts, "bin", "left").select(
         "bin",
-        (F.col("start") + F.col("bin") * F.col("width")).alias("lower"),
-        (F.col("start") + (F.col("bin") + 1) * F.col("width")).alias("upper"),
+        (start + F.col("bin") * width).alias("lower"),
+        (start + (F.col("bin") + 1) * width).alias("upper"),
         F.coalesce("rows", F.lit(0).cast("long")).alias("rows"),
-        "mean",
+        F.col("edges.mean").alias("mean"),
     )
 
 

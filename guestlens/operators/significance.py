@@ -3,7 +3,8 @@
 Every test takes ``(df, value, group, levels)``. ``levels`` lists the groups in
 report order, so all tables "per group" below have at most that many rows. Spark
 does every pass over the data; only the last step from statistic to p-value runs
-on the result rows.
+on the result rows. With ``weight`` a test reads a table already counted by
+``count_values``, so that several tests can share one pass over the data.
 """
 
 from __future__ import annotations
@@ -29,6 +30,13 @@ def select_levels(df: DataFrame, group: str, levels: Sequence[Any]) -> DataFrame
     return df.where(F.col(group).isin(*levels))
 
 
+def count_values(
+    df: DataFrame, value: str, group: str, levels: Sequence[Any], weight: str | None = None
+) -> DataFrame:
+    """(group, value, n): what all tests below are computed from."""
+    return frequency(select_levels(df, group, levels), value, [group], weight)
+
+
 def level_place(group: str, levels: Sequence[Any]) -> Column:
     """Position of a group in the listed order."""
     return F.array_position(F.array(*(F.lit(x) for x in levels)), F.col(group))
@@ -69,14 +77,16 @@ def each_pair(per_group: DataFrame, group: str, levels: Sequence[Any], *totals:
 # ---------------------------------------------------------------- rank tests
 
 
-def rank_sums(df: DataFrame, value: str, group: str, levels: Sequence[Any]) -> DataFrame:
+def rank_sums(
+    df: DataFrame, value: str, group: str, levels: Sequence[Any], weight: str | None = None
+) -> DataFrame:
     """Per group: n, twice the rank sum, and its share of the tie term, all as whole numbers.
 
     The tie term is the sum of t^3 - t over distinct values. 38-digit decimals hold
     it for about 10^12 rows, where a 64-bit number overflows at 2 * 10^6 equal rows.
     """
     wide = "decimal(38,0)"
-    ranked = rank_table(frequency(select_levels(df, group, levels), value, [group]))
+    ranked = rank_table(count_values(df, value, group, levels, weight))
     n, ties = F.col("n").cast("decimal(19,0)"), F.col("ties").cast("decimal(19,0)")
     doubled = (F.col("before") * 2 + F.col("ties") + 1).cast("decimal(19,0)")
     return ranked.groupBy(group).agg(
@@ -91,9 +101,11 @@ def _excess2(n: Column, rank_sum2: Column, total: Column) -> Column:
     return (rank_sum2 - n.cast("decimal(19,0)") * (total.cast("decimal(19,0)") + 1)).cast("double")
 
 
-def kruskal_wallis(df: DataFrame, value: str, group: str, levels: Sequence[Any]) -> DataFrame:
+def kruskal_wallis(
+    df: DataFrame, value: str, group: str, levels: Sequence[Any], weight: str | None = None
+) -> DataFrame:
     """One row: n, k, df, statistic H corrected for ties, p_value; null H where all values are equal."""
-    sums = rank_sums(df, value, group, levels)
+    sums = rank_sums(df, value, group, levels, weight)
     part = F.struct(F.col("n"), F.col("rank_sum2"))
     row = sums.agg(
         F.sum("n").alias("n"),
@@ -115,13 +127,15 @@ def kruskal_wallis(df: DataFrame, value: str, group: str, levels: Sequence[Any])
     )
 
 
-def mann_whitney_u(df: DataFrame, value: str, group: str, first: Any, second: Any) -> DataFrame:
+def mann_whitney_u(
+    df: DataFrame, value: str, group: str, first: Any, second: Any, weight: str | None = None
+) -> DataFrame:
     """One row: n1, n2, U of the first group, z, method and the two-sided p.
 
     Normal approximation with tie and continuity correction; exact where a group
     has at most eight values and there are no ties.
     """
-    sums = rank_sums(df, value, group, [first, second])
+    sums = rank_sums(df, value, group, [first, second], weight)
     row = sums.agg(
         F.coalesce(F.sum(F.when(F.col(group) == first, F.col("n"))), F.lit(0)).alias("n1"),
         F.coalesce(F.sum(F.when(F.col(group) == second, F.col("n"))), F.lit(0)).alias("n2"),
@@ -148,9 +162,11 @@ def mann_whitney_u(df: DataFrame, value: str, group: str, first: Any, second: An
     return out.withColumn("p_value", F.when(F.col("method") == "exact", sure).otherwise(near))
 
 
-def dunn_posthoc(df: DataFrame, value: str, group: str, levels: Sequence[Any]) -> DataFrame:
+def dunn_posthoc(
+    df: DataFrame, value: str, group: str, levels: Sequence[Any], weight: str | None = None
+) -> DataFrame:
     """One row per pair of listed groups: mean ranks, z, Bonferroni-adjusted p. The long form of the matrix."""
-    sums = rank_sums(df, value, group, levels)
+    sums = rank_sums(df, value, group, levels, weight)
     means = sums.select(
         group, "n", (F.col("rank_sum2").cast("double") / F.col("n") / 2.0).alias("mean_rank"), "tie_term"
     )
@@ -204,12 +220,26 @@ def symmetric_matrix(
 # ---------------------------------------------------------------- moment tests
 
 
-def group_moments(df: DataFrame, value: str, group: str, levels: Sequence[Any]) -> DataFrame:
+def group_moments(
+    df: DataFrame, value: str, group: str, levels: Sequence[Any], weight: str | None = None
+) -> DataFrame:
     """Per group: n, mean, variance (n - 1); reduced before the shuffle."""
-    return (
-        clean_values(select_levels(df, group, levels), value, [group])
-        .groupBy(group)
-        .agg(F.count("value").alias("n"), F.avg("value").alias("mean"), F.var_samp("value").alias("variance"))
+    if weight is None:
+        return (
+            clean_values(select_levels(df, group, levels), value, [group])
+            .groupBy(group)
+            .agg(F.count("value").alias("n"), F.avg("value").alias("mean"), F.var_samp("value").alias("variance"))
+        )
+    counted = count_values(df, value, group, levels, weight)
+    # shifted to the common mean first, so a large offset costs no precision
+    center = counted.agg(F.sum(F.col("n") * F.col("value")) / F.sum("n")).scalar()
+    shifted = counted.withColumn("center", center).withColumn("x", F.col("value") - F.col("center"))
+    n = F.sum("n").cast("double")
+    first, second = F.sum(F.col("n") * F.col("x")), F.sum(F.col("n") * F.col("x") * F.col("x"))
+    return shifted.groupBy(group).agg(
+        F.sum("n").alias("n"),
+        (F.max("center") + first / n).alias("mean"),
+        F.try_divide(F.greatest(second - first * first / n, F.lit(0.0)), n - 1.0).alias("variance"),
     )
 
 
@@ -231,9 +261,11 @@ def sums_of_squares(moments: DataFrame) -> DataFrame:
     )
 
 
-def anova_oneway(df: DataFrame, value: str, group: str, levels: Sequence[Any]) -> DataFrame:
+def anova_oneway(
+    df: DataFrame, value: str, group: str, levels: Sequence[Any], weight: str | None = None
+) -> DataFrame:
     """One row: n, k, df1, df2, statistic F, p_value."""
-    row = sums_of_squares(group_moments(df, value, group, levels))
+    row = sums_of_squares(group_moments(df, value, group, levels, weight))
     df1, df2 = F.col("k") - 1, F.col("n") - F.col("k")
     f = F.try_divide(F.try_divide(F.col("between"), df1.cast("double")), F.try_divide(F.col("within"), df2.cast("double")))
     return row.select("n", "k", df1.alias("df1"), df2.alias("df2"), f.alias("statistic")).withColumn(
@@ -241,31 +273,36 @@ def anova_oneway(df: DataFrame, value: str, group: str, levels: Sequence[Any]) -
     )
 
 
-def group_medians(df: DataFrame, value: str, group: str, levels: Sequence[Any]) -> DataFrame:
-    ranked = rank_table(frequency(select_levels(df, group, levels), value, [group]), [group])
-    return quantiles(ranked, [0.5], ["center"], [group]).select(group, "center")
-
-
-def levene(df: DataFrame, value: str, group: str, levels: Sequence[Any]) -> DataFrame:
+def levene(
+    df: DataFrame, value: str, group: str, levels: Sequence[Any], weight: str | None = None
+) -> DataFrame:
     """Equal spread around the group medians: the one-way test on the distances.
 
-    The medians are one row per listed level, so sending them to every task is safe
-    whatever the size of the data.
+    Distances are taken from the counted values. The medians are one row per listed
+    level, so sending them to every task is safe whatever the size of the data.
     """
-    centers = F.broadcast(group_medians(df, value, group, levels))
-    distances = select_levels(df, group, levels).select(group, F.col(value).cast("double").alias("value")).join(centers, group)
-    distances = distances.select(group, F.abs(F.col("value") - F.col("center")).alias("distance"))
-    return anova_oneway(distances, "distance", group, levels)
+    counted = count_values(df, value, group, levels, weight)
+    centers = quantiles(rank_table(counted, [group]), [0.5], ["median"], [group]).select(group, "median")
+    distances = counted.join(F.broadcast(centers), group).select(
+        group, F.abs(F.col("value") - F.col("median")).alias("distance"), "n"
+    )
+    return anova_oneway(distances, "distance", group, levels, weight="n")
 
 
 def ttest_ind(
-    df: DataFrame, value: str, group: str, first: Any, second: Any, equal_variance: bool | Column = False
+    df: DataFrame,
+    value: str,
+    group: str,
+    first: Any,
+    second: Any,
+    equal_variance: bool | Column = False,
+    weight: str | None = None,
 ) -> DataFrame:
     """One row: n1, n2, statistic t, df, variant ("student" or "welch"), two-sided p.
 
     ``equal_variance`` may be a scalar subquery, so Levene's verdict can choose the variant.
     """
-    moments = group_moments(df, value, group, [first, second])
+    moments = group_moments(df, value, group, [first, second], weight)
 
     def pick(column: str, level: Any, name: str) -> Column:
         return F.max(F.when(F.col(group) == level, F.col(column))).alias(name)
@@ -288,9 +325,11 @@ def ttest_ind(
     )
 
 
-def tukey_statistics(df: DataFrame, value: str, group: str, levels: Sequence[Any]) -> DataFrame:
+def tukey_statistics(
+    df: DataFrame, value: str, group: str, levels: Sequence[Any], weight: str | None = None
+) -> DataFrame:
     """Per pair of groups in label order: mean difference, standard error, q, k and degrees of freedom."""
-    moments = group_moments(df, value, group, levels)
+    moments = group_moments(df, value, group, levels, weight)
     within = F.sum((F.col("n") - 1) * F.coalesce(F.col("variance"), F.lit(0.0)))
     pairs = each_pair(
         moments,
@@ -308,9 +347,16 @@ def tukey_statistics(df: DataFrame, value: str, group: str, levels: Sequence[Any
     )
 
 
-def tukey_hsd(df: DataFrame, value: str, group: str, levels: Sequence[Any], alpha: float = ALPHA) -> DataFrame:
+def tukey_hsd(
+    df: DataFrame,
+    value: str,
+    group: str,
+    levels: Sequence[Any],
+    alpha: float = ALPHA,
+    weight: str | None = None,
+) -> DataFrame:
     """Per pair: meandiff, adjusted p, confidence limits, verdict."""
-    pairs = tukey_statistics(df, value, group, levels)
+    pairs = tukey_statistics(df, value, group, levels, weight)
     return (
         pairs.withColumn("p_adj", tails.studentized_range_p("q", "k", "df"))
         .withColumn("__reach", tails.studentized_range_q(F.lit(alpha), "k", "df") * F.col("se"))
@@ -329,14 +375,21 @@ def tukey_hsd(df: DataFrame, value: str, group: str, levels: Sequence[Any], alph
 # ---------------------------------------------------------------- normality
 
 
-def shapiro_wilk(df: DataFrame, value: str, group: str, levels: Sequence[Any], alpha: float = ALPHA) -> DataFrame:
+def shapiro_wilk(
+    df: DataFrame,
+    value: str,
+    group: str,
+    levels: Sequence[Any],
+    alpha: float = ALPHA,
+    weight: str | None = None,
+) -> DataFrame:
     """Per group: n, W, p, normal ("Yes"/"No") and whether p is inside the approximation's range.
 
     Order statistics come from the rank table; a block of equal values adds its value
     times the weights of all its ranks at once. Undefined cases (fewer than three
     values, all equal) give null and "No".
     """
-    ranked = rank_table(frequency(select_levels(df, group, levels), value, [group]), [group])
+    ranked = rank_table(count_values(df, value, group, levels, weight), [group])
     # a block of equal values weighs in with the score sum up to its last rank, minus that before its first
     ends = ranked.select(
         group,

@@ -359,7 +359,7 @@ SELECT doc_id AS source_id, lang AS hotel_name, source AS traveler_type FROM (
 SELECT doc_id, source, lang, n_chars FROM (
   SELECT *, row_number() OVER (PARTITION BY source ORDER BY n_chars DESC, doc_id) AS place FROM documents) WHERE place = 1"""
     sql["dedup_across_batches"] = """
-SELECT doc_id, band FROM (
+SELECT doc_id, band::INTEGER AS band FROM (
   SELECT doc_id, length(source) AS band, min(length(source)) OVER (PARTITION BY text) AS first_band FROM documents) WHERE band = first_band"""
     sql["take_per_group"] = """
 SELECT o_custkey, o_orderkey FROM (

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from guestlens.functions.display import ALPHA, decision, half_even
 from guestlens.functions.labels import TRAVELER_ORDER
 from guestlens.operators import significance as sig
+from guestlens.session import stored
 
 MIN_GROUP = 5
 MAX_LEVELS = 1000
@@ -43,8 +44,8 @@ def _main_row(test: DataFrame, problem: str, name: str, label: str, alpha: float
 
 
 def all_normal(normality: DataFrame) -> bool:
-    """Whether no group is called non-normal; one row per listed level comes to the driver."""
-    return normality.where(F.col("normal") == "No").limit(1).count() == 0
+    """Whether no group is called non-normal; the table has one row per listed level."""
+    return normality.where(F.col("normal") == "No").isEmpty()
 
 
 def main_test(
@@ -56,11 +57,14 @@ def main_test(
     normal: bool,
     alpha: float = ALPHA,
     digits: int = 4,
+    weight: str | None = None,
 ) -> DataFrame:
     """One-way ANOVA for normal groups, Kruskal-Wallis otherwise."""
     if normal:
-        return _main_row(sig.anova_oneway(df, value, group, levels), problem, "One-Way ANOVA", "F", alpha, digits)
-    return _main_row(sig.kruskal_wallis(df, value, group, levels), problem, "Kruskal-Wallis", "H", alpha, digits)
+        test = sig.anova_oneway(df, value, group, levels, weight)
+        return _main_row(test, problem, "One-Way ANOVA", "F", alpha, digits)
+    test = sig.kruskal_wallis(df, value, group, levels, weight)
+    return _main_row(test, problem, "Kruskal-Wallis", "H", alpha, digits)
 
 
 def two_sample_test(
@@ -72,14 +76,16 @@ def two_sample_test(
     normal: bool,
     alpha: float = ALPHA,
     digits: int = 4,
+    weight: str | None = None,
 ) -> DataFrame:
     """t-test for normal groups, with Levene choosing the variant; Mann-Whitney otherwise."""
     first, second = levels
     if normal:
-        equal = sig.levene(df, value, group, levels).select(F.col("p_value") > alpha).scalar()
-        test = sig.ttest_ind(df, value, group, first, second, equal)
+        equal = sig.levene(df, value, group, levels, weight).select(F.col("p_value") > alpha).scalar()
+        test = sig.ttest_ind(df, value, group, first, second, equal, weight)
         return _main_row(test, problem, "Welch's t-test", "t", alpha, digits)
-    return _main_row(sig.mann_whitney_u(df, value, group, first, second), problem, "Mann-Whitney U", "U", alpha, digits)
+    test = sig.mann_whitney_u(df, value, group, first, second, weight)
+    return _main_row(test, problem, "Mann-Whitney U", "U", alpha, digits)
 
 
 def gate_open(main: DataFrame, alpha: float = ALPHA) -> bool:
@@ -101,24 +107,27 @@ def compare_groups(
 ) -> Comparison:
     """Normality per group, spread, main test, and the post-hoc test where the main one is significant.
 
-    Two driver decisions are taken, each on a single flag of a result table; the
-    data stay on the executors. ``posthoc_levels`` widens the groups of the Tukey
-    comparison, which may cover groups left out of the main test.
+    The values are counted once and the counts stored, so the whole procedure reads
+    the data a single time. Two driver decisions are taken, each on a single flag of
+    a result table. ``posthoc_levels`` widens the groups of the Tukey comparison,
+    which may cover groups left out of the main test.
     """
     levels = tuple(levels)
-    normality = sig.shapiro_wilk(df, value, group, levels, alpha)
+    counted = stored(sig.count_values(df, value, group, levels))
+    columns = (counted, "value", group, levels)
+    normality = sig.shapiro_wilk(*columns, alpha, weight="n")
     normal = all_normal(normality)
-    spread = sig.levene(df, value, group, levels)
-    if posthoc:
-        main = main_test(df, value, group, levels, problem, normal, alpha, digits)
-    else:
-        main = two_sample_test(df, value, group, levels, problem, normal, alpha, digits)
+    spread = sig.levene(*columns, weight="n")
+    test = main_test if posthoc else two_sample_test
+    main = test(*columns, problem, normal, alpha, digits, weight="n")
     after, kind = None, None
     if posthoc and gate_open(main, alpha):
-        if normal:
-            after, kind = sig.tukey_hsd(df, value, group, list(posthoc_levels or levels), alpha), "tukey"
+        if normal and posthoc_levels is not None:
+            after, kind = sig.tukey_hsd(df, value, group, list(posthoc_levels), alpha), "tukey"
+        elif normal:
+            after, kind = sig.tukey_hsd(*columns, alpha, weight="n"), "tukey"
         else:
-            after, kind = sig.dunn_posthoc(df, value, group, levels), "dunn"
+            after, kind = sig.dunn_posthoc(*columns, weight="n"), "dunn"
     return Comparison(levels, normal, normality, spread, main, after, kind)
 
 

@@ -26,8 +26,13 @@ def clean_values(df: DataFrame, value: str, keys: Sequence[str] = ()) -> DataFra
     return out.dropna(subset=[*keys, "value"])
 
 
-def frequency(df: DataFrame, value: str, keys: Sequence[str] = ()) -> DataFrame:
-    """One row per distinct (keys, value) with its count ``n``; counted before the shuffle."""
+def frequency(df: DataFrame, value: str, keys: Sequence[str] = (), weight: str | None = None) -> DataFrame:
+    """One row per distinct (keys, value) with its count ``n``; counted before the shuffle.
+
+    ``weight`` names the count column of a table that already has that form.
+    """
+    if weight is not None:
+        return df.select(*keys, F.col(value).alias("value"), F.col(weight).alias("n"))
     return clean_values(df, value, keys).groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -37,7 +42,7 @@ def cut_points(freq: DataFrame) -> Column:
     steps = side * side
     shares = [i / steps for i in range(1, steps)]
     cuts = F.concat(
-        F.percentile_approx("value", shares, 20 * steps), F.array(F.lit(float("inf")))
+        F.percentile_approx("value", shares, 4 * steps), F.array(F.lit(float("inf")))
     )
     rows = F.transform(F.sequence(F.lit(0), F.lit(side - 1)), lambda i: F.slice(F.col("cuts"), i * side + 1, side))
     return (
@@ -53,6 +58,24 @@ def cut_points(freq: DataFrame) -> Column:
     )
 
 
+def moments() -> list[Column]:
+    """Aggregates of a rank table: n, mean, std (n - 1), min, max.
+
+    Values are shifted to the middle of the table first, so a large common offset
+    costs no precision.
+    """
+    n = F.sum("n").cast("double")
+    shifted = F.col("value") - F.col("center")
+    first, second = F.sum(F.col("n") * shifted), F.sum(F.col("n") * shifted * shifted)
+    return [
+        F.sum("n").alias("n"),
+        (F.max("center") + first / n).alias("mean"),
+        F.sqrt(F.greatest(F.try_divide(second - first * first / n, n - 1.0), F.lit(0.0))).alias("std"),
+        F.min("value").alias("min"),
+        F.max("value").alias("max"),
+    ]
+
+
 def _bucket(value: Column, cuts: Column) -> Column:
     """Number of cut points below the value: first the block, then the place in it.
 
@@ -112,18 +135,28 @@ def mid_ranks(df: DataFrame, value: str) -> DataFrame:
     )
 
 
-def quantiles(ranked: DataFrame, shares: Sequence[float], names: Sequence[str], within: Sequence[str] = ()) -> DataFrame:
-    """Exact linear-interpolation quantiles from a rank table, one row per ``within`` key."""
+def quantiles(
+    ranked: DataFrame,
+    shares: Sequence[float],
+    names: Sequence[str],
+    within: Sequence[str] = (),
+    extra: Sequence[Column] = (),
+) -> DataFrame:
+    """Exact linear-interpolation quantiles from a rank table, one row per ``within`` key.
+
+    ``extra`` aggregates are taken in the same pass.
+    """
     picks = []
     for share, name in zip(shares, names):
         place = (F.col("total") - 1) * F.lit(float(share))
         for side, position in (("lo", F.floor(place)), ("hi", F.ceil(place))):
             inside = (F.col("before") <= position) & (position < F.col("before") + F.col("n"))
             picks.append(F.max(F.when(inside, F.col("value"))).alias(f"__{name}_{side}"))
-    found = ranked.groupBy(*within).agg(F.max("total").alias("total"), *picks)
+    found = ranked.groupBy(*within).agg(F.max("total").alias("total"), *picks, *extra)
     columns = []
     for share, name in zip(shares, names):
         place = (F.col("total") - 1) * F.lit(float(share))
         low, high = F.col(f"__{name}_lo"), F.col(f"__{name}_hi")
         columns.append((low + (high - low) * (place - F.floor(place))).alias(name))
-    return found.select(*within, "total", *columns)
+    kept = [c for c in found.columns if c not in {*within, "total"} and not c.startswith("__")]
+    return found.select(*within, "total", *columns, *kept)

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: str | int = "*", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
@@ -32,10 +32,29 @@ def shuffle_width(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
-def checkpoint_folder(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; a scratch one only where it is unset."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder is None:
-        folder = tempfile.mkdtemp(prefix="guestlens-checkpoint-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+def checkpoint_folder(spark: SparkSession) -> str | None:
+    """The shared folder named by ``spark.checkpoint.dir``.
+
+    Where the setting is absent, a local session gets a scratch folder; on a cluster
+    there is none, since a machine-local folder would be lost with its machine.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if folder is None and spark.sparkContext.master.startswith("local"):
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="guestlens-checkpoint-"))
+        folder = spark.sparkContext.getCheckpointDir()
     return folder
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` written once to the checkpoint folder and read from there.
+
+    Later steps re-read files instead of repeating the work above, also after an
+    executor is lost. Without a folder the frame is returned as it is.
+    """
+    spark = df.sparkSession
+    folder = checkpoint_folder(spark)
+    if folder is None:
+        return df
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(folder)
+    return df.checkpoint()

@@ -54,16 +54,21 @@ def read_distribution(spark: SparkSession, path: str | Sequence[str]) -> DataFra
     return read_csv(spark, path, DISTRIBUTION)
 
 
+def _by_hotel(df: DataFrame, path: str, mode: str, partition: str | None) -> None:
+    # rebalancing gathers the rows of a hotel into few files and still splits a very large hotel
+    rows = df.hint("rebalance", partition) if partition else df
+    writer = rows.write.mode(mode)
+    (writer.partitionBy(partition) if partition else writer).parquet(path)
+
+
 def append_rows(df: DataFrame, path: str, partition: str | None = "hotel_name") -> None:
     """Adds rows to a columnar table, one folder per hotel; finished parts stay if a later run fails."""
-    writer = df.write.mode("append")
-    (writer.partitionBy(partition) if partition else writer).parquet(path)
+    _by_hotel(df, path, "append", partition)
 
 
 def start_afresh(df: DataFrame, path: str, partition: str | None = "hotel_name") -> None:
     """The same, after clearing what an earlier pass left."""
-    writer = df.write.mode("overwrite")
-    (writer.partitionBy(partition) if partition else writer).parquet(path)
+    _by_hotel(df, path, "overwrite", partition)
 
 
 def write_result(df: DataFrame, path: str, format: str = "csv") -> None:

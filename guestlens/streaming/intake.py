@@ -18,12 +18,15 @@ def append_new_files(spark: SparkSession, source: str, target: str, name: str) -
 
     ``name`` identifies the pass; its progress is kept under the session's checkpoint folder.
     """
+    folder = checkpoint_folder(spark)
+    if folder is None:
+        raise ValueError("set spark.checkpoint.dir to a shared folder")
     query = (
         spark.readStream.schema(REVIEW)
         .parquet(source)
         .writeStream.format("parquet")
         .partitionBy("hotel_name")
-        .option("checkpointLocation", f"{checkpoint_folder(spark)}/intake-{name}")
+        .option("checkpointLocation", f"{folder}/intake-{name}")
         .option("path", target)
         .trigger(availableNow=True)
         .outputMode("append")
