@@ -571,22 +571,19 @@ def q_absa_report(spark: SparkSession, folder: str) -> DataFrame:
     return report.aspect_report(report.aspect_counts(mentions(spark, folder)))
 
 
-def aspects_with_text(spark: SparkSession, folder: str) -> DataFrame:
-    texts = table(spark, folder, "documents").select("doc_id", F.col("text").alias("neg_text"))
-    return aspects.attach_text(document_aspects(spark, folder), texts, "doc_id")
-
-
 def q_aspect_text_join(spark: SparkSession, folder: str) -> DataFrame:
-    joined = aspects_with_text(spark, folder)
+    texts = table(spark, folder, "documents").select("doc_id", F.col("text").alias("neg_text"))
+    joined = aspects.attach_text(document_aspects(spark, folder), texts, "doc_id")
     return joined.select("doc_id", "extracted_aspect", "sentiment", F.md5("neg_text").alias("text_md5"))
 
 
 def document_bigrams(spark: SparkSession, folder: str) -> DataFrame:
-    return aspects.aspect_bigrams(aspects.categorise(aspects_with_text(spark, folder), keywords=DOCUMENT_KEYWORDS))
+    found = aspects.categorise(document_aspects(spark, folder), keywords=DOCUMENT_KEYWORDS)
+    return aspects.aspect_bigrams(found, table(spark, folder, "documents"), "doc_id", "text")
 
 
 def q_aspect_bigrams(spark: SparkSession, folder: str) -> DataFrame:
-    return document_bigrams(spark, folder).groupBy("doc_id", "extracted_aspect", "bigram").agg(F.count(F.lit(1)).alias("n"))
+    return document_bigrams(spark, folder).select("doc_id", "extracted_aspect", "bigram", F.col("mentions").alias("n"))
 
 
 def q_top_bigrams(spark: SparkSession, folder: str) -> DataFrame:

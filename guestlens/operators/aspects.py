@@ -19,12 +19,15 @@ from guestlens.functions.labels import (
     lookup,
     translate,
 )
-from guestlens.functions.text import words
+from guestlens.functions.text import WORD_PATTERN, words
 from guestlens.operators.dedup import keep_first
 from guestlens.plans.skew import lookup_join
 
 SENTIMENTS = ("NEGATIVE", "NEUTRAL", "POSITIVE")
 
+# How many aspects of one review are matched against its text at a time.
+LIST_SIZE = 64
+
 # Opinion words of the built-in extractor.
 POSITIVE_WORDS = (
     "amazing", "beautiful", "best", "bright", "calm", "clean", "comfortable", "comfy", "cosy", "delicious",
@@ -68,24 +71,22 @@ def extract_aspects(
         return F.when(F.coalesce(before.isin(*negations), F.lit(False)), -base).otherwise(base)
 
     tokens = F.col("__tokens")
-    hits = F.filter(
-        F.transform(tokens, lambda t, i: F.struct(t.alias("term"), (i + 1).alias("place"))),
-        lambda h: h["term"].isin(*terms),
+    places = F.filter(
+        F.when(F.size(tokens) > 0, F.sequence(F.lit(1), F.size(tokens))).otherwise(F.array().cast("array<int>")),
+        lambda i: F.element_at(tokens, i).isin(*terms),
     )
 
-    def polarity(hit: Column) -> Column:
-        span = F.sequence(
-            F.greatest(hit["place"] - reach, F.lit(1)), F.least(hit["place"] + reach, F.size(tokens))
-        )
+    def polarity(place: Column) -> Column:
+        span = F.sequence(F.greatest(place - reach, F.lit(1)), F.least(place + reach, F.size(tokens)))
         score = F.aggregate(span, F.lit(0), lambda acc, i: acc + opinion(tokens, i))
         return F.when(score > 0, F.lit("Positive")).when(score < 0, F.lit("Negative")).otherwise(F.lit("Neutral"))
 
     return (
         df.withColumn("__tokens", F.coalesce(words(F.col(text)), F.array().cast("array<string>")))
-        .withColumn("__hits", hits)
-        .withColumn("aspect", F.col("__hits.term"))
-        .withColumn("sentiment", F.transform("__hits", polarity))
-        .drop("__tokens", "__hits")
+        .withColumn("__places", places)
+        .withColumn("aspect", F.transform("__places", lambda i: F.element_at(tokens, i)))
+        .withColumn("sentiment", F.transform("__places", polarity))
+        .drop("__tokens", "__places")
     )
 
 
@@ -168,7 +169,7 @@ def categorise_by_table(df: DataFrame, dictionary: DataFrame, aspect: str = "ext
         .agg(F.min_by("category", "priority").alias("aspect_category"), F.max("__rows").alias("__rows"))
     )
     return (
-        lookup_join(df.withColumn("__phrase", F.lower(F.col(aspect))), found, ["__phrase"], "left", "__rows")
+        lookup_join(df.withColumn("__phrase", F.lower(F.col(aspect))), found, ["__phrase"], "__rows")
         .withColumn("aspect_category", F.coalesce("aspect_category", F.lit(OTHER_CATEGORY)))
         .drop("__phrase", "__rows")
     )
@@ -204,53 +205,88 @@ def ranking(df: DataFrame, column: str) -> DataFrame:
 
 
 def attach_text(aspects: DataFrame, texts: DataFrame, key: str = "source_id", text: str = "neg_text", order: Sequence[Column] = ()) -> DataFrame:
-    """Aspect rows with the first text of their review id; only two columns of the texts are read."""
-    wanted = [key, text]
+    """Aspect rows with the first text of their review id; only two columns of the texts are read.
+
+    Both sides are shuffled on the id for this join alone, the form in which Spark
+    splits the partition of a very frequent id by itself.
+    """
     first = keep_first(texts.where(F.col(key).isNotNull()), [key], list(order) or [F.asc_nulls_last(text)])
-    return lookup_join(aspects, first.select(*wanted), [key], "left")
+    return aspects.join(first.select(key, text), key, "left")
 
 
 def aspect_bigrams(
-    df: DataFrame,
+    aspects: DataFrame,
+    texts: DataFrame,
+    key: str = "source_id",
     text: str = "neg_text",
     aspect: str = "extracted_aspect",
+    carry: Sequence[str] = ("aspect_category",),
+    order: Sequence[Column] = (),
     stop_words: Sequence[str] = BIGRAM_STOP_WORDS,
     translations: Mapping[str, str] = WORD_TRANSLATIONS,
 ) -> DataFrame:
-    """One row per neighbouring word pair in which a word equals the aspect and none is a stop word.
+    """Neighbouring word pairs around each aspect: (key, carried columns, aspect, bigram, mentions).
+
+    A pair counts when one of its words equals the aspect and neither is a stop word,
+    once per aspect row of the review and per occurrence in the review's first text.
 
-    Each pair is built from its own text and row. An aspect of several words equals
-    no single word, so it yields nothing.
+    Equal aspect rows are counted before they meet a text, and the distinct aspects of
+    a review travel as lists of at most ``LIST_SIZE``. So a text is cut into words once
+    per list, not once per aspect row, and work stays linear in the text. An aspect of
+    several words equals no single word and is left out before the shuffle.
     """
-    tokens = F.col("__tokens")
-    pairs = F.zip_with(
-        F.slice(tokens, 1, F.greatest(F.size(tokens) - 1, F.lit(0))),
-        F.slice(tokens, 2, F.greatest(F.size(tokens) - 1, F.lit(0))),
-        lambda a, b: F.struct(a.alias("first"), b.alias("second")),
+    carry = list(carry)
+    counted = (
+        aspects.where(F.regexp_like(F.col(aspect), F.lit(f"^{WORD_PATTERN}$")) & F.col(key).isNotNull())
+        .groupBy(key, F.lower(F.col(aspect)).alias("__aspect"), *carry)
+        .agg(F.count(F.lit(1)).alias("__rows"))
+    )
+    place = F.row_number().over(Window.partitionBy(key).orderBy("__aspect", *carry))
+    lists = (
+        counted.withColumn("__list", F.floor((place - 1) / LIST_SIZE))
+        .groupBy(key, "__list")
+        .agg(
+            F.collect_list(F.struct("__aspect", "__rows", *carry)).alias("__wanted"),
+            F.collect_set("__aspect").alias("__words"),
+        )
     )
-    target = F.lower(F.col(aspect))
+    first = keep_first(
+        texts.where(F.col(key).isNotNull() & F.col(text).isNotNull()), [key], list(order) or [F.asc_nulls_last(text)]
+    )
+    tokens, wanted = F.col("__tokens"), F.col("__words")
     near = F.filter(
-        pairs,
-        lambda p: ((p["first"] == target) | (p["second"] == target))
-        & ~p["first"].isin(*stop_words)
-        & ~p["second"].isin(*stop_words),
+        F.when(F.size(tokens) > 1, F.sequence(F.lit(1), F.size(tokens) - 1)).otherwise(F.array().cast("array<int>")),
+        lambda i: (
+            F.array_contains(wanted, F.element_at(tokens, i)) | F.array_contains(wanted, F.element_at(tokens, i + 1))
+        )
+        & ~F.element_at(tokens, i).isin(*stop_words)
+        & ~F.element_at(tokens, i + 1).isin(*stop_words),
+    )
+    pairs = F.transform(
+        near,
+        lambda i: F.struct(F.element_at(tokens, i).alias("first"), F.element_at(tokens, i + 1).alias("second")),
     )
+    left, right = F.col("__pair.first"), F.col("__pair.second")
+    matching = F.filter("__wanted", lambda w: (w["__aspect"] == left) | (w["__aspect"] == right))
     return (
-        df.where(F.col(text).isNotNull() & F.col(aspect).isNotNull())
+        lists.join(first.select(key, text), key)
         .withColumn("__tokens", words(F.col(text)))
-        .withColumn("__pair", F.explode(near))
-        .withColumn(
-            "bigram",
-            F.concat(
-                translate(F.col("__pair.first"), translations), F.lit("-"), translate(F.col("__pair.second"), translations)
-            ),
+        .select(key, "__wanted", F.explode(pairs).alias("__pair"))
+        .select(key, "__pair", F.explode(matching).alias("__match"))
+        .select(
+            key,
+            *(F.col(f"__match.{c}").alias(c) for c in carry),
+            F.col("__match.__aspect").alias(aspect),
+            F.concat(translate(left, translations), F.lit("-"), translate(right, translations)).alias("bigram"),
+            F.col("__match.__rows").alias("__rows"),
         )
-        .drop("__tokens", "__pair")
+        .groupBy(key, *carry, aspect, "bigram")
+        .agg(F.sum("__rows").alias("mentions"))
     )
 
 
 def top_bigrams(df: DataFrame, category: str = "aspect_category", limit: int = 30) -> DataFrame:
     """The most frequent bigrams of each category; each task cuts its candidates before they meet."""
-    counted = df.groupBy(category, "bigram").agg(F.count(F.lit(1)).alias("mentions"))
+    counted = df.groupBy(category, "bigram").agg(F.sum("mentions").alias("mentions"))
     order = Window.partitionBy(category).orderBy(F.desc("mentions"), "bigram")
     return counted.withColumn("place", F.row_number().over(order)).where(F.col("place") <= limit)

@@ -37,7 +37,7 @@ def dedup_across_batches(df: DataFrame, key: str, batch: str) -> DataFrame:
     """Drops a row only if its id was seen in an earlier batch; repeats inside one batch stay."""
     first = df.groupBy(key).agg(F.min(batch).alias("__first"), F.count(F.lit(1)).alias("__rows"))
     return (
-        lookup_join(df, first, [key], how="left", weight="__rows")
+        lookup_join(df, first, [key], "__rows")
         .where((F.col(batch) == F.col("__first")) | F.col(key).isNull())
         .drop("__first", "__rows")
     )

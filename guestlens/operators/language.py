@@ -38,15 +38,6 @@ FUNCTION_WORDS = {
 }
 
 
-def language_scores(tokens: Column, profiles: Mapping[str, Sequence[str]] = FUNCTION_WORDS) -> Column:
-    """Array of (number of the language's words, code), in profile order."""
-
-    def hits(ws: Sequence[str]) -> Column:
-        return F.size(F.filter(tokens, lambda t: t.isin(*ws)))
-
-    return F.array(*(F.struct(hits(ws).alias("hits"), F.lit(code).alias("code")) for code, ws in profiles.items()))
-
-
 def detect_language(
     df: DataFrame,
     text: str,
@@ -56,15 +47,28 @@ def detect_language(
     """Adds the language with the most function words; null where none occurs.
 
     Ties go to the language named first. Each text is scored in its own row: no
-    shuffle, and the text is never copied per token.
+    shuffle, and the text is never copied per token. Tokens are cut once and reduced
+    to function words of any language before the languages count theirs.
     """
-    scored = df.withColumn("__scores", language_scores(words(F.col(text)), profiles))
+    known = sorted({w for ws in profiles.values() for w in ws})
+    scored = df.withColumn("__tokens", words(F.col(text))).withColumn(
+        "__known", F.filter("__tokens", lambda t: t.isin(*known))
+    )
+
+    def hits(ws: Sequence[str]) -> Column:
+        return F.size(F.filter("__known", lambda t: t.isin(*ws)))
+
+    scores = F.array(*(F.struct(hits(ws).alias("hits"), F.lit(code).alias("code")) for code, ws in profiles.items()))
     best = F.aggregate(
         "__scores",
         F.struct(F.lit(0).alias("hits"), F.lit(None).cast("string").alias("code")),
         lambda best, s: F.when(s["hits"] > best["hits"], s).otherwise(best),
     )
-    return scored.withColumn(column, best["code"]).drop("__scores")
+    return (
+        scored.withColumn("__scores", scores)
+        .withColumn(column, best["code"])
+        .drop("__tokens", "__known", "__scores")
+    )
 
 
 def filter_language(

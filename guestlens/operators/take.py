@@ -23,20 +23,27 @@ def take_whole_pages(df: DataFrame, group: str, page: str, target: int) -> DataF
     among the first ``target`` pages of its group, and the running sum needs no others.
     """
     order = Window.partitionBy(group).orderBy(page)
-    pages = (
-        df.groupBy(group, page)
-        .agg(F.count(F.lit(1)).alias("page_rows"))
-        .withColumn("__place", F.row_number().over(order))
+    counted = df.groupBy(group, page).agg(F.count(F.lit(1)).alias("page_rows"))
+    sizes = counted.groupBy(group).agg(F.sum("page_rows").alias("__rows"))
+    last = (
+        counted.withColumn("__place", F.row_number().over(order))
         .where(F.col("__place") <= target)
         .withColumn("__earlier", F.sum("page_rows").over(order) - F.col("page_rows"))
         .where(F.col("__earlier") < target)
         .groupBy(group)
         .agg(F.max(page).alias("__last"))
     )
-    return lookup_join(df, pages, [group], how="inner").where(F.col(page) <= F.col("__last")).drop("__last")
+    pages = last.join(sizes, group)
+    taken = lookup_join(df, pages, [group], "__rows", how="inner")
+    return taken.where(F.col(page) <= F.col("__last")).drop("__last", "__rows")
+
+
+def first_rows(df: DataFrame, order: Sequence[Column], n: int = 1) -> DataFrame:
+    """The first sources of a list, for trial runs; each task keeps its first n before they meet."""
+    return df.orderBy(*order).limit(n)
 
 
 def min_group_size(df: DataFrame, group: str, least: int = 5) -> DataFrame:
     """Rows of groups with at least ``least`` rows."""
     sizes = df.groupBy(group).agg(F.count(F.lit(1)).alias("__rows")).where(F.col("__rows") >= least)
-    return lookup_join(df, sizes, [group], how="inner", weight="__rows").drop("__rows")
+    return lookup_join(df, sizes, [group], "__rows", how="inner").drop("__rows")

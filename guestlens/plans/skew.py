@@ -40,26 +40,23 @@ def lookup_join(
     big: DataFrame,
     lookup: DataFrame,
     keys: Sequence[str],
+    weight: str,
     how: str = "left",
-    weight: str | None = None,
 ) -> DataFrame:
     """``big`` joined with ``lookup`` (at most one row per key), safe for hot keys.
 
     Rows of a hot key are dealt to several slices and its single lookup row is
-    repeated once per slice, at most 2P extra rows in all. ``weight`` names a
-    lookup column that already holds the number of ``big`` rows of the key; without
-    it the keys are counted first. The adaptive planner still turns the join into
-    a broadcast one when the measured lookup is small.
+    repeated once per slice, at most 2P extra rows in all. ``weight`` names the lookup
+    column with the number of ``big`` rows of the key, which the aggregate that builds
+    the lookup gets for nothing. The adaptive planner splits hot partitions only where
+    both sides are shuffled for the join; a lookup that is already grouped by its key
+    is not, which is why the keys are salted here. A measured small lookup is still
+    broadcast.
     """
     keys = list(keys)
     # a null key never matches; dropping it here keeps all uses of the lookup alike, so they share one shuffle
     lookup = lookup.dropna(subset=keys)
-    if weight is None:
-        weight = "__weight"
-        counts = big.dropna(subset=keys).groupBy(*keys).agg(F.count(F.lit(1)).alias(weight))
-    else:
-        counts = lookup.select(*keys, weight)
-    hot = F.broadcast(hot_keys(counts, keys, weight))
+    hot = F.broadcast(hot_keys(lookup.select(*keys, weight), keys, weight))
     salted = big.join(hot, keys, "left")
     salted = salted.withColumn(
         "__salt", F.when(F.col("__slices").isNull(), F.lit(0).cast("long")).otherwise(row_salt(big, F.col("__slices")))
