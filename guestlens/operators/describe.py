@@ -168,12 +168,12 @@ def histogram(df: DataFrame, value: str, bins: int = 20) -> DataFrame:
 def boxplot(df: DataFrame, value: str, group: str, reach: float = 1.5) -> DataFrame:
     """Box numbers per group: quartiles, whiskers at the last datum within reach, outliers beyond."""
     counted = frequency(df, value, [group])
-    distinct = F.count(F.lit(1)).alias("__values")
+    distinct = F.count(F.lit(1)).alias("distinct_values")
     box = quantiles(rank_table(counted, [group]), [0.25, 0.5, 0.75], ["q1", "median", "q3"], [group], [distinct])
     spread = (F.col("q3") - F.col("q1")) * reach
     inside = F.col("value").between(F.col("q1") - spread, F.col("q3") + spread)
     # only counted values meet the box of their group again
-    joined = lookup_join(counted, box, [group], "__values", how="inner")
+    joined = lookup_join(counted, box, [group], "distinct_values", how="inner")
     return joined.groupBy(group).agg(
         F.max("total").alias("n"),
         F.max("q1").alias("q1"),
