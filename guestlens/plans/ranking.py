@@ -70,7 +70,7 @@ def moments() -> list[Column]:
     return [
         F.sum("n").alias("n"),
         (F.max("center") + first / n).alias("mean"),
-        F.sqrt(F.greatest(F.try_divide(second - first * first / n, n - 1.0), F.lit(0.0))).alias("std"),
+        F.sqrt(F.try_divide(F.greatest(second - first * first / n, F.lit(0.0)), n - 1.0)).alias("std"),
         F.min("value").alias("min"),
         F.max("value").alias("max"),
     ]
