@@ -43,8 +43,10 @@ NEGATIONS = ("not", "no", "never", "without", "isn", "wasn", "aren", "weren", "d
 
 
 def keyword_terms(keywords: Mapping[str, Sequence[str]] = ASPECT_KEYWORDS) -> tuple[str, ...]:
-    """The dictionary's keywords that can stand alone as a word."""
-    return tuple(dict.fromkeys(k.strip() for ks in keywords.values() for k in ks))
+    """The dictionary's keywords that name a thing; opinion words judge things and are none."""
+    opinions = {*POSITIVE_WORDS, *NEGATIVE_WORDS}
+    terms = dict.fromkeys(k.strip() for ks in keywords.values() for k in ks)
+    return tuple(t for t in terms if t not in opinions)
 
 
 def extract_aspects(
