@@ -6,13 +6,18 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Characters that count as white space, and as part of a word.
+SPACES = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009"
+    "\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 SPACE_CLASS = r"[\s\x{0b}\x{1c}-\x{1f}\x{85}\p{Z}]"
+OTHER_CLASS = r"[^\s\x{0b}\x{1c}-\x{1f}\x{85}\p{Z}]"
 WORD_PATTERN = r"[\p{L}\p{N}_]+"
 
 
 def strip(text: Column) -> Column:
     """Without leading and trailing white space of any kind."""
-    return F.regexp_replace(text, rf"^{SPACE_CLASS}+|{SPACE_CLASS}+$", "")
+    return F.btrim(text, F.lit(SPACES))
 
 
 def none_if_blank(text: Column) -> Column:
@@ -22,8 +27,13 @@ def none_if_blank(text: Column) -> Column:
 
 def word_count(text: Column) -> Column:
     """Number of white-space separated words; 0 for blank or missing text."""
-    bare = none_if_blank(text)
-    return F.when(bare.isNull(), F.lit(0)).otherwise(F.size(F.split(bare, f"{SPACE_CLASS}+")))
+    return F.coalesce(F.regexp_count(text, F.lit(f"{OTHER_CLASS}+")), F.lit(0))
+
+
+def has_words(text: Column, least: int) -> Column:
+    """Whether there are at least ``least`` words; reads no further than the last of them."""
+    pattern = rf"^{SPACE_CLASS}*(?:{OTHER_CLASS}+{SPACE_CLASS}+){{{least - 1}}}{OTHER_CLASS}"
+    return F.coalesce(F.regexp_like(text, F.lit(pattern)), F.lit(False))
 
 
 def words(text: Column) -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from guestlens.functions.labels import is_home_country, traveler_label
 from guestlens.functions.scores import stay_month
-from guestlens.functions.text import none_if_blank, strip, word_count
+from guestlens.functions.text import has_words, none_if_blank, strip
 
 # The observed months, both ends included.
 FIRST_DAY = "2024-01-01"
@@ -51,7 +51,7 @@ def filter_period(
 
 def filter_min_words(df: DataFrame, text: str = "neg_text", least: int = MIN_WORDS) -> DataFrame:
     """Rows whose stripped text has at least ``least`` words; the text comes out stripped."""
-    return df.withColumn(text, strip(F.col(text))).where(word_count(F.col(text)) >= least)
+    return df.where(has_words(F.col(text), least)).withColumn(text, strip(F.col(text)))
 
 
 def drop_commentless(df: DataFrame, texts: Sequence[str] = ("pos_text", "neg_text")) -> DataFrame:
