@@ -8,7 +8,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # The rational approximations of AS 241, lowest power first.
@@ -44,12 +44,32 @@ def _ratio(table: tuple[Sequence[float], Sequence[float]], x: Column) -> Column:
     return polynomial(table[0], x) / polynomial(table[1], x)
 
 
+def _branches(q: Column, r: Column, central: Column, middle: Column, outer: Column) -> Column:
+    tail = F.when(r <= 5.0, _ratio(MIDDLE, middle)).otherwise(_ratio(OUTER, outer))
+    return F.when(F.abs(q) <= 0.425, q * _ratio(CENTRAL, central)).otherwise(F.signum(q) * tail)
+
+
 def normal_quantile(p: Column) -> Column:
     """Inverse of the normal distribution function for ``0 < p < 1``."""
     q = p - F.lit(0.5)
     r = F.sqrt(-F.ln(F.least(p, F.lit(1.0) - p)))
-    tail = F.when(r <= 5.0, _ratio(MIDDLE, r - 1.6)).otherwise(_ratio(OUTER, r - 5.0))
-    return F.when(F.abs(q) <= 0.425, q * _ratio(CENTRAL, F.lit(0.180625) - q * q)).otherwise(F.signum(q) * tail)
+    return _branches(q, r, F.lit(0.180625) - q * q, r - 1.6, r - 5.0)
+
+
+def with_normal_quantile(df: DataFrame, p: str, name: str) -> DataFrame:
+    """The same as a new column of a table.
+
+    The arguments of the polynomials become columns first. Written out in every term
+    they would make one compiled method too long for the JVM to optimise.
+    """
+    q, r = F.col("__q"), F.col("__r")
+    return (
+        df.withColumn("__q", F.col(p) - 0.5)
+        .withColumn("__r", F.sqrt(-F.ln(F.least(F.col(p), F.lit(1.0) - F.col(p)))))
+        .withColumns({"__central": F.lit(0.180625) - q * q, "__middle": r - 1.6, "__outer": r - 5.0})
+        .withColumn(name, _branches(q, r, F.col("__central"), F.col("__middle"), F.col("__outer")))
+        .drop("__q", "__r", "__central", "__middle", "__outer")
+    )
 
 
 def normal_density(z: Column) -> Column:
@@ -65,3 +85,9 @@ def score_prefix_edge(z: Column, width: Column) -> Column:
     density = normal_density(z)
     third = (1.0 + 2.0 * z * z) / F.pow(density * width, F.lit(3.0))
     return -width * density - 1.0 / (width * density) / 24.0 + third * (7.0 / 5760.0)
+
+
+def score_prefix_end(ranks: Column, width: Column) -> Column:
+    """Sum of the first ``ranks`` rank scores, one by one; for a handful of ranks near an end."""
+    shares = F.transform(F.sequence(F.lit(1), ranks.cast("int")), lambda i: (i - F.lit(0.375)) / width)
+    return F.aggregate(shares, F.lit(0.0), lambda total, p: total + normal_quantile(p))

@@ -72,19 +72,16 @@ def squared_score_sum(n: int) -> float:
     return 2.0 * total
 
 
-def w_statistic(
-    n: int, body: float, body_weight: float, ends: Sequence[tuple[int, float]], outer: float, inner: float, squares: float
-) -> float:
+def w_statistic(n: int, dot: float, inner_weight: float, outer: float, inner: float, squares: float) -> float:
     """W from the sums of one group.
 
-    ``body`` and ``body_weight`` are the smooth sum and its total weight, ``ends`` pairs
-    of (number of ranks, weight) near an end, ``outer``/``inner`` the distances between
-    the last and first, and the next-to-last and second value.
+    ``dot`` is the sum of values times rank scores, in which sums of more than
+    ``END_RANKS`` scores lack the same constant; ``inner_weight`` is the total weight of
+    those. ``outer``/``inner`` are the distances between the last and first, and the
+    next-to-last and second value, ``squares`` the sum of squares about the mean.
     """
-    sums = end_sums(n)
-    dot = body + sum(weight * sums[int(rank)] for rank, weight in ends)
-    if body_weight:
-        dot += body_weight * (sums[END_RANKS] - smooth_edge(END_RANKS + 0.5, n))
+    if inner_weight:
+        dot += inner_weight * (end_sums(n)[END_RANKS] - smooth_edge(END_RANKS + 0.5, n))
     m1, m2 = -rank_score(1, n), -rank_score(2, n)
     mm = squared_score_sum(n)
     if n == 3:
@@ -123,21 +120,14 @@ RESULT = T.StructType([T.StructField("w", T.DoubleType()), T.StructField("p_valu
 
 @F.pandas_udf(RESULT)
 def w_and_p(
-    n: pd.Series,
-    body: pd.Series,
-    body_weight: pd.Series,
-    end_ranks: pd.Series,
-    end_weights: pd.Series,
-    outer: pd.Series,
-    inner: pd.Series,
-    squares: pd.Series,
+    n: pd.Series, dot: pd.Series, inner_weight: pd.Series, outer: pd.Series, inner: pd.Series, squares: pd.Series
 ) -> pd.DataFrame:
     """Null for fewer than three values and for values that are all equal."""
     out = []
-    for size, b, bw, ranks, weights, o, i, s in zip(n, body, body_weight, end_ranks, end_weights, outer, inner, squares):
+    for size, d, weight, o, i, s in zip(n, dot, inner_weight, outer, inner, squares):
         if size < 3 or not o > 0 or not s > 0:
             out.append((None, None))
             continue
-        w = w_statistic(int(size), b, bw, list(zip(ranks, weights)), o, i, s)
+        w = w_statistic(int(size), d, weight, o, i, s)
         out.append((w, w_upper(w, int(size))))
     return pd.DataFrame(out, columns=["w", "p_value"], dtype="float64")

@@ -12,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from guestlens.functions import normal, royston, tails
@@ -390,45 +390,47 @@ def shapiro_wilk(
     values, all equal) give null and "No".
     """
     ranked = rank_table(count_values(df, value, group, levels, weight), [group])
-    # a block of equal values weighs in with the score sum up to its last rank, minus that before its first
-    ends = ranked.select(
-        group,
-        "total",
-        "n",
-        "before",
-        (F.col("value") - F.col("center")).alias("x"),
-        F.inline(
-            F.array(
-                F.struct((F.col("before") + F.col("n")).alias("rank"), F.lit(1.0).alias("sign")),
-                F.struct(F.col("before").alias("rank"), F.lit(-1.0).alias("sign")),
-            )
-        ),
+    # A block of equal values weighs in with the sum of its ranks' scores: the sum up to its last rank
+    # less that up to the rank before its first. Neighbouring blocks share that rank, so one sum per
+    # block is enough, plus one behind the last block of each bucket.
+    along = Window.partitionBy(group, "bucket").orderBy("value")
+    x = F.col("value") - F.col("center")
+    own = F.struct(
+        F.col("before").alias("rank"),
+        F.coalesce(F.lag("value").over(along) - F.col("value"), -x).alias("weight"),
+        F.lit(True).alias("whole"),
+    )
+    behind = F.struct((F.col("before") + F.col("n")).alias("rank"), x.alias("weight"), F.lit(False).alias("whole"))
+    last = F.lead("value").over(along).isNull()
+    sums_at = (
+        ranked.withColumn("own", own)
+        .withColumn("points", F.when(last, F.array("own", behind)).otherwise(F.array("own")))
+        .select(group, "total", "n", "before", x.alias("x"), F.inline("points"))
     )
     # score sums of the first r and of the first n - r ranks are equal, so only the nearer end matters
     inner = F.col("near") > royston.END_RANKS
-    scored = (
-        ends.withColumn("near", F.least(F.col("rank"), F.col("total") - F.col("rank")))
+    shares = (
+        sums_at.withColumn("near", F.least(F.col("rank"), F.col("total") - F.col("rank")))
         .withColumn("width", F.col("total") + 0.25)
         .withColumn("share", F.when(inner, (F.col("near") + 0.125) / F.col("width")))
-        .withColumn("z", normal.normal_quantile(F.col("share")))
-        .withColumn("edge", normal.score_prefix_edge(F.col("z"), F.col("width")))
-        .withColumn("weight", F.col("x") * F.col("sign"))
     )
-    whole = F.col("sign") > 0
+    scored = normal.with_normal_quantile(shares, "share", "z").withColumn(
+        "sum",
+        F.when(inner, normal.score_prefix_edge(F.col("z"), F.col("width"))).when(
+            F.col("near") > 0, normal.score_prefix_end(F.col("near"), F.col("width"))
+        ),
+    )
 
     def at(rank: Column, name: str) -> Column:
-        inside = whole & (F.col("before") < rank) & (rank <= F.col("before") + F.col("n"))
+        inside = F.col("whole") & (F.col("before") < rank) & (rank <= F.col("before") + F.col("n"))
         return F.max(F.when(inside, F.col("x"))).alias(name)
 
-    # at most 2 * END_RANKS prefixes of a group lie near an end, so the list stays that short
-    outer = F.collect_list(F.when(~inner & (F.col("near") > 0), F.struct("near", "weight")))
     sums = scored.groupBy(group).agg(
         F.max("total").alias("n"),
-        F.coalesce(F.sum(F.col("weight") * F.col("edge")), F.lit(0.0)).alias("body"),
-        F.coalesce(F.sum(F.when(inner, F.col("weight"))), F.lit(0.0)).alias("body_weight"),
-        outer.alias("ends"),
-        F.sum(F.when(whole, F.col("n") * F.col("x"))).alias("sum1"),
-        F.sum(F.when(whole, F.col("n") * F.col("x") * F.col("x"))).alias("sum2"),
+        F.coalesce(F.sum(F.col("weight") * F.col("sum")), F.lit(0.0)).alias("dot"),
+        F.coalesce(F.sum(F.when(inner, F.col("weight"))), F.lit(0.0)).alias("inner_weight"),
+        F.sum(F.when(F.col("whole"), F.col("n") * F.col("x"))).alias("sum1"),
+        F.sum(F.when(F.col("whole"), F.col("n") * F.col("x") * F.col("x"))).alias("sum2"),
         at(F.lit(1), "x_first"),
         at(F.lit(2), "x_second"),
         at(F.col("total") - 1, "x_next"),
@@ -436,10 +438,8 @@ def shapiro_wilk(
     )
     result = royston.w_and_p(
         "n",
-        "body",
-        "body_weight",
-        F.col("ends.near"),
-        F.col("ends.weight"),
+        "dot",
+        "inner_weight",
         F.col("x_last") - F.col("x_first"),
         F.col("x_next") - F.col("x_second"),
         F.col("sum2") - F.col("sum1") * F.col("sum1") / F.col("n"),

@@ -36,26 +36,32 @@ def frequency(df: DataFrame, value: str, keys: Sequence[str] = (), weight: str |
     return clean_values(df, value, keys).groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("n"))
 
 
+def bucket_steps(width: int) -> list[int]:
+    """Step sizes of the bucket search, halving down to 1; there are twice the first step's buckets."""
+    levels = max(4, math.ceil(math.log2(2 * width)))
+    return [2**level for level in reversed(range(levels))]
+
+
 def cut_points(freq: DataFrame) -> Column:
-    """Struct of a central value and two levels of cut points, as a scalar subquery."""
-    side = max(4, math.ceil(math.sqrt(2 * shuffle_width(freq.sparkSession))))
-    steps = side * side
-    shares = [i / steps for i in range(1, steps)]
-    cuts = F.concat(
-        F.percentile_approx("value", shares, 4 * steps), F.array(F.lit(float("inf")))
-    )
-    rows = F.transform(F.sequence(F.lit(0), F.lit(side - 1)), lambda i: F.slice(F.col("cuts"), i * side + 1, side))
-    return (
-        freq.agg(cuts.alias("cuts"))
-        .select(
-            F.struct(
-                F.element_at("cuts", steps // 2).alias("center"),
-                F.transform(rows, lambda r: F.element_at(r, -1)).alias("coarse"),
-                rows.alias("fine"),
-            )
-        )
-        .scalar()
-    )
+    """Sorted cut points between the buckets, as a scalar subquery; fewer than twice 2P of them."""
+    buckets = 2 * bucket_steps(shuffle_width(freq.sparkSession))[0]
+    shares = [i / buckets for i in range(1, buckets)]
+    return freq.agg(F.percentile_approx("value", shares, 4 * buckets)).scalar()
+
+
+def deal(freq: DataFrame) -> DataFrame:
+    """Adds ``bucket``, the number of cut points below the value, and ``center``, a middle cut point.
+
+    The binary search is unrolled into one compiled step per halving. No step can be
+    null: a nullable bucket would make the planner guard the joins on it with a null
+    check and push that check, search included, below the count onto the raw rows.
+    """
+    steps = bucket_steps(shuffle_width(freq.sparkSession))
+    out = freq.withColumn("cuts", cut_points(freq)).withColumn("bucket", F.lit(0))
+    for step in steps:
+        above = F.get("cuts", F.col("bucket") + (step - 1)) < F.col("value")
+        out = out.withColumn("bucket", F.col("bucket") + F.when(above, F.lit(step)).otherwise(F.lit(0)))
+    return out.withColumn("center", F.get("cuts", F.lit(steps[0] - 1))).drop("cuts")
 
 
 def moments() -> list[Column]:
@@ -76,32 +82,15 @@ def moments() -> list[Column]:
     ]
 
 
-def _bucket(value: Column, cuts: Column) -> Column:
-    """Number of cut points below the value: first the block, then the place in it.
-
-    The ``coalesce`` marks it as never null. Without it the planner guards the join
-    on the bucket with a null check and pushes that check, bucket search included,
-    below the count onto the raw rows.
-    """
-    block = F.size(F.filter(cuts["coarse"], lambda c: c < value))
-    row = F.element_at(cuts["fine"], block + 1)
-    number = block * F.size(cuts["coarse"]) + F.size(F.filter(row, lambda c: c < value))
-    return F.coalesce(number, F.lit(0))
-
-
 def rank_table(freq: DataFrame, within: Sequence[str] = ()) -> DataFrame:
     """Adds to each frequency row, counted inside ``within``:
 
     ``before`` rows with a smaller value, ``ties`` rows with the same value,
     ``total`` all rows, and ``center``, a value near the middle of the whole table.
+    Rows of one ``bucket`` (inside ``within``) are neighbours in rank and share a task.
     """
     within = list(within)
-    dealt = (
-        freq.withColumn("cuts", cut_points(freq))
-        .withColumn("bucket", _bucket(F.col("value"), F.col("cuts")))
-        .withColumn("center", F.col("cuts.center"))
-        .drop("cuts")
-    )
+    dealt = deal(freq)
     scope = [*within, "bucket"]
     # one row per (within, bucket): the window over them sees at most one row per bucket
     order = Window.partitionBy(*(within or [F.lit(0)])).orderBy("bucket")
@@ -116,15 +105,15 @@ def rank_table(freq: DataFrame, within: Sequence[str] = ()) -> DataFrame:
             .alias("total"),
         )
     )
-    here = Window.partitionBy(*scope)
-    upto = here.orderBy("value").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    same = Window.partitionBy(*scope, "value")
-    return (
-        dealt.join(cells, scope)
-        .withColumn("ties", F.sum("n").over(same))
-        .withColumn("before", F.col("offset") + F.sum("n").over(upto) - F.col("ties"))
-        .drop("bucket", "offset")
-    )
+    joined = dealt.join(cells, scope)
+    upto = Window.partitionBy(*scope).orderBy("value")
+    if set(freq.columns) == {*within, "value", "n"}:  # one row per value: no peers to look for
+        joined = joined.withColumn("ties", F.col("n"))
+        smaller = F.sum("n").over(upto.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    else:
+        joined = joined.withColumn("ties", F.sum("n").over(Window.partitionBy(*scope, "value")))
+        smaller = F.sum("n").over(upto.rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    return joined.withColumn("before", F.col("offset") + smaller - F.col("ties")).drop("offset")
 
 
 def mid_ranks(df: DataFrame, value: str) -> DataFrame:
