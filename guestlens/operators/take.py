@@ -33,9 +33,8 @@ def take_whole_pages(df: DataFrame, group: str, page: str, target: int) -> DataF
         .groupBy(group)
         .agg(F.max(page).alias("__last"))
     )
-    pages = last.join(sizes, group)
-    taken = lookup_join(df, pages, [group], "__rows", how="inner")
-    return taken.where(F.col(page) <= F.col("__last")).drop("__last", "__rows")
+    taken = lookup_join(df, last, [group], "__rows", how="inner", counts=sizes)
+    return taken.where(F.col(page) <= F.col("__last")).drop("__last")
 
 
 def first_rows(df: DataFrame, order: Sequence[Column], n: int = 1) -> DataFrame:

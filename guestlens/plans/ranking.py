@@ -16,6 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from guestlens.plans.skew import present
 from guestlens.session import shuffle_width
 
 
@@ -23,7 +24,7 @@ def clean_values(df: DataFrame, value: str, keys: Sequence[str] = ()) -> DataFra
     """``keys`` and the value as a double named ``value``; missing and NaN values are left out."""
     number = F.col(value).cast("double")
     out = df.select(*keys, F.nanvl(number, F.lit(None).cast("double")).alias("value"))
-    return out.dropna(subset=[*keys, "value"])
+    return present(out, [*keys, "value"])
 
 
 def frequency(df: DataFrame, value: str, keys: Sequence[str] = (), weight: str | None = None) -> DataFrame:

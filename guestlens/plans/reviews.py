@@ -37,9 +37,9 @@ def write_tables(
     Reading the stored table back replaces a cache: the expensive shuffle runs once,
     and a lost executor costs a re-read instead of a recomputation.
     """
-    statistics_table(general, negative, business).write.mode("overwrite").parquet(f"{folder}/reviews_stats")
-    statistics = spark.read.parquet(f"{folder}/reviews_stats")
-    aspect_input(statistics).write.mode("overwrite").parquet(f"{folder}/absa_input")
-    return statistics, spark.read.parquet(f"{folder}/absa_input")
+    statistics_table(general, negative, business).write.mode("overwrite").parquet(f"{folder}/statistics")
+    statistics = spark.read.parquet(f"{folder}/statistics")
+    aspect_input(statistics).write.mode("overwrite").parquet(f"{folder}/aspect_texts")
+    return statistics, spark.read.parquet(f"{folder}/aspect_texts")
 
 

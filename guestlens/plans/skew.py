@@ -42,6 +42,7 @@ def lookup_join(
     keys: Sequence[str],
     weight: str,
     how: str = "left",
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """``big`` joined with ``lookup`` (at most one row per key), safe for hot keys.
 
@@ -54,9 +55,10 @@ def lookup_join(
     broadcast.
     """
     keys = list(keys)
-    # a null key never matches; dropping it here keeps all uses of the lookup alike, so they share one shuffle
-    lookup = lookup.dropna(subset=keys)
-    hot = F.broadcast(hot_keys(lookup.select(*keys, weight), keys, weight))
+    # a null key never matches; the check the planner would add to some uses is made in all, so they share a shuffle
+    lookup = present(lookup, keys)
+    counts = lookup if counts is None else present(counts, keys)
+    hot = F.broadcast(hot_keys(counts.select(*keys, weight), keys, weight))
     salted = big.join(hot, keys, "left")
     salted = salted.withColumn(
         "__salt", F.when(F.col("__slices").isNull(), F.lit(0).cast("long")).otherwise(row_salt(big, F.col("__slices")))
@@ -68,3 +70,9 @@ def lookup_join(
     )
     return salted.join(copies, [*keys, "__salt"], how).drop("__salt")
 
+
+def present(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows without a null in the columns, written as the planner itself writes such checks."""
+    for column in columns:
+        df = df.where(F.col(column).isNotNull())
+    return df

@@ -35,28 +35,28 @@ def descriptive_tables(df: DataFrame, value: str = "rating_score") -> dict[str,
 
     overall = describe.describe_overall(df, value).orderBy("position")
     return {
-        "tab_01a_descriptive_overall": overall.select(F.col("statistic").alias("Statistic"), F.col("value").alias("Value")),
-        "tab_01b_descriptive_by_stars": by("hotel_stars"),
-        "tab_01c_descriptive_by_traveler": by("traveler_type"),
-        "tab_01d_descriptive_by_country": by("origin"),
-        "fig_01_rating_distribution": describe.histogram(df, value).orderBy("bin"),
+        "descriptive_overall": overall.select(F.col("statistic").alias("Statistic"), F.col("value").alias("Value")),
+        "descriptive_by_stars": by("hotel_stars"),
+        "descriptive_by_traveler": by("traveler_type"),
+        "descriptive_by_origin": by("origin"),
+        "chart_rating_histogram": describe.histogram(df, value).orderBy("bin"),
     }
 
 
 def comparison_tables(
-    prefix: str, problem: str, out: Comparison, group: str, labels: dict[Any, str] | None = None
+    problem: str, out: Comparison, group: str, labels: dict[Any, str] | None = None
 ) -> dict[str, DataFrame]:
     """Normality, main test and, where it ran, the post-hoc table of one problem."""
     place = sig.level_place(group, out.levels)
     tables = {
-        f"{prefix}a_{problem}_shapiro": out.normality.orderBy(place).select(
+        f"{problem}_shapiro": out.normality.orderBy(place).select(
             _label(F.col(group), labels).alias("Group"),
             F.col("n").alias("N"),
             half_even(F.col("w"), 4).alias("W statistic"),
             half_even(F.col("p_value"), 4).alias("p-value"),
             F.col("normal").alias("Normal (α=0.05)"),
         ),
-        f"{prefix}b_{problem}_main_test": out.main.select(
+        f"{problem}_main_test": out.main.select(
             F.col("research_problem").alias("Research Problem"),
             F.col("test").alias("Test"),
             F.col("statistic").alias("Statistic"),
@@ -68,10 +68,10 @@ def comparison_tables(
     if out.posthoc_kind == "dunn":
         matrix = sig.symmetric_matrix(out.posthoc, out.levels).orderBy("position")
         shown = [F.col(f"`{x}`").alias((labels or {}).get(x, str(x))) for x in out.levels]
-        tables[f"{prefix}c_{problem}_posthoc_dunn"] = matrix.select(*shown)
+        tables[f"{problem}_posthoc_dunn"] = matrix.select(*shown)
     elif out.posthoc_kind == "tukey":
         numbers = [half_even(F.col(c), 4).alias(name) for c, name in (("meandiff", "meandiff"), ("p_adj", "p-adj"), ("lower", "lower"), ("upper", "upper"))]
-        tables[f"{prefix}c_{problem}_posthoc_tukey"] = out.posthoc.orderBy("group1", "group2").select(
+        tables[f"{problem}_posthoc_tukey"] = out.posthoc.orderBy("group1", "group2").select(
             "group1", "group2", *numbers, "reject"
         )
     return tables
@@ -83,13 +83,13 @@ def statistics_tables(df: DataFrame, value: str = "rating_score") -> dict[str, D
     travelers = problem_travelers(df, value)
     origin = problem_origin(df, value)
     tables = descriptive_tables(df, value)
-    tables |= comparison_tables("tab_02", "pb1", stars, "hotel_stars", STAR_LABELS)
-    tables |= comparison_tables("tab_03", "pb2", travelers, "traveler_type")
-    tables |= comparison_tables("tab_04", "pb3", origin, "origin")
+    tables |= comparison_tables("pb1", stars, "hotel_stars", STAR_LABELS)
+    tables |= comparison_tables("pb2", travelers, "traveler_type")
+    tables |= comparison_tables("pb3", origin, "origin")
     for name, group, out in (
-        ("fig_02_pb1_stars_boxplot", "hotel_stars", stars),
-        ("fig_03_pb2_traveler_boxplot", "traveler_type", travelers),
-        ("fig_04_pb3_country_comparison", "origin", origin),
+        ("chart_pb1_boxes", "hotel_stars", stars),
+        ("chart_pb2_boxes", "traveler_type", travelers),
+        ("chart_pb3_boxes", "origin", origin),
     ):
         box = describe.boxplot(sig.select_levels(df, group, out.levels), value, group)
         tables[name] = box.orderBy(sig.level_place(group, out.levels))
@@ -102,8 +102,8 @@ def statistics_tables(df: DataFrame, value: str = "rating_score") -> dict[str, D
         "odch_stand": "Odch. Stand.",
     }
     characteristics = describe.descriptive_report(df, value, SEGMENTS).orderBy("position", "podgrupa")
-    tables["tabela_1_charakterystyka"] = characteristics.drop("position").withColumnsRenamed(headings)
-    for name, heading, out in (("tabela_2_dunna_pb1", "Standard", stars), ("tabela_3_dunna_pb2", "Profil", travelers)):
+    tables["report_characteristics"] = characteristics.drop("position").withColumnsRenamed(headings)
+    for name, heading, out in (("report_pb1_dunn", "Standard", stars), ("report_pb2_dunn", "Profil", travelers)):
         if out.posthoc_kind == "dunn":
             shown = report.matrix_report(sig.symmetric_matrix(out.posthoc, out.levels), out.levels)
             tables[name] = shown.orderBy("position").drop("position").withColumnRenamed("label", heading)
@@ -126,22 +126,22 @@ def aspect_tables(
         "laczna_liczba_aspektow": "Łączna liczba aspektów",
     }
     return {
-        "tab_06_absa_aspect_counts": counts.withColumnRenamed("category_name", "kategoria_pl").orderBy(
+        "aspect_counts": counts.withColumnRenamed("category_name", "kategoria_pl").orderBy(
             F.desc("NEGATIVE"), "kategoria_pl"
         ),
-        "fig_05_absa_negative_aspects": aspects.ranking(negative, "category_name"),
-        "fig_06_absa_bigrams": aspects.top_bigrams(bigrams, limit=limit).orderBy("aspect_category", "place"),
-        "fig_07_absa_sentiment_share": aspects.crosstab_share(negative, "hotel_stars", "category_name", names).orderBy(
+        "chart_negative_aspects": aspects.ranking(negative, "category_name"),
+        "chart_aspect_bigrams": aspects.top_bigrams(bigrams, limit=limit).orderBy("aspect_category", "place"),
+        "chart_aspect_shares": aspects.crosstab_share(negative, "hotel_stars", "category_name", names).orderBy(
             "hotel_stars"
         ),
-        "tabela_4_wyniki_absa": report.aspect_report(counts).withColumnsRenamed(headings),
+        "report_aspects": report.aspect_report(counts).withColumnsRenamed(headings),
     }
 
 
 def market_tables(distribution: DataFrame) -> dict[str, DataFrame]:
     return {
-        "fig_00a_language_distribution": market.language_structure(distribution).orderBy("position"),
-        "fig_00e_negative_rate_by_stars": market.negative_rate_by(distribution).orderBy("hotel_stars"),
+        "chart_languages": market.language_structure(distribution).orderBy("position"),
+        "chart_negative_rate": market.negative_rate_by(distribution).orderBy("hotel_stars"),
     }
 
 

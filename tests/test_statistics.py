@@ -60,6 +60,11 @@ def test_special_functions():
     for q, k, df in ((3.877, 3, 10), (3.977, 5, 60), (4.501, 2, 3), (3.314, 3, 1_000_000)):
         assert tails.studentized_range_critical(0.05, k, df) == pytest.approx(q, abs=1e-3)
     assert math.isnan(tails.chi2_upper(1.0, 0))
+    # with degrees of freedom as in a huge table the tests reach their limits
+    for df in (1e6, 9e7, 1e9, 1e12):
+        assert tails.t_both(1.959963985, df) == pytest.approx(0.05, rel=1e-5)
+        assert tails.f_upper(9.487729 / 4, 4, df) == pytest.approx(0.05, rel=1e-4 if df < 1e7 else 1e-6)
+        assert tails.studentized_range_upper(3.31449, 3, df) == pytest.approx(0.05, rel=1e-3)
 
 
 def test_exact_rank_sum_against_enumeration():

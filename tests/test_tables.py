@@ -32,39 +32,39 @@ def statistics(spark):
 
 def test_statistics_tables(spark, statistics, tmp_path):
     out = tables.statistics_tables(normalise_labels(statistics))
-    assert out["tab_01a_descriptive_overall"].columns == ["Statistic", "Value"]
-    assert out["tab_01b_descriptive_by_stars"].columns == ["hotel_stars", "N", "Mean", "Median", "Std"]
-    assert out["tab_02a_pb1_shapiro"].columns == ["Group", "N", "W statistic", "p-value", "Normal (α=0.05)"]
-    assert [r["Group"] for r in out["tab_02a_pb1_shapiro"].collect()] == ["3★", "4★", "5★"]
-    main = out["tab_02b_pb1_main_test"].collect()[0]
+    assert out["descriptive_overall"].columns == ["Statistic", "Value"]
+    assert out["descriptive_by_stars"].columns == ["hotel_stars", "N", "Mean", "Median", "Std"]
+    assert out["pb1_shapiro"].columns == ["Group", "N", "W statistic", "p-value", "Normal (α=0.05)"]
+    assert [r["Group"] for r in out["pb1_shapiro"].collect()] == ["3★", "4★", "5★"]
+    main = out["pb1_main_test"].collect()[0]
     assert main.asDict().keys() == {"Research Problem", "Test", "Statistic", "Statistic label", "p-value", "Decision (α=0.05)"}
     assert (main["Test"], main["Decision (α=0.05)"]) == ("Kruskal-Wallis", "Reject H₀ (p < 0.05)")
-    assert out["tab_02c_pb1_posthoc_dunn"].columns == ["3★", "4★", "5★"]
-    assert [r[i] for i, r in enumerate(out["tab_02c_pb1_posthoc_dunn"].collect())] == [1.0, 1.0, 1.0]
-    assert out["tabela_2_dunna_pb1"].columns == ["Standard", "3 gwiazdki", "4 gwiazdki", "5 gwiazdek"]
-    assert out["tabela_1_charakterystyka"].columns == ["Kategoria", "Podgrupa", "Liczba Opinii", "Średnia", "Mediana", "Odch. Stand."]
-    first = out["tabela_1_charakterystyka"].collect()
+    assert out["pb1_posthoc_dunn"].columns == ["3★", "4★", "5★"]
+    assert [r[i] for i, r in enumerate(out["pb1_posthoc_dunn"].collect())] == [1.0, 1.0, 1.0]
+    assert out["report_pb1_dunn"].columns == ["Standard", "3 gwiazdki", "4 gwiazdki", "5 gwiazdek"]
+    assert out["report_characteristics"].columns == ["Kategoria", "Podgrupa", "Liczba Opinii", "Średnia", "Mediana", "Odch. Stand."]
+    first = out["report_characteristics"].collect()
     assert first[0]["Podgrupa"] == "Cała próba" and len(first) == 1 + 3 + 5 + 2
     assert {r["Liczba Opinii"] for r in first[:1]} == {statistics.count()}
-    assert [r["Group"] for r in out["tab_04a_pb3_shapiro"].collect()] == ["Poland", "Other"]
-    assert out["tab_04b_pb3_main_test"].collect()[0]["Test"] == "Mann-Whitney U"
-    tables.write_tables({"t": out["tab_01d_descriptive_by_country"]}, str(tmp_path))
+    assert [r["Group"] for r in out["pb3_shapiro"].collect()] == ["Poland", "Other"]
+    assert out["pb3_main_test"].collect()[0]["Test"] == "Mann-Whitney U"
+    tables.write_tables({"t": out["descriptive_by_origin"]}, str(tmp_path))
     assert spark.read.csv(str(tmp_path / "t"), header=True).columns == ["origin", "N", "Mean", "Median", "Std"]
 
 
 def test_aspect_tables(spark, statistics):
     texts = reviews.aspect_input(statistics)
     out = tables.aspect_tables(reviews.aspect_results(texts), texts)
-    assert out["tab_06_absa_aspect_counts"].columns == ["kategoria_pl", "NEGATIVE", "NEUTRAL", "POSITIVE"]
-    top = {(r["aspect_category"], r["bigram"]) for r in out["fig_06_absa_bigrams"].collect()}
+    assert out["aspect_counts"].columns == ["kategoria_pl", "NEGATIVE", "NEUTRAL", "POSITIVE"]
+    top = {(r["aspect_category"], r["bigram"]) for r in out["chart_aspect_bigrams"].collect()}
     assert ("COMFORT", "głośny-hałas") in top
-    shares = out["fig_07_absa_sentiment_share"].collect()
+    shares = out["chart_aspect_shares"].collect()
     assert [r["hotel_stars"] for r in shares] == [3, 4, 5]
     assert all(sum(v for k, v in r.asDict().items() if k != "hotel_stars") == pytest.approx(100) for r in shares)
-    assert out["tabela_4_wyniki_absa"].columns[-1] == "Łączna liczba aspektów"
+    assert out["report_aspects"].columns[-1] == "Łączna liczba aspektów"
 
 
 def test_market_tables(spark):
     out = tables.market_tables(files.read_distribution(spark, DISTRIBUTION))
-    assert [r["language"] for r in out["fig_00a_language_distribution"].collect()] == ["Polski", "Angielski", "Niemiecki", "Czeski", "Inne"]
-    assert [r["hotel_stars"] for r in out["fig_00e_negative_rate_by_stars"].collect()] == [3, 4, 5]
+    assert [r["language"] for r in out["chart_languages"].collect()] == ["Polski", "Angielski", "Niemiecki", "Czeski", "Inne"]
+    assert [r["hotel_stars"] for r in out["chart_negative_rate"].collect()] == [3, 4, 5]
