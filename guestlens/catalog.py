@@ -467,6 +467,11 @@ def q_tukey_hsd(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(pairs, "meandiff", "se", "q")
 
 
+def q_tukey_pvalues(spark: SparkSession, folder: str) -> DataFrame:
+    pairs = sig.tukey_hsd(table(spark, folder, "orders"), "o_totalprice", "o_orderpriority", PRIORITIES)
+    return rounded(pairs.select("group1", "group2", "p_adj", "reject"), "p_adj")
+
+
 def q_tukey_limits(spark: SparkSession, folder: str) -> DataFrame:
     pairs = sig.tukey_hsd(table(spark, folder, "orders"), "o_totalprice", "o_orderpriority", PRIORITIES)
     return rounded(pairs, "meandiff", "p_adj", "lower", "upper")

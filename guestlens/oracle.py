@@ -71,6 +71,21 @@ def f_upper(f: str, d1: str, d2: str) -> str:
     return f"(1 - {simpson(density, '0', f)})"
 
 
+def normal_cdf(x: str) -> str:
+    """Hart's rational approximation as published by West (2005); good to 1e-15 within seven deviations."""
+    z = f"abs({x})"
+    top = horner(
+        (220.206867912376, 221.213596169931, 112.079291497871, 33.912866078383, 6.37396220353165, 0.700383064443688,
+         3.52624965998911e-2), z,
+    )
+    bottom = horner(
+        (440.413735824752, 793.826512519948, 637.333633378831, 296.564248779674, 86.7807322029461, 16.064177579207,
+         1.75566716318264, 8.83883476483184e-2), z,
+    )
+    tail = f"CASE WHEN {z} > 7 THEN 0 ELSE exp(-({x}) * ({x}) / 2) * {top} / {bottom} END"
+    return f"CASE WHEN ({x}) > 0 THEN 1 - ({tail}) ELSE {tail} END"
+
+
 def chi2_even(h: str, df: int) -> str:
     """Upper tail for an even number of degrees of freedom."""
     terms = ["1"]
@@ -488,6 +503,21 @@ s AS (SELECT count(*) AS k, (sum(n) - count(*))::BIGINT AS df, sum((n - 1) * v)
 SELECT a.g AS group1, b.g AS group2, round(b.mean - a.mean, 6) AS meandiff, round(sqrt(square / 2 * (1.0 / a.n + 1.0 / b.n)), 6) AS se,
        round(abs(b.mean - a.mean) / sqrt(square / 2 * (1.0 / a.n + 1.0 / b.n)), 6) AS q, k, df
 FROM m a JOIN m b ON a.g < b.g, s"""
+    weight = "CASE WHEN i IN (0, {n}) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END"
+    sql["tukey_pvalues"] = f"""WITH m AS (
+  SELECT o_orderpriority AS g, count(*) AS n, avg(o_totalprice) AS mean, var_samp(o_totalprice) AS v FROM orders GROUP BY 1),
+t AS (SELECT count(*) AS k, (sum(n) - count(*))::DOUBLE AS df, sum((n - 1) * v) / (sum(n) - count(*)) AS square FROM m),
+pairs AS (
+  SELECT a.g AS group1, b.g AS group2, abs(b.mean - a.mean) / sqrt(square / 2 * (1.0 / a.n + 1.0 / b.n)) AS q, k, df
+  FROM m a JOIN m b ON a.g < b.g, t),
+spread AS (
+  SELECT 1 - 8 / sqrt(2 * df) + 16 / sqrt(2 * df) * i / 80 AS s, 16 / sqrt(2 * df) / 240 * ({weight.format(n=80)}) AS w FROM t, range(0, 81) r(i)),
+mass AS (SELECT s, w * exp(ln(2) + df / 2 * ln(df / 2) - lgamma(df / 2) + (df - 1) * ln(s) - df * s * s / 2) AS w FROM spread, t),
+z AS (SELECT -7 + 14.0::DOUBLE * i / 400 AS z, 14.0::DOUBLE / 1200 * ({weight.format(n=400)}) AS w FROM range(0, 401) r(i)),
+inner_z AS (SELECT z, w * exp(-z * z / 2) / sqrt(2 * pi()) AS w, {normal_cdf("z")} AS up FROM z),
+cells AS (SELECT group1, group2, k, mass.w AS ws, inner_z.w AS wz, up, z - q * s AS low FROM pairs, mass, inner_z),
+p AS (SELECT group1, group2, 1 - sum(ws * wz * k * pow(up - ({normal_cdf("low")}), k - 1)) AS p FROM cells GROUP BY group1, group2)
+SELECT group1, group2, round(p, 6) AS p_adj, p < 0.05 AS reject FROM p"""
     sql["group_comparison"] = kruskal_main("events", "events", "value", "event_type", c.EVENT_TYPES)
     sql["pb1"] = kruskal_main("PB1", "lineitem", "l_quantity", "l_linenumber", (3, 4, 5))
     sql["pb2"] = kruskal_main("PB2", "origin_orders", "o_totalprice", "c_mktsegment", c.SEGMENTS, ORDER_ORIGIN + ",")
