@@ -20,8 +20,15 @@ from guestlens.plans.skew import present
 from guestlens.session import shuffle_width
 
 
+# Columns of the tables below; a group column may not have one of these names.
+OWN_COLUMNS = ("value", "n", "cuts", "bucket", "center", "total", "ties", "before", "cell", "offset")
+
+
 def clean_values(df: DataFrame, value: str, keys: Sequence[str] = ()) -> DataFrame:
     """``keys`` and the value as a double named ``value``; missing and NaN values are left out."""
+    taken = set(keys) & set(OWN_COLUMNS)
+    if taken:
+        raise ValueError(f"rename the group column {sorted(taken)[0]!r}: the name is used by rank tables")
     number = F.col(value).cast("double")
     out = df.select(*keys, F.nanvl(number, F.lit(None).cast("double")).alias("value"))
     return present(out, [*keys, "value"])
@@ -58,11 +65,15 @@ def deal(freq: DataFrame) -> DataFrame:
     check and push that check, search included, below the count onto the raw rows.
     """
     steps = bucket_steps(shuffle_width(freq.sparkSession))
-    out = freq.withColumn("cuts", cut_points(freq)).withColumn("bucket", F.lit(0))
-    for step in steps:
-        above = F.get("cuts", F.col("bucket") + (step - 1)) < F.col("value")
-        out = out.withColumn("bucket", F.col("bucket") + F.when(above, F.lit(step)).otherwise(F.lit(0)))
-    return out.withColumn("center", F.get("cuts", F.lit(steps[0] - 1))).drop("cuts")
+    names = [f"__bucket{i}" for i in range(len(steps) + 1)]
+    search = [
+        f"{below} + IF(get(cuts, {below} + {step - 1}) < value, {step}, 0) AS {here}"
+        for below, here, step in zip(names, names[1:], steps)
+    ]
+    found = freq.withColumn("cuts", cut_points(freq)).selectExpr("*", f"0 AS {names[0]}", *search)
+    return found.select(
+        *freq.columns, F.col(names[-1]).alias("bucket"), F.get("cuts", F.lit(steps[0] - 1)).alias("center")
+    )
 
 
 def moments() -> list[Column]:
@@ -106,15 +117,16 @@ def rank_table(freq: DataFrame, within: Sequence[str] = ()) -> DataFrame:
             .alias("total"),
         )
     )
-    joined = dealt.join(cells, scope)
     upto = Window.partitionBy(*scope).orderBy("value")
     if set(freq.columns) == {*within, "value", "n"}:  # one row per value: no peers to look for
-        joined = joined.withColumn("ties", F.col("n"))
-        smaller = F.sum("n").over(upto.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        ties = F.col("n")
+        smaller = F.sum("n").over(upto.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("n")
     else:
-        joined = joined.withColumn("ties", F.sum("n").over(Window.partitionBy(*scope, "value")))
-        smaller = F.sum("n").over(upto.rangeBetween(Window.unboundedPreceding, Window.currentRow))
-    return joined.withColumn("before", F.col("offset") + smaller - F.col("ties")).drop("offset")
+        ties = F.sum("n").over(Window.partitionBy(*scope, "value"))
+        smaller = F.sum("n").over(upto.rangeBetween(Window.unboundedPreceding, Window.currentRow)) - ties
+    return dealt.join(cells, scope).select(
+        *freq.columns, "bucket", "center", "total", ties.alias("ties"), (F.col("offset") + smaller).alias("before")
+    )
 
 
 def mid_ranks(df: DataFrame, value: str) -> DataFrame:

@@ -113,11 +113,16 @@ def statistics_tables(df: DataFrame, value: str = "rating_score") -> dict[str, D
 def aspect_tables(
     results: DataFrame, texts: DataFrame, order: Sequence[Column] = (), limit: int = 30
 ) -> dict[str, DataFrame]:
-    """Tables of the categorised aspect rows; ``texts`` are the reviews they came from."""
+    """Tables of the categorised aspect rows; ``texts`` are the reviews they came from.
+
+    Reviews that share an id are told apart by ``order``; by default the one that the
+    content rule would have put first speaks for the id.
+    """
+    first = [F.asc_nulls_last(c) for c in ("traveler_type", "hotel_name", "neg_text")]
     counts = report.aspect_counts(results)
     negative = aspects.negative_aspects(results)
     names = [CATEGORY_NAMES[c] for c in ASPECT_KEYWORDS]
-    bigrams = aspects.aspect_bigrams(negative, texts, order=order)
+    bigrams = aspects.aspect_bigrams(negative, texts, order=list(order) or first)
     headings = {
         "kategoria_skargi": "Kategoria Skargi",
         "sentyment_negatywny": "Sentyment Negatywny",

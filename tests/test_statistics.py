@@ -110,6 +110,11 @@ def test_summary_ignores_missing_values_and_large_offsets(spark):
     assert row[0]["mean"] == pytest.approx(np.mean(values)) and row[0]["std"] == pytest.approx(np.std([1.0, 2.0, 4.0], ddof=1))
 
 
+def test_reserved_group_names_are_refused(spark):
+    with pytest.raises(ValueError, match="'n'"):
+        describe.describe_by(frame(spark, {"a": [1.0]}).withColumnRenamed("g", "n"), "v", "n")
+
+
 def test_single_value_has_no_spread(spark):
     row = describe.summary(frame(spark, {"a": [3.0]}), "v", ["g"]).collect()[0]
     assert (row["n"], row["mean"], row["std"], row["median"]) == (1, 3.0, None, 3.0)
