@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -55,3 +57,12 @@ def unescape_html(text: Column) -> Column:
     ):
         out = F.replace(out, F.lit(entity), F.lit(char))
     return strip(out)
+
+
+def once(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with the value computed a single time, however often the body uses it.
+
+    A plain column would be written out at each use when a filter on the result moves
+    towards the scan; a lambda variable is not.
+    """
+    return F.element_at(F.transform(F.array(value), body), 1)

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from guestlens.functions.text import words
+from guestlens.functions.text import once, words
 
 # Frequent function words; a word may belong to several languages.
 FUNCTION_WORDS = {
@@ -38,45 +38,42 @@ FUNCTION_WORDS = {
 }
 
 
+def language_of(text: Column, profiles: Mapping[str, Sequence[str]] = FUNCTION_WORDS) -> Column:
+    """The language with the most function words; null where none occurs, ties to the one named first.
+
+    Each text is scored in its own row: no shuffle, and the text is never copied per
+    token. Words are cut once and reduced to function words of any language before
+    the languages count theirs.
+    """
+    every = sorted({w for ws in profiles.values() for w in ws})
+    none = F.struct(F.lit(0).alias("hits"), F.lit(None).cast("string").alias("code"))
+
+    def score(known: Column, code: str, ws: Sequence[str]) -> Column:
+        hits = F.size(F.filter(known, lambda t: t.isin(*ws)))
+        return F.struct(hits.alias("hits"), F.lit(code).alias("code"))
+
+    def best(known: Column) -> Column:
+        scores = F.array(*(score(known, code, ws) for code, ws in profiles.items()))
+        return F.aggregate(scores, none, lambda best, s: F.when(s["hits"] > best["hits"], s).otherwise(best))
+
+    return once(F.filter(words(text), lambda t: t.isin(*every)), best)["code"]
+
+
 def detect_language(
     df: DataFrame,
     text: str,
     profiles: Mapping[str, Sequence[str]] = FUNCTION_WORDS,
     column: str = "language",
 ) -> DataFrame:
-    """Adds the language with the most function words; null where none occurs.
-
-    Ties go to the language named first. Each text is scored in its own row: no
-    shuffle, and the text is never copied per token. Tokens are cut once and reduced
-    to function words of any language before the languages count theirs.
-    """
-    known = sorted({w for ws in profiles.values() for w in ws})
-    scored = df.withColumn("__tokens", words(F.col(text))).withColumn(
-        "__known", F.filter("__tokens", lambda t: t.isin(*known))
-    )
-
-    def hits(ws: Sequence[str]) -> Column:
-        return F.size(F.filter("__known", lambda t: t.isin(*ws)))
-
-    scores = F.array(*(F.struct(hits(ws).alias("hits"), F.lit(code).alias("code")) for code, ws in profiles.items()))
-    best = F.aggregate(
-        "__scores",
-        F.struct(F.lit(0).alias("hits"), F.lit(None).cast("string").alias("code")),
-        lambda best, s: F.when(s["hits"] > best["hits"], s).otherwise(best),
-    )
-    return (
-        scored.withColumn("__scores", scores)
-        .withColumn(column, best["code"])
-        .drop("__tokens", "__known", "__scores")
-    )
+    """Adds the language of a text."""
+    return df.withColumn(column, language_of(F.col(text), profiles))
 
 
 def filter_language(
     df: DataFrame, text: str, code: str = "en", profiles: Mapping[str, Sequence[str]] = FUNCTION_WORDS
 ) -> DataFrame:
     """Rows in the given language. Empty, missing and undetectable texts are kept."""
-    found = detect_language(df, text, profiles, "__language")
-    return found.where(F.col("__language").isNull() | (F.col("__language") == code)).drop("__language")
+    return df.where(F.coalesce(language_of(F.col(text), profiles) == code, F.lit(True)))
 
 
 def train_profiles(df: DataFrame, text: str, label: str, size: int = 30) -> DataFrame:
