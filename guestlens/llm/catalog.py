@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from guestlens.llm import binary_output, pattern_packing, tokens
+from guestlens.llm import bayes_dedup, binary_output, pattern_packing, tokens
 from guestlens.llm.frames import table
 
 
+def op2_minhash_bayes(spark: SparkSession, folder: str) -> DataFrame:
+    return bayes_dedup.near_duplicates(table(spark, folder, "documents"), bayes_dedup.Rule(shingle=3, percent=85))
+
+
 def op7_token_matrices(spark: SparkSession, folder: str) -> DataFrame:
     return binary_output.packed_rows(table(spark, folder, "documents"), tokens.vocabulary_path())
 
@@ -20,6 +24,7 @@ def op9_pattern_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_minhash_bayes": op2_minhash_bayes,
         "op7_token_matrices": op7_token_matrices,
         "op9_pattern_packing": op9_pattern_packing,
     }
