@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from guestlens.llm import bayes_dedup, binary_output, pattern_packing, tokens
+from guestlens.llm import bayes_dedup, binary_output, compaction, pattern_packing, tokens
 from guestlens.llm.frames import table
 
 
@@ -22,11 +22,16 @@ def op9_pattern_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pattern_packing.pack(table(spark, folder, "documents"), tokens.vocabulary_path())
 
 
+def op10_compacted_spans(spark: SparkSession, folder: str) -> DataFrame:
+    return compaction.removal_digest(table(spark, folder, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_minhash_bayes": op2_minhash_bayes,
         "op7_token_matrices": op7_token_matrices,
         "op9_pattern_packing": op9_pattern_packing,
+        "op10_compacted_spans": op10_compacted_spans,
     }
 
 

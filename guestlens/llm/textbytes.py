@@ -16,6 +16,8 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 SLICE_BYTES = 1 << 20
 #: The bytes that separate words: space, tab, line feed, vertical tab, form feed, carriage return.
@@ -52,19 +54,19 @@ def _grown(n: int) -> None:
 
 
 class Windows:
-    """Hashes of any byte windows of ``data`` in constant time each."""
+    """Hashes of any windows of a sequence in constant time each: of bytes, or of 64-bit values."""
 
-    def __init__(self, data: np.ndarray, values: np.ndarray = _VALUES):
+    def __init__(self, data: np.ndarray):
         _grown(len(data) + 1)
         self.prefix = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(values[data] * _powers[: len(data)], out=self.prefix[1:])
+        np.cumsum((_VALUES[data] if data.dtype == np.uint8 else data) * _powers[: len(data)], out=self.prefix[1:])
 
     def hashes(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         plain = (self.prefix[ends] - self.prefix[starts]) * _inverses[starts]
         return mixed(plain + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
     def sliding(self, length: int) -> np.ndarray:
-        """The hash of every window of ``length`` bytes, by its start."""
+        """The hash of every window of ``length``, by its start."""
         n = len(self.prefix) - length
         if n <= 0:
             return np.zeros(0, np.uint64)
@@ -158,6 +160,37 @@ def sliding_argmin(values: np.ndarray, width: int) -> np.ndarray:
     return at[:count]
 
 
+def compressed(docs: DataFrame) -> DataFrame:
+    """doc_id and z: whole texts packed for a shuffle; null texts are empty."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
+
+        pack = zstandard.ZstdCompressor(level=1).compress
+        for batch in batches:
+            for low in range(0, batch.num_rows, 256):
+                part = batch.slice(low, 256)
+                rows = [pack(x.as_buffer() or b"") for x in part.column(1)]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(rows, pa.binary())], ["doc_id", "z"])
+
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, z binary")
+
+
+def unpacked(column: pa.Array) -> Iterator[Slice]:
+    """Slices of a column that ``compressed`` made."""
+    import zstandard
+
+    unpack = zstandard.ZstdDecompressor().decompress
+    row, texts, size = 0, [], 0
+    for k, z in enumerate(column):
+        texts.append(unpack(z.as_py()))
+        size += len(texts[-1])
+        if size >= SLICE_BYTES or k == len(column) - 1:
+            offsets = np.concatenate([[0], np.cumsum([len(x) for x in texts])])
+            yield Slice(row, np.frombuffer(b"".join(texts), np.uint8), offsets)
+            row, texts, size = k + 1, [], 0
+
+
 def as_long(x: np.ndarray) -> pa.Array:
     """Unsigned hashes as the signed longs that Spark has."""
     return pa.array(x.astype(np.uint64).view(np.int64), pa.int64())
