@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from guestlens.llm import bayes_dedup, binary_output, compaction, pattern_packing, tokens
+from guestlens.llm import bayes_dedup, binary_output, compaction, pattern_packing, run_index, tokens
 from guestlens.llm.frames import table
 
 
@@ -14,6 +14,10 @@ def op2_minhash_bayes(spark: SparkSession, folder: str) -> DataFrame:
     return bayes_dedup.near_duplicates(table(spark, folder, "documents"), bayes_dedup.Rule(shingle=3, percent=85))
 
 
+def op3_run_index(spark: SparkSession, folder: str) -> DataFrame:
+    return run_index.removal_digest(table(spark, folder, "documents"))
+
+
 def op7_token_matrices(spark: SparkSession, folder: str) -> DataFrame:
     return binary_output.packed_rows(table(spark, folder, "documents"), tokens.vocabulary_path())
 
@@ -29,6 +33,7 @@ def op10_compacted_spans(spark: SparkSession, folder: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_minhash_bayes": op2_minhash_bayes,
+        "op3_run_index": op3_run_index,
         "op7_token_matrices": op7_token_matrices,
         "op9_pattern_packing": op9_pattern_packing,
         "op10_compacted_spans": op10_compacted_spans,
