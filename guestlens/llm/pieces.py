@@ -33,9 +33,9 @@ def token_pieces(docs: DataFrame, path: str, capacity: int, end_id: int = END_ID
             for low in range(0, batch.num_rows, 512):
                 part = batch.slice(low, 512)
                 rows: list[tuple] = []
-                for doc, text in zip(part.column(0).to_pylist(), part.column(1), strict=True):
-                    buffer = text.as_buffer()
-                    ids = (encode(buffer.to_pybytes()) if buffer is not None else b"") + tail
+                texts = [(x.as_buffer() or pa.py_buffer(b"")).to_pybytes() for x in part.column(1)]
+                for doc, ids in zip(part.column(0).to_pylist(), encode(texts), strict=True):
+                    ids += tail
                     for k, at in enumerate(range(0, len(ids), 4 * capacity)):
                         own = ids[at : at + 4 * capacity]
                         rows.append((doc, k, at // 4, len(own) // 4, zlib.crc32(own), own))
