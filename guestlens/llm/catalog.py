@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from guestlens.llm import bayes_dedup, binary_output, compaction, pattern_packing, run_index, tokens
+from guestlens.llm import bayes_dedup, binary_output, compaction, divergence_rules, pattern_packing, run_index, tokens
 from guestlens.llm.frames import table
 
 
@@ -22,6 +22,10 @@ def op7_token_matrices(spark: SparkSession, folder: str) -> DataFrame:
     return binary_output.packed_rows(table(spark, folder, "documents"), tokens.vocabulary_path())
 
 
+def op8_divergence_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return divergence_rules.measured(table(spark, folder, "documents"))
+
+
 def op9_pattern_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pattern_packing.pack(table(spark, folder, "documents"), tokens.vocabulary_path())
 
@@ -35,6 +39,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_minhash_bayes": op2_minhash_bayes,
         "op3_run_index": op3_run_index,
         "op7_token_matrices": op7_token_matrices,
+        "op8_divergence_rules": op8_divergence_rules,
         "op9_pattern_packing": op9_pattern_packing,
         "op10_compacted_spans": op10_compacted_spans,
     }
