@@ -32,9 +32,9 @@ SYMBOLS[list(b"#*$%&|<>")] = True
 class Limits:
     """Greatest distances, and the characters and words that a text needs to be judged by them."""
 
-    chars: float = 0.345
+    chars: float = 0.28
     words: float = 0.45
-    least_chars: int = 200
+    least_chars: int = 300
     least_words: int = 25
 
 
