@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from guestlens.llm import bayes_dedup, binary_output, compaction, divergence_rules, pattern_packing, quality_model, run_index, tokens
+from guestlens.llm import bayes_dedup, binary_output, compaction, divergence_rules, host_extract, pattern_packing, quality_model, run_index, tokens
 from guestlens.llm.frames import table
 
 
@@ -18,6 +18,10 @@ def op3_run_index(spark: SparkSession, folder: str) -> DataFrame:
     return run_index.removal_digest(table(spark, folder, "documents"))
 
 
+def op5_host_paths(spark: SparkSession, folder: str) -> DataFrame:
+    return host_extract.main_text(table(spark, folder, "pages"))
+
+
 def op6_random_indexing(spark: SparkSession, folder: str) -> DataFrame:
     return quality_model.scored(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
@@ -42,6 +46,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_minhash_bayes": op2_minhash_bayes,
         "op3_run_index": op3_run_index,
+        "op5_host_paths": op5_host_paths,
         "op6_random_indexing": op6_random_indexing,
         "op7_token_matrices": op7_token_matrices,
         "op8_divergence_rules": op8_divergence_rules,
