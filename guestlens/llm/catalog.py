@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from guestlens.llm import bayes_dedup, binary_output, compaction, divergence_rules, host_extract, pattern_packing, quality_model, run_index, tokens
+from guestlens.llm import bayes_dedup, binary_output, compaction, decontaminate, divergence_rules, host_extract, pattern_packing, quality_model, run_index, tokens
 from guestlens.llm.frames import table
 
 
+def op1_containment_search(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def op2_minhash_bayes(spark: SparkSession, folder: str) -> DataFrame:
     return bayes_dedup.near_duplicates(table(spark, folder, "documents"), bayes_dedup.Rule(shingle=3, percent=85))
 
@@ -44,6 +48,7 @@ def op10_compacted_spans(spark: SparkSession, folder: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_containment_search": op1_containment_search,
         "op2_minhash_bayes": op2_minhash_bayes,
         "op3_run_index": op3_run_index,
         "op5_host_paths": op5_host_paths,
