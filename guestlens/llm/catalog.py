@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from guestlens.llm import bayes_dedup, binary_output, compaction, decontaminate, divergence_rules, host_extract, pattern_packing, quality_model, run_index, tokens
+from guestlens.llm import bayes_dedup, binary_output, compaction, decontaminate, divergence_rules, host_extract, line_join, pattern_packing, quality_model, run_index, tokens
 from guestlens.llm.frames import table
 
 
@@ -22,6 +22,10 @@ def op3_run_index(spark: SparkSession, folder: str) -> DataFrame:
     return run_index.removal_digest(table(spark, folder, "documents"))
 
 
+def op4_similar_lines(spark: SparkSession, folder: str) -> DataFrame:
+    return line_join.line_report(table(spark, folder, "documents"))
+
+
 def op5_host_paths(spark: SparkSession, folder: str) -> DataFrame:
     return host_extract.main_text(table(spark, folder, "pages"))
 
@@ -51,6 +55,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_containment_search": op1_containment_search,
         "op2_minhash_bayes": op2_minhash_bayes,
         "op3_run_index": op3_run_index,
+        "op4_similar_lines": op4_similar_lines,
         "op5_host_paths": op5_host_paths,
         "op6_random_indexing": op6_random_indexing,
         "op7_token_matrices": op7_token_matrices,
