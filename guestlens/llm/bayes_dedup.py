@@ -7,8 +7,10 @@ that the similarity reaches the threshold falls below the miss probability the p
 dropped. Survivors are checked on the full sets.
 
 Groups are never written out as pairs. First every member of a band is compared with the
-band's smallest member. Only bands that still hold several components are searched further,
-in blocks of bounded size, and a block returns no more links than it has members.
+member that shares most bands with others; in large bands also with those of the members that
+share one more band. Bands that still hold several components are searched further: members
+outside the band's main component against all, in blocks of bounded size, and a block
+returns no more links than it has members.
 """
 
 from __future__ import annotations
@@ -16,6 +18,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 from math import comb
 
 import numpy as np
@@ -31,7 +34,9 @@ from guestlens.llm.frames import stored
 BANDS, BAND_ROWS = 16, 4
 HASHES = BANDS * BAND_ROWS
 BATCH = 16
-BLOCK = 128
+BLOCK, CHUNK = 128, 512
+#: Bands of more members are also searched together with another band, so many places on.
+LARGE, PLACES_ON = 16, (1, 2, 5)
 MISS = 1e-6
 _rng = np.random.default_rng(4711)
 _SCALE = _rng.integers(0, 1 << 31, HASHES, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
@@ -169,8 +174,8 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
 def _within_blocks(members: DataFrame, rule: Rule) -> DataFrame:
     """Links between different components of a band, block by block of its members.
 
-    ``members``: band, i, j, side, id, component, sign, bands, own. A group holds two blocks of
-    about BLOCK members or one of them. A pair is looked at in the first band it shares only.
+    ``members``: band, i, j, left, id, component, sign, bands, own. A group holds a block of members
+    outside the main component (``left``) and a chunk of all members. A pair is looked at in the first band it shares only.
     """
     steps = rule.least_matches()
 
@@ -178,17 +183,13 @@ def _within_blocks(members: DataFrame, rule: Rule) -> DataFrame:
         signs = np.frombuffer(b"".join(group["sign"]), np.uint32).reshape(-1, HASHES)
         bands = np.stack(group["bands"].to_numpy())
         own = [np.frombuffer(x, np.uint64) for x in group["own"]]
-        ids, comps, side = group["id"].tolist(), group["component"].to_numpy(), group["side"].to_numpy()
-        same_block = group["i"].iloc[0] == group["j"].iloc[0]
-        band = group["band"].iloc[0]
-        x, y = np.triu_indices(len(ids), 1)
+        ids, comps, left = group["id"].tolist(), group["component"].to_numpy(), group["left"].to_numpy()
+        x, y = (p.ravel() for p in np.meshgrid(np.flatnonzero(left), np.flatnonzero(~left), indexing="ij"))
         wanted = comps[x] != comps[y]
-        if not same_block:
-            wanted &= side[x] != side[y]
         x, y = x[wanted], y[wanted]
         if len(x):
-            shared = bands[x] == bands[y]
-            first = (bands[x] == band).argmax(1) == shared.argmax(1)
+            place = (bands[0] == group["band"].iloc[0]).argmax()
+            first = (bands[x] == bands[y]).argmax(1) == place
             x, y = x[first], y[first]
             kept = _pass(signs[x], signs[y], steps)
             x, y = x[kept], y[kept]
@@ -221,23 +222,30 @@ def classes_and_components(docs: DataFrame, rule: Rule) -> tuple[DataFrame, Data
         .groupBy("key")
         .agg(F.min("doc_id").alias("id"), F.first("sign").alias("sign"), F.first("bands").alias("bands"))
     )
-    rows = one.select("id", F.explode("bands").alias("band"))
-    buckets = rows.groupBy("band").agg(F.count("*").alias("size"), F.min("id").alias("pivot")).filter("size > 1")
+    rows = one.select("id", F.posexplode("bands").alias("place", "band"), "bands")
+    buckets = rows.groupBy("band").agg(F.count("*").alias("size")).filter("size > 1")
     grouped = stored(rows.join(buckets, "band"))
+    scores = grouped.groupBy("id").agg(F.sum("size").alias("score"))
+    scored = grouped.join(scores, "id")
+    large = scored.filter(F.col("size") > LARGE)
+    keyed = [scored.select("id", "score", F.col("band").alias("spot"))]
+    keyed += [large.select("id", "score", F.xxhash64("band", F.element_at("bands", (F.col("place") + on) % BANDS + 1)).alias("spot")) for on in PLACES_ON]
+    spots = stored(reduce(DataFrame.unionByName, keyed))
+    pivots = spots.groupBy("spot").agg(F.max_by("id", F.struct("score", "id")).alias("pivot"))
+    star = spots.join(pivots, "spot").filter("id <> pivot").select(F.col("id").alias("a"), F.col("pivot").alias("b")).distinct()
     wanted = grouped.select(F.col("id").alias("doc_id")).distinct()
     sets = stored(_sets(docs.select(F.col("doc_id").cast("long"), "text").join(wanted, "doc_id", "left_semi"), rule))
-    star = grouped.filter("id <> pivot").select(F.col("id").alias("a"), F.col("pivot").alias("b")).distinct()
     links = stored(_confirmed(_likely(star, one.select("id", "sign"), rule), sets, rule))
     found = stored(connected(links))
-    labelled = grouped.filter("size > 2").join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    mixed = labelled.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high")
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    spread = (
-        labelled.join(mixed.select("band"), "band")
-        .withColumn("block", F.pmod(F.xxhash64("id"), blocks).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-        .select("band", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), F.col("block").alias("side"), "id", "component")
-    )
+    labelled = grouped.filter("size > 2").select("band", "size", "id").join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    parts = labelled.groupBy("band", "component").agg(F.count("*").alias("held"))
+    main = parts.groupBy("band").agg(F.max_by("component", F.struct("held", "component")).alias("main"), F.sum("held").alias("all"), F.max("held").alias("most"))
+    mixed = labelled.join(main.filter("most < all"), "band")
+    lefts, chunks = F.ceil((F.col("all") - F.col("most")) / BLOCK).cast("int"), F.ceil(F.col("all") / CHUNK).cast("int")
+    own = F.xxhash64("id")
+    left = mixed.filter("component <> main").select("band", F.pmod(own, lefts).cast("int").alias("i"), F.explode(F.sequence(F.lit(0), chunks - 1)).alias("j"), F.lit(True).alias("left"), "id", "component")
+    right = mixed.select("band", F.explode(F.sequence(F.lit(0), lefts - 1)).alias("i"), F.pmod(own, chunks).cast("int").alias("j"), F.lit(False).alias("left"), "id", "component")
+    spread = left.unionByName(right)
     more = _within_blocks(spread.join(one.select("id", "sign", "bands"), "id").join(sets, "id"), rule)
     links = links.unionByName(more)
     ids = one.select("key", "id")
