@@ -625,7 +625,7 @@ def q_page_title_name(spark: SparkSession, folder: str) -> DataFrame:
 def q_section_fill_forward(spark: SparkSession, folder: str) -> DataFrame:
     lines = table(spark, folder, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("place", "line"))
     lines = lines.withColumn("chunk", F.floor(F.col("place") / 20))
-    placed = files.sections(lines, "line", r"^(.{1,40})[.]$", ["chunk"], ["place"], ["doc_id"])
+    placed = files.sections(lines, "line", r"^([^.]+)[.]$", ["chunk"], ["place"], ["doc_id"])
     return placed.select("doc_id", "place", "section")
 
 

@@ -18,10 +18,8 @@ def half_even(number: Column, digits: int) -> Column:
 
 
 def decision(p: Column, alpha: float = ALPHA) -> Column:
-    """Decision text, taken on the unrounded p."""
-    return F.when(p < alpha, F.lit(f"Reject H₀ (p < {alpha})")).when(
-        p >= alpha, F.lit(f"Fail to reject H₀ (p ≥ {alpha})")
-    )
+    """Decision text, taken on the unrounded p; nothing is rejected without one."""
+    return F.when(p < alpha, F.lit(f"Reject H₀ (p < {alpha})")).otherwise(F.lit(f"Fail to reject H₀ (p ≥ {alpha})"))
 
 
 def yes_no(flag: Column) -> Column:
@@ -42,6 +40,12 @@ def p_text(text: Column) -> Column:
 
 def annotation(test: Column, label: Column, statistic: Column, p: Column) -> Column:
     """One-line summary below a chart, with decimal commas."""
-    p_part = F.when(p >= 0.0001, F.concat(F.lit("p = "), F.format_string("%.4f", p))).otherwise(F.lit("p < 0.0001"))
-    line = F.concat(test, F.lit(": "), label, F.lit(" = "), F.format_string("%.2f", statistic), F.lit(", "), p_part)
+    missing = p.isNull() | F.isnan(p)
+    p_part = (
+        F.when(missing, F.lit("p = nan"))
+        .when(p >= 0.0001, F.concat(F.lit("p = "), F.format_string("%.4f", p)))
+        .otherwise(F.lit("p < 0.0001"))
+    )
+    shown = F.when(statistic.isNull(), F.lit("nan")).otherwise(F.format_string("%.2f", statistic))
+    line = F.concat(test, F.lit(": "), label, F.lit(" = "), shown, F.lit(", "), p_part)
     return F.translate(line, ".", ",")

@@ -22,9 +22,6 @@ from guestlens.plans.ranking import clean_values, frequency, quantiles, rank_tab
 # The published approximation of W covers groups up to this size.
 RELIABLE_N = 5000
 
-# Exact rank-sum p-values are used up to this many (n1 * n2) arrangements of U.
-EXACT_SIZE = 50_000_000
-
 
 def select_levels(df: DataFrame, group: str, levels: Sequence[Any]) -> DataFrame:
     return df.where(F.col(group).isin(*levels))
@@ -45,32 +42,20 @@ def level_place(group: str, levels: Sequence[Any]) -> Column:
 def each_pair(per_group: DataFrame, group: str, levels: Sequence[Any], *totals: Column) -> DataFrame:
     """One row per pair of listed groups, with structs ``one`` and ``two`` of their rows and the totals.
 
-    ``per_group`` has at most one row per listed level; they are folded into one map
-    and the listed pairs read from it, so no join is needed. Pairs with an absent
-    group are left out.
+    ``per_group`` has at most one row per listed level; they are folded into one list in
+    the listed order, and each entry is paired with the later ones. Pairs with an
+    absent group are left out.
     """
-    kind = per_group.schema[group].dataType
     fields = [c for c in per_group.columns if c != group]
-    entry = F.struct(F.col(group), F.struct(*fields))
-    pairs = F.array(
-        *(
-            F.struct(F.lit(a).cast(kind).alias("group1"), F.lit(b).cast(kind).alias("group2"))
-            for i, a in enumerate(levels)
-            for b in levels[i + 1 :]
-        )
-    )
-    row = per_group.agg(F.map_from_entries(F.collect_list(entry)).alias("__groups"), *totals)
+    entry = F.struct(level_place(group, levels).alias("place"), F.col(group).alias("name"), F.struct(*fields).alias("row"))
+    row = per_group.agg(F.array_sort(F.collect_list(entry)).alias("__groups"), *totals)
     names = [c for c in row.columns if c != "__groups"]
-    return (
-        row.select("__groups", *names, F.inline(pairs))
-        .select(
-            "group1",
-            "group2",
-            *names,
-            F.col("__groups")[F.col("group1")].alias("one"),
-            F.col("__groups")[F.col("group2")].alias("two"),
-        )
-        .where(F.col("one").isNotNull() & F.col("two").isNotNull())
+    groups = F.col("__groups")
+    pairs = F.flatten(
+        F.transform(groups, lambda one, i: F.transform(F.slice(groups, i + 2, F.size(groups)), lambda two: F.struct(one.alias("a"), two.alias("b"))))
+    )
+    return row.select(*names, F.inline(pairs)).select(
+        F.col("a.name").alias("group1"), F.col("b.name").alias("group2"), *names, F.col("a.row").alias("one"), F.col("b.row").alias("two")
     )
 
 
@@ -147,7 +132,7 @@ def mann_whitney_u(
     pairs2 = F.col("n1").cast("decimal(19,0)") * (F.col("n1") + 1).cast("decimal(19,0)")
     excess = _excess2(F.col("n1"), F.col("rank_sum2"), F.col("n1") + F.col("n2")) / 2.0
     spread = F.sqrt(n1 * n2 / 12.0 * (total + 1.0 - F.try_divide(F.col("tie_term"), total * (total - 1.0))))
-    exact = (F.least("n1", "n2") <= 8) & (F.col("tie_term") == 0.0) & (n1 * n2 <= float(EXACT_SIZE))
+    exact = (F.least("n1", "n2") <= 8) & (F.col("tie_term") == 0.0)
     out = row.select(
         "n1",
         "n2",

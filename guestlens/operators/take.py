@@ -7,13 +7,22 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from guestlens.plans.skew import lookup_join
+from guestlens.plans.skew import lookup_join, row_salt
+from guestlens.session import shuffle_width
 
 
 def take_per_group(df: DataFrame, group: str, order: Sequence[Column], target: int) -> DataFrame:
-    """Exactly the first ``target`` rows of each group; each task cuts its groups before the shuffle."""
-    window = Window.partitionBy(group).orderBy(*order)
-    return df.withColumn("__place", F.row_number().over(window)).where(F.col("__place") <= target).drop("__place")
+    """Exactly the first ``target`` rows of each group, whatever its size; a null group is a group.
+
+    Rows of a group are dealt to slices and cut there first, so the last step sorts no
+    more than ``target`` rows of each slice.
+    """
+    slices = shuffle_width(df.sparkSession)
+    dealt = df.withColumn("__slice", row_salt(df, F.lit(slices)))
+    for keys in ([group, "__slice"], [group]):
+        place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+        dealt = dealt.withColumn("__place", place).where(F.col("__place") <= target)
+    return dealt.drop("__place", "__slice")
 
 
 def take_whole_pages(df: DataFrame, group: str, page: str, target: int) -> DataFrame:
@@ -33,7 +42,7 @@ def take_whole_pages(df: DataFrame, group: str, page: str, target: int) -> DataF
         .groupBy(group)
         .agg(F.max(page).alias("__last"))
     )
-    taken = lookup_join(df, last, [group], "__rows", how="inner", counts=sizes)
+    taken = lookup_join(df, last, [group], "__rows", how="inner", counts=sizes, spread=[group, page])
     return taken.where(F.col(page) <= F.col("__last")).drop("__last")
 
 
@@ -43,6 +52,6 @@ def first_rows(df: DataFrame, order: Sequence[Column], n: int = 1) -> DataFrame:
 
 
 def min_group_size(df: DataFrame, group: str, least: int = 5) -> DataFrame:
-    """Rows of groups with at least ``least`` rows."""
+    """Rows of groups with at least ``least`` rows; rows without a group belong to none and go."""
     sizes = df.groupBy(group).agg(F.count(F.lit(1)).alias("__rows")).where(F.col("__rows") >= least)
-    return lookup_join(df, sizes, [group], "__rows", how="inner").drop("__rows")
+    return lookup_join(df, sizes, [group], "__rows", how="inner", spread=[group]).drop("__rows")

@@ -606,7 +606,7 @@ SELECT page_id, {stripped("CASE WHEN contains(t, ',') THEN split_part(t, ',', 1)
 FROM (SELECT page_id, {title} AS t FROM pages)"""
     sql["section_fill_forward"] = """WITH s AS (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents),
 l AS (SELECT doc_id, unnest(ls) AS line, unnest(range(0, len(ls)))::INTEGER AS place FROM s),
-h AS (SELECT *, CASE WHEN regexp_matches(trim(line), '^(.{1,40})[.]$') THEN regexp_extract(trim(line), '^(.{1,40})[.]$', 1) END AS header FROM l),
+h AS (SELECT *, CASE WHEN regexp_matches(trim(line), '^([^.]+)[.]$') THEN regexp_extract(trim(line), '^([^.]+)[.]$', 1) END AS header FROM l),
 f AS (SELECT *, last_value(header IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY place) AS section FROM h)
 SELECT doc_id, place, section FROM f WHERE header IS NULL AND trim(line) <> ''"""
     return sql

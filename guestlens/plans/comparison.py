@@ -12,10 +12,10 @@ from pyspark.sql import functions as F
 from guestlens.functions.display import ALPHA, decision, half_even
 from guestlens.functions.labels import TRAVELER_ORDER
 from guestlens.operators import significance as sig
+from guestlens.plans.ranking import clean_values
 from guestlens.session import stored
 
 MIN_GROUP = 5
-MAX_LEVELS = 1000
 
 
 @dataclass(frozen=True)
@@ -133,17 +133,15 @@ def compare_groups(
 
 def levels_of_size(df: DataFrame, value: str, group: str, levels: Sequence[Any], least: int = MIN_GROUP) -> list[Any]:
     """The listed levels with at least ``least`` values, in listed order."""
-    sizes = sig.select_levels(df, group, levels).where(F.col(value).isNotNull()).groupBy(group).agg(F.count(F.lit(1)).alias("n"))
+    values = clean_values(sig.select_levels(df, group, levels), value, [group])  # what the tests count: neither null nor NaN
+    sizes = values.groupBy(group).agg(F.count("value").alias("n"))
     kept = {row[group] for row in sizes.where(F.col("n") >= least).collect()}  # at most one row per listed level
     return [x for x in levels if x in kept]
 
 
 def present_levels(df: DataFrame, group: str) -> list[Any]:
-    """All groups that occur, in label order. More than a thousand is no group comparison, and an error."""
-    rows = df.where(F.col(group).isNotNull()).select(group).distinct().limit(MAX_LEVELS + 1).collect()
-    if len(rows) > MAX_LEVELS:
-        raise ValueError(f"{group} has more than {MAX_LEVELS} groups")
-    return sorted(row[group] for row in rows)
+    """All groups that occur, in label order. The result tables have one row per group or pair, so the names are no more than they hold."""
+    return sorted(row[group] for row in df.where(F.col(group).isNotNull()).select(group).distinct().collect())
 
 
 def problem_stars(df: DataFrame, value: str = "rating_score", group: str = "hotel_stars", **options: Any) -> Comparison:

@@ -11,14 +11,17 @@ from pyspark.sql import types as T
 from guestlens.session import shuffle_width
 
 
-def row_salt(df: DataFrame, slices: Column) -> Column:
+def row_salt(df: DataFrame, slices: Column, columns: Sequence[str] | None = None) -> Column:
     """A slice number in ``[0, slices)`` that a re-run task computes again.
 
+    With ``columns`` only these are read, and rows equal in them are dealt by their task
+    alone; a plan that needs few columns then reads few.
+
     It depends only on the row and on the number of the task that holds it, so a
     lost executor cannot move a row to another slice; equal rows of different
     tasks still spread.
     """
-    plain = [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    plain = list(columns) if columns else [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
     return F.pmod(F.xxhash64(F.spark_partition_id(), *plain), slices)
 
 
@@ -43,6 +46,7 @@ def lookup_join(
     weight: str,
     how: str = "left",
     counts: DataFrame | None = None,
+    spread: Sequence[str] | None = None,
 ) -> DataFrame:
     """``big`` joined with ``lookup`` (at most one row per key), safe for hot keys.
 
@@ -51,7 +55,7 @@ def lookup_join(
     column with the number of ``big`` rows of the key, which the aggregate that builds
     the lookup gets for nothing. The adaptive planner splits hot partitions only where
     both sides are shuffled for the join; a lookup that is already grouped by its key
-    is not, which is why the keys are salted here. A measured small lookup is still
+    is not, which is why the keys are salted here. ``spread`` names the columns the salt is taken from. A measured small lookup is still
     broadcast.
     """
     keys = list(keys)
@@ -61,7 +65,7 @@ def lookup_join(
     hot = F.broadcast(hot_keys(counts.select(*keys, weight), keys, weight))
     salted = big.join(hot, keys, "left")
     salted = salted.withColumn(
-        "__salt", F.when(F.col("__slices").isNull(), F.lit(0).cast("long")).otherwise(row_salt(big, F.col("__slices")))
+        "__salt", F.when(F.col("__slices").isNull(), F.lit(0).cast("long")).otherwise(row_salt(big, F.col("__slices"), spread))
     ).drop("__slices")
     copies = (
         lookup.join(hot, keys, "left")

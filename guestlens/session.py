@@ -21,6 +21,7 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8, memory: s
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", memory)
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
@@ -49,12 +50,13 @@ def stored(df: DataFrame) -> DataFrame:
     """``df`` written once to the checkpoint folder and read from there.
 
     Later steps re-read files instead of repeating the work above, also after an
-    executor is lost. Without a folder the frame is returned as it is.
+    executor is lost. A cluster session without ``spark.checkpoint.dir`` is an error, since
+    everything above would silently be computed once per later step.
     """
     spark = df.sparkSession
     folder = checkpoint_folder(spark)
     if folder is None:
-        return df
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(folder)
     return df.checkpoint()

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from guestlens.functions.text import strip
 from guestlens.schemas import DISTRIBUTION, REVIEW
 
 # Spellings that a CSV reader of the domain takes for a missing value.
@@ -20,20 +21,22 @@ MISSING_WORDS = (
 def read_csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructType) -> DataFrame:
     """CSV with a header, quoted texts over several lines and doubled quotes.
 
+    Columns are found by their names in the header: they may come in any order, absent
+    ones are null and others are ignored; files of one call must share a header.
     Values are read as text and then cast, so a spelling of "missing" becomes null in
     any column and a bad number becomes null instead of tearing the row.
     """
-    texts = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
-    raw = spark.read.schema(texts).csv(
+    raw = spark.read.csv(
         list(path) if not isinstance(path, str) else path,
         header=True,
+        inferSchema=False,
         multiLine=True,
         quote='"',
         escape='"',
         encoding="UTF-8",
         enforceSchema=False,
     )
-    return raw.select(*(_typed(f) for f in schema.fields))
+    return raw.select(*(_typed(f) if f.name in raw.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields))
 
 
 def _typed(field: T.StructField) -> Column:
@@ -109,7 +112,7 @@ def sections(lines: DataFrame, text: str, header: str, chunk: Sequence[str], ord
 
     Header lines themselves and blank lines are left out.
     """
-    bare = F.trim(F.col(text))
+    bare = strip(F.col(text))
     found = F.when(F.regexp_like(bare, F.lit(header)), F.regexp_extract(bare, header, 1))
     marked = lines.withColumn("__header", found)
     filled = fill_forward(marked, "__header", chunk, order, within, "section")

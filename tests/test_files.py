@@ -8,7 +8,6 @@ from guestlens.plans import reviews
 from guestlens.schemas import REVIEW
 from guestlens.session import checkpoint_folder
 from guestlens.sources import files
-from guestlens.streaming import intake
 
 ROWS = [
     ("1", "Hotel \"A\", Town", "May 2025", 3, "Couple", "Poland", 8.0, "t", "line one\nline two, \"quoted\"", None),
@@ -81,17 +80,6 @@ def test_fill_forward_over_chunks(spark):
     assert [r["filled"] for r in out] == [None] + ["x"] * 9 + ["y"] * 10
 
 
-def test_intake_takes_each_file_once(spark, rows, tmp_path):
-    source, target = str(tmp_path / "in"), str(tmp_path / "out")
-    files.append_rows(rows, source, partition=None)
-    name = uuid.uuid4().hex
-    assert intake.append_new_files(spark, source, target, name) == 2
-    assert intake.append_new_files(spark, source, target, name) == 0
-    files.append_rows(rows.where("source_id = '1'"), source, partition=None)
-    assert intake.append_new_files(spark, source, target, name) == 1
-    assert spark.read.parquet(target).count() == 3
-
-
 def test_checkpoint_folder_is_stable_within_a_session(spark):
     if spark.conf.get("spark.checkpoint.dir", None) is None:
         assert checkpoint_folder(spark) == checkpoint_folder(spark)
