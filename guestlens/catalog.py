@@ -122,7 +122,7 @@ def escaped(value: Column) -> Column:
 
 
 def card_pages(spark: SparkSession, folder: str) -> DataFrame:
-    """Review pages made of the documents: one card with the whole text, and one without a comment."""
+    """Review pages made of the documents: a card with the whole text in nested elements, one with its source praised, one without a comment."""
 
     def field(name: str, value: Column) -> Column:
         return F.concat(F.lit(f'<div class="x" data-testid="{name}">'), escaped(value), F.lit("</div>"))
@@ -135,15 +135,25 @@ def card_pages(spark: SparkSession, folder: str) -> DataFrame:
         field("review-score", F.concat(F.lit("Scored "), F.col("n_chars").cast("string"), F.lit(",5"))),
         field("review-stay-date", F.lit("May 2025")),
         F.when(F.col("lang") == "en", flag).otherwise(F.lit("")),
-        field("review-negative-text", F.col("text")),
-        F.lit("</span></div>"),
+        F.lit('<div data-testid="review-negative-text"><div class="y"><div>'),
+        escaped(F.col("text")),
+        F.lit("</div></div></div></span></div><div data-testid=\"review-traveler-type\">outside</div>"),
+    )
+    praise = F.concat(
+        F.lit('<div data-testid="review-card">'),
+        field("review-title", F.concat(F.lit("again "), F.col("doc_id").cast("string"))),
+        F.lit('<div data-testid="review-positive-text"><p>caf&eacute; &#8217;'),
+        escaped(F.col("source")),
+        F.lit("&#8217;</p><p>ends</p></div>"),
+        field("review-traveler-type", F.lit("Couple")),
+        F.lit("</div>"),
     )
     empty = F.concat(
         F.lit('<div data-testid="review-card">'), field("review-title", F.col("source")), F.lit("</div>")
     )
     return table(spark, folder, "documents").select(
         F.concat(F.lit("Hotel "), F.col("lang")).alias("hotel_name"),
-        F.concat(F.lit("<html><body>"), commented, empty, F.lit("</body></html>")).alias("html"),
+        F.concat(F.lit("<html><body>"), commented, praise, empty, F.lit("</body></html>")).alias("html"),
     )
 
 
@@ -606,7 +616,7 @@ def q_page_card_extract(spark: SparkSession, folder: str) -> DataFrame:
 
 def q_review_card_extract(spark: SparkSession, folder: str) -> DataFrame:
     cards = markup.extract_cards(card_pages(spark, folder))
-    return cards.withColumn("neg_text", F.md5("neg_text"))
+    return cards.withColumn("neg_text", F.when(F.col("neg_text") == "", "").otherwise(F.md5("neg_text")))
 
 
 def q_option_counts(spark: SparkSession, folder: str) -> DataFrame:

@@ -35,16 +35,85 @@ FUNCTION_WORDS = {
         "a", "v", "se", "na", "je", "že", "to", "s", "z", "do", "i", "o", "ale", "po", "za", "byl", "byla", "bylo",
         "velmi", "pro", "jak", "ve", "od", "jen", "tak", "jsme", "který", "není", "při", "nebo",
     ),
+    "it": (
+        "di", "e", "il", "che", "la", "è", "per", "un", "in", "non", "con", "sono", "una", "del", "della", "molto", "era",
+        "ma", "anche", "le", "nel", "gli", "dei", "alla", "più", "abbiamo", "camera", "questo", "come", "troppo",
+    ),
+    "nl": (
+        "de", "het", "een", "en", "van", "ik", "niet", "was", "dat", "op", "te", "zijn", "voor", "met", "maar", "ook",
+        "er", "aan", "heel", "erg", "geen", "bij", "naar", "wij", "we", "ons", "onze", "kamer", "deze", "zeer",
+    ),
+    "sv": (
+        "och", "att", "det", "som", "en", "på", "är", "av", "för", "med", "inte", "den", "till", "var", "jag", "ett",
+        "om", "vi", "men", "mycket", "från", "hade", "så", "när", "rummet", "bara", "vår", "eller", "också", "ingen",
+    ),
+    "no": (
+        "og", "det", "er", "som", "på", "en", "ikke", "av", "for", "med", "den", "til", "var", "jeg", "et", "vi", "men",
+        "veldig", "fra", "hadde", "så", "når", "rommet", "bare", "vår", "eller", "også", "ingen", "meget", "å",
+    ),
+    "hu": (
+        "a", "az", "és", "nem", "hogy", "volt", "is", "egy", "de", "nagyon", "szoba", "csak", "meg", "ez", "van", "voltak",
+        "mert", "már", "kicsit", "sok", "jó", "el", "minden", "vagy", "még", "mint", "ha", "szállás", "ki", "nincs",
+    ),
+    "sk": (
+        "a", "v", "na", "je", "sa", "že", "to", "s", "z", "do", "nie", "ale", "bol", "bola", "bolo", "veľmi", "aj", "sme",
+        "pri", "pre", "ako", "len", "izba", "alebo", "od", "po", "boli", "nebol", "nebolo", "ktorý",
+    ),
+    "ro": (
+        "și", "în", "de", "la", "nu", "cu", "este", "a", "că", "pe", "foarte", "din", "un", "o", "mai", "pentru", "dar", "am",
+        "fost", "camera", "sunt", "care", "au", "era", "ce", "sau", "prea", "fără", "noi", "doar",
+    ),
+    "pt": (
+        "de", "a", "o", "que", "e", "do", "da", "em", "um", "para", "é", "com", "não", "uma", "os", "no", "na", "muito", "mas",
+        "foi", "quarto", "nos", "mais", "era", "ao", "dos", "as", "pela", "estava", "nosso",
+    ),
+    "fi": (
+        "ja", "on", "ei", "oli", "että", "se", "kun", "mutta", "hyvä", "ole", "vain", "myös", "huone", "hyvin", "kuin", "liian",
+        "ollut", "joka", "tai", "olivat", "meidän", "niin", "jos", "sekä", "ovat", "erittäin", "vähän", "huoneessa", "me", "ollu",
+    ),
+    "tr": (
+        "ve", "bir", "bu", "çok", "için", "da", "de", "ama", "değil", "ile", "oda", "otel", "olarak", "daha", "kadar", "gibi",
+        "vardı", "yok", "var", "en", "ne", "biz", "sonra", "her", "iyi", "hiç", "olduğu", "odada", "oldu", "ancak",
+    ),
+    "hr": (
+        "i", "je", "u", "na", "se", "da", "su", "za", "od", "nije", "ali", "bio", "bila", "bilo", "vrlo", "samo", "smo", "soba",
+        "iz", "što", "kao", "ili", "jako", "bez", "nema", "uz", "te", "koji", "po", "jer",
+    ),
+}
+
+# Scripts that tell a language where its words need no list; Cyrillic has letters that Russian or Ukrainian lacks.
+SCRIPTS = {
+    "el": r"\p{IsGreek}",
+    "he": r"\p{IsHebrew}",
+    "ar": r"\p{IsArabic}",
+    "ja": r"[\p{IsHiragana}\p{IsKatakana}]",
+    "ko": r"\p{IsHangul}",
+    "zh": r"\p{IsHan}",
+    "th": r"\p{IsThai}",
+    "uk": r"[іїєґІЇЄҐ]",
+    "ru": r"\p{IsCyrillic}",
 }
 
 
+def script_language(text: Column) -> Column:
+    """The language of a text most of whose letters are not Latin, else null; the first script named that occurs in it."""
+    latin = F.regexp_count(text, F.lit(r"\p{IsLatin}"))
+    letters = F.regexp_count(text, F.lit(r"\p{L}"))
+    named = F.coalesce(*(F.when(F.regexp_like(text, F.lit(pattern)), F.lit(code)) for code, pattern in SCRIPTS.items()), F.lit("other"))
+    return F.when(latin * 2 < letters, named)
+
+
 def language_of(text: Column, profiles: Mapping[str, Sequence[str]] = FUNCTION_WORDS) -> Column:
-    """The language with the most function words; null where none occurs, ties to the one named first.
+    """The language by script, else the one with the most function words, ties to the one named first.
 
-    Each text is scored in its own row: no shuffle, and the text is never copied per
-    token. Words are cut once and reduced to function words of any language before
-    the languages count theirs.
+    Null where the text has no known word. Each text is scored in its own row: no shuffle, and the
+    text is never copied per token. Words are cut once and reduced to function words of any
+    language before the languages count theirs.
     """
+    return F.coalesce(script_language(text), _by_words(text, profiles))
+
+
+def _by_words(text: Column, profiles: Mapping[str, Sequence[str]]) -> Column:
     every = sorted({w for ws in profiles.values() for w in ws})
     none = F.struct(F.lit(0).alias("hits"), F.lit(None).cast("string").alias("code"))
 

@@ -304,7 +304,8 @@ def language_hits() -> str:
     whens = " ".join(f"WHEN n_{code} = best THEN '{code}'" for code in language.FUNCTION_WORDS)
     return f"""WITH counted AS (SELECT doc_id, lang, {", ".join(cases)} FROM (SELECT doc_id, lang, {tokens("text")} AS ws FROM documents)),
 found AS (SELECT *, {best} AS best FROM counted),
-named AS (SELECT doc_id, lang, CASE WHEN best = 0 THEN NULL {whens} END AS language FROM found)"""
+named AS (SELECT doc_id, f.lang, CASE WHEN 2 * len(regexp_extract_all(text, '\\p{{Latin}}')) < len(regexp_extract_all(text, '\\p{{L}}')) THEN 'other'
+  WHEN best = 0 THEN NULL {whens} END AS language FROM found f JOIN documents USING (doc_id))"""
 
 
 def band_case(score: str) -> str:
@@ -587,7 +588,9 @@ SELECT page_id, place, {unescaped("link")} AS link, {unescaped("label")} AS labe
 SELECT md5('Hotel ' || lang || '|guest & ' || doc_id || '|' || source) AS source_id, 'Hotel ' || lang AS hotel_name,
        'May 2025' AS stay_date, 0 AS hotel_stars, '' AS traveler_type, CASE WHEN lang = 'en' THEN 'en' ELSE 'Unknown' END AS reviewer_country,
        (n_chars || '.5')::DOUBLE AS rating_score, source AS title, '' AS pos_text, md5({stripped("text")}) AS neg_text
-FROM documents WHERE {stripped("text")} <> ''"""
+FROM documents WHERE {stripped("text")} <> ''
+UNION ALL SELECT md5('Hotel ' || lang || '||again ' || doc_id), 'Hotel ' || lang, '', 0, 'Couple', 'Unknown', 0.0::DOUBLE,
+       'again ' || doc_id, 'café ’' || source || '’' || chr(10) || 'ends', '' FROM documents"""
     sql["option_counts"] = """
 SELECT l_suppkey, 'ALL' AS value, count(*) AS reviews FROM lineitem GROUP BY l_suppkey
 UNION ALL SELECT l_suppkey, 'FAMILIES', count(*) FILTER (WHERE l_linestatus = 'F') FROM lineitem GROUP BY l_suppkey

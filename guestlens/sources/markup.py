@@ -1,20 +1,24 @@
 """Review cards, filter options and hotel names from stored page markup.
 
 Fetching pages is out of scope; these jobs read pages that are already in a table.
-Everything is a built-in string expression on the page's own row.
+Menus and names are built-in string expressions on the page's own row; cards, whose
+elements nest, are read by a small parser in Arrow batches.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from guestlens.functions.scores import bracketed_count, country_or_unknown, parse_score, review_key
 from guestlens.functions.text import none_if_blank, strip, unescape_html
 from guestlens.operators.clean import drop_commentless
 from guestlens.schemas import REVIEW, SCORE_BAND_COLUMNS, TRAVELER_COUNT_COLUMNS
+from guestlens.sources.cards import read_cards
 
 # Element names of a review page and the column each one fills.
 CARD_NAME = "review-card"
@@ -28,6 +32,9 @@ CARD_FIELDS = {
     "traveler_type": "review-traveler-type",
 }
 
+# Fixed value: part of the address of a country's flag.
+FLAG_ADDRESS = "flags"
+
 # The filter menus and the option values of the score menu.
 SCORE_MENU, TRAVELER_MENU, LANGUAGE_MENU = "scoreRange", "customerType", "languages"
 SCORE_OPTIONS = {
@@ -42,18 +49,6 @@ ALL_TRAVELERS, ALL_LANGUAGES = "ALL", "0"
 NAME_PREFIX = "Guest reviews for "
 
 
-def named_element(markup: Column, name: str) -> Column:
-    """Visible text of the first element with this test id, "" where there is none."""
-    inner = F.regexp_extract(markup, rf'(?s)<([a-zA-Z0-9]+)\b[^>]*\bdata-testid="{name}"[^>]*>(.*?)</\1\s*>', 2)
-    return unescape_html(inner)
-
-
-def attribute(markup: Column, tag: str, contains: str, name: str) -> Column:
-    """An attribute of the first tag whose source address contains a text."""
-    element = F.regexp_extract(markup, rf'(?s)<{tag}\b[^>]*\bsrc="[^"]*{contains}[^"]*"[^>]*>', 0)
-    return unescape_html(F.regexp_extract(element, rf'\b{name}="([^"]*)"', 1))
-
-
 def split_blocks(pages: DataFrame, html: str, opening: str, carry: list[str], column: str = "block") -> DataFrame:
     """One row per block: from one opening tag (a pattern) up to the next."""
     parts = F.split(F.col(html), f"(?={opening})")
@@ -73,14 +68,14 @@ def extract_cards(pages: DataFrame, html: str = "html", hotel: str = "hotel_name
 
     Stars are stamped by the caller and are 0 here, as is a score that cannot be read.
     """
-    opening = rf'<[a-zA-Z0-9]+\b[^>]*\bdata-testid="{CARD_NAME}"'
-    cards = split_blocks(pages, html, opening, [hotel])
-    block = F.col("block")
-    raw = cards.select(
-        hotel,
-        *(named_element(block, name).alias(column) for column, name in CARD_FIELDS.items()),
-        attribute(block, "img", "flags", "alt").alias("country_text"),
-    )
+    names = [*CARD_FIELDS, "country_text"]
+
+    @F.pandas_udf(T.ArrayType(T.StructType([T.StructField(c, T.StringType()) for c in names])))
+    def cards(source: pd.Series) -> pd.Series:
+        found = (read_cards(page, CARD_NAME, CARD_FIELDS, FLAG_ADDRESS) if page else () for page in source)
+        return pd.Series([[{c: card.get(c, "") for c in names} for card in page] for page in found], index=source.index, dtype="object")
+
+    raw = pages.select(hotel, F.inline(cards(F.col(html))))
     rows = drop_commentless(raw).select(
         review_key(F.col(hotel), F.col("author"), F.col("title")).alias("source_id"),
         F.col(hotel).alias("hotel_name"),

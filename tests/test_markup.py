@@ -27,12 +27,22 @@ def test_cards(spark):
     rows = markup.extract_cards(pages(spark, ("Hotel Nord", PAGE), ("Empty", "<html></html>"), ("None", None))).collect()
     assert len(rows) == 2
     ann, bob = sorted(rows, key=lambda r: r["title"], reverse=True)
-    assert ann["title"] == 'Good & "fine"' and ann["pos_text"] == "Nice staff" and ann["rating_score"] == 9.5
+    assert ann["title"] == 'Good & "fine"' and ann["pos_text"] == "Nice\nstaff" and ann["rating_score"] == 9.5
     assert (ann["stay_date"], ann["traveler_type"], ann["reviewer_country"]) == ("May 2025", "Couple", "Poland")
     assert ann["source_id"] == hashlib.md5('Hotel Nord|Ann|Good & "fine"'.encode()).hexdigest()
     assert (bob["neg_text"], bob["rating_score"], bob["reviewer_country"], bob["traveler_type"]) == ("Dirty\nshower", 0.0, "Unknown", "")
 
 
+def test_nested_fields_entities_and_page_end(spark):
+    page = """<div data-testid="review-card"><h4 data-testid="review-title">T</h4><div data-testid="review-negative-text"><div>first part</div>
+<div>second <b>part</b><p>third</p></div></div></div><p>after</p><div data-testid="review-score">Scored 3</div>
+<div data-testid="review-card"><div data-testid="review-positive-text">caf&eacute; &#8217;nice&#8217;<br>good &amp;lt; x</div></div>
+<div data-testid="review-traveler-type">Couple</div>"""
+    one, two = sorted(markup.extract_cards(pages(spark, ("h", page))).collect(), key=lambda r: r["title"], reverse=True)
+    assert one["neg_text"] == "first part\nsecond part\nthird" and one["rating_score"] == 0.0
+    assert two["pos_text"] == "caf\u00e9 \u2019nice\u2019\ngood &lt; x" and two["traveler_type"] == ""
+
+
 def test_menus_and_distribution_row(spark):
     counts = markup.extract_counts(pages(spark, ("Hotel Nord", PAGE), ("Empty", "<html></html>")), carry=["hotel_name"])
     rows = {r["hotel_name"]: r for r in market.distribution_rows(counts).collect()}

@@ -147,3 +147,17 @@ def test_language_filter_keeps_undetectable_text(spark):
     df = texts(spark, [("1", "The bed was very hard and the room was cold"), ("2", "Das Bett war sehr hart und nicht sauber"),
                        ("3", ""), ("4", None), ("5", "12345 ???"), ("6", "pokój był bardzo zimny i nie było ręczników")])
     assert sorted(r["source_id"] for r in language.filter_language(df, "neg_text").collect()) == ["1", "3", "4", "5"]
+
+
+def test_foreign_texts_are_not_kept_as_english(spark):
+    foreign = {
+        "ru": "В номере было очень холодно и грязно", "uk": "У кімнаті було дуже холодно і брудно", "el": "Το δωμάτιο ήταν πολύ κρύο",
+        "he": "החדר היה קר מאוד", "ja": "部屋はとても寒かったです", "nl": "De kamer was erg koud en het bed was niet schoon",
+        "no": "Rommet var veldig kaldt og det var ikke rent", "sv": "Rummet var mycket kallt och det var inte rent",
+        "hu": "A szoba nagyon hideg volt és nem volt tiszta", "sk": "Izba bola veľmi studená a nebolo tam čisto",
+        "it": "La camera era molto fredda e non era pulita", "pt": "O quarto estava muito frio e não era limpo",
+    }
+    df = texts(spark, [*foreign.items(), ("en", "The room was cold and it was not clean"), ("none", "12 / 34")])
+    found = {r["source_id"]: r["language"] for r in language.detect_language(df, "neg_text").collect()}
+    assert found == {**{k: k for k in foreign}, "en": "en", "none": None}
+    assert sorted(r["source_id"] for r in language.filter_language(df, "neg_text").collect()) == ["en", "none"]
