@@ -33,6 +33,8 @@ TRAINING_ROWS = 20_000
 HIDDEN = 32
 ACCEPTED = 0.7
 BLOCKS = 64
+#: Sums of the tasks are added in so many lanes before the last step.
+LANES = 16
 
 _rng = np.random.default_rng(90210)
 _PLACES = np.stack([_rng.permutation(SIZE)[:ONES] for _ in range(1 << TOKEN_BITS)])
@@ -62,6 +64,14 @@ def _row_numbers(first: np.ndarray) -> np.ndarray:
     return np.repeat(np.arange(len(first) - 1), np.diff(first))
 
 
+def _packed(sums: np.ndarray) -> bytes:
+    return zlib.compress(sums.astype(np.int64).tobytes(), 1)
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(data), np.int64)
+
+
 def neighbour_sums(docs: DataFrame) -> np.ndarray:
     """The vectors of all tokens, of unit length; a table of fixed size whatever the corpus."""
     count = 1 << TOKEN_BITS
@@ -79,18 +89,18 @@ def neighbour_sums(docs: DataFrame) -> np.ndarray:
                         sums += np.bincount(at, _SIGNS[token[other]].ravel(), len(sums)).astype(np.int64)
         if sums.any():
             blocks = np.array_split(sums, BLOCKS)
-            yield pa.RecordBatch.from_arrays([pa.array(range(BLOCKS), pa.int32()), pa.array([b.tobytes() for b in blocks], pa.binary())], ["block", "sums"])
+            yield pa.RecordBatch.from_arrays([pa.array(range(BLOCKS), pa.int32()), pa.array([_packed(b) for b in blocks], pa.binary())], ["block", "sums"])
 
     def total(group: pd.DataFrame) -> pd.DataFrame:
-        out = np.sum([np.frombuffer(x, np.int64) for x in group["sums"]], axis=0)
-        return pd.DataFrame({"block": group["block"].iloc[:1], "sums": [out.astype(np.int64).tobytes()]})
+        out = sum(_unpacked(x) for x in group["sums"])
+        return pd.DataFrame({"block": group["block"].iloc[:1], "sums": [_packed(out)]})
 
-    parts = docs.select("text").mapInArrow(run, "block int, sums binary").withColumn("lane", F.spark_partition_id() % 32)
+    parts = docs.select("text").mapInArrow(run, "block int, sums binary").withColumn("lane", F.spark_partition_id() % LANES)
     by_lane = parts.groupBy("block", "lane").applyInPandas(total, "block int, sums binary")
     rows = by_lane.groupBy("block").applyInPandas(total, "block int, sums binary").orderBy("block").collect()
     if not rows:
         return np.zeros((count, SIZE), np.float32)
-    vectors = np.concatenate([np.frombuffer(r["sums"], np.int64) for r in rows]).reshape(count, SIZE).astype(np.float64)
+    vectors = np.concatenate([_unpacked(r["sums"]) for r in rows]).reshape(count, SIZE).astype(np.float64)
     return (vectors / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-9)).astype(np.float32)
 
 
@@ -115,13 +125,13 @@ def pooled(vectors: np.ndarray, token: np.ndarray, first: np.ndarray) -> np.ndar
 
 
 def document_vectors(docs: DataFrame, vectors: np.ndarray) -> DataFrame:
-    """doc_id and ``features`` (32-bit floats) of every row; nothing but the text is read."""
+    """doc_id and ``features`` (16-bit floats) of every row; nothing but the text is read."""
     shared = docs.sparkSession.sparkContext.broadcast(vectors)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in tb.slices(batch.column(1)):
-                rows = pooled(shared.value, *tokens_of(part))
+                rows = pooled(shared.value, *tokens_of(part)).astype(np.float16)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(part.first, len(part)), pa.array([r.tobytes() for r in rows], pa.binary())], ["doc_id", "features"])
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, features binary")
@@ -200,17 +210,18 @@ def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
     rows = stored(document_vectors(docs, neighbour_sums(docs)))
     held = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) == 2
     usable = labels.select(F.col("doc_id").cast("long"), F.col("quality").cast("int").alias("quality")).filter("quality in (0, 1)").filter(~held)
-    sample = rows.join(usable, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", "features", "quality").limit(TRAINING_ROWS).select("features", "quality").collect()
+    chosen = usable.orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(TRAINING_ROWS)  # so few that they may be broadcast
+    sample = rows.join(F.broadcast(chosen), "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", "features", "quality").limit(TRAINING_ROWS).select("features", "quality").collect()
     net = None
     if sample:
-        x = np.frombuffer(b"".join(r["features"] for r in sample), np.float32).reshape(-1, FEATURES)
+        x = np.frombuffer(b"".join(r["features"] for r in sample), np.float16).reshape(-1, FEATURES)
         net = trained(x, np.array([r["quality"] for r in sample]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
                 ids = batch.column(0).to_pylist()
-                x = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.float32).reshape(-1, FEATURES)
+                x = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.float16).reshape(-1, FEATURES)
                 score = net.score(x.astype(np.float64)) if net else np.full(len(x), 0.5)
                 held_out = [i is not None and fold(i) == 2 for i in ids]
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(held_out), pa.array(score), pa.array((score >= ACCEPTED).astype(np.int32))], ["doc_id", "held_out", "score", "predicted"])
