@@ -225,6 +225,17 @@ def q_stage_counts(spark: SparkSession, folder: str) -> DataFrame:
     return clean.stage_counts(dated_orders(spark, folder), keys=keys, first="1994-01-01", last="1997-05-31")
 
 
+def q_text_stage_counts(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("text", "lang")
+    return clean.text_stage_counts(docs, "text", F.col("lang"))
+
+
+def q_business_only(spark: SparkSession, folder: str) -> DataFrame:
+    types = F.when(F.col("o_orderstatus") == "F", F.lit(" Business\t")).when(F.col("o_orderstatus") == "O", F.lit("BUSINESSES")).otherwise("business")
+    kept = clean.business_only(table(spark, folder, "orders").withColumn("traveler_type", types))
+    return kept.select("o_orderkey", "traveler_type")
+
+
 def q_canonical_category(spark: SparkSession, folder: str) -> DataFrame:
     spelled = labels.lookup(
         F.col("c_mktsegment"),
@@ -536,6 +547,11 @@ def q_aspect_extract(spark: SparkSession, folder: str) -> DataFrame:
     return document_aspects(spark, folder)
 
 
+def q_aspect_phrases(spark: SparkSession, folder: str) -> DataFrame:
+    found = aspects.extract_phrases(table(spark, folder, "documents").select("doc_id", "text"), "text")
+    return aspects.flatten_aspects(found, ["doc_id"])
+
+
 def q_flatten_aspects(spark: SparkSession, folder: str) -> DataFrame:
     tokens = text.words(F.col("text"))
     polarity = F.transform(

@@ -42,6 +42,66 @@ NEGATIVE_WORDS = (
 NEGATIONS = ("not", "no", "never", "without", "isn", "wasn", "aren", "weren", "didn", "don", "doesn", "hardly")
 
 
+# Words that continue a phrase begun by an aspect word: "air conditioning", "room size".
+COMPOUND_WORDS = ("area", "conditioner", "conditioning", "facilities", "machine", "option", "options", "size", "space", "system", "unit")
+
+
+def phrase_terms(keywords: Mapping[str, Sequence[str]] = ASPECT_KEYWORDS) -> tuple[str, ...]:
+    """Dictionary keywords and stems by which a word is known as an aspect: the ones that name a thing."""
+    return tuple(dict.fromkeys(t for t in keyword_terms(keywords) if len(t) > 2))
+
+
+def extract_phrases(
+    df: DataFrame,
+    text: str = "neg_text",
+    stems: Sequence[str] | None = None,
+    positive: Sequence[str] = POSITIVE_WORDS,
+    negative: Sequence[str] = NEGATIVE_WORDS,
+    negations: Sequence[str] = NEGATIONS,
+    compounds: Sequence[str] = COMPOUND_WORDS,
+    reach: int = 3,
+) -> DataFrame:
+    """Adds ``aspect`` and ``sentiment`` by the rule of the categories: a word that contains a keyword is an aspect.
+
+    So plurals and stems count ("beds", "amenities"). Adjacent aspect words are one phrase, which
+    the ``compounds`` right after it continue. Opinion words are never aspects. The polarity is that of the
+    phrase's first word. Narrow, like ``extract_aspects``.
+    """
+    stems = tuple(stems if stems is not None else phrase_terms())
+    opinions = {*positive, *negative}
+    tokens = F.col("__tokens")
+    thing = F.transform(tokens, lambda w: F.regexp_like(w, F.lit("|".join(sorted(stems)))) & ~w.isin(*opinions))
+    grown = (
+        df.withColumn("__tokens", F.coalesce(words(F.col(text)), F.array().cast("array<string>")))
+        .withColumn("__thing", thing)
+        .withColumn("__part", F.transform(tokens, lambda w, i: F.get("__thing", i) | (w.isin(*compounds) & F.coalesce(F.get("__thing", i - 1), F.lit(False)))))
+    )
+    everywhere = F.when(F.size(tokens) > 0, F.sequence(F.lit(0), F.size(tokens) - 1)).otherwise(F.array().cast("array<int>"))
+    begins = F.filter(everywhere, lambda i: F.get("__thing", i) & ~F.coalesce(F.get("__part", i - 1), F.lit(False)))
+    ends = F.filter(everywhere, lambda i: F.get("__part", i) & ~F.coalesce(F.get("__part", i + 1), F.lit(False)))
+    phrase = F.transform(F.arrays_zip(F.col("__begins").alias("a"), F.col("__ends").alias("b")), lambda s: F.array_join(F.slice(tokens, s["a"] + 1, s["b"] - s["a"] + 1), " "))
+    marked = grown.withColumn("__begins", begins).withColumn("__ends", ends)
+    return (
+        marked.withColumn("aspect", phrase)
+        .withColumn("sentiment", F.transform("__begins", lambda i: _polarity(tokens, i + 1, positive, negative, negations, reach)))
+        .drop("__tokens", "__thing", "__part", "__begins", "__ends")
+    )
+
+
+def _polarity(tokens: Column, place: Column, positive: Sequence[str], negative: Sequence[str], negations: Sequence[str], reach: int) -> Column:
+    """Sign of the opinion words at most ``reach`` words from ``place`` (from 1), turned round by a negation before them."""
+
+    def opinion(i: Column) -> Column:
+        word = F.element_at(tokens, i)
+        base = F.when(word.isin(*positive), F.lit(1)).when(word.isin(*negative), F.lit(-1)).otherwise(F.lit(0))
+        before = F.when(i > 1, F.element_at(tokens, F.greatest(i - 1, F.lit(1))))
+        return F.when(F.coalesce(before.isin(*negations), F.lit(False)), -base).otherwise(base)
+
+    span = F.sequence(F.greatest(place - reach, F.lit(1)), F.least(place + reach, F.size(tokens)))
+    score = F.aggregate(span, F.lit(0), lambda acc, i: acc + opinion(i))
+    return F.when(score > 0, F.lit("Positive")).when(score < 0, F.lit("Negative")).otherwise(F.lit("Neutral"))
+
+
 def keyword_terms(keywords: Mapping[str, Sequence[str]] = ASPECT_KEYWORDS) -> tuple[str, ...]:
     """The dictionary's keywords that name a thing; opinion words judge things and are none."""
     opinions = {*POSITIVE_WORDS, *NEGATIVE_WORDS}
@@ -66,28 +126,17 @@ def extract_aspects(
     """
     terms = tuple(terms if terms is not None else keyword_terms())
 
-    def opinion(tokens: Column, i: Column) -> Column:
-        word = F.element_at(tokens, i)
-        base = F.when(word.isin(*positive), F.lit(1)).when(word.isin(*negative), F.lit(-1)).otherwise(F.lit(0))
-        before = F.when(i > 1, F.element_at(tokens, F.greatest(i - 1, F.lit(1))))
-        return F.when(F.coalesce(before.isin(*negations), F.lit(False)), -base).otherwise(base)
-
     tokens = F.col("__tokens")
     places = F.filter(
         F.when(F.size(tokens) > 0, F.sequence(F.lit(1), F.size(tokens))).otherwise(F.array().cast("array<int>")),
         lambda i: F.element_at(tokens, i).isin(*terms),
     )
 
-    def polarity(place: Column) -> Column:
-        span = F.sequence(F.greatest(place - reach, F.lit(1)), F.least(place + reach, F.size(tokens)))
-        score = F.aggregate(span, F.lit(0), lambda acc, i: acc + opinion(tokens, i))
-        return F.when(score > 0, F.lit("Positive")).when(score < 0, F.lit("Negative")).otherwise(F.lit("Neutral"))
-
     return (
         df.withColumn("__tokens", F.coalesce(words(F.col(text)), F.array().cast("array<string>")))
         .withColumn("__places", places)
         .withColumn("aspect", F.transform("__places", lambda i: F.element_at(tokens, i)))
-        .withColumn("sentiment", F.transform("__places", polarity))
+        .withColumn("sentiment", F.transform("__places", lambda i: _polarity(tokens, i, positive, negative, negations, reach)))
         .drop("__tokens", "__places")
     )
 

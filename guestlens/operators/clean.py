@@ -26,6 +26,25 @@ def union_passes(general: DataFrame, negative: DataFrame, business: DataFrame |
     return out.unionByName(business.withColumn("traveler_type", F.lit("Business")), allowMissingColumns=True)
 
 
+def business_only(df: DataFrame, column: str = "traveler_type") -> DataFrame:
+    """Rows whose traveler type reads "business" in any case, with blanks around it or not."""
+    return df.where(F.lower(strip(F.col(column))) == "business")
+
+
+def text_stage_counts(df: DataFrame, text: str = "neg_text", language: Column | None = None, code: str = "en", least: int = MIN_WORDS) -> DataFrame:
+    """Rows left after each stage of the text branch, as (position, stage, rows), in one pass.
+
+    ``language`` is the language of the text (``language_of``); undetectable texts count as ``code``.
+    """
+    filled = none_if_blank(F.col(text)).isNotNull()
+    long = filled & has_words(F.col(text), least)
+    known = F.lit(True) if language is None else F.coalesce(language == code, F.lit(True))
+    stages = {"loaded": F.lit(True), "with_text": filled, "enough_words": long, "in_language": long & known}
+    row = df.agg(*(F.count_if(F.coalesce(kept, F.lit(False))).alias(name) for name, kept in stages.items()))
+    pairs = (F.struct(F.lit(i).alias("position"), F.lit(s).alias("stage"), F.col(s).alias("rows")) for i, s in enumerate(stages))
+    return row.select(F.inline(F.array(*pairs)))
+
+
 def in_period(text: Column, first: str = FIRST_DAY, last: str = LAST_DAY) -> Column:
     """Whether a written month lies in the period; a month that cannot be read does not."""
     return F.coalesce(stay_month(text).between(F.lit(first).cast("date"), F.lit(last).cast("date")), F.lit(False))

@@ -10,7 +10,7 @@ from collections.abc import Sequence
 
 from guestlens import catalog as c
 from guestlens.functions import labels, normal, text
-from guestlens.operators import language
+from guestlens.operators import aspects, language
 from guestlens.schemas import SCORE_BAND_COLUMNS, TRAVELER_COUNT_COLUMNS
 
 SPACE = text.SPACE_CLASS
@@ -347,6 +347,13 @@ UNION ALL SELECT 1, 'in_period', count(*) FROM flagged WHERE ok
 UNION ALL SELECT 2, 'with_score', count(*) FROM flagged WHERE ok AND rating_score IS NOT NULL
 UNION ALL SELECT 3, 'distinct_content', count(*) FROM (
   SELECT DISTINCT o_custkey, stay_date, o_orderstatus FROM flagged WHERE ok AND rating_score IS NOT NULL)"""
+    long = f"len(regexp_extract_all(coalesce(text, ''), '[^[:space:]]+')) >= 3"
+    sql["text_stage_counts"] = f"""SELECT 0 AS position, 'loaded' AS stage, count(*) AS rows FROM documents
+UNION ALL SELECT 1, 'with_text', count(*) FROM documents WHERE {stripped("text")} <> ''
+UNION ALL SELECT 2, 'enough_words', count(*) FROM documents WHERE {long}
+UNION ALL SELECT 3, 'in_language', count(*) FROM documents WHERE {long} AND coalesce(lang, 'en') = 'en'"""
+    sql["business_only"] = """SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN ' Business' || chr(9) ELSE 'business' END AS traveler_type
+FROM orders WHERE o_orderstatus IN ('F', 'P')"""
     sql["canonical_category"] = """
 SELECT c_custkey, CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 'Solo' WHEN 'BUILDING' THEN 'Business' WHEN 'FURNITURE' THEN 'Family'
        ELSE 'Group of friends' END AS traveler_type FROM customer"""
@@ -540,6 +547,21 @@ n AS (SELECT lang, word, count(*) AS n FROM w GROUP BY ALL),
 r AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY n DESC, word)::INTEGER AS place FROM n)
 SELECT lang AS language, place, word, n FROM r WHERE place <= 30"""
     sql["aspect_extract"] = f"WITH {DOCUMENT_ASPECTS} SELECT doc_id, extracted_aspect, sentiment FROM aspects"
+    stems, opinions = "|".join(sorted(aspects.phrase_terms())), listed((*aspects.POSITIVE_WORDS, *aspects.NEGATIVE_WORDS))
+    compounds = listed(aspects.COMPOUND_WORDS)
+    sql["aspect_phrases"] = f"""WITH w AS (SELECT doc_id, {tokens("text")} AS ws FROM documents),
+tok AS (SELECT doc_id, unnest(ws) AS w, unnest(range(1, len(ws) + 1)) AS i FROM w),
+thing AS (SELECT *, regexp_matches(w, '{stems}') AND w NOT IN ({opinions}) AS is_thing FROM tok),
+part AS (SELECT *, is_thing OR (w IN ({compounds}) AND coalesce(lag(is_thing) OVER o, false)) AS is_part FROM thing WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+edge AS (SELECT *, is_thing AND NOT coalesce(lag(is_part) OVER o, false) AS begins FROM part WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+run AS (SELECT *, sum(begins::INTEGER) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM edge),
+phrase AS (SELECT doc_id, run, min(i) AS i, string_agg(w, ' ' ORDER BY i) AS extracted_aspect FROM run WHERE is_part GROUP BY ALL),
+opinion AS (SELECT t.doc_id, t.i, (CASE WHEN t.w IN ({listed(aspects.POSITIVE_WORDS)}) THEN 1 ELSE -1 END)
+       * (CASE WHEN p.w IN ({listed(aspects.NEGATIONS)}) THEN -1 ELSE 1 END) AS score
+  FROM tok t LEFT JOIN tok p ON p.doc_id = t.doc_id AND p.i = t.i - 1 WHERE t.w IN ({opinions}))
+SELECT h.doc_id, extracted_aspect, CASE WHEN coalesce(sum(o.score), 0) > 0 THEN 'POSITIVE' WHEN coalesce(sum(o.score), 0) < 0 THEN 'NEGATIVE'
+       ELSE 'NEUTRAL' END AS sentiment
+FROM phrase h LEFT JOIN opinion o ON o.doc_id = h.doc_id AND o.i BETWEEN h.i - 3 AND h.i + 3 GROUP BY h.doc_id, h.run, extracted_aspect"""
     sql["flatten_aspects"] = f"""WITH t AS (SELECT doc_id, {tokens("text")} AS ws FROM documents),
 l AS (SELECT doc_id, list_filter(ws, lambda w: length(w) = 9) AS a, list_filter(ws, lambda w: length(w) = 8) AS s FROM t),
 i AS (SELECT doc_id, a, s, unnest(range(1, least(len(a), len(s)) + 1)) AS i FROM l)

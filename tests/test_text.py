@@ -161,3 +161,11 @@ def test_foreign_texts_are_not_kept_as_english(spark):
     found = {r["source_id"]: r["language"] for r in language.detect_language(df, "neg_text").collect()}
     assert found == {**{k: k for k in foreign}, "en": "en", "none": None}
     assert sorted(r["source_id"] for r in language.filter_language(df, "neg_text").collect()) == ["en", "none"]
+
+
+def test_plurals_stems_and_phrases_are_aspects(spark):
+    said = "The rooms were dirty, the beds hard, towels stained, prices expensive, amenities missing, air conditioning broken"
+    rows = aspects.extract_phrases(texts(spark, [("1", said), ("2", ""), ("3", None)]), "neg_text").collect()
+    found = {r["source_id"]: (list(r["aspect"]), list(r["sentiment"])) for r in rows}
+    assert found["1"][0] == ["rooms", "beds", "towels", "prices", "amenities", "air conditioning"]
+    assert set(found["1"][1]) == {"Negative"} and found["2"] == ([], []) and found["3"] == ([], [])
