@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from guestlens.llm.bins import Plan
 from guestlens.llm.frames import stored
-from guestlens.llm.pieces import assigned, histogram, token_pieces
+from guestlens.llm.pieces import assigned, histogram, token_pieces, unpacked_ids
 
 ROW_IDS = 2048
 PAD_ID = 0
@@ -34,24 +34,27 @@ def packed_rows(docs: DataFrame, path: str, row_ids: int = ROW_IDS) -> DataFrame
     repeated rows are packed as often as they occur, an empty table gives no rows. A row
     gathers at most ``row_ids`` ids, so no task holds more than a batch of rows.
     """
-    pieces = stored(token_pieces(docs, path, row_ids, with_ids=True))
+    # the stored pieces are files, so their row numbers are the same in every later task
+    pieces = stored(token_pieces(docs, path, row_ids, with_ids=True)).withColumn("row", F.monotonically_increasing_id())
     plan = Plan(row_ids, histogram(pieces))
     plan.best_fit_decreasing()
-    placed = assigned(pieces, plan.table())
-    segments = F.array_sort(F.collect_list(F.struct("offset", "length", "doc_id", "piece", "ids")))
-    return (
-        placed.groupBy(F.col("sequence_id").alias("row_id"))
-        .agg(segments.alias("s"))
-        .select(
-            "row_id",
-            F.aggregate("s.length", F.lit(0).cast("long"), lambda a, x: a + x).alias("n_ids"),
-            F.col("s.doc_id").alias("segment_docs"),
-            F.col("s.piece").alias("segment_pieces"),
-            F.concat(F.col("s.offset").cast("array<int>"), F.array(F.aggregate("s.length", F.lit(0).cast("long"), lambda a, x: a + x).cast("int"))).alias("cu_seqlens"),
-            F.expr("concat_ws('', transform(s.ids, x -> hex(x)))").alias("_hex"),
-        )
-        .select("row_id", "n_ids", "segment_docs", "segment_pieces", "cu_seqlens", F.unhex("_hex").alias("ids"))
-    )
+    placed = assigned(pieces.drop("ids"), plan.table()).select("row", "sequence_id", "offset")
+    segment = F.struct("offset", "doc_id", "piece", "ids")
+    gathered = pieces.join(placed, "row").groupBy(F.col("sequence_id").alias("row_id")).agg(F.collect_list(segment).alias("segments"))
+
+    def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for low in range(0, batch.num_rows, 256):
+                rows = []
+                for row_id, segments in zip(*(c.to_pylist() for c in batch.slice(low, 256).columns), strict=True):
+                    segments.sort(key=lambda s: s["offset"])
+                    ids = [unpacked_ids(s["ids"]) for s in segments]
+                    ends = np.cumsum([0, *map(len, ids)])
+                    rows.append((row_id, int(ends[-1]), [s["doc_id"] for s in segments], [s["piece"] for s in segments], ends.tolist(), np.concatenate(ids).tobytes()))
+                kinds = (pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], [f.split()[0] for f in ROWS.split(", ")])
+
+    return gathered.mapInArrow(joined, ROWS)
 
 
 def matrices(rows: DataFrame, row_ids: int = ROW_IDS, vocabulary: int = 1 << 16, pad_id: int = PAD_ID) -> DataFrame:

@@ -51,6 +51,7 @@ def op10_compacted_spans(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    """The first query of every operator, by name; each takes (spark, sf_dir)."""
     return {
         "op1_containment_search": op1_containment_search,
         "op2_minhash_bayes": op2_minhash_bayes,
@@ -63,7 +64,3 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_pattern_packing": op9_pattern_packing,
         "op10_compacted_spans": op10_compacted_spans,
     }
-
-
-def oracle_sql() -> dict[str, str]:
-    return {}

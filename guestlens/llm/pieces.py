@@ -18,12 +18,27 @@ END_ID = 1
 PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
+def packed_ids(raw: bytes) -> bytes:
+    """Little-endian 32-bit ids, compressed in the width they need."""
+    import zstandard
+
+    ids = np.frombuffer(raw, "<u4")
+    short = not len(ids) or ids.max() < 1 << 16
+    return (b"\x02" if short else b"\x04") + zstandard.compress(ids.astype("<u2").tobytes() if short else raw, 1)
+
+
+def unpacked_ids(data: bytes) -> np.ndarray:
+    import zstandard
+
+    return np.frombuffer(zstandard.decompress(data[1:]), f"<u{data[0]}").astype("<u4")
+
+
 def token_pieces(docs: DataFrame, path: str, capacity: int, end_id: int = END_ID, with_ids: bool = False) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32, and ``ids`` if wanted.
 
     A document's ids are those of its whole text and then ``end_id``; a null or empty text has
     the end id alone. Longer documents are cut every ``capacity`` ids and nothing is dropped.
-    ``ids`` holds little-endian unsigned 32-bit integers. Rows of equal doc_id stay separate rows.
+    ``ids`` is what ``unpacked_ids`` reads. Rows of equal doc_id stay separate rows.
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -38,7 +53,7 @@ def token_pieces(docs: DataFrame, path: str, capacity: int, end_id: int = END_ID
                     ids += tail
                     for k, at in enumerate(range(0, len(ids), 4 * capacity)):
                         own = ids[at : at + 4 * capacity]
-                        rows.append((doc, k, at // 4, len(own) // 4, zlib.crc32(own), own))
+                        rows.append((doc, k, at // 4, len(own) // 4, zlib.crc32(own), packed_ids(own) if with_ids else None))
                 names = ("doc_id", "piece", "start", "length", "ids_crc32", "ids")
                 kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
                 columns = list(zip(*rows, strict=True))[: 6 if with_ids else 5]
@@ -67,4 +82,4 @@ def assigned(pieces: DataFrame, rules: np.ndarray) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*arrays, pa.array(bins), pa.array(offsets)], [*keep, "sequence_id", "offset"])
 
     schema = ", ".join(f"{c} {t}" for c, t in pieces.dtypes) + ", sequence_id long, offset long"
-    return numbered(pieces, "length", "doc_id", "piece").mapInArrow(place, schema)
+    return numbered(pieces, "length", *(c for c in pieces.columns if c != "length")).mapInArrow(place, schema)
