@@ -23,6 +23,8 @@ def connect(folder: str) -> duckdb.DuckDBPyConnection:
 def _plain(value):
     if value is None:
         return None
+    if isinstance(value, list):
+        return tuple(_plain(v) for v in value)
     if isinstance(value, bool):
         return value
     if isinstance(value, (float, Decimal)):
