@@ -16,6 +16,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from guestlens.llm import textbytes as tb
@@ -74,19 +75,20 @@ def contexts(docs: DataFrame, units: Units) -> DataFrame:
 
 
 def repeated(rows: DataFrame, across: bool) -> DataFrame:
-    """Contexts whose anchor occurs again (``across``: in another document), with ``first_doc`` and ``uniform``.
+    """Contexts whose anchor occurs again (``across``: in another document), with ``uses``, ``first_doc`` and ``uniform``.
 
-    Counts are summed before the shuffle and joined back, where Spark can split a large anchor.
+    One shuffle by anchor. The rows of an anchor are never gathered as a list: Spark passes over them twice
+    and spills what does not fit, so a very common anchor costs its task time but no memory.
     """
-    seen = rows.groupBy("anchor").agg(
-        F.count("*").alias("uses"),
-        F.min("doc_id").alias("first_doc"),
-        F.max("doc_id").alias("last_doc"),
-        F.min("context").alias("c0"),
-        F.max("context").alias("c1"),
+    own = W.partitionBy("anchor")
+    seen = rows.select(
+        "*",
+        F.count("*").over(own).alias("uses"),
+        F.min("doc_id").over(own).alias("first_doc"),
+        F.max("doc_id").over(own).alias("last_doc"),
+        (F.min("context").over(own) == F.max("context").over(own)).alias("uniform"),
     )
-    seen = seen.filter("first_doc < last_doc" if across else "uses > 1")
-    return rows.join(seen.select("anchor", "uses", "first_doc", (F.col("c0") == F.col("c1")).alias("uniform")), "anchor")
+    return seen.filter("first_doc < last_doc" if across else "uses > 1").drop("last_doc", "context")
 
 
 def by_document(marks: DataFrame, *columns: str) -> DataFrame:

@@ -95,8 +95,9 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     ``lo`` is the word at which the first window starts, ``n`` the number of windows.
     """
     texts = tb.compressed(docs)
-    shared = stored(repeated(contexts(docs, Units(True, window, GRAM)), across=True))
-    settled = shared.filter("uniform and doc_id > first_doc").select("doc_id", "lo", "n", "first_doc")
+    shared = repeated(contexts(docs, Units(True, window, GRAM)), across=True)
+    shared = stored(shared.filter("not uniform or doc_id > first_doc").select("doc_id", "lo", "n", "first_doc", "uniform"))
+    settled = shared.filter("uniform").select("doc_id", "lo", "n", "first_doc")
     open_ones = by_document(shared.filter("not uniform"), "lo", "n")
     edges = stored(_edges(texts.join(open_ones, "doc_id"), window))
     paths = _paths(edges)

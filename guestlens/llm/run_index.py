@@ -157,8 +157,9 @@ def _cut(texts: DataFrame, window: int) -> DataFrame:
 
 def repeated_bytes(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """Runs of windows of ``window`` bytes that also start earlier: doc_id, lo, n."""
-    shared = stored(repeated(contexts(docs, Units(False, window, GRAM)), across=False))
-    settled = shared.filter("uniform and (doc_id > first_doc or again)").select("doc_id", "lo", "n")
+    shared = repeated(contexts(docs, Units(False, window, GRAM)), across=False)
+    shared = stored(shared.filter("not uniform or doc_id > first_doc or again").select("doc_id", "lo", "n", "anchor", "uses", "uniform"))
+    settled = shared.filter("uniform").select("doc_id", "lo", "n")
     open_ones = shared.filter("not uniform")
     shards = max(1, -(-open_ones.count() // SHARD_ROWS))
     blocks = F.ceil(F.col("uses") / SHARD_ROWS).cast("int")
