@@ -218,7 +218,7 @@ def classes_and_components(docs: DataFrame, rule: Rule) -> tuple[DataFrame, Data
     """Features of every row of ``docs``, and (id, component) of the linked class representatives."""
     features = stored(_features(docs, rule))
     one = stored(
-        features.filter("n_shingles > 0")
+        features.filter("n_shingles > 0 and doc_id is not null")
         .groupBy("key")
         .agg(F.min("doc_id").alias("id"), F.first("sign").alias("sign"), F.first("bands").alias("bands"))
     )
@@ -257,18 +257,19 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
 
     ``component_id`` is the smallest doc_id that links reach, ``kept`` marks its document. Null
     and empty texts have no shingle and are linked with nothing; repeated rows of a document
-    share its result; an empty table gives no rows; other columns of ``docs`` are not read.
+    share its result; rows without doc_id link nothing, have the component of an equal text if there is one, and are kept if not;
+    an empty table gives no rows; other columns of ``docs`` are not read.
     A pair at the threshold is missed with a probability below 1e-4, more similar ones less.
     """
     features, found = classes_and_components(docs, rule)
     return (
         features.join(found, "id", "left")
         .withColumn("component_id", F.coalesce("component", "id", "doc_id"))
-        .select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
+        .select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
     )
 
 
 def keep_one(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
-    """``docs`` without all but one document of each near-duplicate group; columns as they are."""
-    kept = near_duplicates(docs, rule).filter("kept").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi")
+    """``docs`` without all but one document of each near-duplicate group; columns as they are, rows without doc_id stay."""
+    gone = near_duplicates(docs, rule).groupBy("doc_id").agg(F.bool_or("kept").alias("kept")).filter("not kept").select("doc_id")
+    return docs.join(gone, "doc_id", "left_anti")

@@ -123,7 +123,7 @@ def _without(docs: DataFrame, spans: DataFrame, window: int, schema: str, result
                         gone = covered(len(gone), np.minimum(at, len(gone)), np.minimum(at + count - 1 + window, len(gone)))
                     rows.append((batch.column(0)[part.first + k].as_py(), *result(part, found.starts[low:high], found.ends[low:high], gone)))
                 if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows, strict=True)], [f.split()[0] for f in schema.split(", ")])
+                    yield tb.batch_of(rows, schema)
 
     return marked.mapInArrow(run, schema)
 

@@ -74,8 +74,10 @@ def later_lines(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) ->
     """Every line with ``removed``: doc_id, line_no, removed.
 
     A line is removed if an earlier one (smaller doc_id, or earlier in the same document) has a
-    similar set; lines are judged on the input. Blank lines have no token and stay.
+    similar set; lines are judged on the input. Blank lines have no token and stay. Rows without
+    doc_id have no place in the order and are left out.
     """
+    docs = docs.filter("doc_id is not null")
     rarity = _rarity(_hashed(docs, size))
     prefix = F.slice("tokens", 1, F.greatest(F.size("tokens") - F.ceil(F.size("tokens") * percent / 100).cast("int") + 1, F.lit(0)))
     lines = stored(

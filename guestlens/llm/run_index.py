@@ -192,7 +192,8 @@ def _without(docs: DataFrame, window: int, schema: str, result) -> DataFrame:
                         at, count = values.field("lo").to_numpy(), values.field("n").to_numpy()
                         gone = covered(len(own), np.minimum(at, len(own)), np.minimum(at + count - 1 + window, len(own)))
                     rows.append((batch.column(0)[part.first + k].as_py(), *result(own, gone)))
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows, strict=True)], [f.split()[0] for f in schema.split(", ")])
+                if rows:
+                    yield tb.batch_of(rows, schema)
 
     return joined.mapInArrow(run, schema)
 

@@ -191,6 +191,15 @@ def unpacked(column: pa.Array) -> Iterator[Slice]:
             row, texts, size = k + 1, [], 0
 
 
+_ARROW = {"long": pa.int64(), "int": pa.int32(), "string": pa.string(), "binary": pa.binary(), "boolean": pa.bool_(), "double": pa.float64()}
+
+
+def batch_of(rows: list[tuple], schema: str) -> pa.RecordBatch:
+    """Rows as a batch of a Spark schema of plain types; columns of nulls keep their type."""
+    fields = [f.split() for f in schema.split(", ")]
+    return pa.RecordBatch.from_arrays([pa.array(c, _ARROW[t]) for c, (_, t) in zip(zip(*rows, strict=True), fields, strict=True)], [n for n, _ in fields])
+
+
 def as_long(x: np.ndarray) -> pa.Array:
     """Unsigned hashes as the signed longs that Spark has."""
     return pa.array(x.astype(np.uint64).view(np.int64), pa.int64())

@@ -265,3 +265,12 @@ def test_empty_tables_and_repeated_rows(spark, name):
     for r in rows:
         by_doc[r["doc_id"]].add(str(r))
     assert set(by_doc) == {1, 2} and Counter(map(len, by_doc.values()))[1] == 2
+
+
+def test_rows_without_doc_id_stay_and_remove_nothing(spark):
+    line = "one line of quite a few words to repeat in another row"
+    df = spark.createDataFrame([(None, line, 1), (5, line, 2), (None, None, 3)], "doc_id long, text string, kept int")
+    assert sorted(r["kept"] for r in bayes_dedup.keep_one(df).collect()) == [1, 2, 3]
+    assert sorted(r["kept"] for r in line_join.without_later_lines(df).where("text is not null").collect()) == [1, 2]
+    assert {(r["doc_id"], r["n_removed"]) for r in compaction.removal_digest(df).collect()} == {(None, 0), (5, 0)}
+    assert {(r["doc_id"], r["n_removed"]) for r in run_index.removal_digest(df).collect()} == {(None, 0), (5, 0)}
