@@ -24,11 +24,11 @@ from guestlens.llm.anchors import Units, by_document, contexts, covered, repeate
 from guestlens.llm.frames import stored
 
 WINDOW, GRAM = 13, 4
-EDGE = "edge long, proof long, before long, after long, doc_id long, at int"
+RUN = "doc_id long, lo int, edges array<bigint>, proofs array<bigint>, before long, after long"
 
 
 def _edges(texts: DataFrame, window: int) -> DataFrame:
-    """Every window of the marked contexts with the windows before and after it (0: none)."""
+    """Every marked context: its windows in order, and the windows before and after it (0: none)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -40,26 +40,31 @@ def _edges(texts: DataFrame, window: int) -> DataFrame:
                 edge = tb.grams(units, window)
                 edge[edge == 0] = 1
                 proof = tb.grams(units, window, salt=1)
-                rows, at = [], []
+                signed, proofs = edge.view(np.int64), proof.view(np.int64)
+                rows = []
                 for k in range(len(part)):
                     own = marks[part.first + k].values
-                    low, count = own.field("lo").to_numpy(), own.field("n").to_numpy()
-                    places = np.repeat(low, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-                    rows.append(np.full(len(places), k))
-                    at.append(places)
-                row, at = np.concatenate(rows), np.concatenate(at).astype(np.int64)
-                sizes = np.diff(found.first) - window + 1
-                fits = at < sizes[row]
-                row, at = row[fits], at[fits]
-                place = found.first[row] + at
-                before = np.where(at > 0, edge[np.maximum(place - 1, 0)], 0) if len(edge) else at
-                after = np.where(at + 1 < sizes[row], edge[np.minimum(place + 1, len(edge) - 1)], 0) if len(edge) else at
-                yield pa.RecordBatch.from_arrays(
-                    [tb.as_long(edge[place]), tb.as_long(proof[place]), tb.as_long(before), tb.as_long(after), pa.array(ids[part.first + row], pa.int64()), pa.array(at, pa.int32())],
-                    ["edge", "proof", "before", "after", "doc_id", "at"],
-                )
-
-    return texts.mapInArrow(run, EDGE)
+                    size = found.first[k + 1] - found.first[k] - window + 1
+                    for low, count in zip(own.field("lo").to_pylist(), own.field("n").to_pylist(), strict=True):
+                        high = min(low + count, size)
+                        if low < high:
+                            a, b = found.first[k] + low, found.first[k] + high
+                            rows.append((ids[part.first + k], low, signed[a:b], proofs[a:b], signed[a - 1] if low else 0, signed[b] if high < size else 0))
+                if rows:
+                    kinds = (pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.int64(), pa.int64())
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], [f.split()[0] for f in RUN.split(", ")])
+
+    return texts.mapInArrow(run, RUN)
+
+
+def _each(runs: DataFrame) -> DataFrame:
+    """One row per window: edge, proof, before, after, doc_id, at."""
+    n = F.size("edges")
+    before = F.concat(F.array("before"), F.slice("edges", 1, n - 1))
+    after = F.concat(F.slice("edges", 2, n - 1), F.array("after"))
+    zipped = F.arrays_zip(F.col("edges").alias("edge"), F.col("proofs").alias("proof"), before.alias("before"), after.alias("after"))
+    each = runs.select("doc_id", "lo", F.posexplode(zipped).alias("k", "w"))
+    return each.select("w.edge", "w.proof", "w.before", "w.after", "doc_id", (F.col("lo") + F.col("k")).alias("at"))
 
 
 def _paths(edges: DataFrame) -> DataFrame:
@@ -99,7 +104,7 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     shared = stored(shared.filter("not uniform or doc_id > first_doc").select("doc_id", "lo", "n", "first_doc", "uniform"))
     settled = shared.filter("uniform").select("doc_id", "lo", "n", "first_doc")
     open_ones = by_document(shared.filter("not uniform"), "lo", "n")
-    edges = stored(_edges(texts.join(open_ones, "doc_id"), window))
+    edges = _each(stored(_edges(texts.join(open_ones, "doc_id"), window)))
     paths = _paths(edges)
     found = edges.join(paths, ["edge", "proof"]).filter("doc_id > first_doc").select("doc_id", F.col("at").alias("lo"), "n", "first_doc")
     return settled.unionByName(found)
