@@ -2,13 +2,14 @@
 
 References are histograms over all texts of a language: of character classes, and of the
 language's most common words (by a hash) against all other words. A document is compared
-with every reference by Jensen-Shannon distance and the nearest one counts, so a wrong language label harms
-nothing. Short documents, whose histograms say little, are not judged by distance.
+with the references of all common languages and of its own language by Jensen-Shannon distance and the nearest one
+counts, so a wrong label harms nothing among common languages. Short documents, whose histograms say little, and documents
+of languages with too little text for a reference are not judged by distance.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -16,13 +17,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from guestlens.llm import textbytes as tb
 
 WORD_BITS = 13
 COMMON = 64
-#: A language with a smaller share of all words has no reference of its own; hence at most so many references.
+#: Languages with a smaller share of all words are compared with their own documents only; hence at most so many references on the driver.
 LEAST_SHARE = 1 / 200
+#: Characters of all texts of a language that make a reference.
+LEAST_TEXT = 20_000
 POOLED = "(all)"
 SYMBOLS = np.zeros(256, bool)
 SYMBOLS[list(b"#*$%&|<>")] = True
@@ -168,23 +172,32 @@ def counts(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("lang").cast("string"), "text").mapInArrow(run, "lang string, bin int, n long").groupBy("lang", "bin").agg(F.sum("n").alias("n"))
 
 
-def references(docs: DataFrame) -> References:
-    """References of the languages that hold a fair share of all words, and one of all texts.
+def _reference_rows(summed: DataFrame) -> DataFrame:
+    """lang, bin, share: of the character classes and of the COMMON most frequent word bins."""
+    words = F.col("bin") >= N_CLASSES
+    place = F.row_number().over(W.partitionBy("lang", words).orderBy(F.desc("n"), "bin"))
+    share = F.col("n") / F.sum("n").over(W.partitionBy("lang", words))
+    rows = summed.withColumn("place", place).withColumn("share", share)
+    return rows.filter((F.col("bin") < N_CLASSES) | (F.col("place") <= COMMON)).select("lang", "bin", "share")
+
 
-    What reaches the driver is bounded: 1 / LEAST_SHARE languages with COMMON words each.
+def references(docs: DataFrame) -> tuple[References, list[str], DataFrame | None]:
+    """References of the languages that hold a fair share of all words, and one of all texts; those languages; and the other references.
+
+    What reaches the driver is bounded: 1 / LEAST_SHARE languages with COMMON words each. The others stay in
+    Spark, a row per language: lang, own (bin and share). There is no table of them if all texts are of the languages before.
     """
     from guestlens.llm.frames import stored
 
     summed = stored(counts(docs))
     words = F.col("bin") >= N_CLASSES
-    per_language = summed.filter(words).groupBy("lang").agg(F.sum("n").alias("own"))
+    per_language = summed.groupBy("lang").agg(F.sum(F.when(words, F.col("n"))).alias("own"), F.sum(F.when(~words, F.col("n"))).alias("chars"))
     total = per_language.agg(F.sum("own")).first()[0] or 0
-    large = [r["lang"] for r in per_language.filter(F.col("own") >= LEAST_SHARE * total).collect()] if total else []
+    enough = F.col("chars") >= LEAST_TEXT
+    large = [r["lang"] for r in per_language.filter(enough & (F.col("own") >= LEAST_SHARE * total)).collect()] if total else []
     pooled = summed.groupBy("bin").agg(F.sum("n").alias("n")).select(F.lit(POOLED).alias("lang"), "bin", "n")
-    both = summed.filter(F.col("lang").isin(large)).unionByName(pooled)
-    place = F.row_number().over(W.partitionBy("lang", words).orderBy(F.desc("n"), "bin"))
-    share = F.col("n") / F.sum("n").over(W.partitionBy("lang", words))
-    rows = both.withColumn("place", place).withColumn("share", share).filter((F.col("bin") < N_CLASSES) | (F.col("place") <= COMMON)).collect()
+    rows = _reference_rows(summed.filter(F.col("lang").isin(large))).collect()
+    rows += _reference_rows(pooled).collect()
     out = References(np.zeros((0, N_CLASSES)), [], [])
     for lang in [*sorted(large), POOLED]:
         own = sorted((r["bin"], r["share"]) for r in rows if r["lang"] == lang)
@@ -196,7 +209,11 @@ def references(docs: DataFrame) -> References:
         out.classes = np.vstack([out.classes, chars])
         out.bins.append(np.array([k for k, _ in common], np.int64))
         out.shares.append(np.array([*(s for _, s in common), max(0.0, 1 - sum(s for _, s in common))]))
-    return out
+    rest = per_language.filter(~F.col("lang").isin(large))
+    if rest.isEmpty():
+        return out, large, None
+    others = _reference_rows(summed.join(rest.filter(enough).select("lang"), "lang", "left_semi"))
+    return out, large, stored(others.groupBy("lang").agg(F.collect_list(F.struct("bin", "share")).alias("own")))
 
 
 def distance(counted: np.ndarray, shares: np.ndarray) -> np.ndarray:
@@ -224,21 +241,69 @@ def distances(p: Profile, to: References) -> tuple[np.ndarray, np.ndarray]:
     return chars, best
 
 
-def verdict(p: Profile, chars: np.ndarray, words: np.ndarray, limits: Limits) -> np.ndarray:
-    """True where a document is kept."""
+def own_distances(p: Profile, langs: pa.Array, own: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distance of each row to the reference that came with it, by character classes and by words, and which rows have one."""
+    rows = len(p.n_words)
+    _, first, which = np.unique(np.array(langs.to_pylist()).astype(str), return_index=True, return_inverse=True)
+    classes, shares = np.zeros((len(first), N_CLASSES)), np.zeros((len(first), COMMON + 1))
+    slot = np.full((len(first), 1 << WORD_BITS), COMMON, np.int16)
+    for k, at in enumerate(first.tolist()):
+        place = 0
+        for one in own[at].as_py() or ():
+            if one["bin"] < N_CLASSES:
+                classes[k, one["bin"]] = one["share"]
+            else:
+                slot[k, one["bin"] - N_CLASSES] = place
+                shares[k, place] = one["share"]
+                place += 1
+        shares[k, COMMON] = max(0.0, 1 - shares[k].sum())
+    width = COMMON + 1
+    counted = np.bincount(p.word_rows * width + slot[which[p.word_rows], p.word_bins], minlength=rows * width).reshape(rows, width)
+    held = own.is_valid().to_numpy(zero_copy_only=False)
+    chars, words = distance(p.classes, classes[which]), distance(counted, shares[which])
+    return np.where(held, chars, np.inf), np.where(held, words, np.inf), held
+
+
+def verdict(p: Profile, chars: np.ndarray, words: np.ndarray, limits: Limits, judged: np.ndarray | bool = True) -> np.ndarray:
+    """True where a document is kept; only ``judged`` ones can be too far away."""
     far = (p.classes.sum(1) >= limits.least_chars) & (chars > limits.chars)
     far |= (p.n_words >= limits.least_words) & (words > limits.words)
-    return ~base_failed(p) & ~far
+    return ~base_failed(p) & ~(far & judged)
 
 
 MEASURES = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, kept boolean, char_distance double, word_distance double"
 
 
-def _measures(part: tb.Slice, to: References, limits: Limits) -> list[pa.Array]:
+def _measures(part: tb.Slice, to: References, limits: Limits, langs: pa.Array | None = None, own: pa.Array | None = None) -> list[pa.Array]:
     p = profile(part)
     chars, words = distances(p, to)
+    judged = True
+    if own is not None:
+        own_chars, own_words, judged = own_distances(p, langs, own)
+        chars, words = np.minimum(chars, own_chars), np.minimum(words, own_words)
     whole = [pa.array(x, pa.int64()) for x in (p.n_words, p.word_chars, p.n_symbols, p.n_dup_lines, p.n_repeat_words)]
-    return [*whole, pa.array(base_failed(p)), pa.array(verdict(p, chars, words, limits)), pa.array(chars), pa.array(words)]
+    return [*whole, pa.array(base_failed(p)), pa.array(verdict(p, chars, words, limits, judged)), pa.array(chars), pa.array(words)]
+
+
+def _judged(docs: DataFrame, limits: Limits, columns: list[str], output: Callable[[pa.RecordBatch, list[pa.Array]], pa.RecordBatch], schema: StructType | str) -> DataFrame:
+    """``output`` of every slice of the ``columns`` of ``docs`` and its measures; languages without a place among the common ones bring their reference along."""
+    to, large, others = references(docs)
+    lang = F.coalesce(F.col("lang").cast("string"), F.lit(""))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = batch.schema.get_field_index("text")
+            for part in tb.slices(batch.column(at)):
+                rows = batch.slice(part.first, len(part))
+                with_own = [rows.column(batch.schema.get_field_index(c)) for c in ("__lang", "__own") if c in batch.schema.names]
+                yield output(rows.select(columns), _measures(part, to, limits, *with_own))
+
+    if others is None:
+        return docs.select(*columns).mapInArrow(run, schema)
+    common = docs.filter(lang.isin(large)).select(*columns).mapInArrow(run, schema)
+    rest = docs.filter(~lang.isin(large)).select(*columns, lang.alias("__lang"))
+    brought = rest.join(others.select(F.col("lang").alias("__lang"), F.col("own").alias("__own")), "__lang", "left")
+    return common.unionByName(brought.mapInArrow(run, schema))
 
 
 def measured(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
@@ -246,26 +311,17 @@ def measured(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
 
     Null and empty texts have no words, fail the base rule and have distance 0. Repeated rows
     have equal results; an empty table gives no rows; columns other than doc_id, text and lang
-    are not read, and ``lang`` (may be null) only says which texts a reference is made of.
+    are not read, and ``lang`` (may be null, which counts as one language) says which texts a reference is made of. Rows of a language
+    with fewer than LEAST_TEXT characters in all have distances to the references of others, but only the base rule can reject them.
     """
-    to = references(docs)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in tb.slices(batch.column(1)):
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(part.first, len(part)), *_measures(part, to, limits)], ["doc_id", *(f.split()[0] for f in MEASURES.split(", "))])
+    def output(rows: pa.RecordBatch, measures: list[pa.Array]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([rows.column(0), *measures], ["doc_id", *(f.split()[0] for f in MEASURES.split(", "))])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, f"doc_id long, {MEASURES}")
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang")
+    return _judged(own, limits, ["doc_id", "text"], output, f"doc_id long, {MEASURES}")
 
 
 def keep_good(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """The rows of ``docs`` that pass, with their columns as they are."""
-    to = references(docs)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at = batch.schema.get_field_index("text")
-            for part in tb.slices(batch.column(at)):
-                yield batch.slice(part.first, len(part)).filter(_measures(part, to, limits)[6])
-
-    return docs.mapInArrow(run, docs.schema)
+    return _judged(docs, limits, docs.columns, lambda rows, measures: rows.filter(measures[6]), docs.schema)

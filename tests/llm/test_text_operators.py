@@ -8,6 +8,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from guestlens.llm import binary_output, bins, divergence_rules, host_extract, pattern_packing, quality_model, textbytes, tokens
 
@@ -195,6 +196,25 @@ def test_distance_is_jensen_shannon():
     assert got[1] == 0 and got[3] == 0 and got[0] == pytest.approx(got[2]) and got[0] == pytest.approx(0.5579, abs=1e-3)
 
 
+def test_rare_language_is_judged_by_its_own_texts(spark):
+    rng = random.Random(11)
+    english, russian = ("the of and to in that is was for it with as his on be".split(), "и в не на что он как это его но они мы был для она".split())
+    text = lambda common, letters: " ".join(rng.choice(common) if rng.random() < 0.4 else "".join(rng.choice(letters) for _ in range(rng.randint(3, 8))) for _ in range(400))
+    plain = [(100 + i, text(english, "abcdefghijklmnoprstuvw"), "en") for i in range(20)]
+    rare = [(i, text(russian, "абвгдежзийклмнопрстуфхцч"), "ru") for i in range(12)]
+    noise = " ".join("#$%"[k % 3] * 3 + str(k) for k in range(200))
+    odd = [(90, noise, "ru"), (91, noise, "en"), (92, text(russian, "абвгдежзийклмноп"), "uk"), (93, "и " * 50, "uk"), (94, None, "uk"), (95, None, "none")]
+    schema = "doc_id long, text string, lang string"
+    docs = spark.createDataFrame(plain, schema).crossJoin(spark.range(130).select()).unionByName(spark.createDataFrame(rare + odd, schema))
+    assert 12 * 400 < 20 * 130 * 400 * divergence_rules.LEAST_SHARE
+    wide = docs.unionByName(docs.filter("doc_id >= 100").withColumn("doc_id", F.col("doc_id") + 100))
+    for given in (docs, wide):
+        kept = {r["doc_id"] for r in divergence_rules.measured(given).where("kept").collect()}
+        assert kept & set(range(100)) == {*range(12), 92} and kept >= set(range(100, 120))
+        good = divergence_rules.keep_good(given)
+        assert good.columns == given.columns and {r["doc_id"] for r in good.collect()} == kept
+
+
 def test_rules_agree_with_labels_and_keep_columns(spark, small):
     docs, labels = spark.read.parquet(f"{small}/documents.parquet"), spark.read.parquet(f"{small}/labels.parquet")
     judged = divergence_rules.measured(docs).join(labels, "doc_id").where("not base_failed").toPandas()
