@@ -3,8 +3,9 @@
 A page is read into elements and text blocks. Containers are scored by the text of the blocks
 in them that is neither link text nor inside menus, adverts, forms and the like. Every page
 votes with its scores for generalised paths (tags and classes, digits removed) from the body down to a
-container. The votes are summed per host in Spark, and every page is extracted again
-from the elements on its host's winning path.
+container. The votes are summed per host in Spark; the path with most of them is widened to the containers around it
+that hold at least half as many, as they do unless what they add is mostly links. Every page is extracted again
+from the elements on its host's path, or from its own container if that holds more than twice the text.
 """
 
 from __future__ import annotations
@@ -43,6 +44,8 @@ BOILER = frozenset(
     "cookie cookies consent notice notices gdpr alert popup modal overlay comment comments reply replies discussion respond disqus share sharing social "
     "related recommended recommendations newsletter subscribe signup login footer header masthead pagination pager toolbar widget copyright legal".split()
 )
+#: Of the page's text outside links, the share (in hundredths) up to which an element is dropped for a class that is such a word, and for one that has it as a part.
+WHOLE_NAME, PART_OF_NAME = 90, 50
 #: An element that closes an open one of the same group, up to the given enclosing ones.
 SIBLINGS = {
     "li": ({"li"}, {"ul", "ol", "menu"}),
@@ -63,6 +66,8 @@ class Element:
     path: str
     dropped: bool
     link: bool
+    #: Greatest share of the page's text, in hundredths, that the element's names let drop; 0 for harmless names.
+    suspect: int = 0
 
 
 @dataclass
@@ -73,21 +78,34 @@ class Page:
     blocks: list[tuple[int, str, int]] = field(default_factory=list)
 
 
-def _described(name: str, rest: str) -> tuple[str, bool]:
-    """The element's part of a path, and whether its attributes tell boilerplate."""
-    classes, boiler = [], False
+def _described(name: str, rest: str) -> tuple[str, bool, int]:
+    """The element's part of a path, whether it is hidden, and the share of the page's text up to which its names tell boilerplate."""
+    classes, hidden, suspect = [], False, 0
     if "=" in rest or "hidden" in rest:
         for key, *values in _NAMES.findall(rest):
             value, key = "".join(values).lower(), key.lower()
             if key == "class":
                 classes = sorted({_DIGITS.sub("", c) for c in value.split()} - {""})
             if key in ("class", "id", "role"):
-                boiler |= not BOILER.isdisjoint(_SPLIT.split(value))
+                if not BOILER.isdisjoint(_SPLIT.split(value)):
+                    suspect = max(suspect, PART_OF_NAME if BOILER.isdisjoint(_DIGITS.sub("", value).split()) else WHOLE_NAME)
             elif key == "aria-hidden":
-                boiler |= value == "true"
+                hidden |= value == "true"
             elif key == "style":
-                boiler |= "display:none" in value.replace(" ", "")
-    return ".".join([name, *classes]), boiler
+                hidden |= "display:none" in value.replace(" ", "")
+    return ".".join([name, *classes]), hidden, suspect
+
+
+def _drop_suspects(page: Page) -> None:
+    """Drop the elements whose names tell boilerplate, unless they hold most of the page's text, as a wrapper does."""
+    held = [0] * len(page.elements)
+    for holder, text, linked in page.blocks:
+        if not page.elements[holder].dropped:
+            held[holder] += max(0, len(text) - linked)
+    for k in range(len(held) - 1, 0, -1):
+        held[page.elements[k].parent] += held[k]
+    for k, own in enumerate(page.elements[1:], 1):
+        own.dropped |= page.elements[own.parent].dropped or (own.suspect > 0 and held[k] * 100 <= held[0] * own.suspect)
 
 
 def parsed(source: str) -> Page:
@@ -164,14 +182,15 @@ def parsed(source: str) -> Page:
                 cut(keep)
         parent = stack[-1]
         above = elements[parent]
-        part, boiler = _described(name, found["rest"] or found["rest2"] or "")
+        part, hidden, suspect = _described(name, found["rest"] or found["rest2"] or "")
         if name in ("html", "body"):
-            part, boiler = name, False
+            part, hidden, suspect = name, False, 0
         path = above.path if name in INLINE else f"{above.path}>{part}"
-        elements.append(Element(name, parent, path, above.dropped or boiler or name in DROPPED, above.link or name == "a"))
+        elements.append(Element(name, parent, path, above.dropped or hidden or name in DROPPED, above.link or name == "a", suspect))
         if not (found["rest"] or "").rstrip().endswith("/") or name in CONTAINERS or name == "p":
             stack.append(len(elements) - 1)
     flush(holder())
+    _drop_suspects(page)
     return page
 
 
@@ -196,6 +215,12 @@ def best_path(scores: dict[str, int]) -> str | None:
     return min(scores, key=lambda p: (-scores[p], p)) if scores else None
 
 
+def wide_path(scores: dict[str, int]) -> str | None:
+    """The best path, widened to the outermost one around it that has half of its score."""
+    best = best_path(scores)
+    return best and min((p for p in scores if 2 * scores[p] >= scores[best] and f"{best}>".startswith(f"{p}>")), key=len)
+
+
 def text_on(page: Page, path: str | None) -> str:
     """Blocks inside the elements on ``path``, without boilerplate in them, one per line."""
     inside: list[bool | None] = [None] * len(page.elements)
@@ -217,7 +242,7 @@ def host(url: F.Column | str) -> F.Column:
 
 
 def _votes(pages: DataFrame) -> DataFrame:
-    """host and path of the winner: the highest sum of scores, the first path of equal ones."""
+    """host and path of the winner: the highest sum of scores, the first path of equal ones, widened as by ``wide_path``."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -228,14 +253,17 @@ def _votes(pages: DataFrame) -> DataFrame:
     voted = pages.filter("host <> '' and html is not null").select("host", "html").mapInPandas(run, "host string, path string, votes long")
     summed = voted.groupBy("host", "path").agg(F.sum("votes").alias("votes"))
     best = summed.groupBy("host").agg(F.max("votes").alias("votes"))
-    return summed.join(best, ["host", "votes"]).groupBy("host").agg(F.min("path").alias("winner"))
+    first = summed.join(best, ["host", "votes"]).groupBy("host", "votes").agg(F.min("path").alias("best"))
+    around = summed.join(first.select("host", "best", F.col("votes").alias("most")), "host")
+    around = around.filter((2 * F.col("votes") >= F.col("most")) & F.concat("best", F.lit(">")).startswith(F.concat("path", F.lit(">"))))
+    return around.groupBy("host").agg(F.min_by("path", F.length("path")).alias("winner"))
 
 
 def main_text(pages: DataFrame) -> DataFrame:
     """Per row of ``pages``: page_id, url, text, n_chars.
 
-    Pages without a host, or without text on their host's path, are extracted from their own best
-    container. Null and empty pages, and pages of boilerplate alone, have an empty text. Repeated
+    Pages without a host, or whose own best container holds more than twice the text of their host's path, are extracted from
+    that container. Null and empty pages, and pages of boilerplate alone, have an empty text. Repeated
     rows have equal results, an empty table gives no rows, and other columns are not read.
     """
     rows = pages.select("page_id", "url", "html", F.coalesce(host("url"), F.lit("")).alias("host"))
@@ -245,7 +273,9 @@ def main_text(pages: DataFrame) -> DataFrame:
             texts = []
             for source, winner in zip(batch["html"], batch["winner"], strict=True):
                 page = parsed(source or "")
-                texts.append((text_on(page, winner) if isinstance(winner, str) else "") or text_on(page, best_path(container_scores(page))))
+                shared = text_on(page, winner) if isinstance(winner, str) else ""
+                own = text_on(page, wide_path(container_scores(page)))
+                texts.append(own if len(own) > 2 * len(shared) else shared)
             yield pd.DataFrame({"page_id": batch["page_id"], "url": batch["url"], "text": texts, "n_chars": [len(t) for t in texts]})
 
     schema = f"page_id {pages.schema['page_id'].dataType.simpleString()}, url string, text string, n_chars long"

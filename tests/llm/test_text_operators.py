@@ -277,3 +277,21 @@ def test_paths_without_digits_and_hidden_elements():
     page = host_extract.parsed('<body><div class="b2 a1"><p>x</p><div style="display: none"><p>no</p></div></div></body>')
     path = host_extract.best_path(host_extract.container_scores(page))
     assert path == ">body>div.a.b" and host_extract.text_on(page, path) == "x"
+
+
+def test_text_around_and_beside_the_winner(spark):
+    long = lambda w, n: f"<p>{' '.join([w] * n)}</p>"
+    titled = "<body><nav>menu</nav><article><h1>T{0}</h1><p>lead</p><div class='body'>{1}</div></article></body>"
+    sections = "<body><main><section class='a'>{1}</section><section class='b'><p>short part {0}</p></section></main></body>"
+    wrapped = "<body><div class='content has-sidebar'>{1}<div class='sidebar'><p>links here</p></div></div></body>"
+    listed = "<body><div><p><a href='/x'>%s</a></p><div class='text'>{1}</div></div></body>" % ("menu of links " * 30)
+    other = "<body><div class='story'>%s</div><article><p>teaser</p></article></body>" % long("story", 90)
+    rows = [(10 * k + i, f"https://h{k}.example/{i}", source.format(i, long("word", 40))) for k, source in enumerate([titled, sections, wrapped, listed]) for i in range(5)]
+    rows.append((9, "https://h0.example/9", other))
+    got = {r["page_id"]: r["text"] for r in host_extract.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    body = " ".join(["word"] * 40)
+    for i in range(5):
+        assert got[i] == f"T{i}\nlead\n{body}"
+        assert got[10 + i] == f"{body}\nshort part {i}"
+        assert got[20 + i] == body and got[30 + i] == body
+    assert got[9].startswith("story story")
