@@ -18,8 +18,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines similar to an earlier line are cut; documents of which nothing is left go."""
-    return line_join.without_later_lines(docs)
+    """Lines whose words are similar to those of an earlier line are cut; documents of which nothing is left go."""
+    return line_join.without_later_lines(docs, line_join.WORDS)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,6 +1,6 @@
 """Line deduplication: an exact set-similarity self-join of lines.
 
-A line is the set of its word shingles (tokens). Tokens have one global order, rarest first:
+A line is the set of its tokens: word shingles, or with size WORDS its words, repeated ones numbered. Tokens have one global order, rarest first:
 occurrences are counted in a table of fixed size by the leading bits of the token's hash, and those bits
 are replaced by the rank of their count, which keeps tokens distinct and makes common ones last. Two lines of the
 wanted Jaccard similarity share a token among the first few of both (prefix filter), have
@@ -9,6 +9,7 @@ are verified on their whole sets, and a line that is similar to an earlier one i
 
 Lines with equal sets are one class. Classes that share a prefix token are first compared with one
 class of them each; only classes not removed by that are compared with all earlier classes that share a token.
+The classes of a token are dealt to blocks, and every pair of blocks is compared by itself.
 Only SQL functions are used.
 """
 
@@ -21,6 +22,10 @@ from guestlens.llm.frames import stored
 from guestlens.llm.shingles import shingle_hashes, word_list
 
 SHINGLE = 5
+#: As a shingle size: tokens are single words, the k-th use of a word in a line is a token of its own.
+WORDS = 0
+#: Classes of a prefix token that one task compares with as many others.
+BLOCK = 1024
 PERCENT = 80
 RARITY_BITS = 14
 _HALF = 1 << (RARITY_BITS - 1)
@@ -32,9 +37,22 @@ def _lines(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), lines.alias("lines")).select("doc_id", F.posexplode_outer("lines").alias("line_no", "line"))
 
 
+def _numbered_words(words: DataFrame) -> DataFrame:
+    """doc_id, line_no and a hash of every word of ``words`` with its number among equal ones, in time linear in the line."""
+    own = words.select("doc_id", "line_no", F.sort_array(F.transform("words", lambda w: F.xxhash64(w))).alias("own"))
+    places = F.sequence(F.lit(0), F.size("own") - 1)
+    starts = F.filter(places, lambda i: (i == 0) | (F.get("own", i) != F.get("own", i - 1)))
+    runs = own.select("doc_id", "line_no", "own", F.when(F.size("own") > 0, starts).otherwise(F.array().cast("array<int>")).alias("starts"))
+    end = lambda r: F.coalesce(F.get("starts", r + 1), F.size("own"))
+    run = lambda start, r: F.transform(F.sequence(start, end(r) - 1), lambda i: F.xxhash64(F.get("own", i), i - start))
+    return runs.select("doc_id", "line_no", F.flatten(F.transform("starts", run)).alias("hashes"))
+
+
 def _hashed(docs: DataFrame, size: int) -> DataFrame:
-    """doc_id, line_no and the line's shingle hashes, with repeats."""
+    """doc_id, line_no and the line's token hashes, shingles with repeats."""
     words = _lines(docs).select("doc_id", "line_no", word_list(F.lower("line")).alias("words"))
+    if size == WORDS:
+        return _numbered_words(words)
     return words.select("doc_id", "line_no", shingle_hashes(F.col("words"), size).alias("hashes"))
 
 
@@ -98,12 +116,14 @@ def later_lines(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) ->
     sets = stored(_tokens(_hashed(texts, size), rarity).join(wanted, ["doc_id", "line_no"]).filter(F.xxhash64("tokens") == F.col("class")).dropDuplicates(["class"]))
     first = stored(_verified(star, sets, percent))
 
+    blocks = F.ceil(F.col("uses") / BLOCK).cast("int")
+    own, every = F.pmod(F.xxhash64("class"), blocks).cast("int"), F.explode(F.sequence(F.lit(0), blocks - 1))
     rest = shared.filter("uses > 2")
-    x = rest.join(first, "class", "left_anti").select("token", F.col("class").alias("a"), F.col("n").alias("xn"), F.col("pos").alias("xp"), F.struct("doc_id", "line_no").alias("place"))
-    y = rest.select("token", F.col("class").alias("b"), F.col("n").alias("yn"), F.col("pos").alias("yp"), F.struct("doc_id", "line_no").alias("before"))
+    x = rest.join(first, "class", "left_anti").select("token", own.alias("i"), every.alias("j"), F.col("class").alias("a"), F.col("n").alias("xn"), F.col("pos").alias("xp"), F.struct("doc_id", "line_no").alias("place"))
+    y = rest.select("token", every.alias("i"), own.alias("j"), F.col("class").alias("b"), F.col("n").alias("yn"), F.col("pos").alias("yp"), F.struct("doc_id", "line_no").alias("before"))
     long = (F.col("xn") * 100 >= F.col("yn") * percent) & (F.col("yn") * 100 >= F.col("xn") * percent)
     room = F.least(F.col("xn") - F.col("xp"), F.col("yn") - F.col("yp")) * (100 + percent) >= (F.col("xn") + F.col("yn")) * percent
-    on = (x["token"] == y["token"]) & (F.col("before") < F.col("place")) & long & room
+    on = (x["token"] == y["token"]) & (x["i"] == y["i"]) & (x["j"] == y["j"]) & (F.col("before") < F.col("place")) & long & room
     more = _verified(x.join(y, on).select("a", "b").distinct(), sets, percent)
 
     gone = first.unionByName(more).distinct().select("class", F.lit(True).alias("similar"))

@@ -199,6 +199,37 @@ def test_similar_lines(spark, seed):
     assert {r["doc_id"]: r["n_lines"] for r in rows} == {i: len((t or "").split("\n")) for i, t in texts}
 
 
+def removed_by_words(texts, percent=80):
+    bags, out = [], {}
+    for i, text in texts:
+        out[i] = []
+        for k, line in enumerate((text or "").split("\n")):
+            own = Counter(line.encode().lower().split())
+            if own:
+                if any(100 * (own & b).total() >= percent * (own | b).total() for b in bags):
+                    out[i].append(k)
+                bags.append(own)
+    return out
+
+
+@pytest.mark.parametrize("seed,block", [(3, 1024), (4, 3)])
+def test_similar_lines_by_words(spark, monkeypatch, seed, block):
+    monkeypatch.setattr(line_join, "BLOCK", block)
+    texts = corpus(seed)
+    extra = ["a b c d e f g h i j k l", "a b c X e f g h i j k l", "l k j i h g f e d c b a", "a a a a a", "a a a a", "a a a", "p q r s", "p q r s t", "p q r"]
+    texts += [(1000 + k, t) for k, t in enumerate(extra)]
+    rows = line_join.line_report(frame(spark, texts), line_join.WORDS).collect()
+    assert {r["doc_id"]: list(r["removed_lines"]) for r in rows} == removed_by_words(texts)
+
+
+def test_pipeline_cuts_lines_with_one_changed_word(spark):
+    import corpus_pipeline
+
+    texts = [(1, "one line of a dozen words in all that comes back once"), (2, "one line of a dozen words in all that comes here once\nother")]
+    kept = corpus_pipeline.line_dedup(spark, frame(spark, texts), "")
+    assert {r["doc_id"]: r["text"] for r in kept.collect()} == {1: texts[0][1], 2: "other"}
+
+
 def test_lines_are_cut_and_columns_stay(spark):
     line = "one line of quite a few words to repeat"
     df = spark.createDataFrame(
