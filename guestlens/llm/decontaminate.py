@@ -64,8 +64,8 @@ def contaminated(docs: DataFrame, items: DataFrame, size: int = SHINGLE, percent
     """Pairs of a document and an item of which it holds at least ``percent`` of the shingles.
 
     Returns doc_id, item_id, n_item (distinct shingles of the item), n_shared (those in the document). Items
-    and documents of fewer than ``size`` words are one shingle; null and empty ones have none and
-    never match. Rows of equal doc_id count as one document, rows of equal item_id as one item.
+    and documents of fewer than ``size`` words are one shingle, so that such an item matches whole documents only and is not found
+    inside a longer one; null and empty ones have none and never match. Rows of equal doc_id count as one document, rows of equal item_id as one item.
     Without items or documents there are no pairs; other columns are not read.
     """
     own = _shingled(items, "item_id", size).select("item_id", "h").filter("h <> 0").distinct()
