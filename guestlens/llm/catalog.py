@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from guestlens.llm import bayes_dedup, binary_output, compaction, decontaminate, divergence_rules, host_extract, line_join, pattern_packing, quality_model, run_index, tokens
+from guestlens.llm import bayes_dedup, binary_output, compaction, decontaminate, divergence_rules, host_extract, line_join, pattern_packing, periodic_runs, quality_model, run_index, tokens
 from guestlens.llm.frames import table
 
 
@@ -50,6 +50,10 @@ def op10_compacted_spans(spark: SparkSession, folder: str) -> DataFrame:
     return compaction.removal_digest(table(spark, folder, "documents"))
 
 
+def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    return periodic_runs.run_digest(table(spark, folder, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """The first query of every operator, by name; each takes (spark, sf_dir)."""
     return {
@@ -63,4 +67,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_divergence_rules": op8_divergence_rules,
         "op9_pattern_packing": op9_pattern_packing,
         "op10_compacted_spans": op10_compacted_spans,
+        "op11_periodic_runs": op11_periodic_runs,
     }
