@@ -65,10 +65,44 @@ SELECT d.doc_id, len(ws) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256
 FROM d LEFT JOIN k ON k.doc_id = d.doc_id"""
 
 
+def crc32(word: str) -> str:
+    """The unsigned CRC of a string's UTF-8 bytes, by the polynomial's table; needs a column ``steps`` made by ``CRC_STEPS``."""
+    code = f"hex(encode({word}))"
+    bytes_ = f"list_transform(range(0, len({code}) // 2), lambda i: ('0x' || substr({code}, (2 * i + 1)::INT, 2))::BIGINT)"
+    return f"xor(4294967295, list_reduce(list_prepend(4294967295, {bytes_}), lambda a, b: xor(a >> 8, steps[(xor(a, b) & 255) + 1])))"
+
+
+CRC_STEPS = """SELECT list_transform(range(256), lambda x: list_reduce(list_prepend(x, [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+  lambda a, b: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END)) AS steps"""
+
+
+def importance_ranks(buckets: int, least: int, percent: int, seed: int) -> str:
+    """Features are single words."""
+    parts = r"'[\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
+    ws = f"list_filter(regexp_split_to_array({_ASCII}, {parts}), lambda w: w <> '')"
+    return f"""WITH d AS (SELECT doc_id, {ws} AS ws FROM documents),
+dw AS (SELECT doc_id, unnest(ws) AS w FROM d),
+bw AS (SELECT unnest({ws}) AS w FROM benchmark),
+steps AS ({CRC_STEPS}),
+v AS (SELECT w, {crc32("w")} % {buckets} AS bucket FROM (SELECT w FROM dw UNION SELECT w FROM bw), steps),
+s AS (SELECT bucket, count(*) AS s FROM dw JOIN v USING (w) GROUP BY 1),
+t AS (SELECT bucket, count(*) AS t FROM bw JOIN v USING (w) GROUP BY 1),
+n AS (SELECT (SELECT count(*) FROM dw)::DOUBLE + {buckets} AS s_all, (SELECT count(*) FROM bw)::DOUBLE + {buckets} AS t_all),
+g AS (SELECT bucket, floor(1000 * ln((coalesce(t, 0)::DOUBLE + 1) * s_all / ((coalesce(s, 0)::DOUBLE + 1) * t_all)))::BIGINT AS gain
+  FROM s FULL JOIN t USING (bucket), n),
+x AS (SELECT doc_id, sum(gain)::BIGINT AS weight FROM dw JOIN v USING (w) JOIN g USING (bucket) GROUP BY 1),
+h AS (SELECT doc_id, len(ws) AS n_features, coalesce(weight, 0) AS weight,
+  ('0x' || substr(sha256('{seed}:' || doc_id), 1, 8))::BIGINT AS h FROM d LEFT JOIN x USING (doc_id)),
+r AS (SELECT *, weight + floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score, n_features >= {least} AS fit FROM h),
+p AS (SELECT *, row_number() OVER (PARTITION BY fit ORDER BY score DESC, doc_id) AS place, count(*) FILTER (WHERE fit) OVER () AS fits FROM r)
+SELECT doc_id, n_features::BIGINT AS n_features, weight, score, CASE WHEN fit AND place <= {percent} * fits // 100 THEN place END AS rank FROM p"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_containment_search": contaminated(5, 80),
         "op2_minhash_bayes": near_duplicates(3, 85),
         "op4_similar_lines": similar_lines(5, 80),
         "op10_compacted_spans": compacted_spans(13),
+        "op13_importance_resampling": importance_ranks(10_000, 20, 10, 2024),
     }
