@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from guestlens.llm import bayes_dedup, binary_output, compaction, decontaminate, divergence_rules, host_extract, importance_resampling, line_join, pattern_packing, periodic_runs, quality_model, run_index, tokens
+from guestlens.llm import bayes_dedup, binary_output, compaction, decontaminate, divergence_rules, hidden_markov, host_extract, importance_resampling, line_join, pattern_packing, periodic_runs, quality_model, run_index, tokens
 from guestlens.llm.frames import table
 
 
@@ -54,6 +54,10 @@ def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
     return periodic_runs.run_digest(table(spark, folder, "documents"))
 
 
+def op12_hidden_markov(spark: SparkSession, folder: str) -> DataFrame:
+    return hidden_markov.scored(table(spark, folder, "documents"))
+
+
 def op13_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
     return importance_resampling.ranked(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
@@ -72,5 +76,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_pattern_packing": op9_pattern_packing,
         "op10_compacted_spans": op10_compacted_spans,
         "op11_periodic_runs": op11_periodic_runs,
+        "op12_hidden_markov": op12_hidden_markov,
         "op13_importance_resampling": op13_importance_resampling,
     }

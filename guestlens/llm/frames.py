@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from guestlens import session
 from guestlens.session import shuffle_width
 
-__all__ = ["numbered", "shuffle_width", "stored", "table"]
+__all__ = ["cleaned", "numbered", "shuffle_width", "stored", "table"]
 
 #: Lets Spark delete the shuffle files of a query when it has ended.
 _CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
@@ -18,13 +21,13 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """``df`` in the shared checkpoint folder. Its rows are safe there, so the shuffle files that led to them are deleted."""
-    spark = df.sparkSession
+@contextmanager
+def cleaned(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of the queries run inside are deleted when these have ended."""
     before = spark.conf.get(_CLEAN, None)
     spark.conf.set(_CLEAN, "true")
     try:
-        return session.stored(df)
+        yield
     finally:
         if before is None:
             spark.conf.unset(_CLEAN)
@@ -32,6 +35,12 @@ def stored(df: DataFrame) -> DataFrame:
             spark.conf.set(_CLEAN, before)
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` in the shared checkpoint folder. Its rows are safe there, so the shuffle files that led to them are deleted."""
+    with cleaned(df.sparkSession):
+        return session.stored(df)
+
+
 def numbered(df: DataFrame, key: str, *order: str) -> DataFrame:
     """``df`` with ``number``: 0, 1, ... within each value of ``key``, which may hold most rows.
 
