@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from guestlens import session
 from guestlens.session import shuffle_width
 
-__all__ = ["cleaned", "numbered", "shuffle_width", "stored", "table"]
+__all__ = ["cleaned", "numbered", "shuffle_width", "stored", "table", "written"]
 
 #: Lets Spark delete the shuffle files of a query when it has ended.
 _CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
@@ -41,6 +42,18 @@ def stored(df: DataFrame) -> DataFrame:
         return session.stored(df)
 
 
+def written(df: DataFrame) -> DataFrame:
+    """``df`` as a Parquet table in the shared checkpoint folder: smaller than a checkpoint, and read by column."""
+    spark = df.sparkSession
+    folder = session.checkpoint_folder(spark)
+    if folder is None:
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    path = f"{folder.rstrip('/')}/guestlens-{uuid.uuid4().hex}"
+    with cleaned(spark):
+        df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def numbered(df: DataFrame, key: str, *order: str) -> DataFrame:
     """``df`` with ``number``: 0, 1, ... within each value of ``key``, which may hold most rows.
 

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from guestlens.llm import textbytes as tb
-from guestlens.llm.frames import cleaned, stored
+from guestlens.llm.frames import cleaned, stored, written
 from guestlens.llm.periodic_runs import codes_of
 from guestlens.plans.skew import lookup_join
 
@@ -64,7 +64,20 @@ def _unpacked(data: bytes, kind: str) -> np.ndarray:
     return np.frombuffer(zstandard.ZstdDecompressor().decompress(data), kind)
 
 
-CHUNK = "chunk long, ids array<long>, lengths array<int>, tokens binary, words array<string>, learnt array<long>"
+CHUNK = "chunk long, ids array<long>, lengths array<int>, tokens binary, words binary, learnt binary"
+WORD = "chunk long, at int, word string, learnt long"
+
+
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of a task in batches of at least a chunk's bytes, but for the last."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        if sum(b.nbytes for b in held) >= CHUNK_BYTES:
+            yield pa.concat_batches(held)
+            held = []
+    if held:
+        yield pa.concat_batches(held)
 
 
 def chunks(docs: DataFrame) -> DataFrame:
@@ -72,7 +85,7 @@ def chunks(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 33
-        for batch in batches:
+        for batch in _gathered(batches):
             for part in tb.slices(batch.column(1), CHUNK_BYTES):
                 part = tb.Slice(part.first, tb.LOWER[part.data], part.offsets)
                 found = tb.words(part)
@@ -85,9 +98,9 @@ def chunks(docs: DataFrame) -> DataFrame:
                 ids = batch.column(0).slice(part.first, texts)
                 learns = np.array([i is not None and fold(i) != 2 for i in ids.to_pylist()])
                 learnt = np.bincount(tokens[np.repeat(learns, counts + 1)], minlength=len(distinct) + 1)
-                words = [*column.take(pa.array(seen)).to_pylist(), END]
-                values = [[number], [ids.to_pylist()], [(counts + 1).tolist()], [_packed(tokens)], [words], [learnt.tolist()]]
-                types = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.binary(), pa.list_(pa.string()), pa.list_(pa.int64())]
+                words = "\n".join([*column.take(pa.array(seen)).to_pylist(), END]).encode()  # no word holds a line feed
+                values = [[number], [ids.to_pylist()], [(counts + 1).tolist()], [_packed(tokens)], [_packed(np.frombuffer(words, np.uint8))], [_packed(learnt)]]
+                types = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.binary(), pa.binary(), pa.binary()]
                 names = [f.split()[0] for f in CHUNK.split(", ")]
                 yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(values, types, strict=True)], names)
                 number += 1
@@ -95,6 +108,19 @@ def chunks(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, CHUNK)
 
 
+def chunk_words(parts: DataFrame) -> DataFrame:
+    """A row for each distinct word of each chunk: its place in the chunk's dictionary and its training count there."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for chunk, packed, learnt in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
+                words = _unpacked(packed, np.uint8).tobytes().decode().split("\n")
+                columns = [pa.array(np.full(len(words), chunk)), pa.array(np.arange(len(words), dtype=np.int32)), pa.array(words), pa.array(_unpacked(learnt, np.int64))]
+                yield pa.RecordBatch.from_arrays(columns, [f.split()[0] for f in WORD.split(", ")])
+
+    return parts.select("chunk", "words", "learnt").mapInArrow(run, WORD)
+
+
 @dataclass(frozen=True)
 class Vocabulary:
     """Words with their training counts and classes, in Spark; the totals, and the mass (sum of count + 1) of every class."""
@@ -112,15 +138,14 @@ class Vocabulary:
 
 def vocabulary(parts: DataFrame) -> Vocabulary:
     """Exact counts of all words of training documents, and their classes."""
-    each = parts.select(F.explode(F.arrays_zip("words", "learnt")).alias("w")).select("w.words", "w.learnt")
-    counts = stored(each.groupBy(F.col("words").alias("word")).agg(F.sum("learnt").alias("c"), F.count(F.lit(1)).alias("n_chunks")).withColumn("h", F.xxhash64("word")))
+    counts = written(chunk_words(parts).groupBy("word").agg(F.sum("learnt").alias("c"), F.count(F.lit(1)).alias("n_chunks"))).withColumn("h", F.xxhash64("word"))
     known = counts.where("c > 0")
     total = known.agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).first()
     most = known.orderBy(F.desc("c"), "h").limit(COMMON).select("h", "c")
     own = most.withColumn("own", F.row_number().over(Window.orderBy(F.desc("c"), "h")) - 1)  # at most COMMON rows of two numbers
     shared = F.lit(COMMON) + F.pmod("h", F.lit(SHARED))
     kind = F.when(F.col("c") == 0, UNSEEN).otherwise(F.coalesce("own", shared)).cast("int")
-    words = stored(counts.join(F.broadcast(own), ["h", "c"], "left").select("word", "c", "n_chunks", kind.alias("class")))
+    words = counts.join(F.broadcast(stored(own)), ["h", "c"], "left").select("word", "c", "n_chunks", kind.alias("class"))
     mass = np.zeros(CLASSES)
     for row in words.where("c > 0").groupBy("class").agg(F.sum(F.col("c") + 1).alias("mass")).collect():  # a row per class
         mass[row["class"]] = row["mass"]
@@ -132,9 +157,9 @@ CODED = "ids array<long>, lengths array<int>, classes binary, known array<long>,
 
 def coded(parts: DataFrame, vocab: Vocabulary) -> DataFrame:
     """Chunks with class sequences; per document the known tokens, the base score and the score of words inside their classes."""
-    each = parts.select("chunk", F.posexplode("words").alias("at", "word"))
+    each = chunk_words(parts).select("chunk", "at", "word")
     met = lookup_join(each, vocab.words, ["word"], "n_chunks", "inner", spread=["chunk", "at"])
-    codes = met.groupBy("chunk").agg(F.collect_list(F.struct("at", "c", "class")).alias("codes"))
+    codes = met.groupBy("chunk").agg(F.collect_list(F.struct("c", "at", "class")).alias("codes"))
     mass, unseen = vocab.mass, vocab.unseen
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
