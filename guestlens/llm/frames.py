@@ -39,7 +39,7 @@ def cleaned(spark: SparkSession) -> Iterator[None]:
 def stored(df: DataFrame) -> DataFrame:
     """``df`` in the shared checkpoint folder. Its rows are safe there, so the shuffle files that led to them are deleted."""
     with cleaned(df.sparkSession):
-        return session.stored(df)
+        return session.stored(df.select("*"))  # the setting holds for plans that are made under it
 
 
 def written(df: DataFrame) -> DataFrame:
