@@ -21,6 +21,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
@@ -31,8 +32,8 @@ from guestlens.llm.frames import cleaned, stored, written
 from guestlens.llm.periodic_runs import codes_of
 from guestlens.plans.skew import lookup_join
 
-STATES = 12
-ROUNDS = 8
+STATES = 8
+ROUNDS = 6
 #: Words with a class of their own, and classes that the other words share by hash.
 COMMON = 32_000
 SHARED = 32_768
@@ -47,6 +48,8 @@ SHARE = 0.02
 UNIT = 1.0 / 1024
 #: A chunk has about so many bytes of text; a longer document is a chunk of its own.
 CHUNK_BYTES = 4 << 20
+#: The seed of Spark's own xxhash64.
+_SEED = 42
 #: The end of a document among the words; no word is empty.
 END = ""
 
@@ -156,20 +159,30 @@ CODED = "ids array<long>, lengths array<int>, classes binary, known array<long>,
 
 
 def coded(parts: DataFrame, vocab: Vocabulary) -> DataFrame:
-    """Chunks with class sequences; per document the known tokens, the base score and the score of words inside their classes."""
+    """Chunks with class sequences; per document the known tokens, the base score and the score of words inside their classes.
+
+    Only words that are common or occur in several chunks are looked up.
+    """
     each = chunk_words(parts).select("chunk", "at", "word")
-    met = lookup_join(each, vocab.words, ["word"], "n_chunks", "inner", spread=["chunk", "at"])
-    codes = met.groupBy("chunk").agg(F.collect_list(F.struct("c", "at", "class")).alias("codes"))
+    elsewhere = vocab.words.where(f"n_chunks > 1 or class < {COMMON}")
+    met = lookup_join(each, elsewhere, ["word"], "n_chunks", "inner", spread=["chunk", "at"])
+    codes = written(met.groupBy("chunk").agg(F.collect_list(F.struct("c", (F.col("at").cast("long") * 65536 + F.col("class")).alias("coded"))).alias("codes")))
     mass, unseen = vocab.mass, vocab.unseen
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(batch.num_rows):
                 row = batch.slice(k, 1)
+                words = _unpacked(row.column("words")[0].as_py(), np.uint8).tobytes().split(b"\n")
+                c = _unpacked(row.column("learnt")[0].as_py(), np.int64).copy()
                 table = row.column("codes").flatten()
-                at, c, kind = (table.field(name).to_numpy(zero_copy_only=False) for name in ("at", "c", "class"))
-                order = np.argsort(at)
-                c, kind = c[order], kind[order].astype("<u2")
+                at, met = np.divmod(table.field("coded").to_numpy(zero_copy_only=False), 65536)
+                kind = np.full(len(c), UNSEEN + 1, np.int64)
+                c[at], kind[at] = table.field("c").to_numpy(zero_copy_only=False), met
+                # words of this chunk alone have its own count, and their class follows from it
+                for k in np.flatnonzero(kind > UNSEEN).tolist():
+                    kind[k] = COMMON + xxhash.xxh64_intdigest(words[k], _SEED) % SHARED if c[k] else UNSEEN
+                kind = kind.astype("<u2")
                 tokens = _unpacked(row.column("tokens")[0].as_py(), "<u4")
                 lengths = row.column("lengths").flatten().to_numpy()
                 heads = np.cumsum(lengths) - lengths
@@ -180,7 +193,7 @@ def coded(parts: DataFrame, vocab: Vocabulary) -> DataFrame:
                 columns = [row.column("ids"), row.column("lengths"), pa.array([_packed(kind[tokens])], pa.binary()), *lists]
                 yield pa.RecordBatch.from_arrays(columns, [f.split()[0] for f in CODED.split(", ")])
 
-    joined = parts.select("chunk", "ids", "lengths", "tokens").join(codes, "chunk").select("ids", "lengths", "tokens", "codes")
+    joined = parts.join(codes, "chunk", "left").select("ids", "lengths", "tokens", "words", "learnt", "codes")
     return joined.mapInArrow(run, CODED)
 
 
