@@ -226,8 +226,8 @@ def q_stage_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def q_text_stage_counts(spark: SparkSession, folder: str) -> DataFrame:
-    docs = table(spark, folder, "documents").select("text", "lang")
-    return clean.text_stage_counts(docs, "text", F.col("lang"))
+    docs = table(spark, folder, "documents").select("text")
+    return clean.text_stage_counts(docs, "text", language.language_of(F.col("text")))
 
 
 def q_business_only(spark: SparkSession, folder: str) -> DataFrame:
@@ -540,7 +540,18 @@ def q_language_filter(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def q_language_profiles(spark: SparkSession, folder: str) -> DataFrame:
-    return language.train_profiles(table(spark, folder, "documents"), "text", "lang")
+    return language.train_profile(table(spark, folder, "documents"), "text", "lang", 2_000)
+
+
+def q_language_accuracy(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "lang", "text")
+    profile = language.collect_profile(language.train_profile(docs, "text", "lang", 2_000))
+    return rounded(language.accuracy(language.detect_language(docs, "text", profile), "lang"), "share")
+
+
+def q_language_accuracy_built_in(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "lang", "text")
+    return rounded(language.accuracy(language.detect_language(docs, "text"), "lang"), "share")
 
 
 def q_aspect_extract(spark: SparkSession, folder: str) -> DataFrame:

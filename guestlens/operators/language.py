@@ -1,173 +1,200 @@
-"""Language of a text by the function words it contains."""
+"""Language of a text by its character n-grams.
+
+A profile holds, per language, how often each run of one to three characters occurs in the words of sample
+texts, a word standing between two spaces. A text's score for a language is the sum of its grams' smoothed log frequencies, in whole thousandths, so
+that no order of summation changes a result. The grams of a word depend on the word alone: texts are cut into words
+in Arrow batches, and only a batch's distinct words are scored.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections import Counter
+from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from guestlens.functions.text import once, words
-
-# Frequent function words; a word may belong to several languages.
-FUNCTION_WORDS = {
-    "en": (
-        "the", "of", "and", "to", "a", "in", "is", "that", "it", "for", "was", "on", "with", "be", "by", "as",
-        "this", "are", "at", "from", "but", "not", "we", "they", "there", "were", "have", "had", "very", "i",
-    ),
-    "de": (
-        "der", "die", "und", "in", "den", "von", "zu", "das", "mit", "sich", "auf", "des", "für", "ist", "nicht",
-        "dem", "im", "ein", "als", "eine", "es", "war", "wir", "aber", "auch", "sehr", "an", "bei", "nur", "ich",
-    ),
-    "fr": (
-        "de", "la", "le", "et", "les", "des", "en", "un", "du", "une", "que", "pour", "est", "qui", "par", "dans",
-        "sur", "au", "pas", "avec", "nous", "il", "ce", "mais", "très", "plus", "était", "ne", "se", "je",
-    ),
-    "es": (
-        "de", "la", "que", "el", "en", "y", "los", "se", "del", "las", "por", "un", "no", "con", "su", "una", "es",
-        "para", "al", "lo", "como", "más", "pero", "muy", "era", "todo", "nos", "estaba", "hay", "yo",
-    ),
-    "pl": (
-        "i", "w", "na", "z", "do", "nie", "się", "jest", "to", "że", "o", "a", "ale", "po", "od", "za", "był",
-        "była", "było", "bardzo", "tylko", "dla", "jak", "przy", "ze", "tak", "co", "już", "są", "oraz",
-    ),
-    "cs": (
-        "a", "v", "se", "na", "je", "že", "to", "s", "z", "do", "i", "o", "ale", "po", "za", "byl", "byla", "bylo",
-        "velmi", "pro", "jak", "ve", "od", "jen", "tak", "jsme", "který", "není", "při", "nebo",
-    ),
-    "it": (
-        "di", "e", "il", "che", "la", "è", "per", "un", "in", "non", "con", "sono", "una", "del", "della", "molto", "era",
-        "ma", "anche", "le", "nel", "gli", "dei", "alla", "più", "abbiamo", "camera", "questo", "come", "troppo",
-    ),
-    "nl": (
-        "de", "het", "een", "en", "van", "ik", "niet", "was", "dat", "op", "te", "zijn", "voor", "met", "maar", "ook",
-        "er", "aan", "heel", "erg", "geen", "bij", "naar", "wij", "we", "ons", "onze", "kamer", "deze", "zeer",
-    ),
-    "sv": (
-        "och", "att", "det", "som", "en", "på", "är", "av", "för", "med", "inte", "den", "till", "var", "jag", "ett",
-        "om", "vi", "men", "mycket", "från", "hade", "så", "när", "rummet", "bara", "vår", "eller", "också", "ingen",
-    ),
-    "no": (
-        "og", "det", "er", "som", "på", "en", "ikke", "av", "for", "med", "den", "til", "var", "jeg", "et", "vi", "men",
-        "veldig", "fra", "hadde", "så", "når", "rommet", "bare", "vår", "eller", "også", "ingen", "meget", "å",
-    ),
-    "hu": (
-        "a", "az", "és", "nem", "hogy", "volt", "is", "egy", "de", "nagyon", "szoba", "csak", "meg", "ez", "van", "voltak",
-        "mert", "már", "kicsit", "sok", "jó", "el", "minden", "vagy", "még", "mint", "ha", "szállás", "ki", "nincs",
-    ),
-    "sk": (
-        "a", "v", "na", "je", "sa", "že", "to", "s", "z", "do", "nie", "ale", "bol", "bola", "bolo", "veľmi", "aj", "sme",
-        "pri", "pre", "ako", "len", "izba", "alebo", "od", "po", "boli", "nebol", "nebolo", "ktorý",
-    ),
-    "ro": (
-        "și", "în", "de", "la", "nu", "cu", "este", "a", "că", "pe", "foarte", "din", "un", "o", "mai", "pentru", "dar", "am",
-        "fost", "camera", "sunt", "care", "au", "era", "ce", "sau", "prea", "fără", "noi", "doar",
-    ),
-    "pt": (
-        "de", "a", "o", "que", "e", "do", "da", "em", "um", "para", "é", "com", "não", "uma", "os", "no", "na", "muito", "mas",
-        "foi", "quarto", "nos", "mais", "era", "ao", "dos", "as", "pela", "estava", "nosso",
-    ),
-    "fi": (
-        "ja", "on", "ei", "oli", "että", "se", "kun", "mutta", "hyvä", "ole", "vain", "myös", "huone", "hyvin", "kuin", "liian",
-        "ollut", "joka", "tai", "olivat", "meidän", "niin", "jos", "sekä", "ovat", "erittäin", "vähän", "huoneessa", "me", "ollu",
-    ),
-    "tr": (
-        "ve", "bir", "bu", "çok", "için", "da", "de", "ama", "değil", "ile", "oda", "otel", "olarak", "daha", "kadar", "gibi",
-        "vardı", "yok", "var", "en", "ne", "biz", "sonra", "her", "iyi", "hiç", "olduğu", "odada", "oldu", "ancak",
-    ),
-    "hr": (
-        "i", "je", "u", "na", "se", "da", "su", "za", "od", "nije", "ali", "bio", "bila", "bilo", "vrlo", "samo", "smo", "soba",
-        "iz", "što", "kao", "ili", "jako", "bez", "nema", "uz", "te", "koji", "po", "jer",
-    ),
-}
-
-# Scripts that tell a language where its words need no list; Cyrillic has letters that Russian or Ukrainian lacks.
-SCRIPTS = {
-    "el": r"\p{IsGreek}",
-    "he": r"\p{IsHebrew}",
-    "ar": r"\p{IsArabic}",
-    "ja": r"[\p{IsHiragana}\p{IsKatakana}]",
-    "ko": r"\p{IsHangul}",
-    "zh": r"\p{IsHan}",
-    "th": r"\p{IsThai}",
-    "uk": r"[іїєґІЇЄҐ]",
-    "ru": r"\p{IsCyrillic}",
-}
-
-
-def script_language(text: Column) -> Column:
-    """The language of a text most of whose letters are not Latin, else null; the first script named that occurs in it."""
-    latin = F.regexp_count(text, F.lit(r"\p{IsLatin}"))
-    letters = F.regexp_count(text, F.lit(r"\p{L}"))
-    named = F.coalesce(*(F.when(F.regexp_like(text, F.lit(pattern)), F.lit(code)) for code, pattern in SCRIPTS.items()), F.lit("other"))
-    return F.when(latin * 2 < letters, named)
-
-
-def language_of(text: Column, profiles: Mapping[str, Sequence[str]] = FUNCTION_WORDS) -> Column:
-    """The language by script, else the one with the most function words, ties to the one named first.
-
-    Null where the text has no known word. Each text is scored in its own row: no shuffle, and the
-    text is never copied per token. Words are cut once and reduced to function words of any
-    language before the languages count theirs.
-    """
-    return F.coalesce(script_language(text), _by_words(text, profiles))
+from guestlens.functions.seed_texts import SEED_TEXTS
+
+SIZES = (1, 2, 3)
+#: Share of a language's frequency that is spread over all grams of a size.
+SPREAD = 0.05
+#: At most so many grams of a language enter a profile, the most frequent ones of each size first.
+PROFILE_SIZE = 20_000
+#: Distinct words that are scored at once.
+TOGETHER = 8_192
+#: The language of a text with letters of which no gram is known.
+UNKNOWN = "other"
+BETWEEN_WORDS = r"[^\p{L}\p{M}]+"
+
+
+def grams(word: str) -> list[str]:
+    """Runs of characters of " word " of the sizes used; a single character is a letter, never a space."""
+    padded = f" {word} "
+    return [g for n in SIZES for g in (word if n == 1 else (padded[i : i + n] for i in range(len(padded) - n + 1)))]
+
+
+def coded_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
+    """The row of every word, its number, and the distinct words by number; letters are lowered."""
+    lists = pc.split_pattern_regex(pc.utf8_lower(pc.fill_null(texts, "")), BETWEEN_WORDS)
+    flat, parent = pc.list_flatten(lists), pc.list_parent_indices(lists)
+    solid = pc.greater(pc.binary_length(flat), 0)
+    coded = flat.filter(solid).dictionary_encode()
+    rows = parent.filter(solid).to_numpy(zero_copy_only=False)
+    return rows, coded.indices.to_numpy(zero_copy_only=False), coded.dictionary.to_pylist()
+
 
+class Profile:
+    """Weights of grams by language, in thousandths, from (language, gram, count).
 
-def _by_words(text: Column, profiles: Mapping[str, Sequence[str]]) -> Column:
-    every = sorted({w for ws in profiles.values() for w in ws})
-    none = F.struct(F.lit(0).alias("hits"), F.lit(None).cast("string").alias("code"))
+    Grams are numbers made of their characters' places in the profile's alphabet; those of a size are
+    sorted, and one column more holds the weights of an unknown one; each language has a row.
+    """
 
-    def score(known: Column, code: str, ws: Sequence[str]) -> Column:
-        hits = F.size(F.filter(known, lambda t: t.isin(*ws)))
-        return F.struct(hits.alias("hits"), F.lit(code).alias("code"))
+    def __init__(self, counts: Iterable[tuple[str, str, int]]):
+        rows = sorted(counts)
+        self.languages = tuple(sorted({code for code, _, _ in rows}))
+        place = {code: k for k, code in enumerate(self.languages)}
+        self.alphabet = np.array(sorted({ord(c) for _, gram, _ in rows for c in gram} | {ord(" ")}))
+        self.codes, self.weights = {}, {}
+        for size in SIZES:
+            own = [r for r in rows if len(r[1]) == size]
+            chars = np.array([[ord(c) for c in gram] for _, gram, _ in own], np.int64).reshape(-1, size)
+            codes, number = np.unique(self._codes(np.searchsorted(self.alphabet, chars) + 1), return_inverse=True)
+            seen = np.zeros((len(codes), len(self.languages)))
+            np.add.at(seen, (number, [place[code] for code, _, _ in own]), [n for _, _, n in own])
+            share = np.vstack([seen / np.maximum(seen.sum(0), 1), np.zeros(len(self.languages))])
+            self.codes[size] = codes
+            weights = np.rint(1000 * np.log((1 - SPREAD) * share + SPREAD / max(1, len(codes)))).astype(np.int32)
+            self.weights[size] = np.ascontiguousarray(weights.T)
+
+    @staticmethod
+    def _codes(places: np.ndarray) -> np.ndarray:
+        """Numbers of rows of places, from 1 on; rows with a place 0, an unknown character, get -1."""
+        out = np.zeros(len(places), np.int64)
+        for k in range(places.shape[1]):
+            out = (out << 21) + places[:, k]
+        return np.where((places == 0).any(1), -1, out)
+
+    def word_scores(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The scores of all words, a row for each language, and whether any gram of a word is known."""
+        scores, known = np.zeros((len(self.languages), len(words)), np.int64), np.zeros(len(words), bool)
+        for low in range(0, len(words), TOGETHER):  # bounds the gathered weights
+            some = words[low : low + TOGETHER]
+            signs = np.frombuffer(f" {' '.join(some)} ".encode("utf-32-le"), np.uint32)
+            at = np.minimum(np.searchsorted(self.alphabet, signs), len(self.alphabet) - 1)
+            places = np.where(self.alphabet[at] == signs, at + 1, 0)
+            space = signs == 32
+            owner = np.cumsum(space) - 1  # the word that a place, or the space before it, belongs to
+            for size in SIZES:
+                runs = np.lib.stride_tricks.sliding_window_view(places, size)
+                # a run lies in one padded word if none but its ends is a space
+                inner = np.lib.stride_tricks.sliding_window_view(space, size)
+                fits = ~inner[:, 1:-1].any(1) if size > 1 else ~space
+                first = owner[: len(runs)][fits]
+                code = self._codes(runs[fits])
+                found = np.minimum(np.searchsorted(self.codes[size], code), max(0, len(self.codes[size]) - 1))
+                hit = self.codes[size][found] == code if len(self.codes[size]) else np.zeros(len(code), bool)
+                heads = np.flatnonzero(np.append(True, first[1:] != first[:-1])[: len(first)])
+                if len(heads):
+                    word = low + first[heads]
+                    gram = np.where(hit, found, len(self.codes[size]))
+                    for own, weights in zip(scores, self.weights[size], strict=True):
+                        own[word] += np.add.reduceat(weights[gram], heads, dtype=np.int64)
+                    known[word] |= np.add.reduceat(hit.astype(np.int64), heads) > 0
+        return scores, known
+
+    def languages_of(self, texts: pa.Array) -> pa.Array:
+        """The best language of each text, the first by name of equal ones; null without a letter."""
+        rows, words, distinct = coded_words(texts)
+        best = np.full(len(texts), len(self.languages) + 1)
+        if len(words):
+            scores, known = self.word_scores(distinct)
+            heads = np.flatnonzero(np.append(True, rows[1:] != rows[:-1]))
+            total = np.array([np.add.reduceat(own[words], heads) for own in scores]).reshape(len(self.languages), len(heads))
+            hit = np.add.reduceat(known[words].astype(np.int64), heads) > 0
+            best[rows[heads]] = np.where(hit, total.argmax(0) if self.languages else 0, len(self.languages))
+        return pa.array([*self.languages, UNKNOWN, None], pa.string()).take(pa.array(best))
+
+
+@lru_cache(maxsize=1)
+def built_in() -> Profile:
+    """The profile of the built-in sample texts."""
+    counts: Counter[tuple[str, str]] = Counter()
+    for code, text in SEED_TEXTS.items():
+        _, words, distinct = coded_words(pa.array([text]))
+        for word, n in zip(distinct, np.bincount(words), strict=True):
+            for gram in grams(word):
+                counts[code, gram] += int(n)
+    return Profile((code, gram, n) for (code, gram), n in counts.items())
+
+
+def language_of(text: Column, profile: Profile | None = None) -> Column:
+    """The language of a text; null only for texts without letters.
+
+    A narrow step over Arrow batches; the profile, whose size is bounded, travels with the function.
+    """
 
-    def best(known: Column) -> Column:
-        scores = F.array(*(score(known, code, ws) for code, ws in profiles.items()))
-        return F.aggregate(scores, none, lambda best, s: F.when(s["hits"] > best["hits"], s).otherwise(best))
+    @F.arrow_udf("string")
+    def found(texts: pa.Array) -> pa.Array:
+        return (profile or built_in()).languages_of(texts)
 
-    return once(F.filter(words(text), lambda t: t.isin(*every)), best)["code"]
+    return found(text)
 
 
-def detect_language(
-    df: DataFrame,
-    text: str,
-    profiles: Mapping[str, Sequence[str]] = FUNCTION_WORDS,
-    column: str = "language",
-) -> DataFrame:
+def detect_language(df: DataFrame, text: str, profile: Profile | None = None, column: str = "language") -> DataFrame:
     """Adds the language of a text."""
-    return df.withColumn(column, language_of(F.col(text), profiles))
+    return df.withColumn(column, language_of(F.col(text), profile))
 
 
-def filter_language(
-    df: DataFrame, text: str, code: str = "en", profiles: Mapping[str, Sequence[str]] = FUNCTION_WORDS
-) -> DataFrame:
+def filter_language(df: DataFrame, text: str, code: str = "en", profile: Profile | None = None) -> DataFrame:
     """Rows in the given language. Empty, missing and undetectable texts are kept."""
-    return df.where(F.coalesce(language_of(F.col(text), profiles) == code, F.lit(True)))
+    return df.where(F.coalesce(language_of(F.col(text), profile) == code, F.lit(True)))
 
 
-def train_profiles(df: DataFrame, text: str, label: str, size: int = 30) -> DataFrame:
-    """The ``size`` most frequent words of each labelled language: (language, place, word, n).
+def train_profile(df: DataFrame, text: str, label: str, size: int = PROFILE_SIZE) -> DataFrame:
+    """Gram counts of the labelled texts: (language, gram, n), at most ``size`` grams of each length and language.
 
-    Words are counted before the shuffle; the rank filter cuts each language to
-    ``size`` words per task before its words meet.
+    Every task counts the grams of its distinct words per batch and language before anything is shuffled; the rank filter cuts each
+    language per task, too. Rows without a label or text count nothing.
     """
-    counted = (
-        df.where(F.col(label).isNotNull())
-        .select(F.col(label).alias("language"), F.explode(words(F.col(text))).alias("word"))
-        .groupBy("language", "word")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    order = Window.partitionBy("language").orderBy(F.desc("n"), "word")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            labels = batch.column(0).dictionary_encode()
+            codes = labels.indices.to_numpy(zero_copy_only=False)
+            rows, words, distinct = coded_words(batch.column(1))
+            pairs, times = np.unique(codes[rows].astype(np.int64) * max(1, len(distinct)) + words, return_counts=True)
+            counts: Counter[tuple[int, str]] = Counter()
+            for pair, n in zip(pairs.tolist(), times.tolist(), strict=True):
+                code, word = divmod(pair, len(distinct))
+                for gram in grams(distinct[word]):
+                    counts[code, gram] += n
+            names = labels.dictionary.to_pylist()
+            columns = [[names[c] for c, _ in counts], [g for _, g in counts], list(counts.values())]
+            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(columns, (pa.string(), pa.string(), pa.int64()), strict=True)], ["language", "gram", "n"])
+
+    labelled = df.where(F.col(label).isNotNull() & F.col(text).isNotNull()).select(F.col(label).cast("string"), text)
+    counted = labelled.mapInArrow(run, "language string, gram string, n long").groupBy("language", "gram").agg(F.sum("n").alias("n"))
+    order = Window.partitionBy("language", F.char_length("gram")).orderBy(F.desc("n"), "gram")
+    return counted.withColumn("__place", F.row_number().over(order)).where(F.col("__place") <= size).drop("__place")
+
+
+def collect_profile(trained: DataFrame) -> Profile:
+    """A trained table as a profile; as many rows come to the driver as ``size`` and the number of languages allow."""
+    return Profile((r["language"], r["gram"], r["n"]) for r in trained.collect())
+
+
+def accuracy(df: DataFrame, label: str, found: str = "language") -> DataFrame:
+    """Per label: rows, rows found in it, rows without a language, and the share of right ones among the others."""
+    hits = F.count_if(F.col(found) == F.col(label))
+    named = F.count_if(F.col(found).isNotNull())
     return (
-        counted.withColumn("place", F.row_number().over(order))
-        .where(F.col("place") <= size)
-        .select("language", "place", "word", "n")
+        df.where(F.col(label).isNotNull())
+        .groupBy(label)
+        .agg(F.count(F.lit(1)).alias("texts"), hits.alias("hits"), F.count_if(F.col(found).isNull()).alias("undetected"), F.try_divide(hits.cast("double"), named).alias("share"))
     )
-
-
-def collect_profiles(trained: DataFrame) -> dict[str, tuple[str, ...]]:
-    """Profiles as plain word lists: at most ``size`` words per language come to the driver."""
-    out: dict[str, list[str]] = {}
-    for row in trained.orderBy("language", "place").collect():
-        out.setdefault(row["language"], []).append(row["word"])
-    return {code: tuple(ws) for code, ws in out.items()}

@@ -10,6 +10,7 @@ from collections.abc import Sequence
 
 from guestlens import catalog as c
 from guestlens.functions import labels, normal, text
+from guestlens.functions.seed_texts import SEED_TEXTS
 from guestlens.operators import aspects, language
 from guestlens.schemas import SCORE_BAND_COLUMNS, TRAVELER_COUNT_COLUMNS
 
@@ -296,16 +297,56 @@ SELECT g AS event_type, n, round(w, 6) AS w, round(p, 6) AS p_value, CASE WHEN p
        n <= 5000 AS p_reliable FROM p"""
 
 
-def language_hits() -> str:
-    cases = []
-    for code, words in language.FUNCTION_WORDS.items():
-        cases.append(f"len(list_filter(ws, lambda w: w IN ({listed(words)}))) AS n_{code}")
-    best = "greatest(" + ", ".join(f"n_{code}" for code in language.FUNCTION_WORDS) + ")"
-    whens = " ".join(f"WHEN n_{code} = best THEN '{code}'" for code in language.FUNCTION_WORDS)
-    return f"""WITH counted AS (SELECT doc_id, lang, {", ".join(cases)} FROM (SELECT doc_id, lang, {tokens("text")} AS ws FROM documents)),
-found AS (SELECT *, {best} AS best FROM counted),
-named AS (SELECT doc_id, f.lang, CASE WHEN 2 * len(regexp_extract_all(text, '\\p{{Latin}}')) < len(regexp_extract_all(text, '\\p{{L}}')) THEN 'other'
-  WHEN best = 0 THEN NULL {whens} END AS language FROM found f JOIN documents USING (doc_id))"""
+def letter_words(text: str) -> str:
+    return f"list_filter(regexp_split_to_array(lower({text}), '[^\\p{{L}}\\p{{M}}]+'), lambda w: w <> '')"
+
+
+def word_grams(source: str, *keys: str) -> str:
+    """Grams of the column ``word``, with repeats, beside the keys."""
+    kept = "".join(f"{k}, " for k in keys)
+    parts = [f"SELECT {kept}1 AS size, unnest(list_transform(range(1, length(word) + 1), lambda i: substr(word, i, 1))) AS gram FROM {source}"]
+    parts += [
+        f"SELECT {kept}{n}, unnest(list_transform(range(1, length(word) + {4 - n}), lambda i: substr(' ' || word || ' ', i, {n}))) FROM {source}" for n in (2, 3)
+    ]
+    return " UNION ALL ".join(parts)
+
+
+def gram_counts(texts: str, size: int) -> str:
+    """CTEs that count the grams of ``texts`` (language, text) as ``kept`` (language, size, gram, n)."""
+    return f"""tw AS (SELECT language, word, count(*) AS times FROM (SELECT language, unnest({letter_words("text")}) AS word FROM {texts}) GROUP BY ALL),
+tg AS ({word_grams("tw", "language", "times")}),
+tc AS (SELECT language, size, gram, sum(times)::BIGINT AS n FROM tg GROUP BY ALL),
+kept AS (SELECT language, size, gram, n FROM tc QUALIFY row_number() OVER (PARTITION BY language, size ORDER BY n DESC, gram) <= {size})"""
+
+
+def languages_found(texts: str, size: int) -> str:
+    """CTEs up to ``named`` (doc_id, lang, language): documents scored by the grams of ``texts``.
+
+    What all unknown grams cost is the same for every language, so only what a known gram adds is summed.
+    """
+    return f"""{gram_counts(texts, size)},
+kinds AS (SELECT size, count(DISTINCT gram) AS kinds FROM kept GROUP BY size),
+totals AS (SELECT language, size, sum(n) AS total FROM kept GROUP BY ALL),
+gains AS (SELECT language, size, gram, round(1000 * ln(0.95::DOUBLE * (n / total) + 0.05::DOUBLE / kinds)) - round(1000 * ln(0.05::DOUBLE / kinds)) AS gain
+  FROM kept JOIN kinds USING (size) JOIN totals USING (language, size)),
+dw AS (SELECT doc_id, word, count(*) AS times FROM (SELECT doc_id, unnest({letter_words("text")}) AS word FROM documents) GROUP BY ALL),
+words AS (SELECT DISTINCT word FROM dw),
+wg AS ({word_grams("words", "word")}),
+gc AS (SELECT word, size, gram, count(*) AS times FROM wg GROUP BY ALL),
+ws AS (SELECT word, language, sum(times * gain) AS score FROM gc JOIN gains USING (size, gram) GROUP BY ALL),
+ds AS (SELECT doc_id, language, sum(times * score) AS score FROM dw JOIN ws USING (word) GROUP BY ALL),
+best AS (SELECT doc_id, language FROM ds QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, language) = 1),
+named AS (SELECT d.doc_id, d.lang, d.text, CASE WHEN b.language IS NOT NULL THEN b.language WHEN s.doc_id IS NOT NULL THEN 'other' END AS language
+  FROM documents d LEFT JOIN best b ON b.doc_id = d.doc_id LEFT JOIN (SELECT DISTINCT doc_id FROM dw) s ON s.doc_id = d.doc_id)"""
+
+
+def built_in_languages() -> str:
+    rows = ", ".join(f"('{code}', '{text.replace(chr(39), chr(39) * 2)}')" for code, text in SEED_TEXTS.items())
+    return f"WITH seeds(language, text) AS (VALUES {rows}), {languages_found('seeds', language.PROFILE_SIZE)}"
+
+
+LANGUAGE_ACCURACY = """SELECT lang, count(*) AS texts, count(*) FILTER (WHERE language = lang) AS hits, count(*) FILTER (WHERE language IS NULL) AS undetected,
+  round(count(*) FILTER (WHERE language = lang) / nullif(count(language), 0), 6) AS share FROM named WHERE lang IS NOT NULL GROUP BY lang"""
 
 
 def band_case(score: str) -> str:
@@ -348,10 +389,11 @@ UNION ALL SELECT 2, 'with_score', count(*) FROM flagged WHERE ok AND rating_scor
 UNION ALL SELECT 3, 'distinct_content', count(*) FROM (
   SELECT DISTINCT o_custkey, stay_date, o_orderstatus FROM flagged WHERE ok AND rating_score IS NOT NULL)"""
     long = f"len(regexp_extract_all(coalesce(text, ''), '[^[:space:]]+')) >= 3"
-    sql["text_stage_counts"] = f"""SELECT 0 AS position, 'loaded' AS stage, count(*) AS rows FROM documents
+    sql["text_stage_counts"] = f"""{built_in_languages()}
+SELECT 0 AS position, 'loaded' AS stage, count(*) AS rows FROM documents
 UNION ALL SELECT 1, 'with_text', count(*) FROM documents WHERE {stripped("text")} <> ''
 UNION ALL SELECT 2, 'enough_words', count(*) FROM documents WHERE {long}
-UNION ALL SELECT 3, 'in_language', count(*) FROM documents WHERE {long} AND coalesce(lang, 'en') = 'en'"""
+UNION ALL SELECT 3, 'in_language', count(*) FROM named WHERE {long} AND coalesce(language, 'en') = 'en'"""
     sql["business_only"] = """SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN ' Business' || chr(9) ELSE 'business' END AS traveler_type
 FROM orders WHERE o_orderstatus IN ('F', 'P')"""
     sql["canonical_category"] = """
@@ -540,12 +582,12 @@ SELECT l_orderkey, l_linenumber, CASE WHEN l_returnflag = 'N' THEN 'p=' || l_lin
 FROM (SELECT *, {p} AS p FROM lineitem)"""
 
     # text
-    sql["language_id"] = f"{language_hits()} SELECT doc_id, lang, language FROM named"
-    sql["language_filter"] = f"{language_hits()} SELECT doc_id FROM named WHERE language IS NULL OR language = 'en'"
-    sql["language_profiles"] = f"""WITH w AS (SELECT lang, unnest({tokens("text")}) AS word FROM documents),
-n AS (SELECT lang, word, count(*) AS n FROM w GROUP BY ALL),
-r AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY n DESC, word)::INTEGER AS place FROM n)
-SELECT lang AS language, place, word, n FROM r WHERE place <= 30"""
+    labelled = "WITH labelled AS (SELECT lang AS language, text FROM documents WHERE lang IS NOT NULL AND text IS NOT NULL), "
+    sql["language_id"] = f"{built_in_languages()} SELECT doc_id, lang, language FROM named"
+    sql["language_filter"] = f"{built_in_languages()} SELECT doc_id FROM named WHERE language IS NULL OR language = 'en'"
+    sql["language_accuracy"] = f"{labelled}{languages_found('labelled', 2_000)} {LANGUAGE_ACCURACY}"
+    sql["language_accuracy_built_in"] = f"{built_in_languages()} {LANGUAGE_ACCURACY}"
+    sql["language_profiles"] = f"{labelled}{gram_counts('labelled', 2_000)} SELECT language, gram, n FROM kept"
     sql["aspect_extract"] = f"WITH {DOCUMENT_ASPECTS} SELECT doc_id, extracted_aspect, sentiment FROM aspects"
     stems, opinions = "|".join(sorted(aspects.phrase_terms())), listed((*aspects.POSITIVE_WORDS, *aspects.NEGATIVE_WORDS))
     compounds = listed(aspects.COMPOUND_WORDS)

@@ -135,14 +135,6 @@ def test_language_accuracy_on_labelled_documents(spark, small):
     assert found.count() > 0.95 * docs.count()
 
 
-def test_trained_profiles_also_tell_the_languages_apart(spark, small):
-    docs = spark.read.parquet(f"{small}/documents.parquet")
-    profiles = language.collect_profiles(language.train_profiles(docs, "text", "lang", 25))
-    assert set(profiles) == {"en", "fr", "de", "es"} and all(len(ws) == 25 for ws in profiles.values())
-    found = language.detect_language(docs, "text", profiles)
-    assert found.agg(F.avg((F.col("lang") == F.col("language")).cast("double"))).first()[0] > 0.9
-
-
 def test_language_filter_keeps_undetectable_text(spark):
     df = texts(spark, [("1", "The bed was very hard and the room was cold"), ("2", "Das Bett war sehr hart und nicht sauber"),
                        ("3", ""), ("4", None), ("5", "12345 ???"), ("6", "pokój był bardzo zimny i nie było ręczników")])
