@@ -20,6 +20,7 @@ from guestlens.functions.labels import (
     translate,
 )
 from guestlens.functions.text import WORD_PATTERN, words
+from guestlens.operators import matching
 from guestlens.operators.dedup import keep_first
 from guestlens.plans.skew import lookup_join
 
@@ -195,32 +196,21 @@ def categorise(
     return df.withColumn("aspect_category", category).withColumn("category_name", lookup(F.col("aspect_category"), names))
 
 
-def categorise_by_table(df: DataFrame, dictionary: DataFrame, aspect: str = "extracted_aspect") -> DataFrame:
-    """The same for a dictionary held in a table (priority, category, keyword).
+def categorise_by_table(df: DataFrame, dictionary: DataFrame, aspect: str = "extracted_aspect", most: int = matching.AUTOMATON_CHARACTERS) -> DataFrame:
+    """The same for a dictionary held in a table (priority, category, keyword); equal priorities go by category.
 
-    Each distinct phrase is cut into its substrings, which meet the keywords in an
-    equality join; the first category of the phrase then returns to the rows. Work
-    grows with the phrases and the dictionary, never with their product.
+    Each distinct phrase is read once by an automaton of all keywords; its first category then
+    returns to the rows. Dictionaries of more than ``most`` characters are joined instead.
     """
-    longest = dictionary.agg(F.max(F.length("keyword"))).scalar()
     phrases = (
         df.select(F.lower(F.col(aspect)).alias("__phrase"))
         .where(F.col("__phrase").isNotNull())
         .groupBy("__phrase")
         .agg(F.count(F.lit(1)).alias("__rows"))
-        .withColumn("__longest", longest)
-    )
-    starts = phrases.withColumn("__from", F.explode(F.sequence(F.lit(1), F.greatest(F.length("__phrase"), F.lit(1)))))
-    pieces = starts.withColumn(
-        "__size", F.explode(F.sequence(F.lit(1), F.greatest(F.least(F.col("__longest"), F.length("__phrase") - F.col("__from") + 1), F.lit(1))))
-    ).select("__phrase", "__rows", F.substring(F.col("__phrase"), F.col("__from"), F.col("__size")).alias("keyword"))
-    found = (
-        pieces.join(dictionary, "keyword")
-        .groupBy("__phrase")
-        .agg(F.min_by("category", "priority").alias("aspect_category"), F.max("__rows").alias("__rows"))
     )
+    found = matching.match(phrases, "__phrase", dictionary, "__rows", most)
     return (
-        lookup_join(df.withColumn("__phrase", F.lower(F.col(aspect))), found, ["__phrase"], "__rows")
+        lookup_join(df.withColumn("__phrase", F.lower(F.col(aspect))), found, ["__phrase"], "__rows", spread=["__phrase"])
         .withColumn("aspect_category", F.coalesce("aspect_category", F.lit(OTHER_CATEGORY)))
         .drop("__phrase", "__rows")
     )
