@@ -6,16 +6,19 @@ flags, priorities and segments are the groups, documents are the texts.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from guestlens.functions import labels, scores, text
 from guestlens.functions.display import annotation, half_even, p_text
-from guestlens.operators import aspects, clean, dedup, describe, language, market, report, take
+from guestlens.operators import aspects, clean, dedup, describe, language, market, report, seen, take
 from guestlens.operators import significance as sig
 from guestlens.plans import comparison, ranking
+from guestlens.session import checkpoint_folder
 from guestlens.sources import files, markup
 
 FLAGS = ("A", "N", "R")
@@ -312,6 +315,16 @@ def q_dedup_across_batches(spark: SparkSession, folder: str) -> DataFrame:
     return dedup.dedup_across_batches(docs, "source_id", "band").select("doc_id", "band")
 
 
+def q_dedup_incremental(spark: SparkSession, folder: str) -> DataFrame:
+    """The same rule, each batch against the stored ids of those before it."""
+    docs = table(spark, folder, "documents").select("doc_id", F.md5("text").alias("source_id"), F.length("source").alias("band"))
+    place = f"{checkpoint_folder(spark).rstrip('/')}/seen-{uuid.uuid4().hex}"
+    store = seen.SeenIds(spark, f"{place}/store")
+    bands = [row["band"] for row in docs.select("band").distinct().orderBy("band").collect()]  # one per batch
+    kept = [store.take(docs.where(F.col("band") == band), "source_id", band, f"{place}/kept/{band}") for band in bands]
+    return reduce(DataFrame.unionByName, kept).select("doc_id", "band")
+
+
 def q_take_per_group(spark: SparkSession, folder: str) -> DataFrame:
     orders = table(spark, folder, "orders").select("o_custkey", "o_orderkey", "o_orderdate")
     taken = take.take_per_group(orders, "o_custkey", [F.desc("o_orderdate"), F.asc("o_orderkey")], 5)

@@ -426,6 +426,7 @@ SELECT doc_id, source, lang, n_chars FROM (
     sql["dedup_across_batches"] = """
 SELECT doc_id, band::INTEGER AS band FROM (
   SELECT doc_id, length(source) AS band, min(length(source)) OVER (PARTITION BY text) AS first_band FROM documents) WHERE band = first_band"""
+    sql["dedup_incremental"] = sql["dedup_across_batches"]
     sql["take_per_group"] = """
 SELECT o_custkey, o_orderkey FROM (
   SELECT o_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey) AS place FROM orders)
