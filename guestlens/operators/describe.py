@@ -9,21 +9,21 @@ from pyspark.sql import functions as F
 
 from guestlens.functions.display import half_even
 from guestlens.functions.labels import GROUP_NAMES, translate
-from guestlens.plans.ranking import clean_values, frequency, moments, quantiles, rank_table
+from guestlens.plans.ranking import moments, quantiles, rank_table, recount, score_cube
 from guestlens.plans.skew import lookup_join
 
 # The rows of the overall table, in order.
 OVERALL_ROWS = ("N", "Mean", "Median", "Std Dev", "Min", "Max")
 
 
-def summary(df: DataFrame, value: str, keys: Sequence[str] = ()) -> DataFrame:
+def summary(df: DataFrame, value: str, keys: Sequence[str] = (), weight: str | None = None) -> DataFrame:
     """n, mean, median, std (n - 1), min and max per key, or of the whole table.
 
-    All numbers come from one rank table: the data are scanned once, reduced to
+    ``weight`` names the count column of a table whose rows stand for several, here and below. All numbers come from one rank table: the data are scanned once, reduced to
     distinct values before the shuffle, and no task ever holds all values of a group.
     """
     keys = list(keys)
-    ranked = rank_table(frequency(df, value, keys), keys)
+    ranked = rank_table(recount(df, value, keys, weight), keys)
     out = quantiles(ranked, [0.5], ["median"], keys, extra=moments())
     return out.select(*keys, "n", "mean", "median", "std", "min", "max")
 
@@ -32,19 +32,19 @@ def _rounded(columns: Sequence[str], digits: int) -> list[Column]:
     return [half_even(F.col(c), digits).alias(c) for c in columns]
 
 
-def describe_by(df: DataFrame, value: str, group: str, digits: int = 3) -> DataFrame:
+def describe_by(df: DataFrame, value: str, group: str, digits: int = 3, weight: str | None = None) -> DataFrame:
     """One row per group: n, mean, median, std."""
-    return summary(df, value, [group]).select(group, "n", *_rounded(("mean", "median", "std"), digits))
+    return summary(df, value, [group], weight).select(group, "n", *_rounded(("mean", "median", "std"), digits))
 
 
-def describe_wide(df: DataFrame, value: str, digits: int = 3) -> DataFrame:
+def describe_wide(df: DataFrame, value: str, digits: int = 3, weight: str | None = None) -> DataFrame:
     """One row: n, mean, median, std, min, max of the whole table."""
-    return summary(df, value).select("n", *_rounded(("mean", "median", "std", "min", "max"), digits))
+    return summary(df, value, (), weight).select("n", *_rounded(("mean", "median", "std", "min", "max"), digits))
 
 
-def describe_overall(df: DataFrame, value: str, digits: int = 3) -> DataFrame:
+def describe_overall(df: DataFrame, value: str, digits: int = 3, weight: str | None = None) -> DataFrame:
     """The same numbers as (position, statistic, value) rows."""
-    wide = describe_wide(df, value, digits)
+    wide = describe_wide(df, value, digits, weight)
     rows = F.array(
         *(
             F.struct(F.lit(i).alias("position"), F.lit(name).alias("statistic"), F.col(c).cast("double").alias("value"))
@@ -60,17 +60,18 @@ def transpose_overall(rows: DataFrame) -> DataFrame:
     return out.withColumnRenamed("Std Dev", "Std")
 
 
-def segment_summary(df: DataFrame, value: str, segments: Mapping[str, str]) -> DataFrame:
-    """Overall numbers and those of every segment in one pass: (kind, label, n, mean, median, std).
+def segment_summary(df: DataFrame, value: str, segments: Mapping[str, str], weight: str | None = None) -> DataFrame:
+    """Overall numbers and those of every segment: (kind, label, n, mean, median, std).
 
-    ``segments`` maps a kind to its column. Each row is repeated once for the whole
-    table and once per kind, and counted per distinct value before the shuffle, so
-    scan and shuffle are shared by all segments.
+    ``segments`` maps a kind to its column. Rows are counted by all segments together first; only these counts are
+    repeated, once for the whole table and once per kind.
     """
+    if weight is None:
+        df, value, weight = score_cube(df, value, list(dict.fromkeys(segments.values()))), "value", "n"
     pairs = [F.struct(F.lit("").alias("kind"), F.lit("").alias("label"))]
     pairs += [F.struct(F.lit(kind).alias("kind"), F.col(c).cast("string").alias("label")) for kind, c in segments.items()]
-    long = df.select(F.col(value), F.inline(F.array(*pairs)))
-    return summary(long, value, ["kind", "label"])
+    long = df.select(F.col(value), F.col(weight), F.inline(F.array(*pairs)))
+    return summary(long, value, ["kind", "label"], weight)
 
 
 def descriptive_report(
@@ -81,13 +82,14 @@ def descriptive_report(
     names: Mapping[str, str] = GROUP_NAMES,
     digits: int = 2,
     source_digits: int | None = 3,
+    weight: str | None = None,
 ) -> DataFrame:
     """The consolidated table of the whole sample and all segments, translated and rounded.
 
     The published table is rounded twice: its sources to ``source_digits``, then the
     report to ``digits``. ``None`` skips the first step.
     """
-    rows = segment_summary(df, value, segments)
+    rows = segment_summary(df, value, segments, weight)
     return report_rows(rows, list(segments), overall, names, digits, source_digits)
 
 
@@ -121,17 +123,17 @@ def report_rows(
     )
 
 
-def histogram(df: DataFrame, value: str, bins: int = 20) -> DataFrame:
+def histogram(df: DataFrame, value: str, bins: int = 20, weight: str | None = None) -> DataFrame:
     """Equal-width counts over [min, max], the top edge in the last bin, empty bins as 0.
 
-    Also carries the mean. The edges come from one reduced row; the counts are
-    reduced per bin before the shuffle.
+    Also carries the mean. Rows are counted per distinct value once; the edges and the bins come
+    from these counts.
     """
-    values = clean_values(df, value)
+    values = recount(df, value, (), weight)
     low, high = F.col("low"), F.col("high")
     flat = low == high  # a range of width zero is widened by a half on both sides
     edges = (
-        values.agg(F.min("value").alias("low"), F.max("value").alias("high"), F.avg("value").alias("mean"))
+        values.agg(F.min("value").alias("low"), F.max("value").alias("high"), (F.sum(F.col("value") * F.col("n")) / F.sum("n")).alias("mean"))
         .select(
             F.struct(
                 F.when(flat, low - 0.5).otherwise(low).alias("start"),
@@ -153,7 +155,7 @@ def histogram(df: DataFrame, value: str, bins: int = 20) -> DataFrame:
         values.withColumn("edges", edges)
         .withColumn("guess", first)
         .groupBy(place.alias("bin"))
-        .agg(F.count(F.lit(1)).alias("rows"))
+        .agg(F.sum("n").alias("rows"))
     )
     frame = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin")).withColumn("edges", edges)
     return frame.join(counts, "bin", "left").select(
@@ -165,9 +167,9 @@ def histogram(df: DataFrame, value: str, bins: int = 20) -> DataFrame:
     )
 
 
-def boxplot(df: DataFrame, value: str, group: str, reach: float = 1.5) -> DataFrame:
+def boxplot(df: DataFrame, value: str, group: str, reach: float = 1.5, weight: str | None = None) -> DataFrame:
     """Box numbers per group: quartiles, whiskers at the last datum within reach, outliers beyond."""
-    counted = frequency(df, value, [group])
+    counted = recount(df, value, [group], weight)
     distinct = F.count(F.lit(1)).alias("distinct_values")
     box = quantiles(rank_table(counted, [group]), [0.25, 0.5, 0.75], ["q1", "median", "q3"], [group], [distinct])
     spread = (F.col("q3") - F.col("q1")) * reach

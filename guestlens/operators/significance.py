@@ -18,17 +18,19 @@ from pyspark.sql import functions as F
 from guestlens.functions import normal, royston, tails
 from guestlens.functions.display import ALPHA, half_even, yes_no
 from guestlens.plans.ranking import clean_values, frequency, quantiles, rank_table
+from guestlens.session import shuffle_width
 
 # The published approximation of W covers groups up to this size.
 RELIABLE_N = 5000
 
 
-def select_levels(df: DataFrame, group: str, levels: Sequence[Any]) -> DataFrame:
-    return df.where(F.col(group).isin(*levels))
+def select_levels(df: DataFrame, group: str, levels: Sequence[Any] | None) -> DataFrame:
+    """Rows of the listed groups; without a list, of all groups."""
+    return df.where(F.col(group).isNotNull() if levels is None else F.col(group).isin(*levels))
 
 
 def count_values(
-    df: DataFrame, value: str, group: str, levels: Sequence[Any], weight: str | None = None
+    df: DataFrame, value: str, group: str, levels: Sequence[Any] | None, weight: str | None = None
 ) -> DataFrame:
     """(group, value, n): what all tests below are computed from."""
     return frequency(select_levels(df, group, levels), value, [group], weight)
@@ -39,24 +41,25 @@ def level_place(group: str, levels: Sequence[Any]) -> Column:
     return F.array_position(F.array(*(F.lit(x) for x in levels)), F.col(group))
 
 
-def each_pair(per_group: DataFrame, group: str, levels: Sequence[Any], *totals: Column) -> DataFrame:
-    """One row per pair of listed groups, with structs ``one`` and ``two`` of their rows and the totals.
+def each_pair(per_group: DataFrame, group: str, levels: Sequence[Any] | None, *totals: Column) -> DataFrame:
+    """One row per pair of groups, with structs ``one`` and ``two`` of their rows and the totals of all groups.
 
-    ``per_group`` has at most one row per listed level; they are folded into one list in
-    the listed order, and each entry is paired with the later ones. Pairs with an
-    absent group are left out.
+    ``per_group`` has one row per group, in the listed order or, without a list, by label. Each row is
+    repeated for the places behind its own, and these copies are joined by place with the groups
+    there: pairs are made by many tasks. Pairs with an absent group are left out.
     """
     fields = [c for c in per_group.columns if c != group]
-    entry = F.struct(level_place(group, levels).alias("place"), F.col(group).alias("name"), F.struct(*fields).alias("row"))
-    row = per_group.agg(F.array_sort(F.collect_list(entry)).alias("__groups"), *totals)
-    names = [c for c in row.columns if c != "__groups"]
-    groups = F.col("__groups")
-    pairs = F.flatten(
-        F.transform(groups, lambda one, i: F.transform(F.slice(groups, i + 2, F.size(groups)), lambda two: F.struct(one.alias("a"), two.alias("b"))))
-    )
-    return row.select(*names, F.inline(pairs)).select(
-        F.col("a.name").alias("group1"), F.col("b.name").alias("group2"), *names, F.col("a.row").alias("one"), F.col("b.row").alias("two")
-    )
+    order = group if levels is None else level_place(group, levels)
+    entry = per_group.select(F.col(group).alias("name"), F.struct(*fields).alias("row"), F.row_number().over(Window.orderBy(order)).alias("place"))  # a row per group
+    behind = F.sequence(F.col("place") + 1, F.col("__last"))
+    whole = per_group.agg(F.struct(*totals)).scalar()
+    names = [c for c in per_group.agg(*totals).columns]
+    last = per_group.agg(F.count(F.lit(1)).cast("int")).scalar()
+    first = entry.withColumn("__last", last).where("place < __last").select(F.col("name").alias("group1"), F.col("row").alias("one"), F.explode(behind).alias("place"))
+    first = first.repartition(shuffle_width(per_group.sparkSession), "place")  # small rows, but the work on pairs may be dear
+    second = entry.select(F.col("name").alias("group2"), F.col("row").alias("two"), "place")
+    pairs = first.join(second, "place").withColumn("__whole", whole)
+    return pairs.select("group1", "group2", *(F.col(f"__whole.{c}").alias(c) for c in names), "one", "two")
 
 
 # ---------------------------------------------------------------- rank tests
@@ -206,7 +209,7 @@ def symmetric_matrix(
 
 
 def group_moments(
-    df: DataFrame, value: str, group: str, levels: Sequence[Any], weight: str | None = None
+    df: DataFrame, value: str, group: str, levels: Sequence[Any] | None, weight: str | None = None
 ) -> DataFrame:
     """Per group: n, mean, variance (n - 1); reduced before the shuffle."""
     if weight is None:
@@ -311,7 +314,7 @@ def ttest_ind(
 
 
 def tukey_statistics(
-    df: DataFrame, value: str, group: str, levels: Sequence[Any], weight: str | None = None
+    df: DataFrame, value: str, group: str, levels: Sequence[Any] | None, weight: str | None = None
 ) -> DataFrame:
     """Per pair of groups in label order: mean difference, standard error, q, k and degrees of freedom."""
     moments = group_moments(df, value, group, levels, weight)
@@ -319,7 +322,7 @@ def tukey_statistics(
     pairs = each_pair(
         moments,
         group,
-        sorted(levels),
+        None,
         F.sum("n").alias("size"),
         F.count(F.lit(1)).alias("k"),
         within.alias("within"),
@@ -336,15 +339,22 @@ def tukey_hsd(
     df: DataFrame,
     value: str,
     group: str,
-    levels: Sequence[Any],
+    levels: Sequence[Any] | None = None,
     alpha: float = ALPHA,
     weight: str | None = None,
 ) -> DataFrame:
-    """Per pair: meandiff, adjusted p, confidence limits, verdict."""
+    """Per pair: meandiff, adjusted p, confidence limits, verdict; without ``levels``, for all groups.
+
+    The quantile behind the limits depends on the number of groups and the degrees of freedom alone: it is found once.
+    """
     pairs = tukey_statistics(df, value, group, levels, weight)
+    moments = group_moments(df, value, group, levels, weight)
+    k = F.count(F.lit(1))
+    sizes = moments.agg(k.alias("k"), (F.sum("n") - k).alias("df"))
+    quantile = sizes.select(tails.studentized_range_q(F.lit(alpha), "k", "df")).scalar()
     return (
         pairs.withColumn("p_adj", tails.studentized_range_p("q", "k", "df"))
-        .withColumn("__reach", tails.studentized_range_q(F.lit(alpha), "k", "df") * F.col("se"))
+        .withColumn("__reach", quantile * F.col("se"))
         .select(
             "group1",
             "group2",

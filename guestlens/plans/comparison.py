@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from guestlens.functions.display import ALPHA, decision, half_even
 from guestlens.functions.labels import TRAVELER_ORDER
 from guestlens.operators import significance as sig
-from guestlens.plans.ranking import clean_values
+from guestlens.plans.ranking import recount
 from guestlens.session import stored
 
 MIN_GROUP = 5
@@ -101,29 +101,30 @@ def compare_groups(
     levels: Sequence[Any],
     problem: str,
     posthoc: bool = True,
-    posthoc_levels: Sequence[Any] | None = None,
+    all_groups: bool = False,
     alpha: float = ALPHA,
     digits: int = 4,
+    weight: str | None = None,
 ) -> Comparison:
     """Normality per group, spread, main test, and the post-hoc test where the main one is significant.
 
     The values are counted once and the counts stored, so the whole procedure reads
-    the data a single time. Two driver decisions are taken, each on a single flag of
-    a result table. ``posthoc_levels`` widens the groups of the Tukey comparison,
-    which may cover groups left out of the main test.
+    the data a single time. ``weight`` names the count column of a table that is counted already (``score_cube``).
+    Two driver decisions are taken, each on a single flag of a stored result table of a few rows. With ``all_groups`` the Tukey comparison
+    covers every group that occurs, also those left out of the main test.
     """
     levels = tuple(levels)
-    counted = stored(sig.count_values(df, value, group, levels))
+    counted = stored(recount(sig.select_levels(df, group, levels), value, [group], weight))
     columns = (counted, "value", group, levels)
-    normality = sig.shapiro_wilk(*columns, alpha, weight="n")
+    normality = stored(sig.shapiro_wilk(*columns, alpha, weight="n"))
     normal = all_normal(normality)
     spread = sig.levene(*columns, weight="n")
     test = main_test if posthoc else two_sample_test
-    main = test(*columns, problem, normal, alpha, digits, weight="n")
+    main = stored(test(*columns, problem, normal, alpha, digits, weight="n"))
     after, kind = None, None
     if posthoc and gate_open(main, alpha):
-        if normal and posthoc_levels is not None:
-            after, kind = sig.tukey_hsd(df, value, group, list(posthoc_levels), alpha), "tukey"
+        if normal and all_groups:
+            after, kind = sig.tukey_hsd(recount(df, value, [group], weight), "value", group, None, alpha, "n"), "tukey"
         elif normal:
             after, kind = sig.tukey_hsd(*columns, alpha, weight="n"), "tukey"
         else:
@@ -131,29 +132,24 @@ def compare_groups(
     return Comparison(levels, normal, normality, spread, main, after, kind)
 
 
-def levels_of_size(df: DataFrame, value: str, group: str, levels: Sequence[Any], least: int = MIN_GROUP) -> list[Any]:
+def levels_of_size(df: DataFrame, value: str, group: str, levels: Sequence[Any], least: int = MIN_GROUP, weight: str | None = None) -> list[Any]:
     """The listed levels with at least ``least`` values, in listed order."""
-    values = clean_values(sig.select_levels(df, group, levels), value, [group])  # what the tests count: neither null nor NaN
-    sizes = values.groupBy(group).agg(F.count("value").alias("n"))
+    counted = recount(sig.select_levels(df, group, levels), value, [group], weight)  # what the tests count: neither null nor NaN
+    sizes = counted.groupBy(group).agg(F.sum("n").alias("n"))
     kept = {row[group] for row in sizes.where(F.col("n") >= least).collect()}  # at most one row per listed level
     return [x for x in levels if x in kept]
 
 
-def present_levels(df: DataFrame, group: str) -> list[Any]:
-    """All groups that occur, in label order. The result tables have one row per group or pair, so the names are no more than they hold."""
-    return sorted(row[group] for row in df.where(F.col(group).isNotNull()).select(group).distinct().collect())
-
-
 def problem_stars(df: DataFrame, value: str = "rating_score", group: str = "hotel_stars", **options: Any) -> Comparison:
     """Problem 1: three, four and five stars. A Tukey comparison covers every star value present."""
-    return compare_groups(df, value, group, (3, 4, 5), "PB1", posthoc_levels=_LazyLevels(df, group), **options)
+    return compare_groups(df, value, group, (3, 4, 5), "PB1", all_groups=True, **options)
 
 
 def problem_travelers(
     df: DataFrame, value: str = "rating_score", group: str = "traveler_type", levels: Sequence[Any] = TRAVELER_ORDER, **options: Any
 ) -> Comparison:
     """Problem 2: the traveler types with at least five reviews."""
-    return compare_groups(df, value, group, levels_of_size(df, value, group, levels), "PB2", **options)
+    return compare_groups(df, value, group, levels_of_size(df, value, group, levels, weight=options.get("weight")), "PB2", **options)
 
 
 def problem_origin(
@@ -161,21 +157,3 @@ def problem_origin(
 ) -> Comparison:
     """Problem 3: home country against the rest; no post-hoc test."""
     return compare_groups(df, value, group, levels, "PB3", posthoc=False, **options)
-
-
-class _LazyLevels(Sequence):
-    """Groups that are looked up only when a Tukey comparison needs them."""
-
-    def __init__(self, df: DataFrame, group: str) -> None:
-        self._df, self._group, self._found = df, group, None
-
-    def _all(self) -> list[Any]:
-        if self._found is None:
-            self._found = present_levels(self._df, self._group)
-        return self._found
-
-    def __len__(self) -> int:
-        return len(self._all())
-
-    def __getitem__(self, i):
-        return self._all()[i]

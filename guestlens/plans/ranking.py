@@ -24,11 +24,15 @@ from guestlens.session import shuffle_width
 OWN_COLUMNS = ("value", "n", "cuts", "bucket", "center", "total", "ties", "before", "cell", "offset")
 
 
-def clean_values(df: DataFrame, value: str, keys: Sequence[str] = ()) -> DataFrame:
-    """``keys`` and the value as a double named ``value``; missing and NaN values are left out."""
+def _not_taken(keys: Sequence[str]) -> None:
     taken = set(keys) & set(OWN_COLUMNS)
     if taken:
         raise ValueError(f"rename the group column {sorted(taken)[0]!r}: the name is used by rank tables")
+
+
+def clean_values(df: DataFrame, value: str, keys: Sequence[str] = ()) -> DataFrame:
+    """``keys`` and the value as a double named ``value``; missing and NaN values are left out."""
+    _not_taken(keys)
     number = F.col(value).cast("double")
     out = df.select(*keys, F.nanvl(number, F.lit(None).cast("double")).alias("value"))
     return present(out, [*keys, "value"])
@@ -44,6 +48,25 @@ def frequency(df: DataFrame, value: str, keys: Sequence[str] = (), weight: str |
     return clean_values(df, value, keys).groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("n"))
 
 
+def score_cube(df: DataFrame, value: str, columns: Sequence[str]) -> DataFrame:
+    """(columns, value, n): the rows counted once by all the columns together and the value.
+
+    Every table by one of the columns follows from it without another pass over the rows. Missing values are left
+    out, missing labels kept. Counted before the shuffle; as many rows as combinations occur.
+    """
+    _not_taken(columns)
+    counted = clean_values(df.withColumn("__labels", F.struct(*columns)), value, ["__labels"])
+    return counted.groupBy("__labels", "value").agg(F.count(F.lit(1)).alias("n")).select("__labels.*", "value", "n")
+
+
+def recount(df: DataFrame, value: str, keys: Sequence[str] = (), weight: str | None = None) -> DataFrame:
+    """``frequency`` of rows, or of a table like ``score_cube`` whose rows stand for ``weight`` rows each."""
+    if weight is None:
+        return frequency(df, value, keys)
+    counted = present(df.select(*keys, F.col(value).alias("value"), F.col(weight).alias("n")), [*keys, "value"])
+    return counted.groupBy(*keys, "value").agg(F.sum("n").alias("n"))
+
+
 def bucket_steps(width: int) -> list[int]:
     """Step sizes of the bucket search, halving down to 1; there are twice the first step's buckets."""
     levels = max(4, math.ceil(math.log2(2 * width)))

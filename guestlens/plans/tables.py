@@ -13,6 +13,8 @@ from guestlens.functions.labels import ASPECT_KEYWORDS, CATEGORY_NAMES
 from guestlens.operators import aspects, describe, market, report
 from guestlens.operators import significance as sig
 from guestlens.plans.comparison import Comparison, problem_origin, problem_stars, problem_travelers
+from guestlens.plans.ranking import score_cube
+from guestlens.session import stored
 from guestlens.sources.files import write_result
 
 STAR_LABELS = {3: "3★", 4: "4★", 5: "5★"}
@@ -26,20 +28,20 @@ def _label(column: Column, labels: dict[Any, str] | None) -> Column:
     return F.coalesce(F.element_at(F.create_map(*pairs), column), column.cast("string"))
 
 
-def descriptive_tables(df: DataFrame, value: str = "rating_score") -> dict[str, DataFrame]:
+def descriptive_tables(df: DataFrame, value: str = "rating_score", weight: str | None = None) -> dict[str, DataFrame]:
     """Overall and per segment; ``df`` has normalised labels."""
 
     def by(group: str) -> DataFrame:
         renamed = {"n": "N", "mean": "Mean", "median": "Median", "std": "Std"}
-        return describe.describe_by(df, value, group).withColumnsRenamed(renamed).orderBy(group)
+        return describe.describe_by(df, value, group, weight=weight).withColumnsRenamed(renamed).orderBy(group)
 
-    overall = describe.describe_overall(df, value).orderBy("position")
+    overall = describe.describe_overall(df, value, weight=weight).orderBy("position")
     return {
         "descriptive_overall": overall.select(F.col("statistic").alias("Statistic"), F.col("value").alias("Value")),
         "descriptive_by_stars": by("hotel_stars"),
         "descriptive_by_traveler": by("traveler_type"),
         "descriptive_by_origin": by("origin"),
-        "chart_rating_histogram": describe.histogram(df, value).orderBy("bin"),
+        "chart_rating_histogram": describe.histogram(df, value, weight=weight).orderBy("bin"),
     }
 
 
@@ -78,11 +80,16 @@ def comparison_tables(
 
 
 def statistics_tables(df: DataFrame, value: str = "rating_score") -> dict[str, DataFrame]:
-    """Descriptives, the three problems, their box-plot numbers and the report tables built on them."""
-    stars = problem_stars(df, value)
-    travelers = problem_travelers(df, value)
-    origin = problem_origin(df, value)
-    tables = descriptive_tables(df, value)
+    """Descriptives, the three problems, their box-plot numbers and the report tables built on them.
+
+    The reviews are read once: counted by all segments and the score, and stored. Every table is computed from these counts.
+    """
+    cube = stored(score_cube(df, value, list(SEGMENTS.values())))
+    counted = (cube, "value")
+    stars = problem_stars(*counted, weight="n")
+    travelers = problem_travelers(*counted, weight="n")
+    origin = problem_origin(*counted, weight="n")
+    tables = descriptive_tables(*counted, weight="n")
     tables |= comparison_tables("pb1", stars, "hotel_stars", STAR_LABELS)
     tables |= comparison_tables("pb2", travelers, "traveler_type")
     tables |= comparison_tables("pb3", origin, "origin")
@@ -91,7 +98,7 @@ def statistics_tables(df: DataFrame, value: str = "rating_score") -> dict[str, D
         ("chart_pb2_boxes", "traveler_type", travelers),
         ("chart_pb3_boxes", "origin", origin),
     ):
-        box = describe.boxplot(sig.select_levels(df, group, out.levels), value, group)
+        box = describe.boxplot(sig.select_levels(cube, group, out.levels), "value", group, weight="n")
         tables[name] = box.orderBy(sig.level_place(group, out.levels))
     headings = {
         "kategoria": "Kategoria",
@@ -101,7 +108,7 @@ def statistics_tables(df: DataFrame, value: str = "rating_score") -> dict[str, D
         "mediana": "Mediana",
         "odch_stand": "Odch. Stand.",
     }
-    characteristics = describe.descriptive_report(df, value, SEGMENTS).orderBy("position", "podgrupa")
+    characteristics = describe.descriptive_report(*counted, SEGMENTS, weight="n").orderBy("position", "podgrupa")
     tables["report_characteristics"] = characteristics.drop("position").withColumnsRenamed(headings)
     for name, heading, out in (("report_pb1_dunn", "Standard", stars), ("report_pb2_dunn", "Profil", travelers)):
         if out.posthoc_kind == "dunn":

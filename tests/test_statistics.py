@@ -1,6 +1,7 @@
 """Tests against brute force on small data, published values and identities between the tests."""
 
 import math
+import time
 from statistics import NormalDist
 
 import numpy as np
@@ -326,3 +327,48 @@ def test_problem_stars_leaves_other_stars_out_of_the_main_test(spark):
     assert {r["group1"] for r in out.posthoc.collect()} == {2, 3, 4}  # every star value is compared
     only = comparison.problem_stars(df.where("hotel_stars > 2"))
     assert only.main.collect()[0]["statistic"] == pytest.approx(out.main.collect()[0]["statistic"])
+
+
+def test_many_groups_of_tukey(spark):
+    """All 44,850 pairs of 300 groups: the quantile once, the pairs in many tasks."""
+    rng = np.random.default_rng(4)
+    rows = [(f"g{g:03}", float(x)) for g in range(300) for x in rng.normal(g % 3 * 0.5, 1.0, 20)]
+    df = spark.createDataFrame(rows, "g string, v double").cache()
+    start = time.perf_counter()
+    pairs = sig.tukey_hsd(df, "v", "g").toPandas()
+    assert time.perf_counter() - start < 60
+    assert len(pairs) == 300 * 299 // 2 and (pairs.group1 < pairs.group2).all()
+    half = (pairs.upper - pairs.lower) / 2
+    assert np.allclose(half, half.iloc[0])  # equal sizes
+    at_limit = tails.studentized_range_upper(half.iloc[0] / (pairs.meandiff.abs() / sig_q(df, pairs)).iloc[0], 300, 5700)
+    assert at_limit == pytest.approx(0.05, abs=1e-6)
+    plan = sig.tukey_hsd(df, "v", "g")._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def sig_q(df, pairs):
+    found = sig.tukey_statistics(df, "v", "g", None).toPandas().set_index(["group1", "group2"])["q"]
+    return found.loc[list(zip(pairs.group1, pairs.group2))].reset_index(drop=True)
+
+
+def test_tails_of_many_numbers():
+    x = np.concatenate([np.linspace(-12, 12, 4001), [0.0, 50.0, -50.0]])
+    assert np.allclose(tails.normal_upper_each(x), [tails.normal_upper(v) for v in np.clip(x, -40, 40)], rtol=1e-8, atol=1e-15)
+
+
+def test_cube_gives_the_numbers_of_the_rows(spark):
+    rng = np.random.default_rng(6)
+    rows = [(["a", "b", None][int(rng.integers(3))], int(rng.integers(2)), [float(rng.integers(5)), None, float("nan")][int(rng.integers(9)) // 7]) for _ in range(500)]
+    df = spark.createDataFrame(rows, "g string, h int, v double")
+    cube = ranking.score_cube(df, "v", ["g", "h"])
+    for plain, counted in (
+        (describe.describe_by(df, "v", "g"), describe.describe_by(cube, "value", "g", weight="n")),
+        (describe.describe_overall(df, "v"), describe.describe_overall(cube, "value", weight="n")),
+        (describe.histogram(df, "v", 4), describe.histogram(cube, "value", 4, weight="n")),
+        (describe.boxplot(df, "v", "h"), describe.boxplot(cube, "value", "h", weight="n")),
+        (describe.descriptive_report(df, "v", {"G": "g", "H": "h"}), describe.descriptive_report(cube, "value", {"G": "g", "H": "h"}, weight="n")),
+    ):
+        assert sorted(map(str, plain.collect())) == sorted(map(str, counted.collect()))
+    assert comparison.levels_of_size(cube, "value", "g", ["b", "a", "c"], weight="n") == ["b", "a"]
+    with pytest.raises(ValueError, match="rename"):
+        ranking.score_cube(df.withColumnRenamed("g", "n"), "v", ["n"])

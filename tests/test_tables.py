@@ -52,6 +52,15 @@ def test_statistics_tables(spark, statistics, tmp_path):
     assert spark.read.csv(str(tmp_path / "t"), header=True).columns == ["origin", "N", "Mean", "Median", "Std"]
 
 
+def test_all_tables_come_from_one_scan(spark, statistics, tmp_path):
+    """Only the counts touch the reviews; every table reads the stored counts."""
+    normalise_labels(statistics).write.parquet(str(tmp_path / "reviews"))
+    df = spark.read.parquet(str(tmp_path / "reviews"))
+    out = tables.statistics_tables(df)
+    plans = [t._jdf.queryExecution().executedPlan().toString() for t in out.values()]
+    assert not any("FileScan" in plan for plan in plans) and all("Scan ExistingRDD" in plan or "LocalTableScan" in plan for plan in plans)
+
+
 def test_aspect_tables(spark, statistics):
     texts = reviews.aspect_input(statistics)
     out = tables.aspect_tables(reviews.aspect_results(texts), texts)
