@@ -23,9 +23,9 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> D
     return df.withColumn("__place", F.row_number().over(window)).where(F.col("__place") == 1).drop("__place")
 
 
-def dedup_content(df: DataFrame, keys: Sequence[str] = CONTENT_KEYS, id_column: str = "source_id") -> DataFrame:
-    """One review per content. Sorting by traveler type lets "Business" win; missing types come last."""
-    return keep_first(df, keys, [F.asc_nulls_last("traveler_type"), F.asc_nulls_last(id_column)])
+def dedup_content(df: DataFrame, keys: Sequence[str] = CONTENT_KEYS, id_column: str = "source_id", ties: Sequence[Column] = ()) -> DataFrame:
+    """One review per content. Sorting by traveler type lets "Business" win; missing types come last, ``ties`` decide among equals."""
+    return keep_first(df, keys, [F.asc_nulls_last("traveler_type"), F.asc_nulls_last(id_column), *ties])
 
 
 def dedup_by_key(df: DataFrame, key: str, order: Sequence[Column]) -> DataFrame:
@@ -37,7 +37,7 @@ def dedup_across_batches(df: DataFrame, key: str, batch: str) -> DataFrame:
     """Drops a row only if its id was seen in an earlier batch; repeats inside one batch stay."""
     first = df.groupBy(key).agg(F.min(batch).alias("__first"), F.count(F.lit(1)).alias("__rows"))
     return (
-        lookup_join(df, first, [key], "__rows")
+        lookup_join(df, first, [key], "__rows", spread=[key, batch])
         .where((F.col(batch) == F.col("__first")) | F.col(key).isNull())
         .drop("__first", "__rows")
     )

@@ -65,10 +65,23 @@ def _by_hotel(df: DataFrame, path: str, mode: str, partition: str | None) -> Non
 
 
 def append_rows(df: DataFrame, path: str, partition: str | None = "hotel_name") -> None:
-    """Adds rows to a columnar table, one folder per hotel; finished parts stay if a later run fails."""
+    """Adds rows to a columnar table, one folder per hotel; finished parts stay if a later run fails.
+
+    A repeated run adds its rows again; ``put_pass`` replaces them.
+    """
     _by_hotel(df, path, "append", partition)
 
 
+def put_pass(df: DataFrame, path: str, name: str, partition: str = "hotel_name") -> None:
+    """The rows that pass ``name`` collected, in one folder per pass and hotel (columns ``pass`` and ``partition``).
+
+    What the pass had stored for these hotels is replaced, anything else stays. So a pass that
+    is run twice, or broken half-way and repeated, leaves the table of a single run.
+    """
+    rows = df.withColumn("pass", F.lit(name)).hint("rebalance", partition)
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("pass", partition).parquet(path)
+
+
 def start_afresh(df: DataFrame, path: str, partition: str | None = "hotel_name") -> None:
     """The same, after clearing what an earlier pass left."""
     _by_hotel(df, path, "overwrite", partition)

@@ -3,7 +3,7 @@ import uuid
 import pytest
 from pyspark.sql import functions as F
 
-from guestlens.operators import clean
+from guestlens.operators import clean, language
 from guestlens.plans import reviews
 from guestlens.schemas import REVIEW
 from guestlens.session import checkpoint_folder
@@ -104,10 +104,78 @@ def test_both_analysis_tables(spark, tmp_path):
         REVIEW,
     )
     business = spark.createDataFrame([row(1, "Solo traveller", 7.0, "The shower was dirty and the bed was hard")], REVIEW)
-    statistics, texts = reviews.write_tables(spark, str(tmp_path), general, general.limit(0), business)
+    statistics, texts, counts = reviews.write_tables(spark, str(tmp_path), general, general.limit(0), business)
     assert sorted((r["source_id"], r["traveler_type"]) for r in statistics.collect()) == [("1", "Business"), ("2", "Couple"), ("3", "Family")]
     assert [r["source_id"] for r in texts.collect()] == ["1"]
     found = reviews.aspect_results(texts).select("extracted_aspect", "sentiment", "aspect_category").collect()
     assert sorted(map(tuple, found)) == [("bed", "NEGATIVE", "COMFORT"), ("shower", "NEGATIVE", "FACILITIES")]
     labelled = clean.normalise_labels(statistics).where(F.col("source_id") == "1").collect()[0]
     assert (labelled["traveler_type"], labelled["origin"], labelled["hotel_stars"]) == ("Business", "Poland", base[2])
+
+
+def stage_rows(counts):
+    out = {}
+    for r in counts.orderBy("pass", "position").collect():
+        out.setdefault(r["pass"], []).append((r["stage"], r["rows"]))
+    return out
+
+
+def test_counts_of_a_run_equal_those_of_its_tables(spark, tmp_path):
+    def rows(start, n, **fixed):
+        base = dict.fromkeys(f.name for f in REVIEW.fields)
+        some = [
+            {**base, "source_id": f"{start + i}", "hotel_name": f"H{i % 3}", "stay_date": "May 2025" if i % 6 else "May 2019", "rating_score": 7.0 if i % 5 else None,
+             "neg_text": ["The bed was very hard", "Das Bett war sehr hart und kalt", "bad", None][i % 4] if i % 7 else " ", **fixed}
+            for i in range(n)
+        ]
+        return spark.createDataFrame([tuple(r[f.name] for f in REVIEW.fields) for r in some], REVIEW)
+
+    general, negative, business = rows(0, 60), rows(0, 40), rows(500, 30, hotel_name="B")
+    written = reviews.write_tables(spark, str(tmp_path), general, negative, business)
+    found = stage_rows(written.counts)
+    assert list(found) == ["business", "general", "negative"] and all([s for s, _ in x] == [s for s, _ in found["general"]] for x in found.values())
+    for name, part in (("general", general), ("negative", negative), ("business", business)):
+        alone = {r["stage"]: r["rows"] for r in clean.stage_counts(part).collect()}
+        assert [n for _, n in found[name][:3]] == [alone[s] for s in ("loaded", "in_period", "with_score")]
+    whole = {r["stage"]: r["rows"] for r in clean.stage_counts(reviews.union_passes(general, negative, business)).collect()}
+    total = {stage: sum(dict(x)[stage] for x in found.values()) for stage, _ in found["general"]}
+    assert {s: total[s] for s in whole} == whole and total["distinct_content"] == written.statistics.count()
+    text = {r["stage"]: r["rows"] for r in clean.text_stage_counts(written.statistics, "neg_text", reviews_language()).collect()}
+    assert {s: total[s] for s in ("with_text", "enough_words", "in_language")} == {s: text[s] for s in ("with_text", "enough_words", "in_language")}
+    assert total["in_language"] == written.texts.count() > 0 and "__pass" not in written.texts.columns + written.statistics.columns
+
+
+def reviews_language():
+    return language.language_of(F.col("neg_text"))
+
+
+def test_two_passes_alone_and_empty_ones(spark, tmp_path):
+    none = spark.createDataFrame([], REVIEW)
+    found = stage_rows(reviews.write_tables(spark, str(tmp_path), none, none).counts)
+    assert set(found) == {"general", "negative"} and all(n == 0 for x in found.values() for _, n in x)
+
+
+def test_a_pass_put_twice_or_broken_is_the_same_table(spark, tmp_path):
+    path = str(tmp_path / "raw")
+    df = spark.createDataFrame([(f"H{i % 3}", i, f"t{i}") for i in range(30)], "hotel_name string, i int, text string")
+
+    def table():
+        return sorted((r["pass"], r["hotel_name"], r["i"], r["text"]) for r in spark.read.parquet(path).collect())
+
+    files.put_pass(df, path, "general")
+    files.put_pass(df.limit(4), path, "negative")
+    expected = table()
+    files.put_pass(df, path, "general")
+    assert table() == expected
+    files.put_pass(df.where("hotel_name <> 'H2' AND i < 7"), path, "general")  # broken half-way
+    assert table() != expected
+    files.put_pass(df, path, "general")
+    assert table() == expected and len(expected) == 34
+
+
+def test_phrases_reach_the_results(spark):
+    said = "The rooms were dirty, the beds hard, towels stained, prices expensive, amenities missing, air conditioning broken"
+    base = dict.fromkeys(f.name for f in REVIEW.fields)
+    texts = spark.createDataFrame([tuple({**base, "source_id": "1", "neg_text": said}[f.name] for f in REVIEW.fields)], REVIEW)
+    found = [r["extracted_aspect"] for r in reviews.aspect_results(texts).collect()]
+    assert found == ["rooms", "beds", "towels", "prices", "amenities", "air conditioning"]
