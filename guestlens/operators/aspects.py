@@ -21,8 +21,8 @@ from guestlens.functions.labels import (
 )
 from guestlens.functions.text import WORD_PATTERN, words
 from guestlens.operators import matching
-from guestlens.operators.dedup import keep_first
-from guestlens.plans.skew import lookup_join
+from guestlens.operators.dedup import first_by_key
+from guestlens.plans.skew import hot_keys, lookup_join, row_salt
 
 SENTIMENTS = ("NEGATIVE", "NEUTRAL", "POSITIVE")
 
@@ -246,13 +246,19 @@ def ranking(df: DataFrame, column: str) -> DataFrame:
 
 
 def attach_text(aspects: DataFrame, texts: DataFrame, key: str = "source_id", text: str = "neg_text", order: Sequence[Column] = ()) -> DataFrame:
-    """Aspect rows with the first text of their review id; only two columns of the texts are read.
+    """Aspect rows with the first text of their review id; texts are shuffled once, one per id and task.
 
-    Both sides are shuffled on the id for this join alone, the form in which Spark
-    splits the partition of a very frequent id by itself.
+    The rank filter cuts the texts to one per id in every task, shuffles these by id, and the join finds them there. Rows of ids with
+    more rows than an average task are dealt to slices, for which only these ids' texts are copied.
     """
-    first = keep_first(texts.where(F.col(key).isNotNull()), [key], list(order) or [F.asc_nulls_last(text)])
-    return aspects.join(first.select(key, text), key, "left")
+    first = first_by_key(texts.where(F.col(key).isNotNull()), key, list(order) or [F.asc_nulls_last(text)]).select(key, text)
+    counts = aspects.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("__rows"))
+    hot = F.broadcast(hot_keys(counts, [key], "__rows"))  # at most as many ids as tasks
+    marked = aspects.join(hot, key, "left")
+    usual = marked.where("__slices IS NULL").drop("__slices").join(first, key, "left")
+    dealt = marked.where("__slices IS NOT NULL").withColumn("__salt", row_salt(aspects, F.col("__slices"), [key])).drop("__slices")
+    copies = first.join(hot, key).withColumn("__salt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("__slices") - 1))).drop("__slices")
+    return usual.unionByName(dealt.join(copies, [key, "__salt"], "left").drop("__salt"))
 
 
 def aspect_bigrams(
@@ -291,9 +297,7 @@ def aspect_bigrams(
             F.collect_set("__aspect").alias("__words"),
         )
     )
-    first = keep_first(
-        texts.where(F.col(key).isNotNull() & F.col(text).isNotNull()), [key], list(order) or [F.asc_nulls_last(text)]
-    )
+    first = first_by_key(texts.where(F.col(key).isNotNull() & F.col(text).isNotNull()), key, list(order) or [F.asc_nulls_last(text)])
     tokens, wanted = F.col("__tokens"), F.col("__words")
     near = F.filter(
         F.when(F.size(tokens) > 1, F.sequence(F.lit(1), F.size(tokens) - 1)).otherwise(F.array().cast("array<int>")),

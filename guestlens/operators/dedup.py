@@ -23,6 +23,12 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> D
     return df.withColumn("__place", F.row_number().over(window)).where(F.col("__place") == 1).drop("__place")
 
 
+def first_by_key(df: DataFrame, key: str, order: Sequence[Column]) -> DataFrame:
+    """``keep_first`` for one short key, left partitioned by that key: a join on it needs no further shuffle."""
+    window = Window.partitionBy(key).orderBy(*order)
+    return df.withColumn("__place", F.row_number().over(window)).where(F.col("__place") == 1).drop("__place")
+
+
 def dedup_content(df: DataFrame, keys: Sequence[str] = CONTENT_KEYS, id_column: str = "source_id", ties: Sequence[Column] = ()) -> DataFrame:
     """One review per content. Sorting by traveler type lets "Business" win; missing types come last, ``ties`` decide among equals."""
     return keep_first(df, keys, [F.asc_nulls_last("traveler_type"), F.asc_nulls_last(id_column), *ties])

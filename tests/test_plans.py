@@ -1,10 +1,12 @@
 """Plans that must hold at scale: no products, early cuts, salted hot keys, pruned scans."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from guestlens.operators import clean, dedup, describe, take
+from guestlens.operators import aspects, clean, dedup, describe, take
 from guestlens.plans import ranking, skew
 from guestlens.schemas import REVIEW
 
@@ -111,3 +113,41 @@ def test_copies_across_tasks_are_dropped_once(spark):
 def test_cleaning_filters_are_narrow(spark):
     text = plan(clean.filter_min_words(clean.filter_period(spark.createDataFrame([], REVIEW))))
     assert "Exchange" not in text and "Python" not in text
+
+
+def text_exchanges(spark, df, column):
+    """Arguments of the exchanges, in the plan as it ran, whose rows hold the column."""
+    df.write.format("noop").mode("overwrite").save()
+    df.collect()
+    shown = spark.sparkContext._jvm.org.apache.spark.sql.api.python.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+    final = shown.split("+- == Initial Plan ==")[0]
+    listed = final + shown.split("\n\n\n", 1)[-1]
+    numbers = {n for n in re.findall(r"Exchange \((\d+)\)", shown.split("== Initial Plan ==")[0]) if f"ReusedExchange ({n})" not in listed}
+    blocks = re.findall(r"\((\d+)\) Exchange\nInput \[\d+\]: \[([^\]]*)\]\nArguments: ([^\n]*)", shown)
+    return [arguments for n, columns, arguments in blocks if n in numbers and column in columns]
+
+
+@pytest.fixture
+def no_broadcasts(spark):
+    for name in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"):
+        spark.conf.set(name, "-1")
+    yield
+    for name in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"):
+        spark.conf.unset(name)
+
+
+def test_texts_are_shuffled_once(spark, small, no_broadcasts):
+    docs = spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "text")
+    mentions = docs.select("doc_id", F.lower(F.split("text", " ")[0]).alias("extracted_aspect"), F.lit("C").alias("aspect_category"))
+    once = text_exchanges(spark, aspects.aspect_bigrams(mentions, docs, "doc_id", "text"), "text")
+    assert len(once) == 1 and once[0].startswith("hashpartitioning(doc_id")
+    by_id = [a for a in text_exchanges(spark, aspects.attach_text(mentions, docs, "doc_id", "text"), "text") if "__salt" not in a]
+    assert len(by_id) == 1 and by_id[0].startswith("hashpartitioning(doc_id")
+
+
+def test_text_of_a_hot_id_reaches_all_its_rows(spark, no_broadcasts):
+    mentions = spark.range(6000).select(F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 50 == 1, None).otherwise(F.col("id").cast("string")).alias("source_id"), "id")
+    texts = mentions.select("source_id", F.concat(F.lit("t"), "source_id").alias("neg_text"))
+    out = aspects.attach_text(mentions.where("id < 5000"), texts)
+    assert out.columns == ["source_id", "id", "neg_text"] and out.count() == 5000
+    assert out.where("neg_text IS NULL AND source_id IS NOT NULL OR neg_text <> concat('t', source_id)").count() == 0
