@@ -23,7 +23,7 @@ def op3_run_index(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op4_similar_lines(spark: SparkSession, folder: str) -> DataFrame:
-    return line_join.line_report(table(spark, folder, "documents"))
+    return line_join.line_report(table(spark, folder, "documents"), line_join.WORDS)
 
 
 def op5_host_paths(spark: SparkSession, folder: str) -> DataFrame:
