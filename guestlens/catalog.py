@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from guestlens.functions import labels, scores, text
 from guestlens.functions.display import annotation, half_even, p_text
-from guestlens.operators import aspects, clean, dedup, describe, language, market, report, seen, take
+from guestlens.operators import aspects, clean, dedup, describe, language, market, opinions, report, seen, take
 from guestlens.operators import significance as sig
 from guestlens.plans import comparison, ranking
 from guestlens.session import checkpoint_folder
@@ -588,6 +588,14 @@ def q_flatten_aspects(spark: SparkSession, folder: str) -> DataFrame:
     return aspects.flatten_aspects(lists, ["doc_id"])
 
 
+def q_opinion_weights(spark: SparkSession, folder: str) -> DataFrame:
+    """Texts of good documents are the positive side, those of bad ones the negative."""
+    quality = table(spark, folder, "labels").select("doc_id", "quality")
+    docs = table(spark, folder, "documents").select("doc_id", "text").join(quality, "doc_id")
+    sides = docs.select(F.when(F.col("quality") == 1, F.col("text")).alias("pos_text"), F.when(F.col("quality") == 0, F.col("text")).alias("neg_text"))
+    return rounded(opinions.opinion_weights(sides), "weight")
+
+
 def q_aspect_category(spark: SparkSession, folder: str) -> DataFrame:
     words = (
         table(spark, folder, "documents")

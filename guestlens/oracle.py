@@ -609,6 +609,10 @@ FROM phrase h LEFT JOIN opinion o ON o.doc_id = h.doc_id AND o.i BETWEEN h.i - 3
 l AS (SELECT doc_id, list_filter(ws, lambda w: length(w) = 9) AS a, list_filter(ws, lambda w: length(w) = 8) AS s FROM t),
 i AS (SELECT doc_id, a, s, unnest(range(1, least(len(a), len(s)) + 1)) AS i FROM l)
 SELECT doc_id, a[i] AS extracted_aspect, CASE WHEN s[i] < 'm' THEN 'NEGATIVE' ELSE 'POSITIVE' END AS sentiment FROM i"""
+    sql["opinion_weights"] = f"""WITH w AS (SELECT quality, unnest({tokens("text")}) AS word FROM documents JOIN labels USING (doc_id) WHERE quality IN (0, 1)),
+n AS (SELECT word, count(*) FILTER (WHERE quality = 1) AS positive, count(*) FILTER (WHERE quality = 0) AS negative FROM w GROUP BY word),
+t AS (SELECT sum(positive) + 0.5::DOUBLE * count(*) AS good, sum(negative) + 0.5::DOUBLE * count(*) AS bad FROM n)
+SELECT word, positive, negative, round(ln((positive + 0.5::DOUBLE) / good) - ln((negative + 0.5::DOUBLE) / bad), 6) AS weight FROM n, t WHERE positive + negative >= 5"""
     sql["aspect_category"] = f"""WITH w AS (SELECT unnest({tokens("text")}) AS extracted_aspect FROM documents),
 n AS (SELECT extracted_aspect, count(*) AS n FROM w GROUP BY 1),
 k AS (SELECT *, {category_case("extracted_aspect", labels.ASPECT_KEYWORDS)} AS aspect_category FROM n)
