@@ -5,7 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry
+from guestlens import catalog
 from guestlens.operators import aspects, clean, dedup, describe, take
 from guestlens.plans import ranking, skew
 from guestlens.schemas import REVIEW
@@ -21,9 +21,9 @@ def physical(df):
 
 
 # A single aggregated row or the bins of a histogram meet by position, not by key.
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.queries()))
 def test_no_products_and_no_python_rows(spark, tiny, name):
-    text = physical(entry.queries()[name](spark, tiny))
+    text = physical(catalog.queries()[name](spark, tiny))
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
     assert "BatchEvalPython" not in text and "RDDScan" not in text.replace("Scan ExistingRDD", "")
 
