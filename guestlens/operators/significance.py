@@ -51,15 +51,14 @@ def each_pair(per_group: DataFrame, group: str, levels: Sequence[Any] | None, *t
     fields = [c for c in per_group.columns if c != group]
     order = group if levels is None else level_place(group, levels)
     entry = per_group.select(F.col(group).alias("name"), F.struct(*fields).alias("row"), F.row_number().over(Window.orderBy(order)).alias("place"))  # a row per group
-    behind = F.sequence(F.col("place") + 1, F.col("__last"))
-    whole = per_group.agg(F.struct(*totals)).scalar()
-    names = [c for c in per_group.agg(*totals).columns]
-    last = per_group.agg(F.count(F.lit(1)).cast("int")).scalar()
-    first = entry.withColumn("__last", last).where("place < __last").select(F.col("name").alias("group1"), F.col("row").alias("one"), F.explode(behind).alias("place"))
+    whole = per_group.agg(F.struct(*totals, F.count(F.lit(1)).cast("int").alias("__groups"))).scalar()
+    names = per_group.agg(*totals).columns
+    counted = entry.withColumn("__whole", whole).where(F.col("place") < F.col("__whole.__groups"))
+    behind = F.explode(F.sequence(F.col("place") + 1, F.col("__whole.__groups")))
+    first = counted.select(F.col("name").alias("group1"), F.col("row").alias("one"), *(F.col(f"__whole.{c}").alias(c) for c in names), behind.alias("place"))
     first = first.repartition(shuffle_width(per_group.sparkSession), "place")  # small rows, but the work on pairs may be dear
     second = entry.select(F.col("name").alias("group2"), F.col("row").alias("two"), "place")
-    pairs = first.join(second, "place").withColumn("__whole", whole)
-    return pairs.select("group1", "group2", *(F.col(f"__whole.{c}").alias(c) for c in names), "one", "two")
+    return first.join(second, "place").select("group1", "group2", *names, "one", "two")
 
 
 # ---------------------------------------------------------------- rank tests
