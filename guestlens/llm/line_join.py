@@ -1,15 +1,17 @@
 """Line deduplication: an exact set-similarity self-join of lines.
 
 A line is the set of its tokens: word shingles, or with size WORDS its words, repeated ones numbered. Tokens have one global order, rarest first:
-occurrences are counted in a table of fixed size by the leading bits of the token's hash, and those bits
+occurrences are counted in a table of fixed size by the leading bits of the word's (or shingle's) hash, and those bits
 are replaced by the rank of their count, which keeps tokens distinct and makes common ones last. Two lines of the
 wanted Jaccard similarity share a token among the first few of both (prefix filter), have
-similar sizes (length filter), and enough tokens after the shared ones (positional filter). Candidates
-are verified on their whole sets, and a line that is similar to an earlier one is removed.
-
-Lines with equal sets are one class. Classes that share a prefix token are first compared with one
-class of them each; only classes not removed by that are compared with all earlier classes that share a token.
-The classes of a token are dealt to blocks, and every pair of blocks is compared by itself.
+similar sizes (length filter), and enough tokens after the shared ones (positional filter). A parity bit map of 128 bits
+goes with every prefix token: two sets differ in as many tokens at least as their maps in bits, so most pairs
+that cannot be similar end before their sets are read. The others are verified on their whole sets, made again from the
+texts, and a line that is similar to an earlier one is removed.
+
+Lines with equal sets are one class, named by its first line. Classes that share a frequent prefix token are first compared with
+the first class of them; only those not removed by that are compared with all earlier classes that share a token.
+The classes of a token with more than a block of them are dealt to blocks, and every pair of blocks is compared by itself.
 Only SQL functions are used.
 """
 
@@ -18,14 +20,21 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from guestlens.llm.frames import stored
+from guestlens.llm.frames import written
 from guestlens.llm.shingles import shingle_hashes, word_list
+from guestlens.plans.skew import lookup_join
 
 SHINGLE = 5
 #: As a shingle size: tokens are single words, the k-th use of a word in a line is a token of its own.
 WORDS = 0
 #: Classes of a prefix token that one task compares with as many others.
 BLOCK = 1024
+#: Classes of a prefix token from which they are first compared with one of them.
+STAR = 32
+#: Words of a line up to which repeated ones are numbered by looking for the first; beyond it, by the starts of their runs. Both give the same numbers.
+SHORT = 512
+#: Rows of document ids or tokens up to which a counted table of them is broadcast.
+BROADCAST_ROWS = 1_000_000
 PERCENT = 80
 RARITY_BITS = 14
 _HALF = 1 << (RARITY_BITS - 1)
@@ -37,28 +46,21 @@ def _lines(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), lines.alias("lines")).select("doc_id", F.posexplode_outer("lines").alias("line_no", "line"))
 
 
-def _numbered_words(words: DataFrame) -> DataFrame:
-    """doc_id, line_no and a hash of every word of ``words`` with its number among equal ones, in time linear in the line."""
-    own = words.select("doc_id", "line_no", F.sort_array(F.transform("words", lambda w: F.xxhash64(w))).alias("own"))
-    places = F.sequence(F.lit(0), F.size("own") - 1)
-    starts = F.filter(places, lambda i: (i == 0) | (F.get("own", i) != F.get("own", i - 1)))
-    runs = own.select("doc_id", "line_no", "own", F.when(F.size("own") > 0, starts).otherwise(F.array().cast("array<int>")).alias("starts"))
-    end = lambda r: F.coalesce(F.get("starts", r + 1), F.size("own"))
-    run = lambda start, r: F.transform(F.sequence(start, end(r) - 1), lambda i: F.xxhash64(F.get("own", i), i - start))
-    return runs.select("doc_id", "line_no", F.flatten(F.transform("starts", run)).alias("hashes"))
+def _words(docs: DataFrame) -> DataFrame:
+    return _lines(docs).select("doc_id", "line_no", word_list(F.lower("line")).alias("words"))
 
 
-def _hashed(docs: DataFrame, size: int) -> DataFrame:
-    """doc_id, line_no and the line's token hashes, shingles with repeats."""
-    words = _lines(docs).select("doc_id", "line_no", word_list(F.lower("line")).alias("words"))
-    if size == WORDS:
-        return _numbered_words(words)
-    return words.select("doc_id", "line_no", shingle_hashes(F.col("words"), size).alias("hashes"))
+def _lead(h: Column) -> Column:
+    return F.shiftrightunsigned(h, 64 - RARITY_BITS)
 
 
-def _rarity(hashed: DataFrame) -> Column:
+def _rarity(docs: DataFrame, size: int) -> Column:
     """Rank of every value of the leading hash bits by occurrences, as an array of fixed size."""
-    rows = hashed.select(F.explode_outer("hashes").alias("h")).select(F.shiftrightunsigned(F.coalesce("h", F.lit(0)), 64 - RARITY_BITS).alias("lead"))
+    if size == WORDS:
+        rows = _words(docs).select(F.explode_outer("words").alias("w")).select(_lead(F.xxhash64("w")).alias("lead"))
+    else:
+        hashes = _words(docs).select(shingle_hashes(F.col("words"), size).alias("hashes"))
+        rows = hashes.select(F.explode_outer("hashes").alias("h")).select(_lead(F.coalesce("h", F.lit(0))).alias("lead"))
     counted = {r["lead"]: r["n"] for r in rows.groupBy("lead").agg(F.count("*").alias("n")).collect()}
     ranks = [0] * (1 << RARITY_BITS)
     for rank, lead in enumerate(sorted(range(1 << RARITY_BITS), key=lambda k: (counted.get(k, 0), k))):
@@ -66,26 +68,84 @@ def _rarity(hashed: DataFrame) -> Column:
     return F.split(F.lit(",".join(map(str, ranks))), ",").cast("array<bigint>")
 
 
-def _tokens(hashed: DataFrame, rarity: Column) -> DataFrame:
-    """The distinct tokens of each line, rarest first."""
-    keep = (1 << (64 - RARITY_BITS)) - 1
+_KEEP = (1 << (64 - RARITY_BITS)) - 1
+
+
+def _numbered(own: str) -> Column:
+    """The words whose sorted hashes are in the column ``own``, told apart by use: the k-th use of a word, k > 0, has low bits of its own."""
+    high = F.lit(-1 << (64 - RARITY_BITS))
+    again = lambda h, k: h.bitwiseAND(high).bitwiseOR(F.xxhash64(h, k.cast("int")).bitwiseAND(F.lit(_KEEP)))
+    short = F.transform(own, lambda h, i: F.when(F.get(own, i - 1) == h, again(h, i + 1 - F.array_position(own, h))).otherwise(h))
+    places = F.sequence(F.lit(0), F.size(own) - 1)
+    starts = F.filter(places, lambda i: (i == 0) | (F.get(own, i) != F.get(own, i - 1)))
+
+    def run(start: Column, end: Column) -> Column:
+        h = F.get(own, start)
+        return F.transform(F.sequence(start, end - 1), lambda i: F.when(i == start, h).otherwise(again(h, i - start)))
+
+    ends = F.concat(F.slice(starts, 2, F.size(own)), F.array(F.size(own)))
+    runs = F.zip_with(starts, ends, lambda start, end: F.struct(start.alias("start"), end.alias("end")))
+    long = F.flatten(F.transform(runs, lambda r: run(r["start"], r["end"])))
+    return F.when(F.size(own) <= SHORT, short).otherwise(long)
+
+
+def _tokens(words: DataFrame, size: int, rarity: Column) -> DataFrame:
+    """The distinct tokens of each line of ``words``, rarest first: doc_id, line_no, tokens."""
+    if size == WORDS:
+        own = words.select("doc_id", "line_no", F.sort_array(F.transform("words", lambda w: F.xxhash64(w))).alias("own"))
+        hashes = own.select("doc_id", "line_no", _numbered("own").alias("hashes"))
+    else:
+        hashes = words.select("doc_id", "line_no", F.array_distinct(shingle_hashes(F.col("words"), size)).alias("hashes"))
+    ranked = F.transform("hashes", lambda h: F.shiftleft(F.get(rarity, _lead(h).cast("int")), 64 - RARITY_BITS).bitwiseOR(h.bitwiseAND(F.lit(_KEEP))))
+    return hashes.select("doc_id", "line_no", F.sort_array(ranked).alias("tokens"))
+
+
+def _map(odd: int) -> Column:
+    """64 of the 128 parity bits of ``tokens``: those of tokens whose seventh bit is ``odd``."""
+    half = lambda h: F.shiftright(h, 6).bitwiseAND(F.lit(1).cast("long"))
+    bit = lambda h: F.call_function("shiftleft", half(h) if odd else F.lit(1).cast("long") - half(h), h.bitwiseAND(F.lit(63)).cast("int"))
+    return F.aggregate("tokens", F.lit(0).cast("long"), lambda bits, h: bits.bitwiseXOR(bit(h)))
+
+
+def _prefix_rows(classes: DataFrame) -> DataFrame:
+    return classes.select("doc_id", "line_no", "n", "s1", "s2", F.posexplode("prefix").alias("pos", "token"))
+
+
+def _near(percent: int, x: str = "x.", y: str = "y.") -> Column:
+    """Whether the classes of two prefix rows of a token can be similar. A negative size stands for a class that is removed already, on the left."""
+    xn, yn = F.col(f"{x}n"), F.abs(F.col(f"{y}n"))
+    long = (xn * 100 >= yn * percent) & (yn * 100 >= xn * percent)
+    room = F.least(xn - F.col(f"{x}pos"), yn - F.col(f"{y}pos")) * (100 + percent) >= (xn + yn) * percent
+    apart = F.bit_count(F.col(f"{x}s1").bitwiseXOR(F.col(f"{y}s1"))) + F.bit_count(F.col(f"{x}s2").bitwiseXOR(F.col(f"{y}s2")))
+    return long & room & (apart * (100 + percent) <= (xn + yn) * (100 - percent))
+
+
+def _place(side: str) -> Column:
+    return F.struct(F.col(f"{side}doc_id").alias("doc_id"), F.col(f"{side}line_no").alias("line_no"))
+
+
+def _pairs(joined: DataFrame, x: str = "x.", y: str = "y.") -> DataFrame:
+    return joined.select(_place(x).alias("a"), _place(y).alias("b"))
 
-    def token(h: Column) -> Column:
-        lead = F.get(rarity, F.shiftrightunsigned(h, 64 - RARITY_BITS).cast("int"))
-        return F.shiftleft(lead, 64 - RARITY_BITS).bitwiseOR(h.bitwiseAND(F.lit(keep)))
 
-    distinct = hashed.select("doc_id", "line_no", F.array_distinct("hashes").alias("hashes"))
-    return distinct.select("doc_id", "line_no", F.sort_array(F.transform("hashes", token)).alias("tokens"))
+def _small(df: DataFrame) -> DataFrame:
+    """``df`` of narrow rows, broadcast if its counted rows allow it."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Of pairs (a, b) whose sets are similar enough: the class whose first line is later."""
-    left = sets.select(F.col("class").alias("a"), F.col("tokens").alias("x"), F.struct("doc_id", "line_no").alias("p"))
-    right = sets.select(F.col("class").alias("b"), F.col("tokens").alias("y"), F.struct("doc_id", "line_no").alias("q"))
-    sized = pairs.join(left, "a").join(right, "b").filter(F.size("x") * 100 >= F.size("y") * percent).filter(F.size("y") * 100 >= F.size("x") * percent)
-    both = sized.withColumn("both", F.size(F.array_intersect("x", "y")))
-    similar = both.filter(F.col("both") * 100 >= (F.size("x") + F.size("y") - F.col("both")) * percent)
-    return similar.select(F.when(F.col("p") > F.col("q"), F.col("a")).otherwise(F.col("b")).alias("class")).distinct()
+def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, size: int, rarity: Column, percent: int) -> DataFrame:
+    """The classes of the later places a of ``pairs`` (a, b) whose whole sets are similar."""
+    pairs = written(pairs.distinct())
+    wanted = pairs.select("a.*").unionByName(pairs.select("b.*")).distinct()
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(_small(written(wanted.select("doc_id").distinct())), "doc_id", "left_semi")
+    words = _words(texts).join(_small(written(wanted)), ["doc_id", "line_no"], "left_semi")
+    made = _tokens(words, size, rarity).withColumn("class", F.xxhash64("tokens"))
+    # rows of equal doc_id may have other lines at a class's place
+    sets = written(made.join(classes.select("doc_id", "line_no", "class"), ["doc_id", "line_no", "class"], "left_semi").dropDuplicates(["class"]))
+    left = sets.select(F.struct("doc_id", "line_no").alias("a"), F.col("tokens").alias("x"), "class")
+    right = sets.select(F.struct("doc_id", "line_no").alias("b"), F.col("tokens").alias("y"))
+    both = pairs.join(left, "a").join(right, "b").withColumn("both", F.size(F.array_intersect("x", "y")))
+    return both.filter(F.col("both") * 100 >= (F.size("x") + F.size("y") - F.col("both")) * percent).select("class").distinct()
 
 
 def later_lines(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -96,40 +156,43 @@ def later_lines(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) ->
     doc_id have no place in the order and are left out.
     """
     docs = docs.filter("doc_id is not null")
-    rarity = _rarity(_hashed(docs, size))
+    rarity = _rarity(docs, size)
     prefix = F.slice("tokens", 1, F.greatest(F.size("tokens") - F.ceil(F.size("tokens") * percent / 100).cast("int") + 1, F.lit(0)))
-    lines = stored(
-        _tokens(_hashed(docs, size), rarity).select(
-            "doc_id", "line_no", F.size("tokens").alias("n"), F.xxhash64("tokens").alias("class"), F.xxhash64("tokens", F.lit(1)).alias("proof"), prefix.alias("prefix")
-        )
-    )
+    tokens = _tokens(_words(docs), size, rarity)
+    lines = written(tokens.select("doc_id", "line_no", F.size("tokens").alias("n"), F.xxhash64("tokens").alias("class"), _map(0).alias("s1"), _map(1).alias("s2"), prefix.alias("prefix")))
     full = lines.filter("n > 0")
-    places = full.groupBy("class", "proof").agg(F.min(F.struct("doc_id", "line_no", "n", "prefix")).alias("first"), F.count("*").alias("uses"))
-    classes = stored(places.select("class", "proof", "first.doc_id", "first.line_no", "first.n", "first.prefix"))
-    rows = classes.select("class", "n", "doc_id", "line_no", F.posexplode("prefix").alias("pos", "token"))
-    buckets = rows.groupBy("token").agg(F.count("*").alias("uses"), F.min("class").alias("pivot")).filter("uses > 1")
-    shared = stored(rows.join(buckets, "token"))
-    star = shared.filter("class <> pivot").select(F.col("class").alias("a"), F.col("pivot").alias("b")).distinct()
-
-    wanted = shared.select("class", "doc_id", "line_no").distinct()
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted.select("doc_id").distinct(), "doc_id", "left_semi")
-    sets = stored(_tokens(_hashed(texts, size), rarity).join(wanted, ["doc_id", "line_no"]).filter(F.xxhash64("tokens") == F.col("class")).dropDuplicates(["class"]))
-    first = stored(_verified(star, sets, percent))
-
-    blocks = F.ceil(F.col("uses") / BLOCK).cast("int")
-    own, every = F.pmod(F.xxhash64("class"), blocks).cast("int"), F.explode(F.sequence(F.lit(0), blocks - 1))
-    rest = shared.filter("uses > 2")
-    x = rest.join(first, "class", "left_anti").select("token", own.alias("i"), every.alias("j"), F.col("class").alias("a"), F.col("n").alias("xn"), F.col("pos").alias("xp"), F.struct("doc_id", "line_no").alias("place"))
-    y = rest.select("token", every.alias("i"), own.alias("j"), F.col("class").alias("b"), F.col("n").alias("yn"), F.col("pos").alias("yp"), F.struct("doc_id", "line_no").alias("before"))
-    long = (F.col("xn") * 100 >= F.col("yn") * percent) & (F.col("yn") * 100 >= F.col("xn") * percent)
-    room = F.least(F.col("xn") - F.col("xp"), F.col("yn") - F.col("yp")) * (100 + percent) >= (F.col("xn") + F.col("yn")) * percent
-    on = (x["token"] == y["token"]) & (x["i"] == y["i"]) & (x["j"] == y["j"]) & (F.col("before") < F.col("place")) & long & room
-    more = _verified(x.join(y, on).select("a", "b").distinct(), sets, percent)
-
-    gone = first.unionByName(more).distinct().select("class", F.lit(True).alias("similar"))
-    firsts = classes.select("class", "proof", F.struct("doc_id", "line_no").alias("place"))
-    later = full.join(firsts, ["class", "proof"]).join(gone, "class", "left")
-    decided = later.select("doc_id", "line_no", (F.coalesce("similar", F.lit(False)) | (F.struct("doc_id", "line_no") > F.col("place"))).alias("removed"))
+    # the maps are a second proof of equal sets beside the hash of the whole list
+    key = ["class", "s1", "s2"]
+    classes = written(full.groupBy(*key).agg(F.min(F.struct("doc_id", "line_no", "n", "prefix")).alias("first")).select(*key, "first.*"))
+
+    rows = _prefix_rows(classes)
+    frequent = written(rows.groupBy("token").agg(F.count("*").alias("uses")).filter(F.col("uses") > STAR))
+    often = rows.join(_small(frequent), "token")
+    firsts = often.groupBy("token", "uses").agg(F.min(F.struct("doc_id", "line_no", "n", "pos", "s1", "s2")).alias("y"))
+    star = lookup_join(often.drop("uses").select("token", F.struct("doc_id", "line_no", "n", "pos", "s1", "s2").alias("x")), firsts, ["token"], "uses", "inner")
+    first = written(_verified(_pairs(star.filter((_place("y.") < _place("x.")) & _near(percent))), docs, classes, size, rarity, percent))
+
+    marked = classes.join(first.withColumn("gone", F.lit(-1)), "class", "left").withColumn("n", F.col("n") * F.coalesce("gone", F.lit(1)))
+    rows = _prefix_rows(marked)
+    hot = frequent.filter(F.col("uses") > BLOCK)
+    some = hot.count()
+    # one shuffle serves both sides: rows of removed classes are told by their sign, in conditions on both
+    cold = rows.join(_small(hot.select("token")), "token", "left_anti") if some else rows
+    x, y = cold.alias("x"), cold.alias("y")
+    later = (_place("y.") < _place("x.")) & _near(percent)
+    more = _pairs(x.join(y, (F.col("x.token") == F.col("y.token")) & later))
+    if some:
+        blocks = F.ceil(F.col("uses") / BLOCK).cast("int")
+        own, every = F.pmod(F.xxhash64("doc_id", "line_no"), blocks).cast("int"), F.explode(F.sequence(F.lit(0), blocks - 1))
+        dealt = rows.join(_small(hot), "token")
+        x = dealt.filter("n > 0").select("*", own.alias("i"), every.alias("j")).alias("x")
+        y = dealt.select("*", own.alias("j"), every.alias("i")).alias("y")
+        same = (F.col("x.token") == F.col("y.token")) & (F.col("x.i") == F.col("y.i")) & (F.col("x.j") == F.col("y.j"))
+        more = more.unionByName(_pairs(x.join(y, same & later)))
+    gone = first.unionByName(_verified(more, docs, classes, size, rarity, percent)).distinct().withColumn("similar", F.lit(True))
+
+    places = classes.select(*key, F.struct("doc_id", "line_no").alias("place")).join(gone, "class", "left")
+    decided = full.join(places, key).select("doc_id", "line_no", (F.coalesce("similar", F.lit(False)) | (F.struct("doc_id", "line_no") > F.col("place"))).alias("removed"))
     return decided.unionByName(lines.filter("n = 0").select("doc_id", "line_no", F.lit(False).alias("removed")))
 
 

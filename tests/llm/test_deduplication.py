@@ -212,9 +212,11 @@ def removed_by_words(texts, percent=80):
     return out
 
 
-@pytest.mark.parametrize("seed,block", [(3, 1024), (4, 3)])
-def test_similar_lines_by_words(spark, monkeypatch, seed, block):
+@pytest.mark.parametrize("seed,block,star,short", [(3, 1024, 32, 512), (4, 3, 2, 4), (5, 8, 1, 0)])
+def test_similar_lines_by_words(spark, monkeypatch, seed, block, star, short):
     monkeypatch.setattr(line_join, "BLOCK", block)
+    monkeypatch.setattr(line_join, "STAR", star)
+    monkeypatch.setattr(line_join, "SHORT", short)
     texts = corpus(seed)
     extra = ["a b c d e f g h i j k l", "a b c X e f g h i j k l", "l k j i h g f e d c b a", "a a a a a", "a a a a", "a a a", "p q r s", "p q r s t", "p q r"]
     texts += [(1000 + k, t) for k, t in enumerate(extra)]
@@ -222,6 +224,13 @@ def test_similar_lines_by_words(spark, monkeypatch, seed, block):
     assert {r["doc_id"]: list(r["removed_lines"]) for r in rows} == removed_by_words(texts)
 
 
+def test_rows_of_one_id_keep_their_lines_apart(spark):
+    near = "one line of a dozen words in all that comes back once"
+    texts = [(1, near), (2, "other words of some kind here"), (2, near.replace("back", "here")), (3, "other words of some kind here")]
+    rows = line_join.later_lines(frame(spark, texts), line_join.WORDS).collect()
+    assert sorted((r["doc_id"], r["removed"]) for r in rows) == [(1, False), (2, False), (2, True), (3, True)]
+
+
 def test_pipeline_cuts_lines_with_one_changed_word(spark):
     import corpus_pipeline
 
