@@ -12,9 +12,20 @@ from guestlens.functions.scores import SCORE_BANDS, score_band
 from guestlens.schemas import NEGATIVE_BANDS, SCORE_BAND_COLUMNS, TRAVELER_COUNT_COLUMNS
 
 
+#: ``None`` where a value stands, and a comma after the last entry.
+_NONE = r"(?<=:\s{0,20})None(?=\s*[,}])"
+_LAST_COMMA = r",\s*}\s*$"
+
+
 def language_counts(text: Column) -> Column:
-    """JSON object of counts as a map; also with single quotes. Null where it cannot be read."""
-    return F.from_json(text, "map<string,bigint>")
+    """JSON object of counts as a map of doubles; null where it cannot be read.
+
+    Any JSON number counts. Written as a Python dictionary it is read too: single quotes, ``None`` and a comma after
+    the last entry. A missing count stays in the map as null.
+    """
+    plain = F.regexp_replace(F.regexp_replace(text, _NONE, "null"), _LAST_COMMA, "}")
+    kind = "map<string,double>"
+    return F.coalesce(F.from_json(text, kind), F.from_json(plain, kind))
 
 
 def language_structure(
@@ -28,11 +39,12 @@ def language_structure(
     """Reviews per shown language, 0 where absent, and the rest, with shares.
 
     ``position`` orders by count, the rest always last. The window sees one row per
-    shown language and one for the rest.
+    shown language and one for the rest. Sums are rounded to whole reviews.
     """
     pairs = df.select(F.explode(language_counts(F.col(languages))).alias("code", "reviews"))
     code = F.when(F.col("code").isin(*shown), F.col("code")).otherwise(F.lit(rest))
-    counted = pairs.groupBy(code.alias("code")).agg(F.sum("reviews").alias("reviews"))
+    known = F.nanvl("reviews", F.lit(None).cast("double"))
+    counted = pairs.groupBy(code.alias("code")).agg(F.round(F.sum(known)).cast("long").alias("reviews"))
     wanted = df.sparkSession.createDataFrame([(c,) for c in (*shown, rest)], "code string")
     filled = wanted.join(counted, "code", "left").select(
         "code", F.coalesce("reviews", F.lit(0).cast("long")).alias("reviews"), (F.col("code") == rest).alias("is_rest")

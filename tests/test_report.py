@@ -128,6 +128,12 @@ def test_language_shares(spark):
     ]
 
 
+def test_language_counts_read_any_number_and_python_dictionaries(spark):
+    texts = ['{"pl": 3.0}', "{'pl': 3, 'en': None}", "{'pl': 3,}", "{'pl': 1, 'de': None , }", '{"pl": 1e2, "cs": NaN}', "{'en': 2, 'None': 4}", "None", "[1]", ""]
+    rows = market.language_structure(spark.createDataFrame([(t,) for t in texts], "languages_json string")).collect()
+    assert {r["code"]: r["reviews"] for r in rows} == {"pl": 110, "en": 2, "de": 0, "cs": 0, "Inne": 4}
+
+
 def test_unreadable_language_cells_are_skipped(spark):
     df = spark.createDataFrame([("{'pl': 3, 'xx': 2}",), ("junk",), (None,), ('{"pl": 1}',)], "languages_json string")
     rows = {r["code"]: r["reviews"] for r in market.language_structure(df).collect()}
