@@ -6,7 +6,7 @@ surroundings are equal wherever they occur are paths already. The remaining repe
 are compacted through joins: an edge continues its predecessor if every occurrence of either
 is next to the other, and pointers to the path's first edge double their reach every round.
 All edges of a path lie in the same documents, so the path's first document decides for all.
-Edges are told apart by two independent hashes, and coordinates lead back to the source text.
+Edges are told apart by one 64-bit hash of the window (``proof`` follows from it and adds nothing); coordinates lead back to the source text, whose words are not compared again.
 """
 
 from __future__ import annotations
