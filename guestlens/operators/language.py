@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +28,10 @@ SPREAD = 0.05
 PROFILE_SIZE = 20_000
 #: Distinct words that are scored at once.
 TOGETHER = 8_192
+#: Texts of about so many bytes are cut into words at once when a profile is trained.
+SLICE_BYTES = 1 << 20
+#: Characters of distinct words that a training task holds before it cuts them into grams.
+HELD_CHARS = 1 << 20
 #: The language of a text with letters of which no gram is known.
 UNKNOWN = "other"
 BETWEEN_WORDS = r"[^\p{L}\p{M}]+"
@@ -156,27 +161,59 @@ def filter_language(df: DataFrame, text: str, code: str = "en", profile: Profile
     return df.where(F.coalesce(language_of(F.col(text), profile) == code, F.lit(True)))
 
 
+def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Runs of whole rows of about SLICE_BYTES of text in the second column; only a longer text makes a longer one."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    row = 0
+    while row < batch.num_rows:
+        last = max(row + 1, int(np.searchsorted(ends, (ends[row - 1] if row else 0) + SLICE_BYTES, "right")))
+        yield batch.slice(row, last - row)
+        row = last
+
+
+def _gram_batches(words: dict[tuple[str, str], int]) -> Iterator[pa.RecordBatch]:
+    """The gram counts of counted (language, word)."""
+    counts: Counter[tuple[str, str]] = Counter()
+    for (code, word), n in words.items():
+        padded = f" {word} "
+        for size in SIZES:
+            own = word if size == 1 else padded
+            for i in range(len(own) - size + 1):
+                counts[code, own[i : i + size]] += n
+    rows = iter(counts.items())
+    while some := list(islice(rows, TOGETHER)):
+        columns = [[code for (code, _), _ in some], [gram for (_, gram), _ in some], [n for _, n in some]]
+        yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(columns, (pa.string(), pa.string(), pa.int64()), strict=True)], ["language", "gram", "n"])
+
+
 def train_profile(df: DataFrame, text: str, label: str, size: int = PROFILE_SIZE) -> DataFrame:
     """Gram counts of the labelled texts: (language, gram, n), at most ``size`` grams of each length and language.
 
-    Every task counts the grams of its distinct words per batch and language before anything is shuffled; the rank filter cuts each
-    language per task, too. Rows without a label or text count nothing.
+    Every task counts its words per language, slice by slice of a batch, and cuts them into grams whenever it holds
+    HELD_CHARS characters of them, so that a worker's memory does not grow with its batches, its rows or the vocabulary. The rank
+    filter cuts each language per task, too. Rows without a label or text count nothing.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, chars = {}, 0
         for batch in batches:
-            labels = batch.column(0).dictionary_encode()
-            codes = labels.indices.to_numpy(zero_copy_only=False)
-            rows, words, distinct = coded_words(batch.column(1))
-            pairs, times = np.unique(codes[rows].astype(np.int64) * max(1, len(distinct)) + words, return_counts=True)
-            counts: Counter[tuple[int, str]] = Counter()
-            for pair, n in zip(pairs.tolist(), times.tolist(), strict=True):
-                code, word = divmod(pair, len(distinct))
-                for gram in grams(distinct[word]):
-                    counts[code, gram] += n
-            names = labels.dictionary.to_pylist()
-            columns = [[names[c] for c, _ in counts], [g for _, g in counts], list(counts.values())]
-            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(columns, (pa.string(), pa.string(), pa.int64()), strict=True)], ["language", "gram", "n"])
+            for part in _slices(batch):
+                labels = part.column(0).dictionary_encode()
+                codes = labels.indices.to_numpy(zero_copy_only=False)
+                names = labels.dictionary.to_pylist()
+                rows, words, distinct = coded_words(part.column(1))
+                pairs, times = np.unique(codes[rows].astype(np.int64) * max(1, len(distinct)) + words, return_counts=True)
+                for pair, n in zip(pairs.tolist(), times.tolist(), strict=True):
+                    code, word = divmod(pair, len(distinct))
+                    key = names[code], distinct[word]
+                    before = held.get(key, 0)
+                    held[key] = before + n
+                    if not before:
+                        chars += len(key[1])
+                        if chars >= HELD_CHARS:
+                            yield from _gram_batches(held)
+                            held, chars = {}, 0
+        yield from _gram_batches(held)
 
     labelled = df.where(F.col(label).isNotNull() & F.col(text).isNotNull()).select(F.col(label).cast("string"), text)
     counted = labelled.mapInArrow(run, "language string, gram string, n long").groupBy("language", "gram").agg(F.sum("n").alias("n"))

@@ -122,6 +122,19 @@ def test_size_keeps_the_most_frequent_grams(spark):
     assert kept == {("a", "a", 4), ("a", " a", 3), ("a", "ab ", 2), ("b", "z", 2), ("b", " z", 1), ("b", " zz", 1)}
 
 
+def test_memory_of_training_does_not_grow_with_a_batch(spark, monkeypatch):
+    """Grams leave a task in slices: a batch of many distinct words holds no more of them at once than HELD_CHARS allows."""
+    monkeypatch.setattr(language, "HELD_CHARS", 64)
+    monkeypatch.setattr(language, "SLICE_BYTES", 64)
+    text = lambda i: " ".join(f"{chr(97 + i % 7)}{chr(97 + k % 26)}{chr(97 + i % 26)}é" for k in range(i % 5))
+    samples = [(i, "xyz"[i % 3], text(i)) for i in range(120)] + [(200, "x", None), (201, None, "q"), (202, "x", "w" * 300)]
+    counts = Counter((c, g) for _, c, t in samples if c and t for g in brute_grams(t))
+    found = {(r["language"], r["gram"]): r["n"] for r in language.train_profile(frame(spark, samples), "text", "label").collect()}
+    assert found == counts
+    sizes = [b.num_rows for b in language._gram_batches({("x", chr(0x4E00 + k)): 1 for k in range(20_000)})]
+    assert len(sizes) > 1 and max(sizes) <= language.TOGETHER
+
+
 def test_empty_tables(spark):
     none = frame(spark, []).limit(0)
     profile = language.collect_profile(language.train_profile(none, "text", "label"))
