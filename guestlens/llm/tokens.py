@@ -8,6 +8,8 @@ whenever they occur, which costs time but never changes an id.
 
 from __future__ import annotations
 
+import unicodedata
+
 import numpy as np
 
 VOCABULARY = "word_bpe_49k.json"
@@ -17,6 +19,9 @@ TOGETHER = 2048
 #: A character that stands between pieces which are encoded together.
 _MARK = "\x01"
 
+#: Never part of a letter or of its composed form, so that the tokenizer always parts a word from them.
+SYMBOLS = bytes(c for c in range(0x21, 0x7F) if not chr(c).isalnum())
+
 _encoders: dict[str, PieceEncoder] = {}
 
 
@@ -26,6 +31,14 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
     return public_tokenizers.path(name)
 
 
+def is_word(piece: bytes) -> bool:
+    """Whether a piece is letters alone, also when composed and lowered as the tokenizer does it."""
+    if piece.isalpha():
+        return True
+    text = piece.decode("utf-8")
+    return text.isalpha() and unicodedata.normalize("NFC", text).lower().isalpha()
+
+
 class PieceEncoder:
     """Ids as little-endian unsigned 32-bit integers."""
 
@@ -61,26 +74,47 @@ class PieceEncoder:
         return [raw[a:b] for a, b in zip(begins, ends, strict=True)]
 
     def _encoded(self, pieces: list[bytes]) -> dict[bytes, bytes]:
-        letters = [p for p in pieces if p.isalpha() or p.decode("utf-8").isalpha()]
-        others = list(set(pieces).difference(letters))
+        """The ids of ``pieces``, and of the words in them that end before ASCII symbols."""
         out: dict[bytes, bytes] = {}
-        for group in (letters, others):
+        letters, others, joined = set(), set(), []
+        for piece in pieces:
+            if is_word(piece):
+                letters.add(piece)
+                continue
+            stem = piece.rstrip(SYMBOLS)
+            if stem and stem != piece and is_word(stem):
+                tail = piece[len(stem) :]
+                joined.append((piece, stem, tail))
+                for part, group in ((stem, letters), (tail, others)):
+                    if part in self.known:
+                        out[part] = self.known[part]
+                    else:
+                        group.add(part)
+            else:
+                others.add(piece)
+        for group in (list(letters), list(others)):
             for low in range(0, len(group), TOGETHER):
                 part = group[low : low + TOGETHER]
                 out.update(zip(part, self._together(part), strict=True))
+        out.update((piece, out[stem] + out[tail]) for piece, stem, tail in joined)
         return out
 
     def ids(self, texts: list[bytes]) -> list[bytes]:
         """The ids of each text. ASCII letters are folded first, as the tokenizer folds all letters."""
         known = self.known
-        split = [text.lower().split() for text in texts]
-        new: set[bytes] = set()
-        for pieces in split:
-            new.update(set(pieces).difference(known))
-        fresh = self._encoded(list(new))
+        found, gaps, missing = [], [], []
+        for text in texts:
+            pieces = text.lower().split()
+            found.append(list(map(known.get, pieces)))  # the only look at the store, whose entries are far apart in memory
+            gaps.append([k for k, ids in enumerate(found[-1]) if ids is None])
+            missing.append([pieces[k] for k in gaps[-1]])
+        fresh = self._encoded(list(set().union(*missing)))
         if len(known) < CACHED_PIECES:
             known.update((p, ids) for p, ids in fresh.items() if len(p) <= CACHED_BYTES)
-        return [b"".join([known[p] if p in known else fresh[p] for p in pieces]) for pieces in split]
+        for own, places, pieces in zip(found, gaps, missing, strict=True):
+            for k, piece in zip(places, pieces, strict=True):
+                own[k] = fresh[piece]
+        return [b"".join(own) for own in found]
 
 
 def encoder(path: str) -> PieceEncoder:

@@ -56,6 +56,43 @@ def test_full_store_changes_no_id(monkeypatch):
     assert encoder.ids([b"two four", b"one two three five"])[0] == first[1]
 
 
+def test_words_before_symbols_are_encoded_once():
+    found, plain = tokens.PieceEncoder(tokens.vocabulary_path()), tokens.PieceEncoder(tokens.vocabulary_path())
+    odd = ["unheardofword", "unheardofword,", "unheardofword's", "it's,", "\u0130,", "\u0958.", "e\u0301!", "\u00e9!", "a1,", "a<|endoftext|>", "a<|endoftext|>.", "&&", "x'", "'s", "\u01c5.", "\u00b2.", "\u4e2d,", "w\u0301\u0327,"]
+    assert found.ids([" ".join(odd).encode(), *(t.encode() for t in odd)]) == [x.tobytes() for x in plain._raw([" ".join(odd), *odd])]
+    batches = []
+    together = found._together
+    found._together = lambda pieces: batches.append(pieces) or together(pieces)
+    found.ids([b"neverseenbefore neverseenbefore, neverseenbefore; neverseenbefore!"])
+    assert sorted(p for b in batches for p in b if p.startswith(b"never")) == [b"neverseenbefore"]
+
+
+def test_store_is_asked_once_for_a_piece():
+    class Store(dict):
+        asked = 0
+
+        def get(self, *args):
+            self.asked += 1
+            return super().get(*args)
+
+        def __getitem__(self, key):
+            self.asked += 1
+            return super().__getitem__(key)
+
+        def __contains__(self, key):
+            self.asked += 1
+            return super().__contains__(key)
+
+    found = tokens.PieceEncoder(tokens.vocabulary_path())
+    plain = tokens.PieceEncoder(tokens.vocabulary_path())
+    texts = ["one two one three", "two \x01 é1 two", "", "ONE Two unheardofword"]
+    found.known = Store()
+    for _ in range(2):
+        found.known.asked = 0
+        assert found.ids([t.encode() for t in texts]) == [x.tobytes() for x in plain._raw(texts)]
+        assert found.known.asked <= sum(len(t.split()) for t in texts)
+
+
 def test_room_tree():
     tree, rooms = bins.RoomTree(100), Counter()
     rng = random.Random(4)
