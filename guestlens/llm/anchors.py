@@ -88,7 +88,7 @@ def repeated(rows: DataFrame, across: bool) -> DataFrame:
         F.max("doc_id").over(own).alias("last_doc"),
         (F.min("context").over(own) == F.max("context").over(own)).alias("uniform"),
     )
-    return seen.filter("first_doc < last_doc" if across else "uses > 1").drop("last_doc", "context")
+    return seen.filter("first_doc < last_doc" if across else "uses > 1").drop("last_doc")
 
 
 def by_document(marks: DataFrame, *columns: str) -> DataFrame:

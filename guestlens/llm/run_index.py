@@ -1,14 +1,15 @@
 """Repeated byte strings: a run-length index of the repetitive parts of a corpus.
 
 Places where a string of ``window`` bytes can recur are found by ``anchors``; copies whose
-surroundings are equal everywhere are settled there. The contexts that differ between their
-occurrences are indexed: shard by shard they get a run-compressed Burrows-Wheeler transform
+surroundings are equal everywhere are settled there. Where contexts of an anchor differ, the first
+of every equal ones is indexed, later ones are wholly repeated: shard by shard they get a run-compressed Burrows-Wheeler transform
 with text positions and match lengths sampled at the ends of its runs. Within a run the
 matching statistics of the next text position follow from the last one, so one sweep over the
 text streams them from the samples. Long matches are marked, except a string's first place.
 
-An anchor with more contexts than a shard holds is cut into blocks, and every pair of blocks
-is indexed together, so that no task gets more than two blocks of one anchor.
+An anchor with more different contexts than a shard holds is too common to tell places apart. Each of its
+windows then is an anchor of its own, whose context is always the same and settled by the first place. That
+takes as many rows as the contexts have windows, at most ``window`` - ``GRAM`` + 1 for each, whatever the anchor's uses.
 """
 
 from __future__ import annotations
@@ -19,7 +20,9 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from guestlens.llm import textbytes as tb
@@ -131,48 +134,85 @@ def marked(group: pd.DataFrame, window: int = WINDOW) -> pd.DataFrame:
 
 
 def _cut(texts: DataFrame, window: int) -> DataFrame:
-    """The bytes of every marked context: anchor, uses, doc_id, lo, bytes."""
+    """The bytes of every marked context: anchor, doc_id, lo, bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             marks = batch.column(2)
             for part in tb.unpacked(batch.column(1)):
-                anchors, uses, docs, lows, cuts = [], [], [], [], []
+                anchors, docs, lows, cuts = [], [], [], []
                 for k in range(len(part)):
                     text = part.text(k)
                     own = marks[part.first + k].values
                     low, count = own.field("lo").to_pylist(), own.field("n").to_pylist()
                     anchors += own.field("anchor").to_pylist()
-                    uses += own.field("uses").to_pylist()
                     docs += [batch.column(0)[part.first + k].as_py()] * len(low)
                     lows += low
                     cuts += [text[a : a + n - 1 + window] for a, n in zip(low, count, strict=True)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(anchors, pa.int64()), pa.array(uses, pa.int64()), pa.array(docs, pa.int64()), pa.array(lows, pa.int32()), pa.array(cuts, pa.binary())],
-                    ["anchor", "uses", "doc_id", "lo", "bytes"],
+                    [pa.array(anchors, pa.int64()), pa.array(docs, pa.int64()), pa.array(lows, pa.int32()), pa.array(cuts, pa.binary())],
+                    ["anchor", "doc_id", "lo", "bytes"],
                 )
 
-    return texts.mapInArrow(run, "anchor long, uses long, doc_id long, lo int, bytes binary")
+    return texts.mapInArrow(run, "anchor long, doc_id long, lo int, bytes binary")
+
+
+def _each(texts: DataFrame, window: int) -> DataFrame:
+    """Every window of every marked context by its hash: anchor, string, doc_id, lo."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column(0).to_numpy(zero_copy_only=False)
+            marks = batch.column(2)
+            for part in tb.unpacked(batch.column(1)):
+                own = marks.slice(part.first, len(part))
+                row = pc.list_parent_indices(own).to_numpy(zero_copy_only=False)
+                flat = pc.list_flatten(own)
+                # a row of equal doc_id may be shorter than the one that a context was found in
+                low, count = (flat.field(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("lo", "n"))
+                count = np.clip(part.offsets[row + 1] - part.offsets[row] - window + 1 - low, 0, count)
+                of = np.repeat(np.arange(len(row)), count)
+                place = low[of] + np.arange(len(of)) - np.repeat(np.cumsum(count) - count, count)
+                start = part.offsets[row[of]] + place
+                strings = tb.Windows(part.data).hashes(start, start + window)
+                anchors = flat.field("anchor").to_numpy(zero_copy_only=False)[of]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(anchors), tb.as_long(strings), pa.array(ids[part.first + row[of]], pa.int64()), pa.array(place, pa.int32())],
+                    ["anchor", "string", "doc_id", "lo"],
+                )
+
+    return texts.mapInArrow(run, "anchor long, string long, doc_id long, lo int")
+
+
+def _first_contexts(docs: DataFrame, window: int) -> DataFrame:
+    """Contexts that may start earlier: doc_id, lo, n, anchor, kinds (different contexts of the anchor), settled (wholly repeated).
+
+    The ranks use the shuffle by anchor that found its uses.
+    """
+    shared = repeated(contexts(docs, Units(False, window, GRAM)), across=False).filter("not uniform or doc_id > first_doc or again")
+    leads = shared.withColumn("leads", F.rank().over(W.partitionBy("anchor", "context").orderBy("doc_id", "lo")) == 1)
+    kinds = leads.withColumn("kinds", F.count_if("leads").over(W.partitionBy("anchor")))
+    return kinds.select("doc_id", "lo", "n", "anchor", "kinds", (F.col("uniform") | ~F.col("leads")).alias("settled"))
 
 
 def repeated_bytes(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """Runs of windows of ``window`` bytes that also start earlier: doc_id, lo, n."""
-    shared = repeated(contexts(docs, Units(False, window, GRAM)), across=False)
-    shared = stored(shared.filter("not uniform or doc_id > first_doc or again").select("doc_id", "lo", "n", "anchor", "uses", "uniform"))
-    settled = shared.filter("uniform").select("doc_id", "lo", "n")
-    open_ones = shared.filter("not uniform")
-    shards = max(1, -(-open_ones.count() // SHARD_ROWS))
-    blocks = F.ceil(F.col("uses") / SHARD_ROWS).cast("int")
-    pieces = (
-        _cut(tb.compressed(docs).join(by_document(open_ones, "lo", "n", "anchor", "uses"), "doc_id"), window)
-        .withColumn("large", F.col("uses") > SHARD_ROWS)
-        .withColumn("shard", F.when(F.col("large"), F.col("anchor")).otherwise(F.pmod(F.xxhash64("anchor"), F.lit(shards))))
-        .withColumn("block", F.when(F.col("large"), F.pmod(F.xxhash64("doc_id", "lo"), blocks)).otherwise(0).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.when(F.col("large"), blocks - 1).otherwise(0))))
-        .select("large", "shard", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "doc_id", "lo", "bytes")
-    )
-    found = pieces.groupBy("large", "shard", "i", "j").applyInPandas(lambda group: marked(group, window), "doc_id long, lo int, n int")
-    return settled.unionByName(found)
+    shared = stored(_first_contexts(docs, window))
+    found = shared.filter("settled").select("doc_id", "lo", "n")
+    open_ones = shared.filter("not settled")
+    hot = F.col("kinds") > SHARD_ROWS
+    rows, hot_rows = open_ones.agg(F.count("*"), F.count_if(hot)).first()
+    if rows > hot_rows:
+        shards = -(-(rows - hot_rows) // SHARD_ROWS)
+        pieces = _cut(tb.compressed(docs).join(by_document(open_ones.filter(~hot), "lo", "n", "anchor"), "doc_id"), window)
+        dealt = pieces.select(F.pmod(F.xxhash64("anchor"), F.lit(shards)).alias("shard"), "doc_id", "lo", "bytes")
+        found = found.unionByName(dealt.groupBy("shard").applyInPandas(lambda group: marked(group, window), "doc_id long, lo int, n int"))
+    if hot_rows:
+        each = _each(tb.compressed(docs).join(by_document(open_ones.filter(hot), "lo", "n", "anchor"), "doc_id"), window)
+        place = F.struct("doc_id", "lo")
+        later = each.withColumn("first", F.min(place).over(W.partitionBy("anchor", "string"))).filter(place > F.col("first"))
+        found = found.unionByName(later.select("doc_id", "lo", F.lit(1).alias("n")))
+    return found
 
 
 def _without(docs: DataFrame, window: int, schema: str, result) -> DataFrame:

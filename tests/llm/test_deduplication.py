@@ -178,6 +178,21 @@ def test_large_anchor_is_cut_into_blocks(spark, monkeypatch):
     assert {r[0]: tuple(r)[1:] for r in rows} == without_bytes(texts, 100)
 
 
+def test_common_anchor_makes_rows_in_proportion(spark, monkeypatch):
+    """Contexts of a common anchor are dealt by their windows: no row is made for each pair of blocks."""
+    monkeypatch.setattr(run_index, "SHARD_ROWS", 4)
+    line = "a line that very many of these documents have in common, word for word, in one hundred bytes and some more of them"
+    tails = ["nothing else", "nothing else at all, and then some more words of its own kind until the very end of it", "", "é ü"]
+    texts = [(i, f"{i * 7919} {line} {tails[i % 4]} {i % 11}") for i in range(48)]
+    spans = run_index.repeated_bytes(frame(spark, texts))
+    assert "Generate" not in spans._jdf.queryExecution().executedPlan().toString()
+    # every window comes once: no pair of blocks finds it again
+    places = [(r["doc_id"], k) for r in spans.collect() for k in range(r["lo"], r["lo"] + r["n"])]
+    assert len(places) == len(set(places))
+    rows = run_index.removal_digest(frame(spark, texts)).collect()
+    assert {r[0]: tuple(r)[1:] for r in rows} == without_bytes(texts, 100)
+
+
 def removed_lines(texts, size=5, percent=80):
     sets, out = [], {}
     for i, text in texts:
