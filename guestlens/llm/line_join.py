@@ -1,8 +1,8 @@
 """Line deduplication: an exact set-similarity self-join of lines.
 
 A line is the set of its tokens: word shingles, or with size WORDS its words, repeated ones numbered. Tokens have one global order, rarest first:
-occurrences are counted in a table of fixed size by the leading bits of the word's (or shingle's) hash, and those bits
-are replaced by the rank of their count, which keeps tokens distinct and makes common ones last. Two lines of the
+occurrences are counted in a table of fixed size by the leading bits of the word's (or shingle's) hash, and a token is led by the
+logarithm of that count, which makes common ones last. The table is large enough to tell words of some hundred uses from rarer ones. Two lines of the
 wanted Jaccard similarity share a token among the first few of both (prefix filter), have
 similar sizes (length filter), and enough tokens after the shared ones (positional filter). A parity bit map of 128 bits
 goes with every prefix token: two sets differ in as many tokens at least as their maps in bits, so most pairs
@@ -17,14 +17,17 @@ Only SQL functions are used.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from guestlens.llm.frames import written
-from guestlens.llm.shingles import shingle_hashes, word_list
+from guestlens.llm.shingles import shingle_hashes
 from guestlens.plans.skew import lookup_join
 
 SHINGLE = 5
+_OTHER_WHITE = "\t\x0b\x0c\r"
 #: As a shingle size: tokens are single words, the k-th use of a word in a line is a token of its own.
 WORDS = 0
 #: Classes of a prefix token that one task compares with as many others.
@@ -36,18 +39,22 @@ SHORT = 512
 #: Rows of document ids or tokens up to which a counted table of them is broadcast.
 BROADCAST_ROWS = 1_000_000
 PERCENT = 80
-RARITY_BITS = 14
-_HALF = 1 << (RARITY_BITS - 1)
+#: Leading bits of a word's hash by which words are counted: a table of so many small numbers goes to every task.
+RARITY_BITS = 18
+_LEVEL_BITS = 8
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """doc_id, line_no and line of every line, blank ones too."""
-    lines = F.split(F.coalesce("text", F.lit("")), "\n")
+    """doc_id, line_no and line of every line, blank ones too; white space in a line is blanks."""
+    text = F.coalesce("text", F.lit(""))
+    odd = reduce(Column.__or__, [F.contains(text, F.lit(c)) for c in _OTHER_WHITE])
+    lines = F.split(F.when(odd, F.translate(text, _OTHER_WHITE, " " * len(_OTHER_WHITE))).otherwise(text), "\n")
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), lines.alias("lines")).select("doc_id", F.posexplode_outer("lines").alias("line_no", "line"))
 
 
 def _words(docs: DataFrame) -> DataFrame:
-    return _lines(docs).select("doc_id", "line_no", word_list(F.lower("line")).alias("words"))
+    """doc_id, line_no and words of every line. Cut at single blanks, which needs no pattern."""
+    return _lines(docs).select("doc_id", "line_no", F.array_remove(F.split(F.lower("line"), " "), "").alias("words"))
 
 
 def _lead(h: Column) -> Column:
@@ -55,26 +62,21 @@ def _lead(h: Column) -> Column:
 
 
 def _rarity(docs: DataFrame, size: int) -> Column:
-    """Rank of every value of the leading hash bits by occurrences, as an array of fixed size."""
+    """Twice the binary logarithm of the occurrences of every value of the leading hash bits, as an array of fixed size."""
     if size == WORDS:
-        rows = _words(docs).select(F.explode_outer("words").alias("w")).select(_lead(F.xxhash64("w")).alias("lead"))
+        hashes = _words(docs).select(F.explode("words").alias("w")).select(F.xxhash64("w").alias("h"))
     else:
-        hashes = _words(docs).select(shingle_hashes(F.col("words"), size).alias("hashes"))
-        rows = hashes.select(F.explode_outer("hashes").alias("h")).select(_lead(F.coalesce("h", F.lit(0))).alias("lead"))
-    counted = {r["lead"]: r["n"] for r in rows.groupBy("lead").agg(F.count("*").alias("n")).collect()}
-    ranks = [0] * (1 << RARITY_BITS)
-    for rank, lead in enumerate(sorted(range(1 << RARITY_BITS), key=lambda k: (counted.get(k, 0), k))):
-        ranks[lead] = rank - _HALF
-    return F.split(F.lit(",".join(map(str, ranks))), ",").cast("array<bigint>")
-
-
-_KEEP = (1 << (64 - RARITY_BITS)) - 1
+        hashes = _words(docs).select(F.explode(shingle_hashes(F.col("words"), size)).alias("h"))
+    every = docs.sparkSession.range(1 << RARITY_BITS).select(F.col("id").alias("lead"), F.lit(0).alias("n"))
+    counted = hashes.select(_lead(F.col("h")).alias("lead"), F.lit(1).alias("n")).unionByName(every).groupBy("lead").agg(F.sum("n").alias("n"))
+    level = F.floor(2 * F.log2(F.greatest("n", F.lit(1)))).cast("tinyint")
+    levels = F.transform(F.sort_array(F.collect_list(F.struct("lead", level.alias("level")))), lambda x: x["level"].cast("string"))
+    return F.split(F.lit(counted.agg(F.array_join(levels, ",").alias("levels")).first()["levels"]), ",").cast("array<tinyint>")
 
 
 def _numbered(own: str) -> Column:
-    """The words whose sorted hashes are in the column ``own``, told apart by use: the k-th use of a word, k > 0, has low bits of its own."""
-    high = F.lit(-1 << (64 - RARITY_BITS))
-    again = lambda h, k: h.bitwiseAND(high).bitwiseOR(F.xxhash64(h, k.cast("int")).bitwiseAND(F.lit(_KEEP)))
+    """The words whose sorted hashes are in the column ``own``, told apart by use: the k-th use of a word, k > 0, has a hash of its own."""
+    again = lambda h, k: F.xxhash64(h, k.cast("int"))
     short = F.transform(own, lambda h, i: F.when(F.get(own, i - 1) == h, again(h, i + 1 - F.array_position(own, h))).otherwise(h))
     places = F.sequence(F.lit(0), F.size(own) - 1)
     starts = F.filter(places, lambda i: (i == 0) | (F.get(own, i) != F.get(own, i - 1)))
@@ -89,22 +91,26 @@ def _numbered(own: str) -> Column:
     return F.when(F.size(own) <= SHORT, short).otherwise(long)
 
 
-def _tokens(words: DataFrame, size: int, rarity: Column) -> DataFrame:
-    """The distinct tokens of each line of ``words``, rarest first: doc_id, line_no, tokens."""
+def _hashes(words: DataFrame, size: int) -> DataFrame:
+    """The sorted hashes of each line's words, with repeats, or of its distinct shingles: doc_id, line_no, hashes."""
     if size == WORDS:
-        own = words.select("doc_id", "line_no", F.sort_array(F.transform("words", lambda w: F.xxhash64(w))).alias("own"))
-        hashes = own.select("doc_id", "line_no", _numbered("own").alias("hashes"))
+        hashes = F.transform("words", lambda w: F.xxhash64(w))
     else:
-        hashes = words.select("doc_id", "line_no", F.array_distinct(shingle_hashes(F.col("words"), size)).alias("hashes"))
-    ranked = F.transform("hashes", lambda h: F.shiftleft(F.get(rarity, _lead(h).cast("int")), 64 - RARITY_BITS).bitwiseOR(h.bitwiseAND(F.lit(_KEEP))))
-    return hashes.select("doc_id", "line_no", F.sort_array(ranked).alias("tokens"))
+        hashes = F.array_distinct(shingle_hashes(F.col("words"), size))
+    return words.select("doc_id", "line_no", F.sort_array(hashes).alias("hashes"))
+
+
+def _tokens(rarity: Column) -> Column:
+    """``hashes`` led by their levels, rarest first. The low bits that go make more candidates at most: sets are told apart by whole hashes."""
+    level = lambda h: F.coalesce(F.get(rarity, _lead(h).cast("int")), F.lit(0).cast("tinyint")).cast("long")
+    return F.sort_array(F.transform("hashes", lambda h: F.shiftleft(level(h), 64 - _LEVEL_BITS).bitwiseOR(F.shiftrightunsigned(h, _LEVEL_BITS))))
 
 
 def _map(odd: int) -> Column:
-    """64 of the 128 parity bits of ``tokens``: those of tokens whose seventh bit is ``odd``."""
+    """64 of the 128 parity bits of ``hashes``: those of hashes whose seventh bit is ``odd``."""
     half = lambda h: F.shiftright(h, 6).bitwiseAND(F.lit(1).cast("long"))
     bit = lambda h: F.call_function("shiftleft", half(h) if odd else F.lit(1).cast("long") - half(h), h.bitwiseAND(F.lit(63)).cast("int"))
-    return F.aggregate("tokens", F.lit(0).cast("long"), lambda bits, h: bits.bitwiseXOR(bit(h)))
+    return F.aggregate("hashes", F.lit(0).cast("long"), lambda bits, h: bits.bitwiseXOR(bit(h)))
 
 
 def _prefix_rows(classes: DataFrame) -> DataFrame:
@@ -124,6 +130,12 @@ def _place(side: str) -> Column:
     return F.struct(F.col(f"{side}doc_id").alias("doc_id"), F.col(f"{side}line_no").alias("line_no"))
 
 
+def _later(x: str = "x.", y: str = "y.") -> Column:
+    """Whether the place of ``y`` is the earlier one. By columns: a struct would be made for every pair."""
+    same = F.col(f"{y}doc_id") == F.col(f"{x}doc_id")
+    return (F.col(f"{y}doc_id") < F.col(f"{x}doc_id")) | (same & (F.col(f"{y}line_no") < F.col(f"{x}line_no")))
+
+
 def _pairs(joined: DataFrame, x: str = "x.", y: str = "y.") -> DataFrame:
     return joined.select(_place(x).alias("a"), _place(y).alias("b"))
 
@@ -133,13 +145,13 @@ def _small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, size: int, rarity: Column, percent: int) -> DataFrame:
+def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, size: int, percent: int) -> DataFrame:
     """The classes of the later places a of ``pairs`` (a, b) whose whole sets are similar."""
     pairs = written(pairs.distinct())
     wanted = pairs.select("a.*").unionByName(pairs.select("b.*")).distinct()
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(_small(written(wanted.select("doc_id").distinct())), "doc_id", "left_semi")
     words = _words(texts).join(_small(written(wanted)), ["doc_id", "line_no"], "left_semi")
-    made = _tokens(words, size, rarity).withColumn("class", F.xxhash64("tokens"))
+    made = _hashes(words, size).withColumn("class", F.xxhash64("hashes")).withColumn("tokens", _numbered("hashes") if size == WORDS else F.col("hashes")).drop("hashes")
     # rows of equal doc_id may have other lines at a class's place
     sets = written(made.join(classes.select("doc_id", "line_no", "class"), ["doc_id", "line_no", "class"], "left_semi").dropDuplicates(["class"]))
     left = sets.select(F.struct("doc_id", "line_no").alias("a"), F.col("tokens").alias("x"), "class")
@@ -157,9 +169,11 @@ def later_lines(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) ->
     """
     docs = docs.filter("doc_id is not null")
     rarity = _rarity(docs, size)
-    prefix = F.slice("tokens", 1, F.greatest(F.size("tokens") - F.ceil(F.size("tokens") * percent / 100).cast("int") + 1, F.lit(0)))
-    tokens = _tokens(_words(docs), size, rarity)
-    lines = written(tokens.select("doc_id", "line_no", F.size("tokens").alias("n"), F.xxhash64("tokens").alias("class"), _map(0).alias("s1"), _map(1).alias("s2"), prefix.alias("prefix")))
+    n = F.size("tokens")
+    # a word's uses stand side by side in the order, so its first use alone tells whether two prefixes meet in it
+    prefix = F.array_distinct(F.slice("tokens", 1, F.greatest(n - F.ceil(n * percent / 100).cast("int") + 1, F.lit(0))))
+    made = _hashes(_words(docs), size).select("*", _tokens(rarity).alias("tokens"))
+    lines = written(made.select("doc_id", "line_no", n.alias("n"), F.xxhash64("hashes").alias("class"), _map(0).alias("s1"), _map(1).alias("s2"), prefix.alias("prefix")))
     full = lines.filter("n > 0")
     # the maps are a second proof of equal sets beside the hash of the whole list
     key = ["class", "s1", "s2"]
@@ -170,7 +184,7 @@ def later_lines(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) ->
     often = rows.join(_small(frequent), "token")
     firsts = often.groupBy("token", "uses").agg(F.min(F.struct("doc_id", "line_no", "n", "pos", "s1", "s2")).alias("y"))
     star = lookup_join(often.drop("uses").select("token", F.struct("doc_id", "line_no", "n", "pos", "s1", "s2").alias("x")), firsts, ["token"], "uses", "inner")
-    first = written(_verified(_pairs(star.filter((_place("y.") < _place("x.")) & _near(percent))), docs, classes, size, rarity, percent))
+    first = written(_verified(_pairs(star.filter(_near(percent) & _later())), docs, classes, size, percent))
 
     marked = classes.join(first.withColumn("gone", F.lit(-1)), "class", "left").withColumn("n", F.col("n") * F.coalesce("gone", F.lit(1)))
     rows = _prefix_rows(marked)
@@ -179,7 +193,7 @@ def later_lines(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) ->
     # one shuffle serves both sides: rows of removed classes are told by their sign, in conditions on both
     cold = rows.join(_small(hot.select("token")), "token", "left_anti") if some else rows
     x, y = cold.alias("x"), cold.alias("y")
-    later = (_place("y.") < _place("x.")) & _near(percent)
+    later = _near(percent) & _later()
     more = _pairs(x.join(y, (F.col("x.token") == F.col("y.token")) & later))
     if some:
         blocks = F.ceil(F.col("uses") / BLOCK).cast("int")
@@ -189,7 +203,7 @@ def later_lines(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) ->
         y = dealt.select("*", own.alias("j"), every.alias("i")).alias("y")
         same = (F.col("x.token") == F.col("y.token")) & (F.col("x.i") == F.col("y.i")) & (F.col("x.j") == F.col("y.j"))
         more = more.unionByName(_pairs(x.join(y, same & later)))
-    gone = first.unionByName(_verified(more, docs, classes, size, rarity, percent)).distinct().withColumn("similar", F.lit(True))
+    gone = first.unionByName(_verified(more, docs, classes, size, percent)).distinct().withColumn("similar", F.lit(True))
 
     places = classes.select(*key, F.struct("doc_id", "line_no").alias("place")).join(gone, "class", "left")
     decided = full.join(places, key).select("doc_id", "line_no", (F.coalesce("similar", F.lit(False)) | (F.struct("doc_id", "line_no") > F.col("place"))).alias("removed"))

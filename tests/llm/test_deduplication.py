@@ -239,6 +239,23 @@ def test_similar_lines_by_words(spark, monkeypatch, seed, block, star, short):
     assert {r["doc_id"]: list(r["removed_lines"]) for r in rows} == removed_by_words(texts)
 
 
+def test_rare_words_lead_the_prefixes(spark, monkeypatch):
+    rng, kept, write = random.Random(8), [], line_join.written
+    common = [f"c{k}" for k in range(3000)]
+    texts = [(i, " ".join([f"r{i}x{k}" for k in range(8)] + rng.sample(common, 28))) for i in range(1500)]
+    monkeypatch.setattr(line_join, "written", lambda df: kept.append(write(df)) or kept[-1])
+    line_join.later_lines(frame(spark, texts), line_join.WORDS)
+    lines = next(df for df in kept if "prefix" in df.columns)
+    uses = Counter(token for r in lines.select("prefix").collect() for token in r["prefix"])
+    assert sum(n for n in uses.values() if n > 1) < 0.05 * sum(uses.values())
+
+
+def test_every_white_space_parts_words(spark):
+    texts = [(1, "a\tb\x0bc\x0cd\re"), (2, " a  b c d   e "), (3, "a\u00a0b c d e"), (4, "\t\r \x0b")]
+    rows = line_join.line_report(frame(spark, texts), line_join.WORDS).collect()
+    assert {r["doc_id"]: list(r["removed_lines"]) for r in rows} == {1: [], 2: [0], 3: [], 4: []}
+
+
 def test_rows_of_one_id_keep_their_lines_apart(spark):
     near = "one line of a dozen words in all that comes back once"
     texts = [(1, near), (2, "other words of some kind here"), (2, near.replace("back", "here")), (3, "other words of some kind here")]
