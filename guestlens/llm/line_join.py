@@ -2,21 +2,24 @@
 
 A line is the set of its tokens: word shingles, or with size WORDS its words, repeated ones numbered. Tokens have one global order, rarest first:
 occurrences are counted in a table of fixed size by the leading bits of the word's (or shingle's) hash, and a token is led by the
-logarithm of that count, which makes common ones last. The table is large enough to tell words of some hundred uses from rarer ones. Two lines of the
+logarithm of that count, which makes common ones last. The text is cut and hashed once: the leading half of every hash is written, and
+counts, prefixes and maps are taken from there; words with equal halves only make more candidates. The table is large enough to tell words of some hundred uses from rarer ones. Two lines of the
 wanted Jaccard similarity share a token among the first few of both (prefix filter), have
-similar sizes (length filter), and enough tokens after the shared ones (positional filter). A parity bit map of 128 bits
+similar sizes (length filter), and enough tokens after the shared ones (positional filter). A parity bit map of 64 bits, 128 for long lines,
 goes with every prefix token: two sets differ in as many tokens at least as their maps in bits, so most pairs
 that cannot be similar end before their sets are read. The others are verified on their whole sets, made again from the
 texts, and a line that is similar to an earlier one is removed.
 
 Lines with equal sets are one class, named by its first line. Classes that share a frequent prefix token are first compared with
-the first class of them; only those not removed by that are compared with all earlier classes that share a token.
+the first class of them, which is broadcast; only those not removed by that are compared with all earlier classes that share a token.
 The classes of a token with more than a block of them are dealt to blocks, and every pair of blocks is compared by itself.
 Only SQL functions are used.
 """
 
 from __future__ import annotations
 
+import math
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -33,7 +36,7 @@ WORDS = 0
 #: Classes of a prefix token that one task compares with as many others.
 BLOCK = 1024
 #: Classes of a prefix token from which they are first compared with one of them.
-STAR = 32
+STAR = 256
 #: Words of a line up to which repeated ones are numbered by looking for the first; beyond it, by the starts of their runs. Both give the same numbers.
 SHORT = 512
 #: Rows of document ids or tokens up to which a counted table of them is broadcast.
@@ -41,7 +44,9 @@ BROADCAST_ROWS = 1_000_000
 PERCENT = 80
 #: Leading bits of a word's hash by which words are counted: a table of so many small numbers goes to every task.
 RARITY_BITS = 18
-_LEVEL_BITS = 8
+_LEVEL_BIT = 32
+#: Words of a line beyond which its parity map is kept in two parts.
+WIDE = 80
 
 
 def _lines(docs: DataFrame) -> DataFrame:
@@ -54,21 +59,20 @@ def _lines(docs: DataFrame) -> DataFrame:
 
 def _words(docs: DataFrame) -> DataFrame:
     """doc_id, line_no and words of every line. Cut at single blanks, which needs no pattern."""
-    return _lines(docs).select("doc_id", "line_no", F.array_remove(F.split(F.lower("line"), " "), "").alias("words"))
+    cut = F.split(F.lower("line"), " ")
+    odd = (F.col("line") == "") | F.startswith("line", F.lit(" ")) | F.endswith("line", F.lit(" ")) | F.contains("line", F.lit("  "))
+    return _lines(docs).select("doc_id", "line_no", F.when(odd, F.array_remove(cut, "")).otherwise(cut).alias("words"))
 
 
 def _lead(h: Column) -> Column:
-    return F.shiftrightunsigned(h, 64 - RARITY_BITS)
+    return F.shiftrightunsigned(h, 32 - RARITY_BITS)
 
 
-def _rarity(docs: DataFrame, size: int) -> Column:
-    """Twice the binary logarithm of the occurrences of every value of the leading hash bits, as an array of fixed size."""
-    if size == WORDS:
-        hashes = _words(docs).select(F.explode("words").alias("w")).select(F.xxhash64("w").alias("h"))
-    else:
-        hashes = _words(docs).select(F.explode(shingle_hashes(F.col("words"), size)).alias("h"))
-    every = docs.sparkSession.range(1 << RARITY_BITS).select(F.col("id").alias("lead"), F.lit(0).alias("n"))
-    counted = hashes.select(_lead(F.col("h")).alias("lead"), F.lit(1).alias("n")).unionByName(every).groupBy("lead").agg(F.sum("n").alias("n"))
+def _rarity(lines: DataFrame) -> Column:
+    """Twice the binary logarithm of the occurrences of every value of the leading bits of ``heads``, as an array of fixed size."""
+    every = lines.sparkSession.range(1 << RARITY_BITS).select(F.col("id").cast("int").alias("lead"), F.lit(0).alias("n"))
+    leads = lines.select(F.explode("heads").alias("h")).select(_lead(F.col("h")).alias("lead"), F.lit(1).alias("n"))
+    counted = leads.unionByName(every).groupBy("lead").agg(F.sum("n").alias("n"))
     level = F.floor(2 * F.log2(F.greatest("n", F.lit(1)))).cast("tinyint")
     levels = F.transform(F.sort_array(F.collect_list(F.struct("lead", level.alias("level")))), lambda x: x["level"].cast("string"))
     return F.split(F.lit(counted.agg(F.array_join(levels, ",").alias("levels")).first()["levels"]), ",").cast("array<tinyint>")
@@ -100,17 +104,26 @@ def _hashes(words: DataFrame, size: int) -> DataFrame:
     return words.select("doc_id", "line_no", F.sort_array(hashes).alias("hashes"))
 
 
+def _heads(hashes: str) -> Column:
+    """The leading halves of sorted hashes, in order."""
+    return F.transform(hashes, lambda h: F.shiftright(h, 32).cast("int"))
+
+
 def _tokens(rarity: Column) -> Column:
-    """``hashes`` led by their levels, rarest first. The low bits that go make more candidates at most: sets are told apart by whole hashes."""
-    level = lambda h: F.coalesce(F.get(rarity, _lead(h).cast("int")), F.lit(0).cast("tinyint")).cast("long")
-    return F.sort_array(F.transform("hashes", lambda h: F.shiftleft(level(h), 64 - _LEVEL_BITS).bitwiseOR(F.shiftrightunsigned(h, _LEVEL_BITS))))
+    """``heads`` led by their levels, rarest first. Words of one head make more candidates at most: sets are told apart by whole hashes."""
+    level = lambda h: F.coalesce(F.get(rarity, _lead(h)), F.lit(0).cast("tinyint")).cast("long")
+    return F.sort_array(F.transform("heads", lambda h: F.shiftleft(level(h), _LEVEL_BIT) + h.cast("long")))
 
 
-def _map(odd: int) -> Column:
-    """64 of the 128 parity bits of ``hashes``: those of hashes whose seventh bit is ``odd``."""
-    half = lambda h: F.shiftright(h, 6).bitwiseAND(F.lit(1).cast("long"))
-    bit = lambda h: F.call_function("shiftleft", half(h) if odd else F.lit(1).cast("long") - half(h), h.bitwiseAND(F.lit(63)).cast("int"))
-    return F.aggregate("hashes", F.lit(0).cast("long"), lambda bits, h: bits.bitwiseXOR(bit(h)))
+def _parity(one: Callable[[Column], Column]) -> Column:
+    """64 parity bits of ``heads``, of those for which ``one`` is 1 and not 0."""
+    return F.aggregate("heads", F.lit(0).cast("long"), lambda bits, h: bits.bitwiseXOR(F.call_function("shiftleft", one(h), h.bitwiseAND(F.lit(63)))))
+
+
+def _maps() -> list[Column]:
+    """s1: the parity bits of ``heads``; s2: of those with the sign bit, in lines of more than WIDE words."""
+    signed = _parity(lambda h: F.shiftrightunsigned(h, 31).cast("long"))
+    return [_parity(lambda h: F.lit(1).cast("long")).alias("s1"), F.when(F.size("heads") > WIDE, signed).otherwise(F.lit(0).cast("long")).alias("s2")]
 
 
 def _prefix_rows(classes: DataFrame) -> DataFrame:
@@ -122,8 +135,9 @@ def _near(percent: int, x: str = "x.", y: str = "y.") -> Column:
     xn, yn = F.col(f"{x}n"), F.abs(F.col(f"{y}n"))
     long = (xn * 100 >= yn * percent) & (yn * 100 >= xn * percent)
     room = F.least(xn - F.col(f"{x}pos"), yn - F.col(f"{y}pos")) * (100 + percent) >= (xn + yn) * percent
-    apart = F.bit_count(F.col(f"{x}s1").bitwiseXOR(F.col(f"{y}s1"))) + F.bit_count(F.col(f"{x}s2").bitwiseXOR(F.col(f"{y}s2")))
-    return long & room & (apart * (100 + percent) <= (xn + yn) * (100 - percent))
+    one, two = (F.col(f"{x}{s}").bitwiseXOR(F.col(f"{y}{s}")) for s in ("s1", "s2"))
+    fits = lambda apart: apart * (100 + percent) <= (xn + yn) * (100 - percent)
+    return long & room & fits(F.bit_count(one)) & ((xn <= WIDE) | (yn <= WIDE) | fits(F.bit_count(two) + F.bit_count(one.bitwiseXOR(two))))
 
 
 def _place(side: str) -> Column:
@@ -168,27 +182,33 @@ def later_lines(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) ->
     doc_id have no place in the order and are left out.
     """
     docs = docs.filter("doc_id is not null")
-    rarity = _rarity(docs, size)
-    n = F.size("tokens")
+    # words are cut and hashed once, for all steps but the last proof
+    made = _hashes(_words(docs), size)
+    lines = written(made.select("doc_id", "line_no", F.xxhash64("hashes").alias("class"), F.hash("hashes").alias("proof"), F.size("hashes").alias("n"), _heads("hashes").alias("heads")))
+    full = lines.filter("n > 0")
+    ordered = full.select("*", *_maps(), _tokens(_rarity(full)).alias("tokens"))
+    n = F.col("n")
     # a word's uses stand side by side in the order, so its first use alone tells whether two prefixes meet in it
     prefix = F.array_distinct(F.slice("tokens", 1, F.greatest(n - F.ceil(n * percent / 100).cast("int") + 1, F.lit(0))))
-    made = _hashes(_words(docs), size).select("*", _tokens(rarity).alias("tokens"))
-    lines = written(made.select("doc_id", "line_no", n.alias("n"), F.xxhash64("hashes").alias("class"), _map(0).alias("s1"), _map(1).alias("s2"), prefix.alias("prefix")))
-    full = lines.filter("n > 0")
-    # the maps are a second proof of equal sets beside the hash of the whole list
-    key = ["class", "s1", "s2"]
-    classes = written(full.groupBy(*key).agg(F.min(F.struct("doc_id", "line_no", "n", "prefix")).alias("first")).select(*key, "first.*"))
-
-    rows = _prefix_rows(classes)
-    frequent = written(rows.groupBy("token").agg(F.count("*").alias("uses")).filter(F.col("uses") > STAR))
-    often = rows.join(_small(frequent), "token")
-    firsts = often.groupBy("token", "uses").agg(F.min(F.struct("doc_id", "line_no", "n", "pos", "s1", "s2")).alias("y"))
-    star = lookup_join(often.drop("uses").select("token", F.struct("doc_id", "line_no", "n", "pos", "s1", "s2").alias("x")), firsts, ["token"], "uses", "inner")
+    # the hash of the whole list is proved by another one
+    key = ["class", "proof"]
+    first = F.min(F.struct("doc_id", "line_no", "n", "s1", "s2", prefix.alias("prefix"))).alias("first")
+    classes = written(ordered.groupBy(*key).agg(first).select(*key, "first.*"))
+
+    # a token has no more uses than its level tells, and the last one of a prefix is the commonest
+    least = (math.floor(2 * math.log2(STAR)) - 1 << _LEVEL_BIT) - (1 << _LEVEL_BIT - 1)
+    rows = _prefix_rows(classes.filter(F.get("prefix", F.size("prefix") - 1) >= least)).filter(F.col("token") >= least)
+    frequent = written(rows.groupBy("token").agg(F.count("*").alias("uses"), F.min("doc_id").alias("doc_id")).filter(F.col("uses") > STAR))
+    some = frequent.count()
+    place = F.struct("doc_id", "line_no", "n", "pos", "s1", "s2")
+    firsts = rows.join(_small(frequent), ["token", "doc_id"]).groupBy("token", "uses").agg(F.min(place).alias("y"))
+    often = rows.select("token", place.alias("x"))
+    star = often.join(F.broadcast(firsts), "token") if some <= BROADCAST_ROWS else lookup_join(often, firsts, ["token"], "uses", "inner")
     first = written(_verified(_pairs(star.filter(_near(percent) & _later())), docs, classes, size, percent))
 
     marked = classes.join(first.withColumn("gone", F.lit(-1)), "class", "left").withColumn("n", F.col("n") * F.coalesce("gone", F.lit(1)))
     rows = _prefix_rows(marked)
-    hot = frequent.filter(F.col("uses") > BLOCK)
+    hot = frequent.filter(F.col("uses") > BLOCK).select("token", "uses")
     some = hot.count()
     # one shuffle serves both sides: rows of removed classes are told by their sign, in conditions on both
     cold = rows.join(_small(hot.select("token")), "token", "left_anti") if some else rows

@@ -250,6 +250,23 @@ def test_rare_words_lead_the_prefixes(spark, monkeypatch):
     assert sum(n for n in uses.values() if n > 1) < 0.05 * sum(uses.values())
 
 
+@pytest.mark.parametrize("wide,rows,bits,star", [(3, 0, 60, 1), (80, 1_000_000, 32, 3)])
+def test_text_is_cut_once_for_the_whole_table(spark, monkeypatch, wide, rows, bits, star):
+    """Also with hashes of which most have equal halves, maps of two parts and no broadcasts."""
+    from pyspark.sql import functions as F
+
+    cut, words = [], line_join._words
+    monkeypatch.setattr(line_join, "_words", lambda docs: cut.append(docs.columns) or words(docs))
+    monkeypatch.setattr(line_join, "_heads", lambda hashes: F.transform(hashes, lambda h: F.shiftright(h, bits).cast("int")), raising=False)
+    monkeypatch.setattr(line_join, "WIDE", wide, raising=False)
+    monkeypatch.setattr(line_join, "BROADCAST_ROWS", rows)
+    monkeypatch.setattr(line_join, "STAR", star)
+    texts = corpus(6, 40)
+    found = line_join.line_report(frame(spark, texts), line_join.WORDS).collect()
+    assert {r["doc_id"]: list(r["removed_lines"]) for r in found} == removed_by_words(texts)
+    assert sum("lang" in columns for columns in cut) == 1
+
+
 def test_every_white_space_parts_words(spark):
     texts = [(1, "a\tb\x0bc\x0cd\re"), (2, " a  b c d   e "), (3, "a\u00a0b c d e"), (4, "\t\r \x0b")]
     rows = line_join.line_report(frame(spark, texts), line_join.WORDS).collect()
