@@ -25,7 +25,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from guestlens.llm.frames import written
+from guestlens.llm.frames import packed, written
 from guestlens.llm.shingles import shingle_hashes
 from guestlens.plans.skew import lookup_join
 
@@ -126,8 +126,8 @@ def _maps() -> list[Column]:
     return [_parity(lambda h: F.lit(1).cast("long")).alias("s1"), F.when(F.size("heads") > WIDE, signed).otherwise(F.lit(0).cast("long")).alias("s2")]
 
 
-def _prefix_rows(classes: DataFrame) -> DataFrame:
-    return classes.select("doc_id", "line_no", "n", "s1", "s2", F.posexplode("prefix").alias("pos", "token"))
+def _prefix_rows(classes: DataFrame, *more: str) -> DataFrame:
+    return classes.select(*more, "doc_id", "line_no", "n", "s1", "s2", F.posexplode("prefix").alias("pos", "token"))
 
 
 def _near(percent: int, x: str = "x.", y: str = "y.") -> Column:
@@ -184,7 +184,7 @@ def later_lines(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) ->
     docs = docs.filter("doc_id is not null")
     # words are cut and hashed once, for all steps but the last proof
     made = _hashes(_words(docs), size)
-    lines = written(made.select("doc_id", "line_no", F.xxhash64("hashes").alias("class"), F.hash("hashes").alias("proof"), F.size("hashes").alias("n"), _heads("hashes").alias("heads")))
+    lines = packed(made.select("doc_id", "line_no", F.xxhash64("hashes").alias("class"), F.hash("hashes").alias("proof"), F.size("hashes").alias("n"), _heads("hashes").alias("heads")))
     full = lines.filter("n > 0")
     ordered = full.select("*", *_maps(), _tokens(_rarity(full)).alias("tokens"))
     n = F.col("n")
@@ -206,8 +206,9 @@ def later_lines(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) ->
     star = often.join(F.broadcast(firsts), "token") if some <= BROADCAST_ROWS else lookup_join(often, firsts, ["token"], "uses", "inner")
     first = written(_verified(_pairs(star.filter(_near(percent) & _later())), docs, classes, size, percent))
 
-    marked = classes.join(first.withColumn("gone", F.lit(-1)), "class", "left").withColumn("n", F.col("n") * F.coalesce("gone", F.lit(1)))
-    rows = _prefix_rows(marked)
+    signs = _small(first).withColumn("gone", F.lit(-1))
+    signed = lambda df: df.join(signs, "class", "left").withColumn("n", F.col("n") * F.coalesce("gone", F.lit(1)))
+    rows = _prefix_rows(signed(classes))
     hot = frequent.filter(F.col("uses") > BLOCK).select("token", "uses")
     some = hot.count()
     # one shuffle serves both sides: rows of removed classes are told by their sign, in conditions on both
@@ -218,7 +219,7 @@ def later_lines(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) ->
     if some:
         blocks = F.ceil(F.col("uses") / BLOCK).cast("int")
         own, every = F.pmod(F.xxhash64("doc_id", "line_no"), blocks).cast("int"), F.explode(F.sequence(F.lit(0), blocks - 1))
-        dealt = rows.join(_small(hot), "token")
+        dealt = written(signed(_prefix_rows(classes, "class").join(_small(hot), "token")))
         x = dealt.filter("n > 0").select("*", own.alias("i"), every.alias("j")).alias("x")
         y = dealt.select("*", own.alias("j"), every.alias("i")).alias("y")
         same = (F.col("x.token") == F.col("y.token")) & (F.col("x.i") == F.col("y.i")) & (F.col("x.j") == F.col("y.j"))
